@@ -221,3 +221,28 @@ def with_ctes(needed: list[str], final: str) -> str:
         return final
     body = ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order)
     return f"WITH {body}\n{final}"
+
+
+# ---------------------------------------------------------------------------------------------
+# Change histories on events (key user_id, cursor ts, tiebreak event_id).
+
+EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props", "_dedupe_grain_id"]
+EVENT_HASH = [("user_id", "int"), ("event_type", "str")]
+STATUS_SRC = """(SELECT user_id, ts, event_id, CAST(CAST(floor(value / 40.0) AS BIGINT) AS VARCHAR) AS band
+                 FROM events WHERE event_type IN ('signup', 'error'))"""
+ACTIVITY_SRC = "(SELECT * FROM events WHERE event_type IN ('view', 'click', 'purchase'))"
+
+CTES.update({
+    "events_dedup": ([], f"""
+      SELECT * EXCLUDE (_prev) FROM (
+        SELECT *, LAG(_dedupe_grain_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS _prev
+        FROM (SELECT *, {skey(EVENT_HASH)} AS _dedupe_grain_id FROM events)
+      ) WHERE _prev IS NULL OR _prev <> _dedupe_grain_id"""),
+    "events_scd2": ([], snapshot_sql("events", "user_id", EVENT_HASH, "ts", "event_id")),
+    "activity_scd2": ([], snapshot_sql(ACTIVITY_SRC, "user_id", EVENT_HASH, "ts", "event_id")),
+    "status_scd2": ([], snapshot_sql(STATUS_SRC, "user_id", [("user_id", "int"), ("band", "str")], "ts", "event_id")),
+})
+CTES["activity_status_drop"] = (["activity_scd2", "status_scd2"], temporal_sql(
+    "activity_scd2", EVENT_COLS, "status_scd2", "user_id", "user_id", ["band"], "status", gaps="drop"))
+CTES["activity_status_keep"] = (["activity_scd2", "status_scd2"], temporal_sql(
+    "activity_scd2", EVENT_COLS, "status_scd2", "user_id", "user_id", ["band"], "status", gaps="keep"))

@@ -112,3 +112,56 @@ def q_dim_product(spark, d):
 @register("fact_sales_full", O.with_ctes(["fact_full"], "SELECT * FROM fact_full"))
 def q_fact_sales_full(spark, d):
     return mart.fact_sales_full(spark, d, load_ts())
+
+
+# --- ingest and change history (O-3, O-4, O-18, O-20, O-32, O-34, O-35) -----------------------
+
+from . import histories as H  # noqa: E402
+
+
+@register("ingest_cursor_increment", f"SELECT * FROM events WHERE ts > TIMESTAMP '{H.CURSOR_HWM}'")
+def q_ingest_cursor_increment(spark, d):
+    return H.events_increment(spark, d)
+
+
+@register("ingest_latest_per_key", """
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+    ) WHERE rn = 1""")
+def q_ingest_latest_per_key(spark, d):
+    return H.events_latest(spark, d)
+
+
+@register("dedupe_changes", O.with_ctes(["events_dedup"], "SELECT * FROM events_dedup"))
+def q_dedupe_changes(spark, d):
+    return H.events_deduped(spark, d)
+
+
+@register("scd2_from_history", O.with_ctes(["events_scd2"], "SELECT * FROM events_scd2"))
+def q_scd2_from_history(spark, d):
+    return H.events_scd2(spark, d)
+
+
+# Merging the later half of the history into the SCD-2 table of the earlier half must equal the
+# rebuild from the whole history: the oracle is the rebuild.
+@register("scd2_merge", O.with_ctes(["events_scd2"], "SELECT * FROM events_scd2"))
+def q_scd2_merge(spark, d):
+    return H.events_scd2_merged(spark, d)
+
+
+@register("temporal_join_overlap", O.with_ctes(["activity_status_drop"], "SELECT * FROM activity_status_drop"))
+def q_temporal_join_overlap(spark, d):
+    return H.activity_status(spark, d, "drop")
+
+
+@register("temporal_join_gap_preserving", O.with_ctes(["activity_status_keep"], "SELECT * FROM activity_status_keep"))
+def q_temporal_join_gap_preserving(spark, d):
+    return H.activity_status(spark, d, "keep")
+
+
+@register("pit_join_fact_dim", O.with_ctes(["status_scd2"], """
+    SELECT p.event_id, p.ts, p.user_id, p.value, s.band
+    FROM (SELECT event_id, ts, user_id, value FROM events WHERE event_type = 'purchase') p
+    JOIN status_scd2 s ON p.user_id = s.user_id AND p.ts >= s.valid_from AND p.ts < s.valid_to"""))
+def q_pit_join_fact_dim(spark, d):
+    return H.purchases_with_status(spark, d, "asof")
