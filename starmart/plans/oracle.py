@@ -246,3 +246,39 @@ CTES["activity_status_drop"] = (["activity_scd2", "status_scd2"], temporal_sql(
     "activity_scd2", EVENT_COLS, "status_scd2", "user_id", "user_id", ["band"], "status", gaps="drop"))
 CTES["activity_status_keep"] = (["activity_scd2", "status_scd2"], temporal_sql(
     "activity_scd2", EVENT_COLS, "status_scd2", "user_id", "user_id", ["band"], "status", gaps="keep"))
+
+CTES["dim_date"] = ([], """
+      SELECT CAST(strftime(d, '%Y%m%d') AS BIGINT) AS DateKey, d AS Date, CAST(day(d) AS BIGINT) AS Day,
+             CAST(strftime(d, '%U') AS BIGINT) AS Week, CAST(month(d) AS BIGINT) AS Month,
+             CAST(quarter(d) AS BIGINT) AS Quarter,
+             CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
+                  WHEN month(d) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS Season,
+             CAST(year(d) AS BIGINT) AS Year
+      FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '1990-01-01', DATE '2050-12-31', INTERVAL 1 DAY))""")
+CTES["product_latest"] = (["raw_product"], """
+      SELECT * EXCLUDE (rn) FROM (
+        SELECT *, row_number() OVER (PARTITION BY ProductID ORDER BY ModifiedDate DESC) AS rn FROM raw_product
+      ) WHERE rn = 1""")
+
+
+def check_sql(name: str, table: str, kind: str, column, args: dict, label: str | None = None) -> str:
+    """SQL of one check returning (check_name, table_name, kind, n_failed)."""
+    head = f"SELECT '{name}' AS check_name, '{label or table}' AS table_name, '{kind}' AS kind, CAST(count(*) AS BIGINT) AS n_failed"
+    if kind == "not_null":
+        return f"{head} FROM {table} WHERE {column} IS NULL"
+    if kind == "unique":
+        cols = [column] if isinstance(column, str) else list(column)
+        nn = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+        return f"{head} FROM (SELECT {', '.join(cols)} FROM {table} WHERE {nn} GROUP BY ALL HAVING count(*) > 1)"
+    if kind == "relationships":
+        return (f"{head} FROM {table} c WHERE c.{column} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM {args['to']} p WHERE p.{args['field']} = c.{column})")
+    if kind == "accepted_range":
+        conds = []
+        op_lo, op_hi = (">=", "<=") if args.get("inclusive", True) else (">", "<")
+        if args.get("min_value") is not None:
+            conds.append(f"{column} {op_lo} {args['min_value']}")
+        if args.get("max_value") is not None:
+            conds.append(f"{column} {op_hi} {args['max_value']}")
+        return f"{head} FROM {table} WHERE NOT ({' AND '.join(conds)})"
+    raise ValueError(kind)

@@ -165,3 +165,164 @@ def q_temporal_join_gap_preserving(spark, d):
     JOIN status_scd2 s ON p.user_id = s.user_id AND p.ts >= s.valid_from AND p.ts < s.valid_to"""))
 def q_pit_join_fact_dim(spark, d):
     return H.purchases_with_status(spark, d, "asof")
+
+
+# --- data checks (O-22, O-23, O-30, O-47 .. O-52) ----------------------------------------------
+
+from ..operators import checks as C  # noqa: E402
+from ..operators.upsert import lookback_window, upsert  # noqa: E402
+from . import quality as Q  # noqa: E402
+
+
+@register("check_not_null", O.with_ctes(["raw_header"], "SELECT * FROM raw_header WHERE TerritoryID IS NULL"))
+def q_check_not_null(spark, d):
+    return C.not_null(catalog.source(spark, d, "raw_Sales", "SalesOrderHeader"), "TerritoryID")
+
+
+@register("check_unique", O.with_ctes(["stg_detail"], """
+    SELECT SalesOrderID, ProductID, count(*) AS n_records FROM stg_detail
+    WHERE SalesOrderID IS NOT NULL AND ProductID IS NOT NULL GROUP BY SalesOrderID, ProductID HAVING count(*) > 1"""))
+def q_check_unique(spark, d):
+    return C.unique(mart.stg_order_detail(spark, d), ["SalesOrderID", "ProductID"])
+
+
+@register("check_relationships", O.with_ctes(["stg_detail", "stg_header", "raw_product"], """
+    SELECT 'detail_order' AS check_name, c.SalesOrderID AS from_field FROM stg_detail c
+      WHERE NOT EXISTS (SELECT 1 FROM stg_header p WHERE p.SalesOrderID = c.SalesOrderID)
+    UNION ALL
+    SELECT 'detail_product', c.ProductID FROM stg_detail c
+      WHERE NOT EXISTS (SELECT 1 FROM raw_product p WHERE p.ProductID = c.ProductID)
+    UNION ALL
+    SELECT 'order_has_lines', c.SalesOrderID FROM stg_header c
+      WHERE NOT EXISTS (SELECT 1 FROM stg_detail p WHERE p.SalesOrderID = c.SalesOrderID)"""))
+def q_check_relationships(spark, d):
+    detail, header = mart.stg_order_detail(spark, d), mart.stg_order_header(spark, d)
+    product = catalog.source(spark, d, "raw_Production", "Product")
+    parts = {
+        "detail_order": C.relationships(detail, "SalesOrderID", header, "SalesOrderID"),
+        "detail_product": C.relationships(detail, "ProductID", product, "ProductID"),
+        "order_has_lines": C.relationships(header, "SalesOrderID", detail, "SalesOrderID"),
+    }
+    out = None
+    for name, df in parts.items():
+        p = df.select(F.lit(name).alias("check_name"), "from_field")
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("check_accepted_range", O.with_ctes(["stg_detail"], """
+    SELECT 'unit_price' AS check_name, UnitPrice AS value FROM stg_detail WHERE NOT (UnitPrice >= 0)
+    UNION ALL SELECT 'order_qty', CAST(OrderQty AS DOUBLE) FROM stg_detail WHERE NOT (OrderQty >= 1)
+    UNION ALL SELECT 'line_total', LineTotal FROM stg_detail WHERE NOT (LineTotal >= 0)
+    UNION ALL SELECT 'discount_max', l_discount FROM lineitem WHERE NOT (l_discount >= 0 AND l_discount <= 0.08)"""))
+def q_check_accepted_range(spark, d):
+    detail = mart.stg_order_detail(spark, d)
+    parts = [
+        ("unit_price", C.accepted_range(detail, "UnitPrice", min_value=0)),
+        ("order_qty", C.accepted_range(detail, "OrderQty", min_value=1)),
+        ("line_total", C.accepted_range(detail, "LineTotal", min_value=0)),
+        ("discount_max", C.accepted_range(catalog.table(spark, d, "lineitem"), "l_discount", 0, 0.08)),
+    ]
+    out = None
+    for name, df in parts:
+        p = df.select(F.lit(name).alias("check_name"), F.col(df.columns[0]).cast("double").alias("value"))
+        out = p if out is None else out.unionByName(p)
+    return out
+
+
+@register("check_scd_time_range", O.with_ctes(["product_history", "snap_category", "snap_model", "snap_subcategory"], """
+    SELECT 'category' AS check_name, h.ProductID, h.valid_from, h.valid_to FROM product_history h
+      WHERE h.ProductSubcategorySnapshot__ProductCategoryID IS NOT NULL AND h.ProductCategorySnapshot__Name IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM snap_category s WHERE s.ProductCategoryID = h.ProductSubcategorySnapshot__ProductCategoryID
+                        AND s.Name = h.ProductCategorySnapshot__Name AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)
+    UNION ALL
+    SELECT 'model', h.ProductID, h.valid_from, h.valid_to FROM product_history h
+      WHERE h.ProductModelID IS NOT NULL AND h.ProductModelSnapshot__Name IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM snap_model s WHERE s.ProductModelID = h.ProductModelID
+                        AND s.Name = h.ProductModelSnapshot__Name AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)
+    UNION ALL
+    SELECT 'subcategory', h.ProductID, h.valid_from, h.valid_to FROM product_history h
+      WHERE h.ProductSubcategoryID IS NOT NULL AND h.ProductSubcategorySnapshot__Name IS NOT NULL
+        AND h.ProductSubcategorySnapshot__ProductCategoryID IS NOT NULL
+        AND NOT EXISTS (SELECT 1 FROM snap_subcategory s WHERE s.ProductSubcategoryID = h.ProductSubcategoryID
+                        AND s.Name = h.ProductSubcategorySnapshot__Name
+                        AND s.ProductCategoryID = h.ProductSubcategorySnapshot__ProductCategoryID
+                        AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)"""))
+def q_check_scd_time_range(spark, d):
+    return Q.scd_audit(spark, d)
+
+
+_SUITE_TABLE_CTES = {"header": "raw_header", "detail": "raw_detail", "territory": "raw_territory",
+                     "product_latest": "product_latest", "subcategory": "raw_subcategory", "category": "raw_category",
+                     "dim_product": "dim_product", "dim_date": "dim_date", "dim_territory": "dim_territory", "fact": "fact_full"}
+
+
+def _suite_sql() -> str:
+    parts = []
+    for s in Q.SUITE:
+        args = dict(s.args)
+        if "to" in args:
+            args["to"] = _SUITE_TABLE_CTES[args["to"]]
+        parts.append(O.check_sql(s.name, _SUITE_TABLE_CTES[s.table], s.kind, s.column, args, label=s.table))
+    return O.with_ctes(sorted(set(_SUITE_TABLE_CTES.values())), "\nUNION ALL\n".join(parts))
+
+
+@register("check_suite_summary", _suite_sql())
+def q_check_suite_summary(spark, d):
+    return C.run_suite(Q.SUITE, Q.suite_tables(spark, d, load_ts()))
+
+
+# --- incremental fact loads (O-7, O-15, O-44) ---------------------------------------------------
+
+# Fixed parameters: the state of the fact table before the incremental run.
+INCREMENTAL_TARGET_BEFORE = "2001-07-01 00:00:00"   # target = fact of orders placed before this
+REPLAY_LOADED_BEFORE = "2001-09-01 00:00:00"        # target = fact of lines shipped before this
+LOOKBACK_DAYS = 7
+
+
+def _target_by_order_date(m: mart.Mart) -> DataFrame:
+    loaded = m.sales.filter(F.col("OrderDate") < F.lit(INCREMENTAL_TARGET_BEFORE).cast("timestamp_ntz"))
+    return mart.fact_sales(loaded, m.dim_product, m.dim_territory, load_ts())
+
+
+def _target_by_ship_date(m: mart.Mart) -> DataFrame:
+    loaded = m.sales.filter(F.col("ModifiedDate") < F.lit(REPLAY_LOADED_BEFORE).cast("timestamp_ntz"))
+    return mart.fact_sales(loaded, m.dim_product, m.dim_territory, load_ts())
+
+
+def _incremental_sql(target_filter: str, final: str) -> str:
+    target = O.fact_sql(f"(SELECT * FROM int_sales WHERE {target_filter})")
+    window = f"""
+      SELECT * FROM int_sales WHERE OrderDate >= (
+        SELECT CAST(strptime(CAST(max(OrderDateKey) AS VARCHAR), '%Y%m%d') AS DATE) - INTERVAL {LOOKBACK_DAYS} DAY
+        FROM target)"""
+    batch = O.fact_sql("win")
+    body = O.with_ctes(["int_sales", "dim_product", "dim_territory"], "SELECT 1")
+    body = body[: body.rindex("SELECT 1")].rstrip()
+    return f"""{body},
+target AS ({target}),
+win AS ({window}),
+batch AS ({batch}),
+merged AS (
+  SELECT t.* FROM target t WHERE NOT EXISTS (
+    SELECT 1 FROM batch b WHERE b.ProductKey = t.ProductKey AND b.SalesOrderID = t.SalesOrderID)
+  UNION ALL SELECT * FROM batch)
+{final}"""
+
+
+@register("fact_incremental_window", _incremental_sql(f"OrderDate < TIMESTAMP '{INCREMENTAL_TARGET_BEFORE}'", "SELECT * FROM win"))
+def q_fact_incremental_window(spark, d):
+    m = mart.build_mart(spark, d)
+    return lookback_window(m.sales, _target_by_order_date(m), "OrderDate", "OrderDateKey", LOOKBACK_DAYS)
+
+
+@register("fact_upsert", _incremental_sql(f"OrderDate < TIMESTAMP '{INCREMENTAL_TARGET_BEFORE}'", "SELECT * FROM merged"))
+def q_fact_upsert(spark, d):
+    m = mart.build_mart(spark, d)
+    return mart.fact_incremental(m.sales, _target_by_order_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts())
+
+
+@register("fact_late_arrival_replay", _incremental_sql(f"ModifiedDate < TIMESTAMP '{REPLAY_LOADED_BEFORE}'", "SELECT * FROM merged"))
+def q_fact_late_arrival_replay(spark, d):
+    m = mart.build_mart(spark, d)
+    return mart.fact_incremental(m.sales, _target_by_ship_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts())
