@@ -127,12 +127,23 @@ def with_forward_fill(
     return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK)
 
 
-def dense_ids(df: DataFrame, order: Sequence[str], id_col: str) -> DataFrame:
+def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, chunks: int | None = None) -> DataFrame:
     """Distinct values of ``order`` numbered 1..n in sort order (= ``dense_rank``) without a
-    single-partition window: a distributed sort followed by ``zipWithIndex`` (one job counts the
-    rows of each sorted partition, the next adds the offsets).  The sort's partitioner is fixed
-    once in the RDD lineage, so both jobs and any recomputation see the same order."""
-    d = df.select(*order).distinct().orderBy(*order)
-    schema = T.StructType(list(d.schema.fields) + [T.StructField(id_col, T.LongType(), False)])
-    rdd = d.rdd.zipWithIndex().map(lambda ri: (*ri[0], ri[1] + 1))
-    return df.sparkSession.createDataFrame(rdd, schema)
+    single-partition window.
+
+    The distinct values are first written out (a fixed set of files), then range-partitioned;
+    rows are numbered inside each range and shifted by the row count of all earlier ranges (an
+    offset table with one row per range, safe to broadcast).  Because the range bounds are sampled
+    from fixed files, every branch of the plan and every recomputation gets the same ranges."""
+    from ..session import materialize
+
+    d = materialize(df.select(*order).distinct(), "dense_ids")
+    n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    r = d.repartitionByRange(n, *_cols(order)).withColumn(CHUNK, F.spark_partition_id())
+    r = r.withColumn("_sm_rn", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*_cols(order))))
+    counts = r.groupBy(CHUNK).agg(F.count(F.lit(1)).alias("_sm_n"))
+    before = Window.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(CHUNK, F.coalesce(F.sum("_sm_n").over(before), F.lit(0)).alias("_sm_off"))
+    return r.join(F.broadcast(offsets), CHUNK).select(
+        *order, (F.col("_sm_off") + F.col("_sm_rn")).cast("bigint").alias(id_col)
+    )

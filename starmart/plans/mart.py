@@ -17,6 +17,7 @@ from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import pit_join, temporal_join
 from ..operators.upsert import lookback_window, upsert
+from ..session import materialize
 from ..sources.catalog import source
 
 UNKNOWN_TERRITORY = {"TerritoryKey": 0, "TerritoryID": 0, "TerritoryName": "unknown", "TerritoryGroup": "unknown", "CountryRegionCode": "unknown"}
@@ -83,7 +84,8 @@ class Snapshots:
 
 def snapshots(spark: SparkSession, root: str) -> Snapshots:
     snaps = {
-        name: snapshot(source(spark, root, schema, name), key) for name, (schema, key) in SNAPSHOT_SPECS.items()
+        name: materialize(snapshot(source(spark, root, schema, name), key), f"snapshot_{name}")
+        for name, (schema, key) in SNAPSHOT_SPECS.items()
     }
     return Snapshots(snaps["Product"], snaps["ProductSubcategory"], snaps["ProductCategory"], snaps["ProductModel"])
 
@@ -143,7 +145,9 @@ def build_mart(spark: SparkSession, root: str) -> Mart:
     header = stg_order_header(spark, root)
     terr = stg_territory(spark, root)
     sales = int_sales_join(detail, header)
-    return Mart(detail, header, terr, sales, dim_territory(terr), dim_product(product_history(snapshots(spark, root))))
+    dim_terr = materialize(dim_territory(terr), "dim_territory")
+    dim_prod = materialize(dim_product(product_history(snapshots(spark, root))), "dim_product")
+    return Mart(detail, header, terr, sales, dim_terr, dim_prod)
 
 
 def fact_sales_full(spark: SparkSession, root: str, load_ts: Column | None = None) -> DataFrame:

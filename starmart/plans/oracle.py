@@ -282,3 +282,81 @@ def check_sql(name: str, table: str, kind: str, column, args: dict, label: str |
             conds.append(f"{column} {op_hi} {args['max_value']}")
         return f"{head} FROM {table} WHERE NOT ({' AND '.join(conds)})"
     raise ValueError(kind)
+
+
+# ---------------------------------------------------------------------------------------------
+# Mining.
+
+CTES["mining_lines"] = (["fact_full", "dim_product", "dim_territory", "raw_header"], """
+      SELECT f.SalesOrderID, h.CustomerID, p.ProductID, p.Name AS ProductName, p.Subcategory AS ProductBrand,
+             p.Category AS ProductType, t.TerritoryID, f.OrderDateKey
+      FROM fact_full f JOIN dim_product p ON f.ProductKey = p.ProductKey
+      JOIN dim_territory t ON f.TerritoryKey = t.TerritoryKey
+      LEFT JOIN raw_header h ON f.SalesOrderID = h.SalesOrderID""")
+
+
+def items_sql(item: str, basket: str = "CustomerID") -> str:
+    return f"""
+      SELECT DISTINCT scope, basket, item FROM (
+        SELECT CAST(TerritoryID AS BIGINT) AS scope, {basket} AS basket, {item} AS item FROM mining_lines
+        UNION ALL
+        SELECT CAST(-1 AS BIGINT), {basket}, {item} FROM mining_lines
+      ) WHERE item IS NOT NULL AND basket IS NOT NULL AND scope IS NOT NULL"""
+
+
+def mining_sql(item: str, final: str, max_rules: int = 35, basket: str = "CustomerID") -> str:
+    """Adaptive single-item rules stated per level: for each support level the original loop may
+    try, count the qualifying rules; take the first level with enough, else the last."""
+    enough = int(0.8 * max_rules)
+    levels = " UNION ALL ".join(
+        f"SELECT scope, n_baskets, {k} AS level, m0{' * 0.75' * k} AS m FROM ms" for k in range(5))
+    body = O_with_ctes(["mining_lines"])
+    return f"""{body},
+items AS ({items_sql(item, basket)}),
+nb AS (SELECT scope, count(DISTINCT basket) AS n_baskets FROM items GROUP BY scope),
+ic AS (SELECT scope, item, count(*) AS item_count FROM items GROUP BY scope, item),
+st AS (SELECT ic.scope, count(*) AS n_items, CAST(sum(item_count) AS BIGINT) AS n_pairs,
+              max(item_count) AS max_item_count, any_value(nb.n_baskets) AS n_baskets
+       FROM ic JOIN nb ON ic.scope = nb.scope GROUP BY ic.scope),
+ms AS (SELECT *, CAST(max_item_count AS DOUBLE) / n_baskets AS max_support,
+              (CAST(max_item_count AS DOUBLE) / n_baskets)
+                * (1 - pow(1 / sqrt(pow(2.0, n_items) - 1), 1 / (CAST(n_pairs AS DOUBLE) / n_items))) AS min_support,
+              CASE WHEN (CAST(max_item_count AS DOUBLE) / n_baskets)
+                * (1 - pow(1 / sqrt(pow(2.0, n_items) - 1), 1 / (CAST(n_pairs AS DOUBLE) / n_items))) >= 0.01
+                   THEN (CAST(max_item_count AS DOUBLE) / n_baskets)
+                * (1 - pow(1 / sqrt(pow(2.0, n_items) - 1), 1 / (CAST(n_pairs AS DOUBLE) / n_items))) ELSE 0.01 END AS m0
+       FROM st),
+lv AS (SELECT scope, n_baskets, level, m, CAST(ceil(m * n_baskets) AS BIGINT) AS min_count
+       FROM ({levels}) WHERE m >= 0.01),
+pairs AS (SELECT x.scope, x.item AS a, y.item AS b, count(*) AS pair_count
+          FROM items x JOIN items y ON x.scope = y.scope AND x.basket = y.basket AND x.item < y.item
+          GROUP BY x.scope, x.item, y.item),
+dir AS (SELECT scope, a AS antecedent, b AS consequent, pair_count FROM pairs
+        UNION ALL SELECT scope, b, a, pair_count FROM pairs),
+rules AS (SELECT d.scope, d.antecedent, d.consequent, d.pair_count,
+                 CAST(ia.item_count AS DOUBLE) / nb.n_baskets AS antecedent_support,
+                 CAST(ic2.item_count AS DOUBLE) / nb.n_baskets AS consequent_support,
+                 CAST(d.pair_count AS DOUBLE) / nb.n_baskets AS support,
+                 (CAST(d.pair_count AS DOUBLE) / nb.n_baskets) / (CAST(ia.item_count AS DOUBLE) / nb.n_baskets) AS confidence,
+                 ((CAST(d.pair_count AS DOUBLE) / nb.n_baskets) / (CAST(ia.item_count AS DOUBLE) / nb.n_baskets))
+                   / (CAST(ic2.item_count AS DOUBLE) / nb.n_baskets) AS lift
+          FROM dir d JOIN nb ON d.scope = nb.scope
+          JOIN ic ia ON ia.scope = d.scope AND ia.item = d.antecedent
+          JOIN ic ic2 ON ic2.scope = d.scope AND ic2.item = d.consequent),
+cnt AS (SELECT lv.scope, lv.level, count(r.antecedent) AS n_rules
+        FROM lv LEFT JOIN rules r ON r.scope = lv.scope AND r.pair_count >= lv.min_count AND r.confidence >= 0.65
+        GROUP BY lv.scope, lv.level),
+chosen AS (SELECT scope, COALESCE(min(CASE WHEN least(n_rules, {max_rules}) > {enough} THEN level END), max(level)) AS chosen_level
+           FROM cnt GROUP BY scope),
+top AS (SELECT * FROM (
+          SELECT r.*, c.chosen_level,
+                 row_number() OVER (PARTITION BY r.scope ORDER BY r.support DESC, r.lift DESC, r.antecedent, r.consequent) AS rk
+          FROM rules r JOIN chosen c ON r.scope = c.scope
+          JOIN lv ON lv.scope = r.scope AND lv.level = c.chosen_level
+          WHERE r.pair_count >= lv.min_count AND r.confidence >= 0.65) WHERE rk <= {max_rules})
+{final}"""
+
+
+def O_with_ctes(needed: list[str]) -> str:
+    body = with_ctes(needed, "SELECT 1")
+    return body[: body.rindex("SELECT 1")].rstrip()

@@ -326,3 +326,128 @@ def q_fact_upsert(spark, d):
 def q_fact_late_arrival_replay(spark, d):
     m = mart.build_mart(spark, d)
     return mart.fact_incremental(m.sales, _target_by_ship_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts())
+
+
+# --- market baskets and association rules (O-9, O-14, O-16, O-24 .. O-27, O-31, O-36, O-46) ---
+
+from ..functions.rules import rule_hash, rule_id  # noqa: E402
+from ..operators import baskets as B  # noqa: E402
+from ..operators import rules as RU  # noqa: E402
+from . import mining as MI  # noqa: E402
+
+PAIR_RULES_MIN_SUPPORT = 0.05
+SCOPE_TERRITORY, SCOPE_DATE, SCOPE_WINDOW = 2, 20000101, 365
+RULES_DATE_FILTER = 20010802   # after the last order: all data, deterministic update date
+
+
+def _basket_strings(df: DataFrame) -> DataFrame:
+    arr = B.basket_arrays(df, "SalesOrderID", "ProductID")
+    return arr.select("SalesOrderID", F.array_join(F.col("products").cast("array<string>"), ",").alias("products"))
+
+
+_BASKET_SQL = """SELECT SalesOrderID, array_to_string(list_sort(list_distinct(array_agg(ProductID))), ',') AS products
+    FROM mining_lines {where} GROUP BY SalesOrderID"""
+
+
+@register("baskets", O.with_ctes(["mining_lines"], _BASKET_SQL.format(where="WHERE ProductID IS NOT NULL")))
+def q_baskets(spark, d):
+    return _basket_strings(MI.mining_lines(spark, d, load_ts()))
+
+
+@register("basket_scope_window", O.with_ctes(["mining_lines"], _BASKET_SQL.format(
+    where=f"WHERE ProductID IS NOT NULL AND TerritoryID = {SCOPE_TERRITORY} AND OrderDateKey < {SCOPE_DATE} AND OrderDateKey > 19990101")))
+def q_basket_scope_window(spark, d):
+    lines = B.scope_filter(MI.mining_lines(spark, d, load_ts()), "OrderDateKey", "TerritoryID",
+                           SCOPE_TERRITORY, SCOPE_DATE, SCOPE_WINDOW)
+    return _basket_strings(lines)
+
+
+@register("mining_scopes", O.with_ctes(["dim_territory"], """
+    SELECT DISTINCT CAST(TerritoryID AS BIGINT) AS territory_id FROM dim_territory
+    UNION ALL SELECT CAST(NULL AS BIGINT)"""))
+def q_mining_scopes(spark, d):
+    return B.mining_scopes(mart.dim_territory(mart.stg_territory(spark, d)))
+
+
+@register("item_support", O.with_ctes(["mining_lines"], f"""
+    SELECT CASE WHEN i.scope = -1 THEN NULL ELSE i.scope END AS territory_id, i.item, i.item_count, n.n_baskets,
+           CAST(i.item_count AS DOUBLE) / n.n_baskets AS support
+    FROM (SELECT scope, item, count(*) AS item_count FROM ({O.items_sql('ProductName')}) GROUP BY scope, item) i
+    JOIN (SELECT scope, count(DISTINCT basket) AS n_baskets FROM ({O.items_sql('ProductName')}) GROUP BY scope) n
+      ON i.scope = n.scope"""))
+def q_item_support(spark, d):
+    s = B.item_support(MI.customer_items(spark, d))
+    return s.select(B.output_scope(), "item", "item_count", "n_baskets", "support")
+
+
+@register("adaptive_min_support", O.mining_sql("ProductName", """
+    SELECT CASE WHEN scope = -1 THEN NULL ELSE scope END AS territory_id, n_baskets, n_items, n_pairs,
+           round(max_support, 9) AS max_support, round(min_support, 9) AS min_support
+    FROM ms"""))
+def q_adaptive_min_support(spark, d):
+    st = B.adaptive_min_support(B.scope_stats(MI.customer_items(spark, d)))
+    return st.select(B.output_scope(), "n_baskets", "n_items", F.col("n_pairs").cast("bigint").alias("n_pairs"),
+                     F.round("max_support", 9).alias("max_support"), F.round("min_support", 9).alias("min_support"))
+
+
+_RULE_COLS = "antecedent_support, consequent_support, support, confidence, lift"
+
+
+@register("pair_rules", O.mining_sql("ProductName", f"""
+    SELECT CASE WHEN r.scope = -1 THEN NULL ELSE r.scope END AS territory_id, antecedent, consequent, {_RULE_COLS}
+    FROM rules r JOIN nb ON r.scope = nb.scope
+    WHERE r.pair_count >= CAST(ceil({PAIR_RULES_MIN_SUPPORT} * nb.n_baskets) AS BIGINT) AND r.confidence >= 0.65"""))
+def q_pair_rules(spark, d):
+    r = RU.pair_rules(MI.customer_items(spark, d), PAIR_RULES_MIN_SUPPORT)
+    return r.select(B.output_scope(), "antecedent", "consequent", *_RULE_COLS.split(", "))
+
+
+@register("rule_hash", O.mining_sql("ProductName", f"""
+    SELECT CASE WHEN r.scope = -1 THEN NULL ELSE r.scope END AS territory_id, antecedent, consequent,
+           sha256(antecedent || consequent) AS rule_hash, sha256(antecedent || ' => ' || consequent) AS rule_id
+    FROM rules r JOIN nb ON r.scope = nb.scope
+    WHERE r.pair_count >= CAST(ceil({PAIR_RULES_MIN_SUPPORT} * nb.n_baskets) AS BIGINT) AND r.confidence >= 0.65"""))
+def q_rule_hash(spark, d):
+    r = RU.pair_rules(MI.customer_items(spark, d), PAIR_RULES_MIN_SUPPORT)
+    a, c = F.array("antecedent"), F.array("consequent")
+    return r.select(B.output_scope(), "antecedent", "consequent", rule_hash(a, c).alias("rule_hash"), rule_id(a, c).alias("rule_id"))
+
+
+@register("adaptive_rules", O.mining_sql("ProductName", f"""
+    SELECT CASE WHEN scope = -1 THEN NULL ELSE scope END AS territory_id, antecedent, consequent, {_RULE_COLS}, chosen_level
+    FROM top"""))
+def q_adaptive_rules(spark, d):
+    r = RU.adaptive_rules(MI.customer_items(spark, d))
+    return r.select(B.output_scope(), "antecedent", "consequent", *_RULE_COLS.split(", "), "chosen_level")
+
+
+_DECORATED_SQL = f"""
+    SELECT antecedent AS antecedents, consequent AS consequents, {_RULE_COLS},
+           CASE WHEN scope = -1 THEN NULL ELSE scope END AS territory_id, CAST(NULL AS BIGINT) AS window,
+           CAST({RULES_DATE_FILTER} AS BIGINT) AS update_at,
+           sha256(antecedent || consequent) AS rule_hash, sha256(antecedent || ' => ' || consequent) AS rule_id
+    FROM top"""
+
+
+def _published(df: DataFrame) -> DataFrame:
+    """Decorated rules as compared with the oracle: arrays as text, the random row id left out."""
+    return df.select(F.array_join("antecedents", ", ").alias("antecedents"), F.array_join("consequents", ", ").alias("consequents"),
+                     *_RULE_COLS.split(", "), "territory_id", "window", "update_at", "rule_hash", "rule_id")
+
+
+def _brand_rules(spark, d) -> DataFrame:
+    lines = MI.mining_lines(spark, d, load_ts())
+    return RU.mine_rules(lines, "CustomerID", "ProductBrand", "TerritoryID", "OrderDateKey", RULES_DATE_FILTER)
+
+
+@register("rules_by_territory", O.mining_sql("ProductBrand", _DECORATED_SQL))
+def q_rules_by_territory(spark, d):
+    return _published(_brand_rules(spark, d))
+
+
+@register("rules_append_idempotent", O.mining_sql("ProductBrand", _DECORATED_SQL))
+def q_rules_append_idempotent(spark, d):
+    run = _brand_rules(spark, d)
+    first = run.checkpoint()              # the table after the first run
+    again = RU.upsert_rules(first, run)   # a retried run appends the same rules again
+    return _published(again)

@@ -58,3 +58,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for intermediate tables, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    Used where the reference keeps a table (snapshots, dimensions, the miner's input) and where a
+    multi-pass algorithm reads its input several times: the upstream plan runs once, lineage is
+    cut (a lost executor re-reads the files instead of recomputing the pipeline), and later scans
+    get column pruning and filter pushdown."""
+    import uuid
+
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -87,11 +87,22 @@ def sales_territory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+_ID_TABLES: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+
+
 def _part_ids(spark: SparkSession, root: str):
+    """Category / subcategory / model ids of the part table, written once per session and root."""
+    from ..session import materialize
+
     p = table(spark, root, "part")
-    cat = dense_ids(p, ["p_type"], "ProductCategoryID")
-    sub = dense_ids(p, ["p_type", "p_brand"], "ProductSubcategoryID")
-    model = dense_ids(p, ["p_name"], "ProductModelID")
+    key = (id(spark), root)
+    if key not in _ID_TABLES:
+        _ID_TABLES[key] = (
+            materialize(dense_ids(p, ["p_type"], "ProductCategoryID"), "category_ids"),
+            materialize(dense_ids(p, ["p_type", "p_brand"], "ProductSubcategoryID"), "subcategory_ids"),
+            materialize(dense_ids(p, ["p_name"], "ProductModelID"), "model_ids"),
+        )
+    cat, sub, model = _ID_TABLES[key]
     return p, cat, sub, model
 
 
