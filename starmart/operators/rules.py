@@ -268,8 +268,11 @@ def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("size")).cast("int") - 2)
     splits = multi.select(SCOPE, "items", "freq", "n_baskets", F.explode(masks).alias("_sm_mask"))
     pos = F.transform("items", lambda x, i: F.struct(x.alias("v"), i.alias("i")))
-    ante = F.transform(F.filter(pos, lambda s: F.shiftright(F.col("_sm_mask"), s["i"]) % 2 == 1), lambda s: s["v"])
-    cons = F.transform(F.filter(pos, lambda s: F.shiftright(F.col("_sm_mask"), s["i"]) % 2 == 0), lambda s: s["v"])
+    def bit(s):
+        return F.floor(F.col("_sm_mask") / F.pow(F.lit(2), s["i"])) % 2
+
+    ante = F.transform(F.filter(pos, lambda s: bit(s) == 1), lambda s: s["v"])
+    cons = F.transform(F.filter(pos, lambda s: bit(s) == 0), lambda s: s["v"])
     splits = splits.withColumn("size", F.size("items")).select(
         SCOPE, "freq", "n_baskets", ante.alias("antecedents"), cons.alias("consequents"))
     lookup = itemsets.select(SCOPE, F.col("items").alias("_sm_k"), F.col("freq").alias("_sm_f"))

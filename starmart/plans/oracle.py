@@ -360,3 +360,24 @@ top AS (SELECT * FROM (
 def O_with_ctes(needed: list[str]) -> str:
     body = with_ctes(needed, "SELECT 1")
     return body[: body.rindex("SELECT 1")].rstrip()
+
+
+def itemsets_sql(item: str, basket: str, min_support: float) -> str:
+    """Frequent itemsets of one to three items per scope (count >= ceil(min_support * baskets))."""
+    body = O_with_ctes(["mining_lines"])
+    need = f"CAST(ceil({min_support} * nb.n_baskets) AS BIGINT)"
+    return f"""{body},
+items AS ({items_sql(item, basket)}),
+nb AS (SELECT scope, count(DISTINCT basket) AS n_baskets FROM items GROUP BY scope),
+s1 AS (SELECT scope, item AS items, count(*) AS freq, 1 AS size FROM items GROUP BY scope, item),
+s2 AS (SELECT x.scope, x.item || ', ' || y.item AS items, count(*) AS freq, 2 AS size
+       FROM items x JOIN items y ON x.scope = y.scope AND x.basket = y.basket AND x.item < y.item
+       GROUP BY x.scope, x.item, y.item),
+s3 AS (SELECT x.scope, x.item || ', ' || y.item || ', ' || z.item AS items, count(*) AS freq, 3 AS size
+       FROM items x JOIN items y ON x.scope = y.scope AND x.basket = y.basket AND x.item < y.item
+       JOIN items z ON z.scope = x.scope AND z.basket = x.basket AND y.item < z.item
+       GROUP BY x.scope, x.item, y.item, z.item),
+al AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)
+SELECT CASE WHEN al.scope = -1 THEN NULL ELSE al.scope END AS territory_id, al.items, al.freq, al.size,
+       CAST(al.freq AS DOUBLE) / nb.n_baskets AS support
+FROM al JOIN nb ON al.scope = nb.scope WHERE al.freq >= {need}"""

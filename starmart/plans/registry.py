@@ -451,3 +451,57 @@ def q_rules_append_idempotent(spark, d):
     first = run.checkpoint()              # the table after the first run
     again = RU.upsert_rules(first, run)   # a retried run appends the same rules again
     return _published(again)
+
+
+ITEMSET_MIN_SUPPORT = 0.01
+MULTI_RULES_MIN_SUPPORT = 0.9
+
+
+@register("frequent_itemsets", O.itemsets_sql("ProductName", "SalesOrderID", ITEMSET_MIN_SUPPORT))
+def q_frequent_itemsets(spark, d):
+    lines = MI.mining_lines(spark, d, load_ts())
+    items = B.scoped_items(lines, "SalesOrderID", "ProductName", "TerritoryID")
+    sets = RU.frequent_itemsets(items, ITEMSET_MIN_SUPPORT)
+    return sets.select(B.output_scope(), F.array_join("items", ", ").alias("items"), "freq", "size",
+                       (F.col("freq") / F.col("n_baskets")).alias("support"))
+
+
+# Rules with several items per side from FP-growth itemsets; itemsets above three items have no
+# SQL oracle here (rows-only check).
+@register("multi_item_rules")
+def q_multi_item_rules(spark, d):
+    items = MI.customer_items(spark, d, "ProductType")
+    sets = RU.frequent_itemsets(items, MULTI_RULES_MIN_SUPPORT)
+    rules = RU.multi_item_rules(sets)
+    return rules.select(B.output_scope(), F.array_join("antecedents", ", ").alias("antecedents"),
+                        F.array_join("consequents", ", ").alias("consequents"), *_RULE_COLS.split(", "))
+
+
+# --- streaming ingest (O-43) -------------------------------------------------------------------
+
+from ..session import scratch_path  # noqa: E402
+from ..streaming.ingest import ingest_latest_per_key  # noqa: E402
+
+STREAM_FILES = 4
+
+
+@register("ingest_stream_latest", """
+    SELECT * EXCLUDE (rn) FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events
+    ) WHERE rn = 1""")
+def q_ingest_stream_latest(spark, d):
+    """The events table arrives as several files (split by time, as a sync would deliver them);
+    the stream consumes one file per micro-batch and keeps the latest row per user."""
+    import uuid
+
+    run = scratch_path(spark, f"stream-{uuid.uuid4().hex[:12]}")
+    ev = catalog.events(spark, d)
+    # Arrival bucket = position of ts between the table's first and last timestamp (scalar subqueries).
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo = ev.agg(F.min(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
+    hi = ev.agg(F.max(F.unix_micros(F.col("ts").cast("timestamp")))).scalar()
+    bucket = F.least(F.lit(STREAM_FILES - 1), F.floor((t - lo) * STREAM_FILES / F.greatest(hi - lo, F.lit(1))))
+    arrivals = ev.withColumn("_arrival", bucket.cast("int"))
+    arrivals.write.partitionBy("_arrival").parquet(f"{run}/landing")
+    return ingest_latest_per_key(spark, f"{run}/landing/*/*.parquet", ev.schema, "user_id", "ts", "event_id",
+                                 f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=1)
