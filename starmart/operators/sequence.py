@@ -46,15 +46,19 @@ def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_widt
     return df.withColumn(CHUNK, chunk_expr(df, order[0], chunk_width))
 
 
-def _join_edges(r: DataFrame, edges: DataFrame, keys: Sequence[str], carry: str | list[str]) -> DataFrame:
-    """Left-join the per-(chunk, key) carry column(s) back; NULL keys match NULL keys."""
-    carries = [carry] if isinstance(carry, str) else list(carry)
-    ren = {k: f"_sm_e_{i}" for i, k in enumerate(keys)}
-    e = edges.select(F.col(CHUNK).alias("_sm_e_chunk"), *[F.col(k).alias(v) for k, v in ren.items()], *carries)
-    cond = F.col(CHUNK) == F.col("_sm_e_chunk")
-    for k, v in ren.items():
-        cond = cond & F.col(k).eqNullSafe(F.col(v))
-    return r.join(e, cond, "left").drop("_sm_e_chunk", *ren.values())
+KEY = "_sm_key"
+
+
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_width: float | None) -> DataFrame:
+    """Add the chunk and one struct column holding the key: joins and windows on (chunk, key) then
+    share one hash partitioning, and NULL key fields compare equal inside the struct."""
+    return chunked(df, keys, order, chunk_width).withColumn(KEY, F.struct(*_cols(keys)) if keys else F.lit(0))
+
+
+def _join_edges(r: DataFrame, edges: DataFrame, carries: list[str]) -> DataFrame:
+    """Join the per-(chunk, key) carry columns back on the shared (chunk, key) partitioning; only
+    the small edge table moves."""
+    return r.join(edges.select(CHUNK, KEY, *carries), [CHUNK, KEY], "left")
 
 
 def with_neighbors(
@@ -73,11 +77,11 @@ def with_neighbors(
     """
     if not prev and not next:
         raise ValueError("ask for prev and/or next")
-    r = chunked(df, keys, order, chunk_width)
+    r = _keyed(df, keys, order, chunk_width)
     payload = F.struct(*_cols(values))
     ordering = F.struct(*_cols(order))
-    w = Window.partitionBy(CHUNK, *keys).orderBy(*_cols(order))
-    wc = Window.partitionBy(*keys).orderBy(CHUNK)
+    w = Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order))
+    wc = Window.partitionBy(KEY).orderBy(CHUNK)
     aggs, carries, outs = [], [], []
     if prev:
         r = r.withColumn("_sm_in_p", F.lag(payload).over(w))
@@ -89,11 +93,11 @@ def with_neighbors(
         aggs.append(F.min_by(payload, ordering).alias("_sm_first"))
         carries.append(F.lead("_sm_first").over(wc).alias("_sm_carry_n"))
         outs.append((next, "_sm_in_n", "_sm_carry_n"))
-    edges = r.groupBy(CHUNK, *keys).agg(*aggs).select(CHUNK, *keys, *carries)
-    r = _join_edges(r, edges, keys, [c for _, _, c in outs])
+    edges = r.groupBy(CHUNK, KEY).agg(*aggs).select(CHUNK, KEY, *carries)
+    r = _join_edges(r, edges, [c for _, _, c in outs])
     for out, inner, carry in outs:
         r = r.withColumn(out, F.coalesce(F.col(inner), F.col(carry))).drop(inner, carry)
-    return r.drop(CHUNK)
+    return r.drop(CHUNK, KEY)
 
 
 def with_neighbor(df, keys, order, values, out, direction="prev", chunk_width=None) -> DataFrame:
@@ -116,28 +120,35 @@ def with_forward_fill(
     Wrap several attributes in one struct column first, or a NULL attribute would be filled from
     an older row.
     """
-    r = chunked(df, keys, order, chunk_width)
+    r = _keyed(df, keys, order, chunk_width)
     v = F.col(value)
-    w = Window.partitionBy(CHUNK, *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumn("_sm_in", F.last(v, ignorenulls=True).over(w))
-    edges = r.groupBy(CHUNK, *keys).agg(F.max_by(v, F.when(v.isNotNull(), F.struct(*_cols(order)))).alias("_sm_edge"))
-    wc = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    edges = r.groupBy(CHUNK, KEY).agg(F.max_by(v, F.when(v.isNotNull(), F.struct(*_cols(order)))).alias("_sm_edge"))
+    wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn("_sm_carry", F.last("_sm_edge", ignorenulls=True).over(wc))
-    r = _join_edges(r, edges, keys, "_sm_carry")
-    return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK)
+    r = _join_edges(r, edges, ["_sm_carry"])
+    return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK, KEY)
+
+
+# Up to this many distinct values the numbering runs as one ordered window (a checked bound).
+SMALL_DISTINCT = 100_000
 
 
 def dense_ids(df: DataFrame, order: Sequence[str], id_col: str, chunks: int | None = None) -> DataFrame:
-    """Distinct values of ``order`` numbered 1..n in sort order (= ``dense_rank``) without a
-    single-partition window.
+    """Distinct values of ``order`` numbered 1..n in sort order (= ``dense_rank``).
 
-    The distinct values are first written out (a fixed set of files), then range-partitioned;
+    Dimension attributes usually have few distinct values: after writing them out their number is
+    counted and, up to ``SMALL_DISTINCT``, one ordered window numbers them.  Above that no single
+    task sees them all: the distinct values are first written out (a fixed set of files), then range-partitioned;
     rows are numbered inside each range and shifted by the row count of all earlier ranges (an
     offset table with one row per range, safe to broadcast).  Because the range bounds are sampled
     from fixed files, every branch of the plan and every recomputation gets the same ranges."""
     from ..session import materialize
 
     d = materialize(df.select(*order).distinct(), "dense_ids")
+    if d.count() <= SMALL_DISTINCT:
+        return d.select(*order, F.row_number().over(Window.orderBy(*_cols(order))).cast("bigint").alias(id_col))
     n = chunks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     r = d.repartitionByRange(n, *_cols(order)).withColumn(CHUNK, F.spark_partition_id())
     r = r.withColumn("_sm_rn", F.row_number().over(Window.partitionBy(CHUNK).orderBy(*_cols(order))))
