@@ -93,10 +93,10 @@ def upsert_to_path(
     on_duplicate: str = "replace",
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Upsert into a Parquet table and write the new state to ``new_path`` (never the path being
-    read).  With ``partition_col`` only the partitions holding touched keys (old or new rows) are
-    rewritten: untouched partitions are copied by reference through dynamic partition overwrite
-    on the new path's touched partitions, the rest are read from the old snapshot unchanged."""
+    """Upsert into a Parquet table, copy-on-write: the new state goes to ``new_path`` (never the
+    path being read), optionally partitioned by ``partition_col`` (e.g. :func:`month_partition`)
+    so later look-back reads prune to a few partitions.  Plain Parquet has no MERGE; a table
+    format with one (not installed here) would rewrite only the touched partitions."""
     target = spark.read.parquet(target_path)
     state = upsert(target, batch, keys, on_duplicate, order)
     if partition_col is None:

@@ -72,3 +72,22 @@ def test_stream_ingest_equals_latest_per_key(spark):
     exp = latest_per_key(df, "user_id", "ts", "event_id")
     assert sorted(map(tuple, state.select(*df.columns).collect())) == sorted(map(tuple, exp.collect()))
     assert spark.read.parquet(os.path.join(base, "state")).select("_epoch").distinct().count() >= 2
+
+
+def test_sinks_roundtrip(spark):
+    from starmart.operators.upsert import month_partition, upsert_to_path, write_clustered
+    from starmart.sources.io import append_table, raw_table_path, write_raw, write_table
+
+    base = tempfile.mkdtemp(prefix="starmart-sink-")
+    d = dt.datetime(2001, 1, 1)
+    df = _fact(spark, [("p1", 1, d, 1), ("p2", 2, dt.datetime(2001, 2, 3), 1)])
+    path = write_raw(df, base, "Sales", "SalesOrderDetail")
+    assert path == raw_table_path(base, "Sales", "SalesOrderDetail") and path.endswith("raw_Sales/SalesOrderDetail")
+    write_table(df, os.path.join(base, "dim"))
+    append_table(df, os.path.join(base, "rules"))
+    append_table(df, os.path.join(base, "rules"))
+    assert spark.read.parquet(os.path.join(base, "rules")).count() == 4
+    write_clustered(df.withColumn("m", month_partition("OrderDate")), os.path.join(base, "fact"), ["ProductKey", "SalesOrderID"], ["m"])
+    state = upsert_to_path(spark, os.path.join(base, "fact"), _fact(spark, [("p1", 1, d, 9)]).withColumn("m", month_partition("OrderDate")),
+                           ["ProductKey", "SalesOrderID"], os.path.join(base, "fact_v2"), partition_col="m")
+    assert sorted((r.ProductKey, r.v) for r in state.collect()) == [("p1", 9), ("p2", 1)]
