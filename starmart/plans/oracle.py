@@ -381,3 +381,42 @@ al AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3)
 SELECT CASE WHEN al.scope = -1 THEN NULL ELSE al.scope END AS territory_id, al.items, al.freq, al.size,
        CAST(al.freq AS DOUBLE) / nb.n_baskets AS support
 FROM al JOIN nb ON al.scope = nb.scope WHERE al.freq >= {need}"""
+
+
+def multi_rules_sql(item: str, basket: str, min_support: float, min_conf: float = 0.65) -> str:
+    """Rules with any number of items per side, by brute force over item bitmasks: every subset of
+    a scope's items is a mask, its support is the number of baskets whose mask contains it, and
+    every frequent itemset is split into all (antecedent, consequent) mask pairs.  Only usable for
+    small item universes (the registered query has six)."""
+    body = O_with_ctes(["mining_lines"])
+    return f"""{body},
+items AS ({items_sql(item, basket)}),
+nb AS (SELECT scope, count(DISTINCT basket) AS n_baskets FROM items GROUP BY scope),
+idx AS (SELECT scope, item, CAST(row_number() OVER (PARTITION BY scope ORDER BY item) - 1 AS INTEGER) AS i
+        FROM (SELECT DISTINCT scope, item FROM items)),
+nitems AS (SELECT scope, count(*) AS n FROM idx GROUP BY scope),
+bm AS (SELECT it.scope, it.basket, CAST(sum(CAST(1 AS BIGINT) << idx.i) AS BIGINT) AS m
+       FROM items it JOIN idx ON it.scope = idx.scope AND it.item = idx.item GROUP BY it.scope, it.basket),
+masks AS (SELECT scope, CAST(r.range AS BIGINT) AS s FROM nitems, range(1, CAST(1 AS BIGINT) << n) r(range)),
+sup AS (SELECT masks.scope, masks.s, count(bm.m) AS freq FROM masks LEFT JOIN bm ON bm.scope = masks.scope AND (bm.m & masks.s) = masks.s
+        GROUP BY masks.scope, masks.s),
+freq AS (SELECT sup.* FROM sup JOIN nb ON sup.scope = nb.scope WHERE sup.freq >= CAST(ceil({min_support} * nb.n_baskets) AS BIGINT)),
+splits AS (SELECT f.scope, f.s, f.freq, a.s AS a FROM freq f JOIN freq a ON a.scope = f.scope AND (a.s & f.s) = a.s AND a.s <> f.s
+           WHERE bit_count(f.s) >= 2),
+named AS (SELECT scope, s, string_agg(item, ', ' ORDER BY item) AS items
+          FROM (SELECT f.scope, f.s, idx.item FROM freq f JOIN idx ON idx.scope = f.scope AND ((f.s >> idx.i) & 1) = 1)
+          GROUP BY scope, s),
+r AS (SELECT sp.scope, na.items AS antecedents, nc.items AS consequents,
+             CAST(fa.freq AS DOUBLE) / nb.n_baskets AS antecedent_support,
+             CAST(fc.freq AS DOUBLE) / nb.n_baskets AS consequent_support,
+             CAST(sp.freq AS DOUBLE) / nb.n_baskets AS support,
+             (CAST(sp.freq AS DOUBLE) / nb.n_baskets) / (CAST(fa.freq AS DOUBLE) / nb.n_baskets) AS confidence,
+             ((CAST(sp.freq AS DOUBLE) / nb.n_baskets) / (CAST(fa.freq AS DOUBLE) / nb.n_baskets)) / (CAST(fc.freq AS DOUBLE) / nb.n_baskets) AS lift
+      FROM splits sp JOIN nb ON nb.scope = sp.scope
+      JOIN freq fa ON fa.scope = sp.scope AND fa.s = sp.a
+      JOIN freq fc ON fc.scope = sp.scope AND fc.s = xor(sp.s, sp.a)
+      JOIN named na ON na.scope = sp.scope AND na.s = sp.a
+      JOIN named nc ON nc.scope = sp.scope AND nc.s = xor(sp.s, sp.a))
+SELECT CASE WHEN scope = -1 THEN NULL ELSE scope END AS territory_id, antecedents, consequents,
+       antecedent_support, consequent_support, support, confidence, lift
+FROM r WHERE confidence >= {min_conf}"""

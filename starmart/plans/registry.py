@@ -466,9 +466,8 @@ def q_frequent_itemsets(spark, d):
                        (F.col("freq") / F.col("n_baskets")).alias("support"))
 
 
-# Rules with several items per side from FP-growth itemsets; itemsets above three items have no
-# SQL oracle here (rows-only check).
-@register("multi_item_rules")
+# Rules with several items per side from FP-growth itemsets; the oracle enumerates item bitmasks.
+@register("multi_item_rules", O.multi_rules_sql("ProductType", "CustomerID", MULTI_RULES_MIN_SUPPORT))
 def q_multi_item_rules(spark, d):
     items = MI.customer_items(spark, d, "ProductType")
     sets = RU.frequent_itemsets(items, MULTI_RULES_MIN_SUPPORT)
