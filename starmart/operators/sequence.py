@@ -131,6 +131,18 @@ def with_forward_fill(
     return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK, KEY)
 
 
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, chunk_width: float | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of the row within its key in ``order`` (= row_number - 1),
+    numbered per (chunk, key) and shifted by the row counts of the key's earlier chunks."""
+    r = _keyed(df, keys, order, chunk_width)
+    r = r.withColumn("_sm_rn", F.row_number().over(Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order))))
+    counts = r.groupBy(CHUNK, KEY).agg(F.count(F.lit(1)).alias("_sm_n"))
+    before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(CHUNK, KEY, F.coalesce(F.sum("_sm_n").over(before), F.lit(0)).alias("_sm_off"))
+    r = _join_edges(r, offsets, ["_sm_off"])
+    return r.withColumn(out, (F.col("_sm_off") + F.col("_sm_rn") - 1).cast("bigint")).drop("_sm_off", "_sm_rn", CHUNK, KEY)
+
+
 # Up to this many distinct values the numbering runs as one ordered window (a checked bound).
 SMALL_DISTINCT = 100_000
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import with_forward_fill, with_neighbors
+from .sequence import with_forward_fill, with_neighbors, with_position
 
 
 def temporal_join(
@@ -27,6 +27,7 @@ def temporal_join(
     left_to: str = "valid_to",
     right_from: str = "valid_from",
     right_to: str = "valid_to",
+    strategy: str = "join",
 ) -> DataFrame:
     """Left temporal join of two histories.
 
@@ -45,11 +46,19 @@ def temporal_join(
     stretch before it and - if it is the last version overlapping the left row - the tail.  No
     window over the joined rows, and each input is read once.
 
+    ``strategy="ranked"`` avoids the equi-join's cost of (left rows x right versions) inside one
+    key, which matters when a key is hot on both sides: right versions get their position within
+    the key, each left row finds the first and last overlapping position by two as-of lookups
+    (skew-safe forward fills over the union of both sides), explodes exactly that range and
+    joins on (key, position).  Work is O(n log n + output); left rows may overlap each other.
+
     Right versions of one key must not overlap each other (a valid SCD-2 table; see
     ``checks.scd_overlaps``).
     """
     if gaps not in ("keep", "drop"):
         raise ValueError("gaps must be 'keep' or 'drop'")
+    if strategy not in ("join", "ranked"):
+        raise ValueError("strategy must be 'join' or 'ranked'")
     body = [c for c in left.columns if c not in (left_from, left_to)]
     out_attrs = [f"{prefix}__{a}" for a in attributes]
     lf, lt = F.col("_sm_lf"), F.col("_sm_lt")
@@ -62,8 +71,11 @@ def temporal_join(
     )
     if gaps == "keep":
         R = with_neighbors(R, ["_sm_rk"], ["_sm_rf"], ["_sm_rt", "_sm_rf"], prev="_sm_p", next="_sm_n")
-    cond = (F.col(left_key) == F.col("_sm_rk")) & (F.col("_sm_rt") > lf) & (F.col("_sm_rf") < lt)
-    j = L.join(R, cond, "left")
+    if strategy == "join":
+        cond = (F.col(left_key) == F.col("_sm_rk")) & (F.col("_sm_rt") > lf) & (F.col("_sm_rf") < lt)
+        j = L.join(R, cond, "left")
+    else:
+        j = _ranked_overlaps(L, R, left_key, body)
 
     matched = F.col("_sm_rk").isNotNull()
     rf, rt = F.col("_sm_rf"), F.col("_sm_rt")
@@ -91,6 +103,46 @@ def temporal_join(
     )
 
 
+def _ranked_overlaps(L: DataFrame, R: DataFrame, left_key: str, body: list[str]) -> DataFrame:
+    """Same rows as ``L LEFT JOIN R ON key AND overlap``, found through positions instead of
+    a pairwise residual check."""
+    R = with_position(R.filter(F.col("_sm_rk").isNotNull()), ["_sm_rk"], ["_sm_rf"], "_sm_i")
+    lpay = F.struct(*[F.col(f"`{c}`") for c in body], F.col("_sm_lf"), F.col("_sm_lt"))
+    left_t = L.select(lpay.alias("_sm_l"))
+    lschema = left_t.schema["_sm_l"].dataType
+    rmark = F.struct(F.col("_sm_i").alias("i"), F.col("_sm_rt").alias("rt"))
+    rows_r = R.select(F.col("_sm_rk").alias("_sm_k"), F.col("_sm_rf").alias("_sm_t"), rmark.alias("_sm_r"),
+                      F.lit(None).cast(lschema).alias("_sm_l"))
+    rtype = rows_r.schema["_sm_r"].dataType
+    key_of = F.col(f"_sm_l.`{left_key}`")
+
+    # 1) last right version starting at or before l.from  -> first overlapping position
+    probe1 = left_t.select(key_of.alias("_sm_k"), F.col("_sm_l._sm_lf").alias("_sm_t"),
+                           F.lit(None).cast(rtype).alias("_sm_r"), "_sm_l")
+    u1 = rows_r.withColumn("_sm_kind", F.lit(1)).unionByName(probe1.withColumn("_sm_kind", F.lit(2)))
+    u1 = u1.withColumn("_sm_tb", F.xxhash64("_sm_l"))
+    f1 = with_forward_fill(u1.filter(F.col("_sm_k").isNotNull()), ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c1")
+    p1 = f1.filter(F.col("_sm_kind") == 2)
+    first = F.when(F.col("_sm_c1").isNull(), F.lit(0)).when(F.col("_sm_c1.rt") > F.col("_sm_t"), F.col("_sm_c1.i")).otherwise(F.col("_sm_c1.i") + 1)
+    p1 = p1.select("_sm_k", "_sm_l", first.cast("bigint").alias("_sm_lo"))
+
+    # 2) last right version starting strictly before l.to  -> last overlapping position
+    probe2 = p1.select("_sm_k", F.col("_sm_l._sm_lt").alias("_sm_t"), F.lit(None).cast(rtype).alias("_sm_r"), "_sm_l", "_sm_lo")
+    u2 = rows_r.withColumn("_sm_lo", F.lit(None).cast("bigint")).withColumn("_sm_kind", F.lit(1)).unionByName(
+        probe2.withColumn("_sm_kind", F.lit(0)))
+    u2 = u2.withColumn("_sm_tb", F.xxhash64("_sm_l"))
+    f2 = with_forward_fill(u2, ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c2")
+    p2 = f2.filter(F.col("_sm_kind") == 0).select("_sm_k", "_sm_l", "_sm_lo", F.col("_sm_c2.i").alias("_sm_hi"))
+
+    # 3) explode the overlapping positions and fetch those versions
+    has = F.col("_sm_hi").isNotNull() & (F.col("_sm_lo") <= F.col("_sm_hi"))
+    probes = p2.select("_sm_k", "_sm_l", F.explode_outer(F.when(has, F.sequence("_sm_lo", "_sm_hi"))).alias("_sm_pos"))
+    nulls = left_t.filter(key_of.isNull()).select(F.lit(None).alias("_sm_k"), "_sm_l", F.lit(None).cast("bigint").alias("_sm_pos"))
+    probes = probes.unionByName(nulls.select(F.col("_sm_k").cast(probes.schema["_sm_k"].dataType), "_sm_l", "_sm_pos"))
+    joined = probes.join(R, (F.col("_sm_k") == F.col("_sm_rk")) & (F.col("_sm_pos") == F.col("_sm_i")), "left")
+    return joined.select("_sm_l.*", *[c for c in R.columns if c != "_sm_i"])
+
+
 def pit_join(
     facts: DataFrame,
     dim: DataFrame,

@@ -58,8 +58,12 @@ def status_scd2(spark: SparkSession, root: str) -> DataFrame:
     return scd2_from_history(dedupe_changes(h, KEY, TS, STATUS_HASH, TIEBREAK), KEY, TS, TIEBREAK)
 
 
-def activity_status(spark: SparkSession, root: str, gaps: str) -> DataFrame:
-    return temporal_join(activity_scd2(spark, root), status_scd2(spark, root), KEY, KEY, ["band"], "status", gaps)
+def activity_status(spark: SparkSession, root: str, gaps: str, strategy: str = "ranked") -> DataFrame:
+    """User activity versions joined through time with status versions.  Event histories can
+    have users with very many versions on both sides, so the output-sensitive ranked strategy
+    is used instead of the per-key pairwise join."""
+    return temporal_join(activity_scd2(spark, root), status_scd2(spark, root), KEY, KEY, ["band"], "status", gaps,
+                         strategy=strategy)
 
 
 def purchases_with_status(spark: SparkSession, root: str, strategy: str = "asof") -> DataFrame:

@@ -122,3 +122,24 @@ def test_pit_join_bounds_both_strategies(spark):
         assert inner == {"at_from": "v1", "at_to": "v2"}, strategy
         left = {r.name: r.a for r in pit_join(facts, dim, "k", "at", ["a"], how="left", strategy=strategy).collect()}
         assert left == {"at_from": "v1", "at_to": "v2", "before": None, "nokey": None}, strategy
+
+
+def test_temporal_join_ranked_equals_join(spark):
+    random.seed(11)
+    right_rows = []
+    for k in range(4):
+        t = 0
+        for _ in range(random.randint(0, 25 if k == 0 else 4)):
+            t += random.randint(0, 3)          # gaps allowed
+            length = random.randint(1, 4)
+            right_rows.append((k, day(t), day(t + length) if random.random() < 0.9 else END, random.choice(["p", "q", None])))
+            t += length
+            if right_rows[-1][2] == END:
+                break
+    left_rows = [(random.choice([0, 0, 1, 2, 3, None]), day(a), day(a + random.randint(1, 30)), f"l{i}")
+                 for i, a in enumerate(random.randint(0, 60) for _ in range(120))]
+    left, right = _iv(spark, left_rows, "x"), _iv(spark, right_rows)
+    for gaps in ("keep", "drop"):
+        a = temporal_join(left, right, "k", "k", ["a"], "R", gaps, strategy="join")
+        b = temporal_join(left, right, "k", "k", ["a"], "R", gaps, strategy="ranked")
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect())), gaps
