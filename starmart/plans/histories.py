@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators.history import dedupe_changes, latest_per_key, scd2_from_history, scd2_merge
 from ..operators.temporal import pit_join, temporal_join
+from ..session import materialize
 from ..sources import catalog
 from ..sources.io import cursor_increment
 
@@ -49,13 +50,15 @@ def events_scd2_merged(spark: SparkSession, root: str) -> DataFrame:
 
 
 def activity_scd2(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshot table of the activity history (written once, like a warehouse snapshot)."""
     h = catalog.activity_history(spark, root)
-    return scd2_from_history(dedupe_changes(h, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK)
+    return materialize(scd2_from_history(dedupe_changes(h, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK), "activity_scd2")
 
 
 def status_scd2(spark: SparkSession, root: str) -> DataFrame:
+    """Snapshot table of the status history."""
     h = catalog.status_history(spark, root)
-    return scd2_from_history(dedupe_changes(h, KEY, TS, STATUS_HASH, TIEBREAK), KEY, TS, TIEBREAK)
+    return materialize(scd2_from_history(dedupe_changes(h, KEY, TS, STATUS_HASH, TIEBREAK), KEY, TS, TIEBREAK), "status_scd2")
 
 
 def activity_status(spark: SparkSession, root: str, gaps: str, strategy: str = "ranked") -> DataFrame:
