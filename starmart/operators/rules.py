@@ -60,9 +60,11 @@ def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
     """Co-occurrence counts (scope, a, b, pair_count) with a < b.
 
     A basket with k items is cut into C = ceil(k / cell_items) hash chunks of its items; cell
-    (i, j), i <= j, pairs chunk i with chunk j, so a basket's pairs are produced by C(C+1)/2
-    independent groups of at most 2 * cell_items items, spread over tasks.  Ordinary baskets have
-    one cell.  Pairs are counted with a partial (map-side) aggregate."""
+    (lo, hi), lo <= hi, pairs chunk lo with chunk hi.  Each item row is replicated into the C cells
+    of its chunk and the pairs come from an equi-join on (scope, basket, lo, hi): a basket's pairs
+    are produced by C(C+1)/2 independent join keys of at most 2 * cell_items rows, spread over
+    tasks, instead of by one task holding the whole basket.  Ordinary baskets have one cell.  The
+    join output is counted with a partial (map-side) aggregate."""
     sizes = items.groupBy(SCOPE, BASKET).agg(F.count(F.lit(1)).alias("_sm_k"))
     x = items.join(sizes, [SCOPE, BASKET])
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_sm_k") / F.lit(cell_items))).cast("int")
@@ -70,16 +72,13 @@ def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
     x = x.withColumn("_sm_t", F.explode(F.sequence(F.lit(0), n_chunks - 1)))
     x = x.select(SCOPE, BASKET, ITEM, "_sm_c",
                  F.least("_sm_c", "_sm_t").alias("_sm_lo"), F.greatest("_sm_c", "_sm_t").alias("_sm_hi"))
-    cells = x.groupBy(SCOPE, BASKET, "_sm_lo", "_sm_hi").agg(F.collect_list(F.struct("_sm_c", ITEM)).alias("_sm_m"))
-    lo, hi = F.col("_sm_lo"), F.col("_sm_hi")
-    left = F.filter("_sm_m", lambda m: m["_sm_c"] == lo)
-    right = F.filter("_sm_m", lambda m: m["_sm_c"] == hi)
-    pairs = F.flatten(F.transform(left, lambda u: F.transform(
-        F.filter(right, lambda v: (lo != hi) | (v[ITEM] > u[ITEM])),
-        lambda v: F.struct(F.least(u[ITEM], v[ITEM]).alias("a"), F.greatest(u[ITEM], v[ITEM]).alias("b")))))
-    exploded = cells.select(SCOPE, F.explode(pairs).alias("_sm_p"))
-    return exploded.groupBy(SCOPE, F.col("_sm_p.a").alias("a"), F.col("_sm_p.b").alias("b")).agg(
-        F.count(F.lit(1)).alias("pair_count"))
+    cell = [SCOPE, BASKET, "_sm_lo", "_sm_hi"]
+    left = x.filter(F.col("_sm_c") == F.col("_sm_lo")).select(*cell, F.col(ITEM).alias("_sm_a"))
+    right = x.filter(F.col("_sm_c") == F.col("_sm_hi")).select(*cell, F.col(ITEM).alias("_sm_b"))
+    pairs = left.join(right, cell).filter((F.col("_sm_lo") != F.col("_sm_hi")) | (F.col("_sm_a") < F.col("_sm_b")))
+    return pairs.groupBy(
+        SCOPE, F.least("_sm_a", "_sm_b").alias("a"), F.greatest("_sm_a", "_sm_b").alias("b")
+    ).agg(F.count(F.lit(1)).alias("pair_count"))
 
 
 def _rules_from_pairs(pairs: DataFrame, counts: DataFrame, n_baskets: DataFrame, min_confidence: float) -> DataFrame:

@@ -69,9 +69,11 @@ def dim_territory(territory_stg: DataFrame, existing: DataFrame | None = None) -
 
 
 def snapshot(raw: DataFrame, key: str, ts: str = "ModifiedDate") -> DataFrame:
-    """Change dedupe + SCD-2 bounds of one raw history table."""
+    """Change dedupe + SCD-2 bounds of one raw history table.  The deduped history is written
+    once so the second ordered pass reads files instead of recomputing the first."""
     hash_cols = [c for c in raw.columns if c != ts]
-    return scd2_from_history(dedupe_changes(raw, key, ts, hash_cols), key, ts)
+    deduped = materialize(dedupe_changes(raw, key, ts, hash_cols), "deduped")
+    return scd2_from_history(deduped, key, ts)
 
 
 @dataclass
