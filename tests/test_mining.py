@@ -138,3 +138,35 @@ def test_empty_input_gives_empty_frame(spark):
     out = RU.mine_rules(empty.withColumnRenamed("basket", "CustomerID"), "CustomerID", "item")
     assert out.count() == 0
     assert {"antecedents", "consequents", "support", "confidence", "lift", "rule_hash", "territory_id"} <= set(out.columns)
+
+
+def _survey_lines(spark, item):
+    from starmart.sources.catalog import table
+
+    root = "/root/testdata/sf0.01"
+    o, c, n = table(spark, root, "orders"), table(spark, root, "customer"), table(spark, root, "nation")
+    li, p = table(spark, root, "lineitem"), table(spark, root, "part")
+    lines = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+             .join(n, c.c_nationkey == n.n_nationkey).join(p, li.l_partkey == p.p_partkey))
+    return lines.select(F.col("o_custkey").alias("basket"), F.col(item).alias("item"), F.col("n_regionkey").cast("bigint").alias("TerritoryID"))
+
+
+@pytest.mark.parametrize("item,expected", [
+    # FIXTURES.md §3: (initial min support, levels used, rules) for the overall scope and regions 0..4
+    ("p_name", {None: (0.01893, 3, 1), 0: (0.08994, 5, 11), 1: (0.09328, 1, 35), 2: (0.08470, 5, 7),
+                3: (0.08508, 5, 6), 4: (0.09088, 5, 12)}),
+    ("p_brand", {None: (0.00628, 1, 35), 0: (0.03347, 1, 35), 1: (0.03063, 1, 35), 2: (0.03009, 1, 35),
+                 3: (0.03109, 1, 35), 4: (0.03172, 1, 35)}),
+])
+def test_adaptive_rules_match_survey_probe(spark, item, expected):
+    items = B.scoped_items(_survey_lines(spark, item), "basket", "item", "TerritoryID")
+    sup = {r.territory_id: r.min_support for r in
+           B.adaptive_min_support(B.scope_stats(items)).select(B.output_scope(), "min_support").collect()}
+    rules = RU.adaptive_rules(items).select(B.output_scope(), "chosen_level").collect()
+    got = {}
+    for r in rules:
+        got.setdefault(r.territory_id, []).append(r.chosen_level)
+    for scope, (m0, levels, n_rules) in expected.items():
+        assert round(sup[scope], 5) == m0, scope
+        assert len(got[scope]) == n_rules, scope
+        assert got[scope][0] + 1 == levels, scope
