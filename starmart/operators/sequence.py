@@ -1,11 +1,13 @@
 """Ordered-per-key helpers that stay balanced when one key holds a large share of the rows.
 
-A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  Here each row also gets
-a *chunk*: a bucket of its first order column (a day for timestamps and dates, ``chunk_width`` for
-numbers).  Work inside a chunk is an ordinary window on (key, chunk), so a hot key is spread over
-as many tasks as it has active days.  What crosses a chunk boundary comes from a per-(key, chunk)
-edge table (one row per key and bucket: it grows with keys x time span, never with the rows of a
-key), shifted by a small window over the chunks of a key and joined back.
+A plain ``Window.partitionBy(key)`` puts every row of a key into one task.  Here a partial-aggregate
+row count per key first finds the *hot* keys (more than ``HOT_KEY_ROWS`` rows).  Rows of a hot key
+get a *chunk*: a bucket of the first order column (a day for timestamps and dates, ``chunk_width``
+for numbers); all other keys stay in one chunk.  Work inside a chunk is an ordinary window on
+(chunk, key), so a hot key is spread over as many tasks as it has active days.  What crosses a
+chunk boundary comes from an edge table with one row per hot key and day (bounded by hot keys x
+time span, never by the rows of a key), shifted by a small window over the chunks of a key and
+joined back (AQE broadcasts it when its measured size allows).
 
 The chunk is a pure function of the row, so every branch of a plan (and every recomputation after
 a lost executor) sees the same chunks; no range-partition sampling is involved.
@@ -22,6 +24,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_sm_chunk"
+HOT = "_sm_hot"
+
+# Keys with more rows than this are split into day chunks.
+HOT_KEY_ROWS = 1_000_000
 
 
 def _cols(names: Sequence[str | Column]) -> list[Column]:
@@ -41,23 +47,24 @@ def chunk_expr(df: DataFrame, order_col: str, chunk_width: float | None = None)
     return F.lit(0).cast("bigint")
 
 
-def chunked(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_width: float | None = None) -> DataFrame:
-    """Tag each row with its ordered chunk (see module doc)."""
-    return df.withColumn(CHUNK, chunk_expr(df, order[0], chunk_width))
-
-
 KEY = "_sm_key"
 
 
-def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_width: float | None) -> DataFrame:
-    """Add the chunk and one struct column holding the key: joins and windows on (chunk, key) then
-    share one hash partitioning, and NULL key fields compare equal inside the struct."""
-    return chunked(df, keys, order, chunk_width).withColumn(KEY, F.struct(*_cols(keys)) if keys else F.lit(0))
+def _keyed(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk_width: float | None,
+           hot_rows: int | None = None) -> DataFrame:
+    """Add the key as one struct column (NULL fields compare equal inside it), the hot-key flag and
+    the chunk: windows, edge aggregates and the join-back then share one (chunk, key) partitioning."""
+    limit = HOT_KEY_ROWS if hot_rows is None else hot_rows
+    d = df.withColumn(KEY, F.struct(*_cols(keys)) if keys else F.struct(F.lit(0).alias("_sm_all")))
+    counts = d.groupBy(KEY).agg(F.count(F.lit(1)).alias("_sm_cnt"))
+    hot = counts.filter(F.col("_sm_cnt") > F.lit(limit)).select(KEY, F.lit(True).alias(HOT))
+    d = d.join(hot, KEY, "left").withColumn(HOT, F.coalesce(F.col(HOT), F.lit(False)))
+    bucket = chunk_expr(df, order[0], chunk_width)
+    return d.withColumn(CHUNK, F.when(F.col(HOT), bucket).otherwise(F.lit(-1).cast("bigint")))
 
 
 def _join_edges(r: DataFrame, edges: DataFrame, carries: list[str]) -> DataFrame:
-    """Join the per-(chunk, key) carry columns back on the shared (chunk, key) partitioning; only
-    the small edge table moves."""
+    """Join the per-(chunk, key) carry columns of hot keys back; other rows get NULL carries."""
     return r.join(edges.select(CHUNK, KEY, *carries), [CHUNK, KEY], "left")
 
 
@@ -69,6 +76,7 @@ def with_neighbors(
     prev: str | None = None,
     next: str | None = None,
     chunk_width: float | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``prev`` / ``next`` = struct(values) of the previous / next row of the same key.
 
@@ -77,7 +85,7 @@ def with_neighbors(
     """
     if not prev and not next:
         raise ValueError("ask for prev and/or next")
-    r = _keyed(df, keys, order, chunk_width)
+    r = _keyed(df, keys, order, chunk_width, hot_rows)
     payload = F.struct(*_cols(values))
     ordering = F.struct(*_cols(order))
     w = Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order))
@@ -93,18 +101,18 @@ def with_neighbors(
         aggs.append(F.min_by(payload, ordering).alias("_sm_first"))
         carries.append(F.lead("_sm_first").over(wc).alias("_sm_carry_n"))
         outs.append((next, "_sm_in_n", "_sm_carry_n"))
-    edges = r.groupBy(CHUNK, KEY).agg(*aggs).select(CHUNK, KEY, *carries)
+    edges = r.filter(F.col(HOT)).groupBy(CHUNK, KEY).agg(*aggs).select(CHUNK, KEY, *carries)
     r = _join_edges(r, edges, [c for _, _, c in outs])
     for out, inner, carry in outs:
         r = r.withColumn(out, F.coalesce(F.col(inner), F.col(carry))).drop(inner, carry)
-    return r.drop(CHUNK, KEY)
+    return r.drop(CHUNK, KEY, HOT)
 
 
-def with_neighbor(df, keys, order, values, out, direction="prev", chunk_width=None) -> DataFrame:
+def with_neighbor(df, keys, order, values, out, direction="prev", chunk_width=None, hot_rows=None) -> DataFrame:
     """One-sided :func:`with_neighbors`."""
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
-    return with_neighbors(df, keys, order, values, **{direction: out}, chunk_width=chunk_width)
+    return with_neighbors(df, keys, order, values, **{direction: out}, chunk_width=chunk_width, hot_rows=hot_rows)
 
 
 def with_forward_fill(
@@ -114,33 +122,37 @@ def with_forward_fill(
     value: str,
     out: str,
     chunk_width: float | None = None,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Add ``out`` = last non-NULL ``value`` at or before each row within its key.
 
     Wrap several attributes in one struct column first, or a NULL attribute would be filled from
     an older row.
     """
-    r = _keyed(df, keys, order, chunk_width)
+    r = _keyed(df, keys, order, chunk_width, hot_rows)
     v = F.col(value)
     w = Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     r = r.withColumn("_sm_in", F.last(v, ignorenulls=True).over(w))
-    edges = r.groupBy(CHUNK, KEY).agg(F.max_by(v, F.when(v.isNotNull(), F.struct(*_cols(order)))).alias("_sm_edge"))
+    edges = r.filter(F.col(HOT)).groupBy(CHUNK, KEY).agg(
+        F.max_by(v, F.when(v.isNotNull(), F.struct(*_cols(order)))).alias("_sm_edge"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     edges = edges.withColumn("_sm_carry", F.last("_sm_edge", ignorenulls=True).over(wc))
     r = _join_edges(r, edges, ["_sm_carry"])
-    return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK, KEY)
+    return r.withColumn(out, F.coalesce(F.col("_sm_in"), F.col("_sm_carry"))).drop("_sm_in", "_sm_carry", CHUNK, KEY, HOT)
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, chunk_width: float | None = None) -> DataFrame:
+def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, chunk_width: float | None = None,
+                  hot_rows: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of the row within its key in ``order`` (= row_number - 1),
     numbered per (chunk, key) and shifted by the row counts of the key's earlier chunks."""
-    r = _keyed(df, keys, order, chunk_width)
+    r = _keyed(df, keys, order, chunk_width, hot_rows)
     r = r.withColumn("_sm_rn", F.row_number().over(Window.partitionBy(CHUNK, KEY).orderBy(*_cols(order))))
     counts = r.groupBy(CHUNK, KEY).agg(F.count(F.lit(1)).alias("_sm_n"))
     before = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(CHUNK, KEY, F.coalesce(F.sum("_sm_n").over(before), F.lit(0)).alias("_sm_off"))
     r = _join_edges(r, offsets, ["_sm_off"])
-    return r.withColumn(out, (F.col("_sm_off") + F.col("_sm_rn") - 1).cast("bigint")).drop("_sm_off", "_sm_rn", CHUNK, KEY)
+    off = F.coalesce(F.col("_sm_off"), F.lit(0))
+    return r.withColumn(out, (off + F.col("_sm_rn") - 1).cast("bigint")).drop("_sm_off", "_sm_rn", CHUNK, KEY, HOT)
 
 
 # Up to this many distinct values the numbering runs as one ordered window (a checked bound).

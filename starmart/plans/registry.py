@@ -86,9 +86,13 @@ def q_dim_territory(spark, d):
            CASE WHEN month(d) IN (12, 1, 2) THEN 'Winter' WHEN month(d) IN (3, 4, 5) THEN 'Spring'
                 WHEN month(d) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END AS Season,
            CAST(year(d) AS BIGINT) AS Year
-    FROM (SELECT CAST(range AS DATE) AS d FROM range(DATE '1990-01-01', DATE '2050-12-31', INTERVAL 1 DAY))""")
+    FROM (SELECT CAST(range AS DATE) AS d FROM range(
+            (SELECT least(DATE '1990-01-01', CAST(min(o_orderdate) AS DATE)) FROM orders),
+            (SELECT greatest(DATE '2050-12-31', CAST(max(o_orderdate) AS DATE) + 1) FROM orders),
+            INTERVAL 1 DAY))""")
 def q_dim_date(spark, d):
-    return date_dim(spark)
+    # The calendar spine, widened to every order date in the data.
+    return date_dim(spark, cover=catalog.table(spark, d, "orders"), cover_column="o_orderdate")
 
 
 @register("surrogate_key", f"""

@@ -32,7 +32,9 @@ def test_dedupe_changes_cases(spark):
                    (3, day(0), "Y"), (3, day(1), "Z"), (4, day(0), None)]
 
 
-def test_neighbors_match_plain_window_on_hot_key(spark):
+def test_neighbors_match_plain_window_on_hot_key(spark, monkeypatch):
+    from starmart.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 500)   # key 0 (~60% of rows) is hot, the others are not
     random.seed(7)
     rows = [(0 if random.random() < 0.6 else random.randint(1, 5), day(random.randint(0, 40), random.randint(0, 23)), i)
             for i in range(3000)]
@@ -58,7 +60,9 @@ def _history(spark, rows):
     return spark.createDataFrame(rows, "k long, t timestamp_ntz, tb long, v string")
 
 
-def test_scd2_tiles_and_merge_equals_rebuild(spark):
+def test_scd2_tiles_and_merge_equals_rebuild(spark, monkeypatch):
+    from starmart.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 40)
     random.seed(3)
     rows = [(random.randint(1, 6), day(random.randint(0, 60), random.randint(0, 23)), i, random.choice("ab"))
             for i in range(400)]
@@ -113,7 +117,9 @@ def test_temporal_join_null_attribute_not_inherited(spark):
     assert got == [(day(0), "old"), (day(5), None)]
 
 
-def test_pit_join_bounds_both_strategies(spark):
+def test_pit_join_bounds_both_strategies(spark, monkeypatch):
+    from starmart.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 1)
     dim = _iv(spark, [(1, day(1), day(5), "v1"), (1, day(5), END, "v2")])
     facts = spark.createDataFrame([(1, day(1), "at_from"), (1, day(5), "at_to"), (1, day(0), "before"), (2, day(3), "nokey")],
                                   "k long, at timestamp_ntz, name string")
@@ -124,7 +130,9 @@ def test_pit_join_bounds_both_strategies(spark):
         assert left == {"at_from": "v1", "at_to": "v2", "before": None, "nokey": None}, strategy
 
 
-def test_temporal_join_ranked_equals_join(spark):
+def test_temporal_join_ranked_equals_join(spark, monkeypatch):
+    from starmart.operators import sequence
+    monkeypatch.setattr(sequence, "HOT_KEY_ROWS", 10)
     random.seed(11)
     right_rows = []
     for k in range(4):
