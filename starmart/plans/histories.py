@@ -45,7 +45,9 @@ def events_scd2_merged(spark: SparkSession, root: str) -> DataFrame:
     ev = catalog.events(spark, root)
     before = ev.filter(F.col(TS) < _ts(MERGE_SPLIT))
     after = ev.filter(F.col(TS) >= _ts(MERGE_SPLIT))
-    current = scd2_from_history(dedupe_changes(before, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK)
+    # The SCD-2 table as stored after the earlier loads (a snapshot table, written once).
+    current = materialize(scd2_from_history(dedupe_changes(before, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK),
+                          "events_scd2_current")
     return scd2_merge(current, after, KEY, TS, EVENT_HASH, TIEBREAK)
 
 
