@@ -73,3 +73,27 @@ def materialize(df, name: str):
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a cluster run over ``input_bytes`` of Parquet.
+
+    Shuffle partitions are sized so one partition holds about ``partition_bytes`` (at least two
+    waves of the cluster's cores); AQE coalesces small ones and splits skewed join partitions; the
+    runtime broadcast threshold bounds every broadcast by measured size.  Apply with
+    ``SparkSession.builder.config(map=...)`` before the session starts."""
+    partitions = max(2 * total_cores, -(-input_bytes // partition_bytes))
+    mb = partition_bytes >> 20
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{2 * mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.session.timeZone": "UTC",
+    }
