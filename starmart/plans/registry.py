@@ -174,7 +174,7 @@ def q_pit_join_fact_dim(spark, d):
 # --- data checks (O-22, O-23, O-30, O-47 .. O-52) ----------------------------------------------
 
 from ..operators import checks as C  # noqa: E402
-from ..operators.upsert import lookback_window, upsert  # noqa: E402
+from ..operators.upsert import lookback_window  # noqa: E402
 from . import quality as Q  # noqa: E402
 
 
