@@ -76,3 +76,19 @@ def test_assign_keys_stable_for_new_ids(spark):
     assert sorted((r.TerritoryID, r.TerritoryKey) for r in again.collect()) == [(2, 3), (5, 1), (9, 2)]
     withu = with_unknown_member(first, {"TerritoryKey": 0, "TerritoryID": 0, "Name": "unknown"})
     assert withu.filter("TerritoryKey = 0").first().Name == "unknown"
+
+
+def test_date_dim_covers_data_dates(spark):
+    dates = spark.createDataFrame([(dt.datetime(1985, 6, 1),), (dt.datetime(2001, 1, 1),)], "d timestamp_ntz")
+    d = date_dim(spark, cover=dates, cover_column="d")
+    assert d.agg(F.min("Date")).first()[0] == dt.date(1985, 6, 1)
+    assert d.agg(F.max("Date")).first()[0] == dt.date(2050, 12, 30)
+
+
+def test_cluster_settings_sizes_partitions():
+    from starmart.session import cluster_settings
+
+    conf = cluster_settings(100 * 2**40, 8000)           # 100 TiB over 8000 cores
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * 2**40 // (256 << 20)
+    assert conf["spark.sql.adaptive.skewJoin.enabled"] == "true"
+    assert int(cluster_settings(1 << 20, 64)["spark.sql.shuffle.partitions"]) == 128
