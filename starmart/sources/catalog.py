@@ -87,7 +87,7 @@ def sales_territory(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-_ID_TABLES: dict[tuple[int, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
+_ID_TABLES: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
 
 
 def _part_ids(spark: SparkSession, root: str):
@@ -95,8 +95,9 @@ def _part_ids(spark: SparkSession, root: str):
     from ..session import materialize
 
     p = table(spark, root, "part")
-    key = (id(spark), root)
-    if key not in _ID_TABLES:
+    key = (spark.sparkContext.applicationId, root)
+    cached = _ID_TABLES.get(key)
+    if cached is None or any(df.sparkSession is not spark for df in cached):
         _ID_TABLES[key] = (
             materialize(dense_ids(p, ["p_type"], "ProductCategoryID"), "category_ids"),
             materialize(dense_ids(p, ["p_type", "p_brand"], "ProductSubcategoryID"), "subcategory_ids"),
