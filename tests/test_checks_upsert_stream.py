@@ -91,3 +91,16 @@ def test_sinks_roundtrip(spark):
     state = upsert_to_path(spark, os.path.join(base, "fact"), _fact(spark, [("p1", 1, d, 9)]).withColumn("m", month_partition("OrderDate")),
                            ["ProductKey", "SalesOrderID"], os.path.join(base, "fact_v2"), partition_col="m")
     assert sorted((r.ProductKey, r.v) for r in state.collect()) == [("p1", 9), ("p2", 1)]
+
+
+def test_cursor_increment_and_next_mark(spark):
+    from starmart.sources.io import cursor_increment, next_high_water_mark
+
+    d = lambda n: dt.datetime(2024, 1, n)
+    df = spark.createDataFrame([(1, d(1)), (2, d(5)), (3, d(9))], "id long, ts timestamp_ntz")
+    inc = cursor_increment(df, "ts", F.lit(d(5)).cast("timestamp_ntz"))
+    assert [r.id for r in inc.collect()] == [3]                        # strictly past the mark
+    assert cursor_increment(df, "ts", None).count() == 3               # no mark yet: everything
+    assert next_high_water_mark(inc, "ts").first().high_water_mark == d(9)
+    empty = inc.filter("false")
+    assert next_high_water_mark(empty, "ts", F.lit(d(5)).cast("timestamp_ntz")).first().high_water_mark == d(5)
