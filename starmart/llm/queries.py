@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, sharding, url_filter
+from . import bpe, quality_rules, sharding, url_filter
 from .tables import read_table
 
 SHARDS = 24
@@ -54,6 +54,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(read_table(spark, sf_dir, "documents"))
+    failed = quality_rules.base_failed()
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (F.col("posterior") >= 0.5)).alias("kept"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), HOST_RULES, GLOB_RULES, keep=("page_id",))
 
@@ -97,6 +105,7 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op8_byte_bpe": op8_byte_bpe,
+    "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE = {
