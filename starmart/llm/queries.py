@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, quality_rules, sharding, url_filter
+from . import bpe, decontaminate, quality_rules, sharding, url_filter
 from .tables import read_table
 
 SHARDS = 24
@@ -41,6 +41,31 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "item_id", "n_item_shingles", "n_shared")
+
+
+OP5_SQL = """
+WITH d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), ds AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d
+), items AS (
+  SELECT DISTINCT item_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))
+                                       WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM i
+), n AS (SELECT item_id, count(*) AS n_item_shingles FROM items GROUP BY item_id),
+hits AS (SELECT ds.doc_id, items.item_id, count(*) AS n_shared FROM ds JOIN items ON ds.s = items.s GROUP BY ds.doc_id, items.item_id)
+SELECT hits.doc_id, hits.item_id, n.n_item_shingles, hits.n_shared
+FROM hits JOIN n ON n.item_id = hits.item_id WHERE 100 * hits.n_shared >= 80 * n.n_item_shingles
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -104,10 +129,12 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op5_decontamination": op5_decontamination,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE = {
+    "op5_decontamination": OP5_SQL,
     "op10_url_filter": OP10_SQL,
 }
