@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality_rules, sharding, url_filter
+from . import bpe, decontaminate, jaccard_join, quality_rules, sharding, url_filter
 from .tables import read_table
 
 SHARDS = 24
@@ -66,6 +66,32 @@ FROM hits JOIN n ON n.item_id = hits.item_id WHERE 100 * hits.n_shared >= 80 * n
 """
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(read_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))
+                                      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM d
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM d
+  UNION
+  SELECT reach.a, l.b FROM reach JOIN both_ways l ON l.a = reach.b
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(reach.b) AS component_id
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP BY ALL
+"""
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -130,11 +156,13 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op5_decontamination": op5_decontamination,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
 }
 ORACLE = {
     "op5_decontamination": OP5_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op10_url_filter": OP10_SQL,
 }

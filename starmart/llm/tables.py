@@ -23,3 +23,9 @@ def fold(id_col: str | Column, modulus: int) -> Column:
 def word_array(text: Column) -> Column:
     """The words of a text in order; null and empty texts have none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SEPARATORS}]+"), lambda w: w != "")
+
+
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` (a written table of ids or hashes) marked for broadcast if it has at most ``rows`` rows;
+    a larger one is left to a shuffle join."""
+    return F.broadcast(df) if df.count() <= rows else df
