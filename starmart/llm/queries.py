@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, quality_rules, sharding, url_filter
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality_rules, sharding, url_filter
 from .tables import read_table
 
 SHARDS = 24
@@ -41,6 +41,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.delete_blocks(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "item_id", "n_item_shingles", "n_shared")
@@ -155,6 +159,7 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_line_dedup": op3_line_dedup,
     "op5_decontamination": op5_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
