@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, quality_rules, sharding, url_filter
-from .tables import read_table
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, url_filter
+from .tables import fold, read_table
 
 SHARDS = 24
+#: Score from which a classifier's verdict is 1.
+CONFIDENT = 0.7
 
 #: Fixed rules of the URL query.
 HOST_RULES = [
@@ -45,6 +47,17 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.delete_blocks(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> quality_classifier.QualityModel:
+    """Learns from the rows that are not held out only."""
+    return quality_classifier.train(docs, read_table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = quality_classifier.score(docs, quality_model(spark, docs, sf_dir))
+    return scored.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= CONFIDENT).cast("int").alias("predicted"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = decontaminate.find_items(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return hits.select("doc_id", "item_id", "n_item_shingles", "n_shared")
@@ -160,6 +173,7 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
