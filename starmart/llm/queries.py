@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, url_filter
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
 from .tables import fold, read_table
 
 SHARDS = 24
@@ -35,6 +35,11 @@ GLOB_RULES = [
 ]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= CONFIDENT).cast("int").alias("predicted"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
@@ -171,6 +176,7 @@ FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.pag
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
