@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter, warc
 from .tables import fold, read_table
 
 SHARDS = 24
@@ -88,6 +88,78 @@ FROM hits JOIN n ON n.item_id = hits.item_id WHERE 100 * hits.n_shared >= 80 * n
 """
 
 
+def captures(pages: DataFrame) -> DataFrame:
+    """A crawl history of the pages, derived from them: per page one full response and two revisits, one
+    with an ETag and one with Last-Modified; some before the response, some with other validators."""
+    p = pages.select("page_id", "url", F.md5("html").alias("digest"), F.octet_length("html").alias("n"), F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("start"))
+
+    def at(seconds: str) -> str:
+        return f"timestampadd(SECOND, {seconds}, start)"
+
+    def date(seconds: str) -> str:
+        return f"date_format({at(seconds)}, 'EEE, dd MMM yyyy HH:mm:ss') || ' GMT'"
+
+    first, other = "page_id * 7919 % 2592000", "page_id * 104729 % 2592000"
+    kinds = [
+        ("R", "response", first, f"""'HTTP/1.1 200 OK\r\nDate: ' || {date(first)} || '\r\nETag: "' || left(digest, 12) || '"\r\nLast-Modified: '
+            || {date("page_id % 1000")} || '\r\nContent-Type: text/html\r\nContent-Length: ' || n || '\r\nCache-Control: max-age=60'"""),
+        ("E", "revisit", other, f"""'HTTP/1.1 304 Not Modified\r\nDate: ' || {date(other)} || '\r\nETag: W/"'
+            || CASE WHEN page_id % 5 = 0 THEN 'other' ELSE left(digest, 12) END || '"\r\nCache-Control: max-age=120\r\nContent-Length: 0'"""),
+        ("M", "revisit", f"{first} + 3600", f"""'HTTP/1.1 304 Not Modified\r\nDate: ' || {date(f"{first} + 3600")} || '\r\nLast-Modified: '
+            || {date("page_id % 1000 + CASE WHEN page_id % 6 = 0 THEN 60 ELSE 0 END")} || '\r\nX-Cache: hit'"""),
+    ]
+    each = [f"struct('{kind}-' || page_id AS record_id, '{type_}' AS warc_type, {at(when)} AS warc_date, {block} AS http_block)" for kind, type_, when, block in kinds]
+    wide = p.select("url", "digest", F.explode(F.expr(f"array({', '.join(each)})")).alias("x"))
+    return wide.select("x.*", F.col("url").alias("target_uri"), F.when(F.col("x.warc_type") == "response", F.col("digest")).alias("payload_digest"))
+
+
+def op6_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    resolved = warc.resolve_revisits(captures(read_table(spark, sf_dir, "pages")))
+    names = {"date": "date", "etag": "etag", "last-modified": "last_modified", "content-length": "content_length", "cache-control": "cache_control", "x-cache": "x_cache"}
+    return resolved.select("record_id", "canonical_uri", "outcome", "resolved_id", *[F.try_element_at("headers", F.lit(k)).alias(v) for k, v in names.items()])
+
+
+OP6_SQL = """
+WITH rest AS (
+  SELECT page_id, left(md5(html), 12) AS tag, strlen(html) AS n,
+         CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT *, regexp_replace(regexp_replace(translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^www\\.', ''), ':(80|443)$', '') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         array_to_string(list_filter(string_split(regexp_extract(rest, '^[^?#]*\\?([^#]*)', 1), '&'), lambda p: NOT starts_with(p, 'utm_') AND p <> ''), '&') AS query
+  FROM rest
+), p AS (
+  SELECT page_id, tag, n, CASE WHEN host <> '' THEN host || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS canonical_uri,
+         page_id * 7919 % 2592000 AS first, page_id * 104729 % 2592000 AS other FROM parts
+), r AS (
+  SELECT 'R-' || page_id AS record_id, canonical_uri, first AS sec, true AS is_full, '"' || tag || '"' AS etag, page_id % 1000 AS modified, CAST(n AS VARCHAR) AS content_length, 'max-age=60' AS cache_control, CAST(NULL AS VARCHAR) AS x_cache FROM p
+  UNION ALL
+  SELECT 'E-' || page_id, canonical_uri, other, false, 'W/"' || CASE WHEN page_id % 5 = 0 THEN 'other' ELSE tag END || '"', NULL, '0', 'max-age=120', NULL FROM p
+  UNION ALL
+  SELECT 'M-' || page_id, canonical_uri, first + 3600, false, NULL, page_id % 1000 + CASE WHEN page_id % 6 = 0 THEN 60 ELSE 0 END, NULL, NULL, 'hit' FROM p
+), placed AS (
+  SELECT *, last_value(CASE WHEN is_full THEN record_id END IGNORE NULLS) OVER (PARTITION BY canonical_uri ORDER BY sec, record_id) AS earlier FROM r
+), judged AS (
+  SELECT x.*, e.etag AS e_etag, e.modified AS e_modified, e.content_length AS e_length, e.cache_control AS e_cache,
+         CASE WHEN x.is_full THEN 'response' WHEN x.canonical_uri IS NULL OR x.earlier IS NULL THEN 'no_earlier'
+              WHEN x.etag IS NOT NULL THEN CASE WHEN replace(x.etag, 'W/', '') = e.etag THEN 'resolved' ELSE 'mismatch' END
+              ELSE CASE WHEN x.modified = e.modified THEN 'resolved' ELSE 'mismatch' END END AS outcome
+  FROM placed x LEFT JOIN r e ON e.record_id = x.earlier
+), merged AS (
+  SELECT record_id, canonical_uri, outcome, CASE outcome WHEN 'response' THEN record_id WHEN 'resolved' THEN earlier END AS resolved_id, sec,
+         CASE WHEN outcome = 'resolved' THEN coalesce(etag, e_etag) ELSE etag END AS etag,
+         CASE WHEN outcome = 'resolved' THEN coalesce(modified, e_modified) ELSE modified END AS modified,
+         CASE WHEN outcome = 'resolved' THEN e_length ELSE content_length END AS content_length,
+         CASE WHEN outcome = 'resolved' THEN coalesce(cache_control, e_cache) ELSE cache_control END AS cache_control,
+         CASE WHEN outcome = 'resolved' THEN NULL ELSE x_cache END AS x_cache
+  FROM judged
+)
+SELECT record_id, canonical_uri, outcome, resolved_id, strftime(TIMESTAMP '2024-01-01' + to_seconds(sec), '%a, %d %b %Y %H:%M:%S GMT') AS date, etag,
+       strftime(TIMESTAMP '2024-01-01' + to_seconds(modified), '%a, %d %b %Y %H:%M:%S GMT') AS last_modified, content_length, cache_control, x_cache
+FROM merged
+"""
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(read_table(spark, sf_dir, "documents"))
 
@@ -181,6 +253,7 @@ QUERIES = {
     "op3_line_dedup": op3_line_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
+    "op6_warc_revisits": op6_warc_revisits,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
@@ -188,6 +261,7 @@ QUERIES = {
 }
 ORACLE = {
     "op5_decontamination": OP5_SQL,
+    "op6_warc_revisits": OP6_SQL,
     "op7_jaccard_join": OP7_SQL,
     "op10_url_filter": OP10_SQL,
 }
