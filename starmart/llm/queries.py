@@ -186,17 +186,22 @@ FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN reach ON reach.a = d.doc_id GROUP
 """
 
 
+def bpe_digests() -> list:
+    """Digest columns of ``ids`` and ``decoded``."""
+    return [
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    ]
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     ids = bpe.encode(read_table(spark, sf_dir, "documents"), ranks, pattern)
     both = bpe.decode(ids, ranks, pattern, keep=("doc_id", "ids"))
-    return both.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return both.select("doc_id", *bpe_digests())
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
