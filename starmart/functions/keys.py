@@ -11,15 +11,17 @@ from pyspark.sql import types as T
 NULL_PLACEHOLDER = "_dbt_utils_surrogate_key_null_"
 KEY_SEPARATOR = "-"
 
-# Scale kept when a floating-point value is written into a hash key.  Engines print doubles
-# differently (1.0E7 vs 10000000.0), so numbers go through a fixed decimal first.
+# Scale kept when a floating-point value is written into a published hash key.  Engines print doubles
+# differently (1.0E7 vs 10000000.0), so numbers go through a fixed decimal first.  Keys name versions;
+# whether a value changed is decided on the values themselves (history.dedupe_changes).
 FLOAT_KEY_SCALE = 6
 
 
 def canonical_string(col: Column, dtype: T.DataType) -> Column:
     """Engine-independent text of a value, used inside hash keys."""
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return col.cast(T.DecimalType(38, FLOAT_KEY_SCALE)).cast("string")
+        # NaN, infinities and numbers beyond the decimal keep the engine's own text.
+        return F.coalesce(col.try_cast(T.DecimalType(38, FLOAT_KEY_SCALE)).cast("string"), col.cast("string"))
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     return col.cast("string")

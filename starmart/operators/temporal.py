@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sequence import with_forward_fill, with_neighbors, with_position
+from .sequence import hot_keys, with_forward_fill, with_neighbors, with_position
 
 
 def temporal_join(
@@ -106,7 +106,10 @@ def temporal_join(
 def _ranked_overlaps(L: DataFrame, R: DataFrame, left_key: str, body: list[str]) -> DataFrame:
     """Same rows as ``L LEFT JOIN R ON key AND overlap``, found through positions instead of
     a pairwise residual check."""
-    R = with_position(R.filter(F.col("_sm_rk").isNotNull()), ["_sm_rk"], ["_sm_rf"], "_sm_i")
+    # Keys that are hot over both sides together, asked for once.
+    both = R.select(F.col("_sm_rk").alias("_sm_k")).unionByName(L.select(F.col(f"`{left_key}`").alias("_sm_k")))
+    hot = hot_keys(both.filter(F.col("_sm_k").isNotNull()), ["_sm_k"])
+    R = with_position(R.filter(F.col("_sm_rk").isNotNull()), ["_sm_rk"], ["_sm_rf"], "_sm_i", hot)
     lpay = F.struct(*[F.col(f"`{c}`") for c in body], F.col("_sm_lf"), F.col("_sm_lt"))
     left_t = L.select(lpay.alias("_sm_l"))
     lschema = left_t.schema["_sm_l"].dataType
@@ -121,7 +124,7 @@ def _ranked_overlaps(L: DataFrame, R: DataFrame, left_key: str, body: list[str])
                            F.lit(None).cast(rtype).alias("_sm_r"), "_sm_l")
     u1 = rows_r.withColumn("_sm_kind", F.lit(1)).unionByName(probe1.withColumn("_sm_kind", F.lit(2)))
     u1 = u1.withColumn("_sm_tb", F.xxhash64("_sm_l"))
-    f1 = with_forward_fill(u1.filter(F.col("_sm_k").isNotNull()), ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c1")
+    f1 = with_forward_fill(u1.filter(F.col("_sm_k").isNotNull()), ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c1", hot)
     p1 = f1.filter(F.col("_sm_kind") == 2)
     first = F.when(F.col("_sm_c1").isNull(), F.lit(0)).when(F.col("_sm_c1.rt") > F.col("_sm_t"), F.col("_sm_c1.i")).otherwise(F.col("_sm_c1.i") + 1)
     p1 = p1.select("_sm_k", "_sm_l", first.cast("bigint").alias("_sm_lo"))
@@ -131,7 +134,7 @@ def _ranked_overlaps(L: DataFrame, R: DataFrame, left_key: str, body: list[str])
     u2 = rows_r.withColumn("_sm_lo", F.lit(None).cast("bigint")).withColumn("_sm_kind", F.lit(1)).unionByName(
         probe2.withColumn("_sm_kind", F.lit(0)))
     u2 = u2.withColumn("_sm_tb", F.xxhash64("_sm_l"))
-    f2 = with_forward_fill(u2, ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c2")
+    f2 = with_forward_fill(u2, ["_sm_k"], ["_sm_t", "_sm_kind", "_sm_tb"], "_sm_r", "_sm_c2", hot)
     p2 = f2.filter(F.col("_sm_kind") == 0).select("_sm_k", "_sm_l", "_sm_lo", F.col("_sm_c2.i").alias("_sm_hi"))
 
     # 3) explode the overlapping positions and fetch those versions

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import dedupe_changes, latest_per_key, scd2_from_history, scd2_merge
+from ..operators.history import dedupe_changes, latest_per_key, scd2_from_raw, scd2_merge
 from ..operators.temporal import pit_join, temporal_join
 from ..session import materialize
 from ..sources import catalog
@@ -38,7 +38,7 @@ def events_deduped(spark: SparkSession, root: str) -> DataFrame:
 
 
 def events_scd2(spark: SparkSession, root: str) -> DataFrame:
-    return scd2_from_history(events_deduped(spark, root), KEY, TS, TIEBREAK)
+    return scd2_from_raw(catalog.events(spark, root), KEY, TS, EVENT_HASH, TIEBREAK)
 
 
 def events_scd2_merged(spark: SparkSession, root: str) -> DataFrame:
@@ -46,21 +46,20 @@ def events_scd2_merged(spark: SparkSession, root: str) -> DataFrame:
     before = ev.filter(F.col(TS) < _ts(MERGE_SPLIT))
     after = ev.filter(F.col(TS) >= _ts(MERGE_SPLIT))
     # The SCD-2 table as stored after the earlier loads (a snapshot table, written once).
-    current = materialize(scd2_from_history(dedupe_changes(before, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK),
-                          "events_scd2_current")
+    current = materialize(scd2_from_raw(before, KEY, TS, EVENT_HASH, TIEBREAK), "events_scd2_current")
     return scd2_merge(current, after, KEY, TS, EVENT_HASH, TIEBREAK)
 
 
 def activity_scd2(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table of the activity history (written once, like a warehouse snapshot)."""
     h = catalog.activity_history(spark, root)
-    return materialize(scd2_from_history(dedupe_changes(h, KEY, TS, EVENT_HASH, TIEBREAK), KEY, TS, TIEBREAK), "activity_scd2")
+    return materialize(scd2_from_raw(h, KEY, TS, EVENT_HASH, TIEBREAK), "activity_scd2")
 
 
 def status_scd2(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table of the status history."""
     h = catalog.status_history(spark, root)
-    return materialize(scd2_from_history(dedupe_changes(h, KEY, TS, STATUS_HASH, TIEBREAK), KEY, TS, TIEBREAK), "status_scd2")
+    return materialize(scd2_from_raw(h, KEY, TS, STATUS_HASH, TIEBREAK), "status_scd2")
 
 
 def activity_status(spark: SparkSession, root: str, gaps: str, strategy: str = "ranked") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.keys import date_key, surrogate_key
-from ..operators.history import OPEN_END, dedupe_changes, open_end, scd2_from_history
+from ..operators.history import OPEN_END, open_end, scd2_from_raw
 from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import pit_join, temporal_join
@@ -69,11 +69,8 @@ def dim_territory(territory_stg: DataFrame, existing: DataFrame | None = None) -
 
 
 def snapshot(raw: DataFrame, key: str, ts: str = "ModifiedDate") -> DataFrame:
-    """Change dedupe + SCD-2 bounds of one raw history table.  The deduped history is written
-    once so the second ordered pass reads files instead of recomputing the first."""
-    hash_cols = [c for c in raw.columns if c != ts]
-    deduped = materialize(dedupe_changes(raw, key, ts, hash_cols), "deduped")
-    return scd2_from_history(deduped, key, ts)
+    """Change dedupe + SCD-2 bounds of one raw history table."""
+    return scd2_from_raw(raw, key, ts, [c for c in raw.columns if c != ts])
 
 
 @dataclass
