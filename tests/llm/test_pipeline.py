@@ -18,7 +18,7 @@ def corpus(spark, tmp_path_factory):
 
     docs, passage, item = {}, " ".join(f"p{k}" for k in range(60)), " ".join(f"q{k}" for k in range(30))
     for i in range(260):
-        docs[i] = text(rng.randint(3, 8))
+        docs[i] = text(rng.randint(3, 9)).replace("\n", " " if i % 4 == 0 else "\n")
     for i in range(260, 320):
         docs[i] = "!! ".join(sentences(rng, 9).upper().split()) + "!!"
     docs[400] = docs[3]  # a copy: all its lines go
