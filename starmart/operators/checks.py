@@ -79,7 +79,7 @@ def scd_overlaps(df: DataFrame, key: str, valid_from: str = "valid_from", valid_
 
 @dataclass
 class CheckSpec:
-    """One configured check.  ``kind`` is not_null | unique | relationships | accepted_range."""
+    """One configured check.  ``kind`` is not_null | unique | relationships | accepted_range | scd_time_range."""
 
     name: str
     table: str
@@ -100,6 +100,8 @@ def evaluate(spec: CheckSpec, tables: dict[str, DataFrame]) -> DataFrame:
     if spec.kind == "accepted_range":
         return accepted_range(df, spec.column, spec.args.get("min_value"), spec.args.get("max_value"),
                               spec.args.get("inclusive", True))
+    if spec.kind == "scd_time_range":
+        return scd_time_range(df, tables[spec.args["to"]], spec.args["on"])
     raise ValueError(f"unknown check kind {spec.kind}")
 
 
@@ -111,6 +113,16 @@ def select_checks(specs: Sequence[CheckSpec], tags: Sequence[str] | None = None)
     return [s for s in specs if wanted & set(s.tags)]
 
 
+def _failures(spec: CheckSpec, tables: dict[str, DataFrame]) -> DataFrame:
+    """One row ``n_failed``.  Children are counted per key (map-side) before they meet their parents."""
+    if spec.kind != "relationships":
+        return evaluate(spec, tables).agg(F.count(F.lit(1)).alias("n_failed"))
+    per_key = tables[spec.table].groupBy(F.col(spec.column).alias("_sm_child")).agg(F.count(F.lit(1)).alias("_sm_n"))
+    parents = tables[spec.args["to"]].select(F.col(spec.args["field"]).alias("_sm_parent")).distinct()
+    orphans = per_key.filter(F.col("_sm_child").isNotNull()).join(parents, F.col("_sm_child") == F.col("_sm_parent"), "left_anti")
+    return orphans.agg(F.coalesce(F.sum("_sm_n"), F.lit(0)).alias("n_failed"))
+
+
 def run_suite(specs: Sequence[CheckSpec], tables: dict[str, DataFrame]) -> DataFrame:
     """One row per check: (check_name, table_name, kind, n_failed).
 
@@ -123,8 +135,7 @@ def run_suite(specs: Sequence[CheckSpec], tables: dict[str, DataFrame]) -> DataF
         if s.kind in ("not_null", "accepted_range"):
             local.setdefault(s.table, []).append(s)
         else:
-            failing = evaluate(s, tables)
-            parts.append(failing.agg(F.count(F.lit(1)).alias("n_failed")).select(
+            parts.append(_failures(s, tables).select(
                 F.lit(s.name).alias("check_name"), F.lit(s.table).alias("table_name"), F.lit(s.kind).alias("kind"),
                 F.col("n_failed").cast("bigint").alias("n_failed")))
     for table, group in local.items():

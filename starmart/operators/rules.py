@@ -10,6 +10,7 @@ count and the chosen level is a per-scope aggregate.  No driver loop, nothing co
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,6 +151,13 @@ def adaptive_rules(
     pairs = pairs.join(lowest, SCOPE).filter(F.col("pair_count") >= F.col("_sm_need")).drop("_sm_need")
     rules = _rules_from_pairs(pairs, counts, n, min_confidence)
 
+    return _top_at_level(rules, levels, max_rules)
+
+
+def _top_at_level(rules: DataFrame, levels: DataFrame, max_rules: int) -> DataFrame:
+    """Per scope the top ``max_rules`` of the rules that qualify (``pair_count``) at the chosen level."""
+    lv = levels.select(SCOPE, "n_baskets", F.explode("levels").alias("_sm_l")).filter(F.col("_sm_l.valid"))
+    lv = lv.select(SCOPE, "n_baskets", F.col("_sm_l.level").alias("level"), F.col("_sm_l.min_count").alias("min_count"))
     # First level at which each rule qualifies (thresholds fall with the level).
     thresholds = levels.select(SCOPE, F.filter("levels", lambda l: l["valid"]).alias("_sm_lv"))
     rules = rules.join(thresholds, SCOPE).withColumn(
@@ -222,62 +230,69 @@ def mine_rules(
 # ---------------------------------------------------------------------------------------------
 # Itemsets of any size: Spark ML FP-growth (parallel FP-growth over the cluster).
 
-def frequent_itemsets(items: DataFrame, min_support: float, num_partitions: int | None = None) -> DataFrame:
-    """Frequent itemsets per scope, with the threshold applied per scope (count >= ceil(min_support
-    * baskets of the scope)).
+def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float], num_partitions: int | None = None) -> DataFrame:
+    """Frequent itemsets per scope: count >= ceil(support * baskets of the scope), written once.
 
-    One FP-growth fit for all scopes: items are prefixed with their scope, so transactions of
-    different scopes share no item and every mined itemset lies inside one scope.  The global
-    minimum support is the smallest per-scope threshold over all transactions; each itemset is
-    then checked against its own scope's threshold."""
+    Each scope (there are a few dozen: one row each reaches the driver) is mined by its own FP-growth
+    at its own threshold, over the items that reach it alone, so a small scope's low count does not
+    set the threshold of the overall one.  ``min_support`` may give each scope its own support."""
     from pyspark.ml.fpm import FPGrowth
 
-    n = items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n_baskets"))
-    need = n.withColumn("min_count", F.ceil(F.lit(min_support) * F.col("n_baskets")).cast("bigint"))
-    tagged = items.select(SCOPE, BASKET, F.concat_ws("\u0001", F.col(SCOPE).cast("string"), F.col(ITEM).cast("string")).alias("_sm_i"))
-    tx = tagged.groupBy(SCOPE, BASKET).agg(F.collect_list("_sm_i").alias("items"))
-    agg = need.agg(F.min("min_count").alias("m"), F.sum("n_baskets").alias("t")).first()
-    if agg is None or agg["t"] is None or agg["t"] == 0:
-        return items.sparkSession.createDataFrame([], "scope bigint, items array<string>, freq bigint, size int, n_baskets bigint")
-    global_support = max(agg["m"] - 0.5, 0.5) / agg["t"]  # at most the smallest threshold, in counts
-    fp = FPGrowth(itemsCol="items", minSupport=min(global_support, 1.0), minConfidence=1.0)
-    if num_partitions:
-        fp = fp.setNumPartitions(num_partitions)
-    model = fp.fit(tx.select("items"))
-    sets = model.freqItemsets
-    first = F.element_at("items", 1)
-    sets = sets.select(
-        F.split(first, "\u0001").getItem(0).cast("bigint").alias(SCOPE),
-        F.sort_array(F.transform("items", lambda s: F.split(s, "\u0001").getItem(1))).alias("items"),
-        F.col("freq").cast("bigint").alias("freq"),
-    )
-    return sets.join(need, SCOPE).filter(F.col("freq") >= F.col("min_count")).select(
-        SCOPE, "items", "freq", F.size("items").alias("size"), "n_baskets")
-
-
-def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE, max_itemset: int = 12) -> DataFrame:
-    """All antecedent -> consequent splits of every frequent itemset (both sides non-empty), with
-    support, confidence and lift.  Subset supports are looked up by joining the itemset table on
-    the sorted item array (every subset of a frequent itemset is frequent).  Splits of an itemset of
-    size k are 2^k - 2, so itemsets are limited to ``max_itemset`` items (larger ones raise)."""
-    too_big = itemsets.filter(F.col("size") > max_itemset)
-    if not too_big.isEmpty():
-        raise ValueError(f"itemsets above {max_itemset} items; raise max_itemset explicitly")
-    multi = itemsets.filter(F.col("size") >= 2)
-    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.col("size")).cast("int") - 2)
-    splits = multi.select(SCOPE, "items", "freq", "n_baskets", F.explode(masks).alias("_sm_mask"))
-    pos = F.transform("items", lambda x, i: F.struct(x.alias("v"), i.alias("i")))
-    def bit(s):
-        return F.floor(F.col("_sm_mask") / F.pow(F.lit(2), s["i"])) % 2
-
-    ante = F.transform(F.filter(pos, lambda s: bit(s) == 1), lambda s: s["v"])
-    cons = F.transform(F.filter(pos, lambda s: bit(s) == 0), lambda s: s["v"])
-    splits = splits.withColumn("size", F.size("items")).select(
-        SCOPE, "freq", "n_baskets", ante.alias("antecedents"), cons.alias("consequents"))
+    from ..session import materialize
+
+    spark = items.sparkSession
+    items = materialize(items.select(SCOPE, BASKET, F.col(ITEM).cast("string").alias(ITEM)), "itemset_items")
+    out = None
+    for row in items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n")).orderBy(SCOPE).collect():
+        support = min_support[row[SCOPE]] if isinstance(min_support, dict) else min_support
+        need = max(1, math.ceil(support * row["n"]))
+        mine = items.filter(F.col(SCOPE) == F.lit(row[SCOPE]))
+        often = mine.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_sm_n")).filter(F.col("_sm_n") >= need).select(ITEM)
+        tx = mine.join(often, ITEM, "left_semi").groupBy(BASKET).agg(F.collect_list(ITEM).alias("items"))
+        # The fit sees only baskets that still have an item; half a count below keeps the threshold exact.
+        seen = tx.count()
+        if not seen:
+            continue
+        fp = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / seen), minConfidence=1.0)
+        if num_partitions:
+            fp = fp.setNumPartitions(num_partitions)
+        sets = fp.fit(tx.select("items")).freqItemsets.select(
+            F.lit(row[SCOPE]).cast("bigint").alias(SCOPE), F.sort_array("items").alias("items"), F.col("freq").cast("bigint").alias("freq"),
+            F.size("items").alias("size"), F.lit(row["n"]).cast("bigint").alias("n_baskets"))
+        out = sets if out is None else out.unionByName(sets)
+    if out is None:
+        return spark.createDataFrame([], "scope bigint, items array<string>, freq bigint, size int, n_baskets bigint")
+    return materialize(out, "itemsets")
+
+
+def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """All antecedent -> consequent splits (both sides non-empty) of every frequent itemset that reach
+    ``min_confidence``, with support, confidence, lift, ``freq`` and ``n_baskets``.
+
+    Splits are built level by level: from the whole itemset one antecedent item moves to the
+    consequent at a time, and only splits that reach the confidence go on, since a smaller antecedent
+    is at least as frequent and its confidence no higher.  Antecedent counts come from the itemset
+    table itself (every subset of a frequent itemset is in it).  The loop has as many levels as the
+    largest itemset has items, whatever their number."""
+    from ..session import materialize
+
     lookup = itemsets.select(SCOPE, F.col("items").alias("_sm_k"), F.col("freq").alias("_sm_f"))
-    a = lookup.withColumnRenamed("_sm_k", "antecedents").withColumnRenamed("_sm_f", "ante_freq")
-    c = lookup.withColumnRenamed("_sm_k", "consequents").withColumnRenamed("_sm_f", "cons_freq")
-    j = splits.join(a, [SCOPE, "antecedents"]).join(c, [SCOPE, "consequents"])
+    level = itemsets.filter(F.col("size") >= 2).select(SCOPE, F.col("items").alias("_sm_all"), "freq", "n_baskets", F.col("items").alias("antecedents"))
+    enough = (F.col("freq") / F.col("n_baskets")) / (F.col("ante_freq") / F.col("n_baskets")) >= F.lit(min_confidence)
+    splits = None
+    for _ in range((itemsets.agg(F.max("size")).first()[0] or 1) - 1):
+        smaller = level.filter(F.size("antecedents") >= 2).withColumn("_sm_out", F.explode("antecedents"))
+        smaller = smaller.withColumn("antecedents", F.array_remove("antecedents", F.col("_sm_out"))).drop("_sm_out").distinct()
+        counted = smaller.join(lookup.toDF(SCOPE, "antecedents", "ante_freq"), [SCOPE, "antecedents"]).filter(enough)
+        counted = materialize(counted, "rule_splits")
+        splits = counted if splits is None else splits.unionByName(counted)
+        level = counted.drop("ante_freq")
+        if level.isEmpty():
+            break
+    if splits is None:
+        splits = level.withColumn("ante_freq", F.lit(None).cast("bigint"))
+    splits = splits.withColumn("consequents", F.array_except("_sm_all", "antecedents"))
+    j = splits.join(lookup.toDF(SCOPE, "consequents", "cons_freq"), [SCOPE, "consequents"])
     n = F.col("n_baskets")
     support = F.col("freq") / n
     ante_sup = F.col("ante_freq") / n
@@ -285,8 +300,26 @@ def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE
     conf = support / ante_sup
     return j.select(
         SCOPE, "antecedents", "consequents", ante_sup.alias("antecedent_support"), cons_sup.alias("consequent_support"),
-        support.alias("support"), conf.alias("confidence"), (conf / cons_sup).alias("lift"),
-    ).filter(F.col("confidence") >= F.lit(min_confidence))
+        support.alias("support"), conf.alias("confidence"), (conf / cons_sup).alias("lift"), "freq", "n_baskets")
+
+
+def adaptive_multi_item_rules(
+    items: DataFrame,
+    max_rules: int = MAX_RULES,
+    min_confidence: float = MIN_CONFIDENCE,
+    floor: float = SUPPORT_FLOOR,
+    tries: int = MAX_TRIES,
+    decay: float = DECAY,
+) -> DataFrame:
+    """Top ``max_rules`` rules of any size per scope, at the support level that :func:`adaptive_rules`
+    describes: itemsets are mined once at each scope's lowest level, and a rule's count says from
+    which level on it qualifies."""
+    levels = scope_levels(items, floor, tries, decay)
+    lowest = levels.select(SCOPE, F.array_min(F.transform(F.filter("levels", lambda x: x["valid"]), lambda x: x["level_support"])).alias("s"))
+    sets = frequent_itemsets(items, {r[SCOPE]: r["s"] for r in lowest.collect()})
+    rules = multi_item_rules(sets, min_confidence)
+    rules = rules.withColumnRenamed("antecedents", "antecedent").withColumnRenamed("consequents", "consequent").withColumnRenamed("freq", "pair_count")
+    return _top_at_level(rules, levels, max_rules).withColumnRenamed("antecedent", "antecedents").withColumnRenamed("consequent", "consequents")
 
 
 def upsert_rules(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -21,14 +21,26 @@ def lookback_window(
     """Rows of ``new_rows`` whose ``at`` date is at most ``days`` before the newest date in the target.
 
     Date arithmetic on the parsed key (not ``key - 7``, which stops at the month start).  An empty
-    or missing target means a full load.  The bound is an uncorrelated scalar subquery, and the
-    predicate is on the raw timestamp column so it can reach the Parquet scan.
+    or missing target means a full load; rows without a date are never in a window.  The bound is an
+    uncorrelated scalar subquery (the largest key, parsed once), and the predicate compares the raw
+    timestamp column, so it rejects NULLs, turns an outer join below it into an inner one and
+    reaches the Parquet scan.
     """
     if target is None:
         return new_rows
-    newest = target.agg(F.max(date_from_key(F.col(target_key)))).scalar()
-    bound = F.date_sub(newest, days).cast("timestamp_ntz")
-    return new_rows.filter(F.coalesce(F.col(at) >= bound, F.lit(True)))
+    newest = date_from_key(target.agg(F.max(target_key)).scalar())
+    bound = F.coalesce(F.date_sub(newest, days).cast("timestamp_ntz"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
+    return new_rows.filter(F.col(at) >= bound)
+
+
+def arrived_orders(new_rows: DataFrame, arrival: str, since: Column, order_key: str = "SalesOrderID") -> DataFrame:
+    """All rows of the orders that have a row which arrived at or after ``since``.
+
+    An order date says nothing about when a row arrives, so a look-back by order date loses rows that
+    come later than its window; the arrival cursor loses none.  Whole orders are taken because the
+    upsert replaces rows by order and product."""
+    touched = new_rows.filter(F.col(arrival) >= since).select(F.col(order_key).alias("_sm_arrived")).distinct()
+    return new_rows.join(touched, F.col(order_key) == F.col("_sm_arrived"), "left_semi")
 
 
 class DuplicateKeyError(ValueError):

@@ -16,7 +16,7 @@ from ..operators.history import OPEN_END, open_end, scd2_from_raw
 from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import pit_join, temporal_join
-from ..operators.upsert import lookback_window, upsert
+from ..operators.upsert import arrived_orders, lookback_window, upsert
 from ..session import materialize
 from ..sources.catalog import source
 
@@ -161,9 +161,16 @@ def fact_incremental(
     dim_terr: DataFrame,
     lookback_days: int = 7,
     load_ts: Column | None = None,
+    arrived_since: Column | None = None,
 ) -> DataFrame:
-    """One incremental run: select the look-back window, build its fact rows, upsert them."""
-    window = lookback_window(new_records, target, "OrderDate", "OrderDateKey", lookback_days)
+    """One incremental run: select the new rows, build their fact rows, upsert them.
+
+    New rows are those of the look-back window by order date or, with ``arrived_since``, the orders
+    with a line that arrived (``ModifiedDate``) since the last run, which also finds late facts."""
+    if arrived_since is None:
+        window = lookback_window(new_records, target, "OrderDate", "OrderDateKey", lookback_days)
+    else:
+        window = arrived_orders(new_records, "ModifiedDate", arrived_since)
     batch = fact_sales(window, dim_prod, dim_terr, load_ts)
     if target is None:
         return batch

@@ -281,9 +281,20 @@ def check_sql(name: str, table: str, kind: str, column, args: dict, label: str |
         if args.get("max_value") is not None:
             conds.append(f"{column} {op_hi} {args['max_value']}")
         return f"{head} FROM {table} WHERE NOT ({' AND '.join(conds)})"
+    if kind == "scd_time_range":
+        filled = " AND ".join(f"h.{h} IS NOT NULL" for h, _ in args["on"])
+        equal = " AND ".join(f"p.{p} = h.{h}" for h, p in args["on"])
+        return (f"{head} FROM {table} h WHERE {filled} AND NOT EXISTS (SELECT 1 FROM {args['to']} p "
+                f"WHERE {equal} AND p.valid_from <= h.valid_from AND p.valid_to >= h.valid_to)")
     raise ValueError(kind)
 
 
+# The product history with seeded range violations: every 50th product starts a day too early.
+CTES["seeded"] = (["product_history"], """
+      SELECT * REPLACE (CASE WHEN ProductID % 50 = 0 THEN valid_from - INTERVAL 1 DAY ELSE valid_from END AS valid_from)
+      FROM product_history""")
+
+
 # ---------------------------------------------------------------------------------------------
 # Mining.
 

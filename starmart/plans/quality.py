@@ -8,10 +8,19 @@ from pyspark.sql import functions as F
 from ..operators.calendar import date_dim
 from ..operators.checks import CheckSpec, scd_time_range
 from ..operators.history import latest_per_key
+from ..session import materialize
 from ..sources.catalog import source
 from . import mart
 
-# Source, dimension and fact checks (tags: 'dedupe', 'value', 'scd' select subsets).
+# Audit of the joined product history: (history column, snapshot column) per snapshot.
+SCD_RANGES = {
+    "category": [("ProductSubcategorySnapshot__ProductCategoryID", "ProductCategoryID"), ("ProductCategorySnapshot__Name", "Name")],
+    "model": [("ProductModelID", "ProductModelID"), ("ProductModelSnapshot__Name", "Name")],
+    "subcategory": [("ProductSubcategoryID", "ProductSubcategoryID"), ("ProductSubcategorySnapshot__Name", "Name"),
+                    ("ProductSubcategorySnapshot__ProductCategoryID", "ProductCategoryID")],
+}
+
+# Source, dimension, history and fact checks (tags: 'dedupe', 'value', 'scd' select subsets).
 SUITE = [
     CheckSpec("src_header_id_not_null", "header", "not_null", "SalesOrderID"),
     CheckSpec("src_header_id_unique", "header", "unique", "SalesOrderID"),
@@ -43,39 +52,48 @@ SUITE = [
     CheckSpec("fact_date_fk", "fact", "relationships", "OrderDateKey", args={"to": "dim_date", "field": "DateKey"}),
     CheckSpec("fact_product_fk", "fact", "relationships", "ProductKey", args={"to": "dim_product", "field": "ProductKey"}),
     CheckSpec("fact_territory_fk", "fact", "relationships", "TerritoryKey", args={"to": "dim_territory", "field": "TerritoryKey"}),
+    *[CheckSpec(f"scd_range_{name}", "product_history", "scd_time_range", "ProductID", ("scd",), {"to": f"snap_{name}", "on": on})
+      for name, on in SCD_RANGES.items()],
 ]
 
 
 def suite_tables(spark: SparkSession, root: str, load_ts=None) -> dict[str, DataFrame]:
-    m = mart.build_mart(spark, root)
+    """The tables that the suite checks; history and fact are written once, since several checks read them."""
+    snaps = mart.snapshots(spark, root)
+    history = materialize(mart.product_history(snaps), "product_history")
+    dim_product = materialize(mart.dim_product(history), "dim_product")
+    dim_territory = materialize(mart.dim_territory(mart.stg_territory(spark, root)), "dim_territory")
+    sales = mart.int_sales_join(mart.stg_order_detail(spark, root), mart.stg_order_header(spark, root))
+    header = source(spark, root, "raw_Sales", "SalesOrderHeader")
     return {
-        "header": source(spark, root, "raw_Sales", "SalesOrderHeader"),
+        "header": header,
         "detail": source(spark, root, "raw_Sales", "SalesOrderDetail"),
         "territory": source(spark, root, "raw_Sales", "SalesTerritory"),
-        "product_latest": latest_per_key(source(spark, root, "raw_Production", "Product"), "ProductID", "ModifiedDate"),
+        "product_latest": materialize(latest_per_key(source(spark, root, "raw_Production", "Product"), "ProductID", "ModifiedDate"), "product_latest"),
         "subcategory": source(spark, root, "raw_Production", "ProductSubcategory"),
         "category": source(spark, root, "raw_Production", "ProductCategory"),
-        "dim_product": m.dim_product,
-        "dim_date": date_dim(spark),
-        "dim_territory": m.dim_territory,
-        "fact": mart.fact_sales(m.sales, m.dim_product, m.dim_territory, load_ts),
+        "dim_product": dim_product,
+        "dim_date": date_dim(spark, cover=header, cover_column="OrderDate"),
+        "dim_territory": dim_territory,
+        "fact": materialize(mart.fact_sales(sales, dim_product, dim_territory, load_ts), "fact"),
+        "product_history": history,
+        "snap_category": snaps.category,
+        "snap_model": snaps.model,
+        "snap_subcategory": snaps.subcategory,
     }
 
 
-def scd_audit(spark: SparkSession, root: str) -> DataFrame:
-    """Product-history segments not covered by the snapshot version they took attributes from."""
+def scd_audit(spark: SparkSession, root: str, seed: bool = False) -> DataFrame:
+    """Product-history segments not covered by the snapshot version they took attributes from.
+
+    ``seed`` moves the start of every 50th product a day back, so that there is something to find."""
     s = mart.snapshots(spark, root)
-    h = mart.product_history(s)
-    checks = {
-        "category": scd_time_range(h, s.category, [("ProductSubcategorySnapshot__ProductCategoryID", "ProductCategoryID"),
-                                                   ("ProductCategorySnapshot__Name", "Name")]),
-        "model": scd_time_range(h, s.model, [("ProductModelID", "ProductModelID"), ("ProductModelSnapshot__Name", "Name")]),
-        "subcategory": scd_time_range(h, s.subcategory, [("ProductSubcategoryID", "ProductSubcategoryID"),
-                                                         ("ProductSubcategorySnapshot__Name", "Name"),
-                                                         ("ProductSubcategorySnapshot__ProductCategoryID", "ProductCategoryID")]),
-    }
+    h = materialize(mart.product_history(s), "product_history")
+    if seed:
+        early = F.col("valid_from") - F.expr("INTERVAL 1 DAY")
+        h = h.withColumn("valid_from", F.when(F.col("ProductID") % 50 == 0, early).otherwise(F.col("valid_from")))
     out = None
-    for name, df in checks.items():
-        part = df.select(F.lit(name).alias("check_name"), "ProductID", "valid_from", "valid_to")
+    for name, on in SCD_RANGES.items():
+        part = scd_time_range(h, getattr(s, name), on).select(F.lit(name).alias("check_name"), "ProductID", "valid_from", "valid_to")
         out = part if out is None else out.unionByName(part)
     return out

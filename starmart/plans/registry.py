@@ -234,18 +234,18 @@ def q_check_accepted_range(spark, d):
     return out
 
 
-@register("check_scd_time_range", O.with_ctes(["product_history", "snap_category", "snap_model", "snap_subcategory"], """
-    SELECT 'category' AS check_name, h.ProductID, h.valid_from, h.valid_to FROM product_history h
+@register("check_scd_time_range", O.with_ctes(["seeded", "snap_category", "snap_model", "snap_subcategory"], """
+    SELECT 'category' AS check_name, h.ProductID, h.valid_from, h.valid_to FROM seeded h
       WHERE h.ProductSubcategorySnapshot__ProductCategoryID IS NOT NULL AND h.ProductCategorySnapshot__Name IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM snap_category s WHERE s.ProductCategoryID = h.ProductSubcategorySnapshot__ProductCategoryID
                         AND s.Name = h.ProductCategorySnapshot__Name AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)
     UNION ALL
-    SELECT 'model', h.ProductID, h.valid_from, h.valid_to FROM product_history h
+    SELECT 'model', h.ProductID, h.valid_from, h.valid_to FROM seeded h
       WHERE h.ProductModelID IS NOT NULL AND h.ProductModelSnapshot__Name IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM snap_model s WHERE s.ProductModelID = h.ProductModelID
                         AND s.Name = h.ProductModelSnapshot__Name AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)
     UNION ALL
-    SELECT 'subcategory', h.ProductID, h.valid_from, h.valid_to FROM product_history h
+    SELECT 'subcategory', h.ProductID, h.valid_from, h.valid_to FROM seeded h
       WHERE h.ProductSubcategoryID IS NOT NULL AND h.ProductSubcategorySnapshot__Name IS NOT NULL
         AND h.ProductSubcategorySnapshot__ProductCategoryID IS NOT NULL
         AND NOT EXISTS (SELECT 1 FROM snap_subcategory s WHERE s.ProductSubcategoryID = h.ProductSubcategoryID
@@ -253,12 +253,14 @@ def q_check_accepted_range(spark, d):
                         AND s.ProductCategoryID = h.ProductSubcategorySnapshot__ProductCategoryID
                         AND s.valid_from <= h.valid_from AND s.valid_to >= h.valid_to)"""))
 def q_check_scd_time_range(spark, d):
-    return Q.scd_audit(spark, d)
+    return Q.scd_audit(spark, d, seed=True)
 
 
 _SUITE_TABLE_CTES = {"header": "raw_header", "detail": "raw_detail", "territory": "raw_territory",
                      "product_latest": "product_latest", "subcategory": "raw_subcategory", "category": "raw_category",
-                     "dim_product": "dim_product", "dim_date": "dim_date", "dim_territory": "dim_territory", "fact": "fact_full"}
+                     "dim_product": "dim_product", "dim_date": "dim_date", "dim_territory": "dim_territory", "fact": "fact_full",
+                     "product_history": "product_history", "snap_category": "snap_category", "snap_model": "snap_model",
+                     "snap_subcategory": "snap_subcategory"}
 
 
 def _suite_sql() -> str:
@@ -326,10 +328,12 @@ def q_fact_upsert(spark, d):
     return mart.fact_incremental(m.sales, _target_by_order_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts())
 
 
-@register("fact_late_arrival_replay", _incremental_sql(f"ModifiedDate < TIMESTAMP '{REPLAY_LOADED_BEFORE}'", "SELECT * FROM merged"))
+# The replay has to end where a full load ends, so that is its oracle.
+@register("fact_late_arrival_replay", O.with_ctes(["fact_full"], "SELECT * FROM fact_full"))
 def q_fact_late_arrival_replay(spark, d):
     m = mart.build_mart(spark, d)
-    return mart.fact_incremental(m.sales, _target_by_ship_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts())
+    return mart.fact_incremental(m.sales, _target_by_ship_date(m), m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts(),
+                                 arrived_since=F.lit(REPLAY_LOADED_BEFORE).cast("timestamp_ntz"))
 
 
 # --- market baskets and association rules (O-9, O-14, O-16, O-24 .. O-27, O-31, O-36, O-46) ---
@@ -458,7 +462,7 @@ def q_rules_append_idempotent(spark, d):
 
 
 ITEMSET_MIN_SUPPORT = 0.01
-MULTI_RULES_MIN_SUPPORT = 0.9
+MULTI_RULES_MIN_SUPPORT = 0.05   # of the orders of a scope: both this and the confidence leave rules out
 
 
 @register("frequent_itemsets", O.itemsets_sql("ProductName", "SalesOrderID", ITEMSET_MIN_SUPPORT))
@@ -471,9 +475,9 @@ def q_frequent_itemsets(spark, d):
 
 
 # Rules with several items per side from FP-growth itemsets; the oracle enumerates item bitmasks.
-@register("multi_item_rules", O.multi_rules_sql("ProductType", "CustomerID", MULTI_RULES_MIN_SUPPORT))
+@register("multi_item_rules", O.multi_rules_sql("ProductType", "SalesOrderID", MULTI_RULES_MIN_SUPPORT))
 def q_multi_item_rules(spark, d):
-    items = MI.customer_items(spark, d, "ProductType")
+    items = B.scoped_items(MI.mining_lines(spark, d, load_ts()), "SalesOrderID", "ProductType", "TerritoryID")
     sets = RU.frequent_itemsets(items, MULTI_RULES_MIN_SUPPORT)
     rules = RU.multi_item_rules(sets)
     return rules.select(B.output_scope(), F.array_join("antecedents", ", ").alias("antecedents"),
