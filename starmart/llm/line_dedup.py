@@ -179,7 +179,8 @@ def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     names = df.columns
     wide = df.select(F.struct(*[F.col(c) for c in names]).alias("row"))
     row_id, row_text = F.col("row").getField(id_col), F.col("row").getField(text_col)
-    wide = wide.join(gone, F.xxhash64(row_text).eqNullSafe(F.col("gone_key")) & row_id.eqNullSafe(F.col("gone_id")), "left")
+    # Always by a shuffle of the texts: the ranges grow with the corpus, and one plan holds at every size.
+    wide = wide.join(gone.hint("merge"), F.xxhash64(row_text).eqNullSafe(F.col("gone_key")) & row_id.eqNullSafe(F.col("gone_id")), "left")
     wide = wide.select("row", cut(F.when(F.col("ranges").isNotNull(), row_text), "ranges").alias("cut"))
     new_text = F.when(F.col("cut").isNotNull(), F.col("cut.text")).otherwise(row_text)
     return wide.select(*[new_text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names],
