@@ -9,16 +9,20 @@ smallest hash that are within the threshold of the group's first node (checked e
 of a group are linked through its first node, so a group is a unit; a group of copies or near copies
 costs one group per batch, not one row per document.
 
-Candidates, without loss.  Sort a set by hash.  If two sets reach the threshold, at most D = n / 4 of
-their joint hashes are in one of them only, so among the first 2 D + 2 joint hashes two neighbours
-are in both sets, and are neighbours there.  Hence similar sets share a *signature*: the hash of two
-neighbouring hashes within the first 2 (n // 4) + 2.  Passages that many documents share give few
-equal signatures, since the documents' other hashes fall in between.  A group has the signatures of
-all its members, once.  One exchange brings equal signatures together; those of one group only, by
-far most, end there.
-
-Links.  1. Each group with a shared signature is compared with the smallest group of the signature
-(first node against first node).  2. What is still in different components and shares a signature
+Candidates, without loss.  Sort the joint hashes of two sets of the threshold; of N hashes at most
+D = N / 5 are in one set only, so the first r (D + 1) hold r neighbours that are in both sets, and
+are neighbours there too, if r (D + 1) <= N.  Hence the sets share a *signature*: the hash of r
+neighbouring hashes within the first r (n // 4 + 1) of a set of size n.  r is 4 below
+:data:`LONG_SET` shingles (3 and 2 for the smallest sets), where common lines make up much of a set
+and only long runs tell documents apart, and 2 from there on; the smaller set of a pair decides, so
+a larger one has the signatures for each size that its partner may have.  Passages that many
+documents share give few equal signatures, since the documents' other hashes fall in between.  A
+group has the signatures of all its members, once.  One exchange brings equal signatures together;
+those of one group only, by far most, end there.
+
+Links.  1. Each group with a shared signature is compared with a head group of the signature (first
+node against first node), in a few rounds with other heads each, for groups that are still in
+different components.  2. What is still in different components and shares a signature
 goes through the token-group matrix: rows (group, token) hold the union of each group's tokens; a
 query node's overlap with the union bounds its overlap with any member, and only groups whose bound
 reaches the threshold are opened and their members compared.  Together these are all links between
@@ -52,6 +56,10 @@ THRESHOLD = 80
 #: First nodes of a batch's groups with the same smallest hash that a document is compared with; it
 #: opens a group of its own beyond that, which costs time later, no link.
 FIRST_NODES = 4
+#: Sets from this size on have signatures of two hashes.
+LONG_SET = 512
+#: Rounds of comparisons with one head per signature, at most; what they leave is compared in full.
+ROUNDS = 6
 #: Rows of an exchange partition, on average.
 PART_ROWS = 2_000_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -77,9 +85,27 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(x.view(np.int64))
 
 
+def run_length(n: int) -> int:
+    """How many neighbouring hashes make a signature if the smaller set has ``n``; sets of three are similar only if equal."""
+    return 0 if n < 4 else 2 if n < 6 else 3 if n < 16 else 4 if n < LONG_SET else 2
+
+
 def signatures(tokens: np.ndarray) -> np.ndarray:
-    first = tokens[: 2 * (len(tokens) // 4) + 2].view(np.uint64)
-    return _mix(first[:-1], first[1:]).view(np.int64) if len(first) > 1 else np.empty(0, np.int64)
+    n, out = len(tokens), [np.empty(0, np.int64)]
+    smallest = -(-THRESHOLD * n // 100)
+    for r in {run_length(s) for s in (smallest, n, 4, 6, 16, LONG_SET) if smallest <= s <= n} - {0}:
+        first = tokens[: r * (n // 4 + 1)].view(np.uint64)
+        x = np.full(max(0, len(first) - r + 1), r, np.uint64)
+        for k in range(r):
+            x = _mix(x, first[k : k + len(x)])
+        out.append(x.view(np.int64))
+    return np.concatenate(out)
+
+
+def parity_bits(tokens: np.ndarray) -> list[int]:
+    """256 bits in four longs: whether an odd number of hashes falls on each.  Where two sets differ in d hashes, at most d bits do."""
+    odd = (np.bincount(tokens.view(np.uint64) & np.uint64(255), minlength=256) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -89,9 +115,9 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
 
 
-def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, dict[int, list[np.ndarray]]]:
-    """Per text size, node and group (None without shingles); per group its members' signatures."""
-    sizes, nodes, groups, own = [], [], [], {}
+def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
+    """Per text size, node, parity bits and group (None without shingles); per group its members' signatures."""
+    sizes, nodes, bits, groups, own = [], [], [], [], {}
     first: dict[int, list[tuple[int, np.ndarray]]] = {}  # by smallest hash
     seen: dict[int, int] = {}
     for text in texts:
@@ -99,6 +125,7 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, dict[int,
         sizes.append(len(tokens))
         if not len(tokens):
             nodes.append(None)
+            bits.append([None] * 4)
             groups.append(None)
             continue
         node = int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes())).view(np.int64))
@@ -113,19 +140,22 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, dict[int,
             seen[node] = group
             own.setdefault(group, []).append(signatures(tokens))
         nodes.append(node)
+        bits.append(parity_bits(tokens))
         groups.append(group)
-    return sizes, nodes, groups, own
+    return sizes, nodes, bits, groups, own
 
 
 def _keyed_rows(docs: DataFrame) -> DataFrame:
     """Two kinds of rows: (signature, group, null) and (any key, group, document)."""
-    doc_type = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), T.StructField("n", T.LongType()), T.StructField("node", T.LongType())])
+    names = ["doc_id", "n", "node", "b0", "b1", "b2", "b3"]
+    doc_type = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(c, T.LongType()) for c in names[1:]]])
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("doc", doc_type)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            sizes, nodes, groups, own = _grouped_batch(rb.column("txt").to_pylist())
-            doc = pa.StructArray.from_arrays([rb.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n", "node"])
+            sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist())
+            doc = pa.StructArray.from_arrays(
+                [rb.column("doc_id"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
             kind = doc.type
             spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(groups, pa.int64()), doc], ["key", "grp", "doc"])
@@ -140,8 +170,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """Document rows as they are; of the signatures those of two groups or more, each group once, with the smallest group."""
-    schema = T.StructType([*rows.schema.fields, T.StructField("head", T.LongType())])
+    """Document rows as they are; of the signatures those of two groups or more, each group once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, of, kind = [], [], None
@@ -150,7 +179,7 @@ def _shared(rows: DataFrame) -> DataFrame:
             kind, is_sig = doc.type, doc.is_null()
             docs = rb.filter(pc.invert(is_sig))
             if docs.num_rows:
-                yield pa.RecordBatch.from_arrays([*docs.columns, pa.nulls(docs.num_rows, pa.int64())], ["key", "grp", "doc", "head"])
+                yield docs
             sig = rb.filter(is_sig)
             keys.append(sig.column("key").to_numpy(zero_copy_only=False))
             of.append(sig.column("grp").to_numpy(zero_copy_only=False))
@@ -165,18 +194,18 @@ def _shared(rows: DataFrame) -> DataFrame:
         key, grp = key[new], grp[new]
         start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
         count = np.diff(np.append(start, len(key)))
-        head, many = np.repeat(grp[start], count), np.repeat(count > 1, count)
-        key, grp, head = key[many], grp[many], head[many]
+        many = np.repeat(count > 1, count)
+        key, grp = key[many], grp[many]
         for at in range(0, len(key), 200_000):
             cut = slice(at, at + 200_000)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key[cut]), pa.array(grp[cut]), pa.nulls(len(key[cut]), kind), pa.array(head[cut])], ["key", "grp", "doc", "head"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[cut]), pa.array(grp[cut]), pa.nulls(len(key[cut]), kind)], ["key", "grp", "doc"])
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def _token_sets(docs: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node``, ``tokens`` of the wanted nodes, from one document of each; only ids are broadcast, if few."""
+    """``node``, ``tokens`` of the wanted nodes, from one document of each (a repeated id gives repeated
+    rows); only ids are broadcast, if few."""
     wanted = members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     wanted = materialize(wanted.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct(), "jaccard_wanted")
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
@@ -191,59 +220,92 @@ def _token_sets(docs: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), tokens], ["node", "tokens"])
 
     texts = docs.join(small(wanted), "doc_id", "left_semi").union(docs.filter(F.col("doc_id").isNull())).select(F.col("text").alias("txt"))
-    return materialize(texts.mapInArrow(run, schema).dropDuplicates(["node"]), "jaccard_tokens")
+    return materialize(texts.mapInArrow(run, schema), "jaccard_tokens")
 
 
 def _reaches(common: Column, a: Column, b: Column) -> Column:
     return 100 * common >= THRESHOLD * (a + b - common)
 
 
-def _verified(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold, written."""
-    left = tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
-    right = tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    sized = pairs.join(left, "a").join(right, "b").select(
-        "a", "b", F.size("ta").alias("na"), F.size("tb").alias("nb"), F.size(F.array_intersect("ta", "tb")).alias("common"))
-    return materialize(sized, "jaccard_pairs").filter(_reaches(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b")
-
-
-def _open_groups(shared: DataFrame, members: DataFrame, roots: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links between nodes of different components, through the token-group matrix."""
+def _verified(pairs: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the threshold, written.  Sizes and parity bits leave out,
+    without loss, most of those that don't before the sets themselves are moved."""
+    left, right = (info.select([F.col(c).alias(c + side) for c in ("node", "n", "b0", "b1", "b2", "b3")]) for side in "ab")
+    sized = pairs.join(left, F.col("a") == F.col("nodea")).join(right, F.col("b") == F.col("nodeb"))
+    differ = sum((F.bit_count(F.col(f"b{k}a").bitwiseXOR(F.col(f"b{k}b"))) for k in range(1, 4)), F.bit_count(F.col("b0a").bitwiseXOR(F.col("b0b"))))
+    total = F.col("na") + F.col("nb")
+    likely = (100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")) & ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * total)
+    sized = materialize(sized.filter(likely).select("a", "b", "na", "nb").distinct(), "jaccard_likely")
+    compared = sized.select(F.col("a").alias("node")).union(sized.select(F.col("b").alias("node"))).distinct()
+    tokens = tokens.join(small(materialize(compared, "jaccard_compared")), "node", "left_semi")
+    sets = sized.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
+    sets = sets.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
+    sets = sets.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
+    return materialize(sets, "jaccard_pairs").filter(_reaches(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b").distinct()
+
+
+def _split_signatures(shared: DataFrame, roots: DataFrame) -> DataFrame:
+    """``key``, ``grp``, ``comp`` of the signatures whose groups are in several components, written."""
     labelled = shared.join(roots, shared["grp"] == roots["node"], "left").select("key", "grp", F.coalesce("root", "grp").alias("comp"))
     spread = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    labelled = materialize(labelled.join(spread, "key"), "jaccard_split_signatures")
+    return materialize(labelled.join(spread, "key"), "jaccard_split_signatures")
+
+
+def _star_rounds(shared: DataFrame, links: DataFrame, info: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Compares each group with one head per signature, another one in each round, as long as that
+    joins components.  A large group of near copies, of which any two need not be links, becomes one
+    component in a few rounds of linear size.  Returns the signatures still split, and the roots."""
+    roots = connected_components(links, "a", "b")
+    for turn in range(ROUNDS):
+        shared = _split_signatures(shared, roots)
+        lots = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("grp", F.lit(turn)).alias("lot"), "grp", "comp")).alias("head"))
+        pairs = shared.join(lots, "key").filter(F.col("comp") != F.col("head.comp"))
+        found = _verified(pairs.select(F.col("grp").alias("a"), F.col("head.grp").alias("b")).distinct(), info, tokens)
+        if found.isEmpty():
+            break
+        roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
+    return shared.select("key", "grp"), roots
+
+
+def _open_groups(shared: DataFrame, members: DataFrame, roots: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Links between nodes of different components, through the token-group matrix.
+
+    A group of one node is its own union: its bound is the overlap itself, so it is compared at once."""
+    labelled = _split_signatures(shared, roots)
     x, y = labelled.alias("x"), labelled.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") < F.col("y.grp")) & (F.col("x.comp") != F.col("y.comp")))
-    pairs = materialize(pairs.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct(), "jaccard_group_pairs")
+    pairs = pairs.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
+    alone = members.groupBy("grp").agg(F.min("node").alias("only"), F.count(F.lit(1)).alias("n"))
+    queries = pairs.join(members.select(F.col("grp").alias("g"), F.col("node").alias("a")), "g")
+    queries = materialize(queries.join(alone.withColumnRenamed("grp", "h"), "h").select("a", F.col("h").alias("grp"), "only", "n").distinct(), "jaccard_queries")
 
-    matrix = members.join(pairs.select(F.col("h").alias("grp")).distinct(), "grp").join(tokens, "node")
-    matrix = matrix.select("grp", F.explode("tokens").alias("token")).distinct()
-    queries = pairs.join(members.withColumnRenamed("grp", "g").withColumnRenamed("node", "a"), "g").select("a", F.col("h").alias("grp")).distinct()
-    asked = queries.join(tokens.withColumnRenamed("node", "a"), "a").select("a", "grp", F.size("tokens").alias("na"), F.explode("tokens").alias("token"))
-    bound = asked.join(matrix, ["grp", "token"]).groupBy("a", "grp", "na").agg(F.count(F.lit(1)).alias("bound"))
-    opened = bound.filter(100 * F.col("bound") >= THRESHOLD * F.col("na")).select("a", "grp")
-    return _verified(opened.join(members.withColumnRenamed("node", "b"), "grp").select("a", "b").distinct(), tokens)
+    several = queries.filter("n > 1").select("a", "grp")
+    matrix = members.join(several.select("grp").distinct(), "grp").join(tokens, "node").select("grp", F.explode("tokens").alias("token")).distinct()
+    asked = several.join(tokens.withColumnRenamed("node", "a"), "a").select("a", "grp", F.size("tokens").alias("na"), F.explode("tokens").alias("token"))
+    bound = asked.join(matrix, ["grp", "token"]).groupBy("a", "grp", "na").agg(F.count_distinct("token").alias("bound"))
+    opened = bound.filter(100 * F.col("bound") >= THRESHOLD * F.col("na")).select("a", "grp").join(members, "grp").select("a", F.col("node").alias("b"))
+    single = queries.filter("n = 1").select("a", F.col("only").alias("b"))
+    return _verified(single.union(opened).distinct(), info, tokens)
 
 
 def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) per row."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # About one signature for 14 bytes of text; equal signatures meet in partitions of a bounded size.
+    # About one signature for 10 bytes of text; equal signatures meet in partitions of a bounded size.
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // (14 * PART_ROWS))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // (10 * PART_ROWS))
     rows = materialize(_shared(_keyed_rows(docs).repartition(parts, "key")), "jaccard_rows")
     each = rows.filter(F.col("doc").isNotNull()).select("doc.doc_id", "doc.n", "doc.node", "grp")
-    shared = rows.filter(F.col("doc").isNull()).select("key", "grp", "head")
+    shared = rows.filter(F.col("doc").isNull()).select("key", "grp")
 
-    heads = shared.filter("grp != head").select(F.col("grp").alias("a"), F.col("head").alias("b")).distinct()
-    heads = materialize(heads, "jaccard_heads")
     touched = shared.select("grp").distinct()
     members = materialize(each.join(touched, "grp").select("grp", "node").distinct(), "jaccard_members")
     tokens = _token_sets(docs, each.filter(F.col("node").isNotNull()).select("node", "doc_id"), members.select("node").distinct())
     inside = each.filter("node != grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
-    links = inside.union(_verified(heads, tokens))
-    roots = connected_components(links, "a", "b")
-    more = _open_groups(shared, members, roots, tokens)
+    info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.b0", "doc.b1", "doc.b2", "doc.b3")
+    info = materialize(info.join(members.select("node").distinct(), "node", "left_semi").distinct(), "jaccard_info")
+    shared, roots = _star_rounds(shared, inside, info, tokens)
+    more = _open_groups(shared, members, roots, info, tokens)
     roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "a", "b")
 
     least = each.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
