@@ -105,10 +105,8 @@ def upsert_to_path(
     on_duplicate: str = "replace",
     order: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Upsert into a Parquet table, copy-on-write: the new state goes to ``new_path`` (never the
-    path being read), optionally partitioned by ``partition_col`` (e.g. :func:`month_partition`)
-    so later look-back reads prune to a few partitions.  Plain Parquet has no MERGE; a table
-    format with one (not installed here) would rewrite only the touched partitions."""
+    """Upsert into a Parquet table, copy-on-write: the whole new state goes to ``new_path`` (never the
+    path being read).  :func:`upsert_partitions` rewrites the touched partitions only."""
     target = spark.read.parquet(target_path)
     state = upsert(target, batch, keys, on_duplicate, order)
     if partition_col is None:
@@ -116,3 +114,38 @@ def upsert_to_path(
     else:
         state.write.mode("overwrite").partitionBy(partition_col).parquet(new_path)
     return spark.read.parquet(new_path)
+
+
+def upsert_partitions(
+    spark,
+    path: str,
+    batch: DataFrame,
+    keys: Sequence[str],
+    partition_col: str,
+    on_duplicate: str = "replace",
+    order: Sequence[str] | None = None,
+) -> DataFrame:
+    """Upsert into a partitioned Parquet table in place, rewriting touched partitions only.
+
+    Touched are the partitions of the batch and those that hold rows with the batch's keys, so a row
+    that moves to another partition leaves its old one.  Their new state is written aside first and
+    then swapped in by dynamic partition overwrite; a partition that ends up empty is deleted.  All
+    other partitions keep their files.  The partition values of one batch (months) are few and are
+    the only thing that reaches the driver."""
+    from ..session import materialize
+
+    batch = materialize(batch, "upsert_batch")
+    target = spark.read.parquet(path)
+    if not target.columns:
+        raise ValueError(f"no table at {path}")
+    moved = target.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    touched = [r[0] for r in batch.select(partition_col).union(moved).distinct().collect()]
+    state = upsert(target.filter(F.col(partition_col).isin(touched)), batch, keys, on_duplicate, order)
+    state = materialize(state, "upsert_state")
+    filled = {r[0] for r in state.select(partition_col).distinct().collect()}
+    writer = state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+    writer.parquet(path)
+    for value in set(touched) - filled:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.parquet(path)

@@ -16,7 +16,7 @@ from ..operators.history import OPEN_END, open_end, scd2_from_raw
 from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import pit_join, temporal_join
-from ..operators.upsert import arrived_orders, lookback_window, upsert
+from ..operators.upsert import arrived_orders, lookback_window, upsert, upsert_partitions, write_clustered
 from ..session import materialize
 from ..sources.catalog import source
 
@@ -177,6 +177,22 @@ def fact_incremental(
     return upsert(target, batch, FACT_KEYS, on_duplicate="replace")
 
 
+FACT_PARTITION = "OrderMonth"
+
+
+def load_fact(spark: SparkSession, path: str, new_records: DataFrame, dim_prod: DataFrame, dim_terr: DataFrame,
+              arrived_since: Column | None = None, load_ts: Column | None = None) -> DataFrame:
+    """One run of the stored fact table, partitioned by order month: a first load without
+    ``arrived_since``, else the orders that arrived since, of which only the months are rewritten."""
+    rows = new_records if arrived_since is None else arrived_orders(new_records, "ModifiedDate", arrived_since)
+    month = F.floor(F.col("OrderDateKey") / 100).cast("int").alias(FACT_PARTITION)
+    batch = fact_sales(rows, dim_prod, dim_terr, load_ts).select("*", month)
+    if arrived_since is None:
+        write_clustered(batch, path, ["ProductKey", "SalesOrderID"], [FACT_PARTITION])
+        return spark.read.parquet(path)
+    return upsert_partitions(spark, path, batch, FACT_KEYS, FACT_PARTITION)
+
+
 __all__ = [
     "OPEN_END",
     "build_mart",

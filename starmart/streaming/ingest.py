@@ -3,9 +3,12 @@
 A file source picks up new Parquet files of a replicated table (the file source's own log plays
 the role of the sync cursor), ``trigger(availableNow=True)`` processes everything that has
 arrived and stops, and ``foreachBatch`` merges each micro-batch into a latest-per-key state table.
-The state is a Parquet table partitioned by micro-batch id: a batch reads the newest earlier
-partition, merges, and overwrites its own partition, so a replayed batch (after a failure before
-the checkpoint commit) rewrites the same partition and the result stays exactly-once.
+
+The state is a Parquet table partitioned by key bucket and micro-batch id.  A batch reads the newest
+earlier version of the buckets that it touches, merges, and writes a new version of these buckets
+only.  A replayed batch (after a failure before the checkpoint commit) starts from the same earlier
+versions and overwrites its own, so the result stays exactly-once.  Of each bucket the newest
+version and the one before it (which a replay needs) are kept, older ones are deleted.
 """
 
 from __future__ import annotations
@@ -16,13 +19,56 @@ from pyspark.sql import types as T
 
 from ..operators.history import latest_per_key
 
-EPOCH = "_epoch"
+EPOCH, BUCKET = "_epoch", "_bucket"
+BUCKETS = 64
+
+
+def _versions(state: DataFrame) -> DataFrame:
+    return state.select(BUCKET, EPOCH).distinct()
 
 
 def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """Newest state: the partition with the highest micro-batch id (a scalar subquery)."""
+    """Newest version of each bucket (bucket and version come from the partition folders)."""
     st = spark.read.parquet(state_root)
-    return st.filter(F.col(EPOCH) == st.agg(F.max(EPOCH)).scalar()).drop(EPOCH)
+    newest = st.groupBy(BUCKET).agg(F.max(EPOCH).alias(EPOCH))
+    return st.join(F.broadcast(newest), [BUCKET, EPOCH], "left_semi").drop(BUCKET, EPOCH)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def merge_batch(batch: DataFrame, epoch_id: int, key: str, cursor: str, tiebreak: str | None, state_root: str, buckets: int = BUCKETS) -> None:
+    """Merge one micro-batch into the touched buckets of the state and drop versions that no replay needs."""
+    from ..session import materialize
+
+    spark, root = batch.sparkSession, state_root.rstrip("/")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    combined = materialize(latest_per_key(batch, key, cursor, tiebreak).withColumn(BUCKET, bucket), "stream_batch")
+    touched = [r[0] for r in combined.select(BUCKET).distinct().collect()]
+    if not touched:
+        return
+    old: list = []
+    if _exists(spark, root):
+        earlier = spark.read.parquet(root).filter(F.col(BUCKET).isin(touched) & (F.col(EPOCH) < epoch_id))
+        old = sorted((r[BUCKET], r[EPOCH]) for r in _versions(earlier).collect())
+        newest = dict(old)
+        if newest:
+            pick = F.concat_ws("/", F.col(BUCKET), F.col(EPOCH)).isin([f"{b}/{e}" for b, e in newest.items()])
+            combined = combined.unionByName(earlier.filter(pick).drop(EPOCH))
+    merged = latest_per_key(combined, [BUCKET, key], cursor, tiebreak).withColumn(EPOCH, F.lit(epoch_id))
+    writer = merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, EPOCH)
+    writer.parquet(root)
+    last = dict(old)
+    for b, e in old:
+        if e != last[b]:
+            _delete(spark, f"{root}/{BUCKET}={b}/{EPOCH}={e}")
 
 
 def ingest_latest_per_key(
@@ -43,19 +89,7 @@ def ingest_latest_per_key(
     source = stream.parquet(source_path)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        sess = batch.sparkSession
-        try:
-            prev_all = sess.read.parquet(state_root)
-            prev = prev_all.filter(F.col(EPOCH) < F.lit(epoch_id))
-            newest = prev.agg(F.max(EPOCH)).scalar()
-            prev = prev.filter(F.col(EPOCH) == newest).drop(EPOCH)
-            combined = prev.unionByName(batch)
-        except Exception as e:  # no state yet
-            if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            combined = batch
-        latest = latest_per_key(combined, key, cursor, tiebreak)
-        latest.write.mode("overwrite").parquet(f"{state_root.rstrip('/')}/{EPOCH}={epoch_id}")
+        merge_batch(batch, epoch_id, key, cursor, tiebreak, state_root)
 
     query = (
         source.writeStream.foreachBatch(merge)
