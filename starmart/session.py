@@ -60,6 +60,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
+# (application, path) of the intermediate tables written so far.
+_WRITTEN: list[tuple[str, str]] = []
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 
@@ -71,10 +75,27 @@ def materialize(df, name: str):
 
     spark = df.sparkSession
     path = scratch_path(spark, f"tables/{name}-{uuid.uuid4().hex[:12]}")
+    _WRITTEN.append((spark.sparkContext.applicationId, path))
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def release_scratch(spark) -> int:
+    """Delete the intermediate tables that this application has written so far and return their number.
+
+    Call it when a run's results are stored; results are lazy, so their inputs must stay until then.
+    Tables that are kept for later runs of the session (the part ids) are written again when needed."""
+    from .sources import catalog
+
+    mine = [p for app, p in _WRITTEN if app == spark.sparkContext.applicationId]
+    for path in mine:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _WRITTEN[:] = [(app, p) for app, p in _WRITTEN if app != spark.sparkContext.applicationId]
+    catalog.forget_ids()
+    return len(mine)
+
+
 def cluster_settings(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Session settings sized for a cluster run over ``input_bytes`` of Parquet.
 

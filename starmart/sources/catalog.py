@@ -91,11 +91,12 @@ _ID_TABLES: dict[tuple[str, str], tuple[DataFrame, DataFrame, DataFrame]] = {}
 
 
 def _part_ids(spark: SparkSession, root: str):
-    """Category / subcategory / model ids of the part table, written once per session and root."""
+    """Category / subcategory / model ids of the part table, written once per session and state of its files."""
     from ..session import materialize
 
     p = table(spark, root, "part")
-    key = (spark.sparkContext.applicationId, root)
+    files = p.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct().collect()
+    key = (spark.sparkContext.applicationId, str(sorted(map(tuple, files))))
     cached = _ID_TABLES.get(key)
     if cached is None or any(df.sparkSession is not spark for df in cached):
         _ID_TABLES[key] = (
@@ -107,6 +108,10 @@ def _part_ids(spark: SparkSession, root: str):
     return p, cat, sub, model
 
 
+def forget_ids() -> None:
+    _ID_TABLES.clear()
+
+
 def product_category(spark: SparkSession, root: str) -> DataFrame:
     _, cat, _, _ = _part_ids(spark, root)
     return cat.select("ProductCategoryID", F.col("p_type").alias("Name"), _ts(REFERENCE_START).alias("ModifiedDate"))

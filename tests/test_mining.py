@@ -31,57 +31,86 @@ def _random_lines(seed=1, n_baskets=120, hot_basket_items=12):
     return rows
 
 
-def _brute_adaptive(rows, max_rules=35, floor=0.01, min_conf=0.65):
-    """Plain-Python emulation of the retry loop, per scope (None = all territories)."""
-    scopes = {}
-    for terr, b, it, _ in rows:
-        for s in (terr, None):
-            scopes.setdefault(s, {}).setdefault(b, set()).add(it)
+def _scope_baskets(rows):
+    """Baskets as item sets, per territory and (None) over all."""
     out = {}
-    for s, bs in scopes.items():
-        n = len(bs)
-        items = sorted({i for v in bs.values() for i in v})
-        cnt = {i: sum(i in v for v in bs.values()) for i in items}
-        pairs = {}
-        for v in bs.values():
-            for a, c in itertools.combinations(sorted(v), 2):
-                pairs[(a, c)] = pairs.get((a, c), 0) + 1
-        n_items = len(items)
-        n_avg = sum(cnt.values()) / n_items
-        max_sup = max(cnt.values()) / n
-        m = max_sup * (1 - math.pow(1 / math.sqrt(math.pow(2, n_items) - 1), 1 / n_avg)) if n_items > 1 else 0.0
-        if m < floor:
-            m = floor
-        tries, result = 5, None
-        while m >= floor and tries > 0:
-            need = math.ceil(m * n)
-            rules = []
-            for (a, c), pc in pairs.items():
-                if pc < need:
-                    continue
-                for x, y in ((a, c), (c, a)):
-                    conf = (pc / n) / (cnt[x] / n)
-                    if conf >= min_conf:
-                        rules.append((-(pc / n), -(conf / (cnt[y] / n)), x, y))
-            result = sorted(rules)[:max_rules]
-            if len(result) > int(0.8 * max_rules):
-                break
-            m *= 0.75
-            tries -= 1
-        out[s] = sorted((x, y) for _, _, x, y in result)
-    return out
-
-
-def test_adaptive_rules_equal_retry_loop(spark):
+    for territory, basket, item, _ in rows:
+        for scope in (territory, None):
+            out.setdefault(scope, {}).setdefault(basket, set()).add(item)
+    return {scope: list(b.values()) for scope, b in out.items()}
+
+
+def _level_table(baskets, floor=0.01):
+    """The supports a scope may use: five of them, each three quarters of the one before, from the
+    statistic of the specification down to the floor; the floor alone if that lies below it."""
+    n, pairs = len(baskets), sum(map(len, baskets))
+    items = set().union(*baskets)
+    biggest = max(sum(i in b for b in baskets) for i in items) / n
+    start = biggest * (1 - (2.0 ** len(items) - 1) ** (-0.5 * len(items) / pairs)) if len(items) > 1 else 0.0
+    return [s for s in (max(start, floor) * 0.75**k for k in range(5)) if s >= floor] or [floor]
+
+
+def _all_rules(baskets, largest, least_count, min_confidence=0.65):
+    """{(antecedent, consequent): (itemset count, lift)} by enumeration of item subsets."""
+    n = len(baskets)
+    count = {}
+    for size in range(1, largest + 1):
+        for s in itertools.combinations(sorted(set().union(*baskets)), size):
+            c = sum(b.issuperset(s) for b in baskets)
+            if c >= least_count:
+                count[s] = c
+    found = {}
+    for s, c in count.items():
+        for k in range(1, len(s)):
+            for a in itertools.combinations(s, k):
+                rest = tuple(x for x in s if x not in a)
+                confidence = (c / n) / (count[a] / n)
+                if confidence >= min_confidence:
+                    found[a, rest] = (c, confidence / (count[rest] / n))
+    return found
+
+
+def _expected_rules(rows, max_rules, largest=2):
+    out = {}
+    for scope, baskets in _scope_baskets(rows).items():
+        needs = [math.ceil(s * len(baskets)) for s in _level_table(baskets)]
+        rules = _all_rules(baskets, largest, needs[-1])
+        by_level = [[r for r, (c, _) in rules.items() if c >= need] for need in needs]
+        full = [q for q in by_level if min(len(q), max_rules) > int(0.8 * max_rules)]
+        chosen = full[0] if full else by_level[-1]
+        out[scope] = sorted(sorted(chosen, key=lambda r: (-rules[r][0], -rules[r][1], r))[:max_rules])
+    return {scope: r for scope, r in out.items() if r}
+
+
+def test_adaptive_rules_by_level_table(spark):
     for seed in (1, 2):
         rows = _random_lines(seed)
         items = B.scoped_items(_lines(spark, rows), "basket", "item", "TerritoryID")
         for max_rules in (35, 6):
             got = {}
             for r in RU.adaptive_rules(items, max_rules=max_rules, cell_items=3).select(B.output_scope(), "antecedent", "consequent").collect():
-                got.setdefault(r.territory_id, []).append((r.antecedent, r.consequent))
-            exp = _brute_adaptive(rows, max_rules)
-            assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in exp.items() if v}, (seed, max_rules)
+                got.setdefault(r.territory_id, []).append(((r.antecedent,), (r.consequent,)))
+            assert {k: sorted(v) for k, v in got.items()} == _expected_rules(rows, max_rules), (seed, max_rules)
+
+
+def test_adaptive_multi_item_rules_by_level_table(spark):
+    rows = [r for r in _random_lines(4, n_baskets=60, hot_basket_items=7) if r[2] < "i09"]
+    items = B.scoped_items(_lines(spark, rows), "basket", "item", "TerritoryID")
+    got = {}
+    for r in RU.adaptive_multi_item_rules(items, max_rules=20).select(B.output_scope(), "antecedents", "consequents").collect():
+        got.setdefault(r.territory_id, []).append((tuple(r.antecedents), tuple(r.consequents)))
+    want = _expected_rules(rows, 20, largest=9)
+    assert {k: sorted(v) for k, v in got.items()} == want and any(len(a) + len(c) > 2 for r in want.values() for a, c in r)
+
+
+def test_itemsets_of_more_than_twelve_items(spark):
+    rows = [(1, b, f"i{j:02d}", 1) for b in range(4) for j in range(13)] + [(1, 4, "i00", 1)]
+    items = B.scoped_items(_lines(spark, rows), "basket", "item", None)
+    sets = RU.frequent_itemsets(items, 0.5)
+    assert sets.count() == 2**13 - 1
+    rules = RU.multi_item_rules(sets.filter("size in (1, 12, 13)"), 0.9)
+    whole = rules.filter(F.size("antecedents") + F.size("consequents") == 13)
+    assert whole.filter(F.size("antecedents") == 12).count() == 13 and whole.filter("confidence < 0.9").count() == 0
 
 
 def test_item_pairs_hot_basket_cells(spark):
