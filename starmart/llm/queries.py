@@ -212,6 +212,49 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         (~failed & (F.col("posterior") >= 0.5)).alias("kept"))
 
 
+def _op9_sql() -> str:
+    """Counts, votes and the label model's steps, one CTE each, over the vote patterns."""
+    q, rules = quality_rules, quality_rules.RULES
+    sep, k = "[\\x20\\x09-\\x0D]", range(len(quality_rules.RULES))
+
+    def without(chars: str) -> str:
+        return f"length(t) - length(translate(t, '{chars.replace(chr(39), chr(39) * 2)}', ''))"
+
+    marked = f"translate(x, '{q.SYMBOLS}', '') <> x"
+    votes = ", ".join(f"CASE WHEN {r.bad.format(x=f'({r.ratio})')} THEN -1 WHEN {r.good.format(x=f'({r.ratio})')} THEN 1 ELSE 0 END AS v{j}" for j, r in enumerate(rules))
+    ctes = [f"""t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, t, list_filter(regexp_split_to_array(t, '{sep}+'), lambda x: x <> '') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_replace(x, '{sep}', '', 'g') <> '') AS ls FROM t),
+windows AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+4], ' ')) AS c
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+starts AS (SELECT doc_id, i, coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), i - 5) AS before FROM windows WHERE c > 1),
+repeats AS (SELECT doc_id, sum(least(5, i - before)) AS n FROM starts GROUP BY doc_id),
+counts AS (SELECT w.doc_id, len(w) AS n_words, length(regexp_replace(t, '{sep}', '', 'g')) AS word_chars, {without(q.SYMBOLS)} AS n_symbols,
+                  len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words,
+                  len(list_filter(w, lambda x: {marked})) AS n_marked_words, len(list_filter(ls, lambda x: {marked})) AS n_marked_lines,
+                  {without(q.MARKS)} AS n_marks, {without(q.UPPER)} AS n_upper, {without("!")} AS n_shouts, {without(q.DIGITS)} AS n_digits,
+                  len(list_distinct(w)) AS n_distinct_words
+           FROM w LEFT JOIN repeats r ON r.doc_id = w.doc_id),
+voted AS MATERIALIZED (SELECT *, {votes} FROM counts),
+patterns AS MATERIALIZED (SELECT {", ".join(f"v{j}" for j in k)}, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY ALL)"""]
+    start = ", ".join(f"{q.START_GOOD[0]}::DOUBLE AS gn{j}, {q.START_GOOD[1]}::DOUBLE AS gp{j}, {q.START_BAD[0]}::DOUBLE AS bn{j}, {q.START_BAD[1]}::DOUBLE AS bp{j}" for j in k)
+    ctes.append(f"m0 AS MATERIALIZED (SELECT 0.5::DOUBLE AS share, {start})")
+    odds = " + ".join(f"CASE v{j} WHEN -1 THEN least(0, ln(gn{j} / bn{j})) WHEN 1 THEN greatest(0, ln(gp{j} / bp{j})) ELSE 0 END" for j in k)
+    posterior = f"1 / (1 + exp(-(ln(share / (1 - share)) + {odds})))"
+    sums = ", ".join(f"coalesce(sum(CASE WHEN v{j} = {v} THEN n END), 0) AS a{c}{j}, coalesce(sum(CASE WHEN v{j} = {v} THEN n * p END), 0) AS g{c}{j}" for j in k for v, c in ((-1, "n"), (1, "p")))
+    weight = q.START_WEIGHT
+    rates = ", ".join(
+        f"(g{c}{j} + {weight * q.START_GOOD[i]}) / (g + {weight}) AS g{c}{j}, (greatest(0, a{c}{j} - g{c}{j}) + {weight * q.START_BAD[i]}) / (n - g + {weight}) AS b{c}{j}"
+        for j in k for i, c in enumerate("np"))
+    for step in range(q.STEPS):
+        ctes.append(f"s{step} AS MATERIALIZED (SELECT sum(n) AS n, sum(n * p) AS g, {sums} FROM (SELECT patterns.*, {posterior} AS p FROM patterns, m{step}))")
+        ctes.append(f"m{step + 1} AS MATERIALIZED (SELECT (g + 1) / (n + 2) AS share, {rates} FROM s{step})")
+    failed = "(n_words < 10 OR 100 * n_repeat_words > 20 * n_words)"
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
+       (NOT {failed} AND {posterior} >= 0.5) AS kept FROM voted, m{q.STEPS}"""
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), HOST_RULES, GLOB_RULES, keep=("page_id",))
 
@@ -268,5 +311,6 @@ ORACLE = {
     "op5_decontamination": OP5_SQL,
     "op6_warc_revisits": OP6_SQL,
     "op7_jaccard_join": OP7_SQL,
+    "op9_quality_rules": _op9_sql(),
     "op10_url_filter": OP10_SQL,
 }
