@@ -55,10 +55,13 @@ def headers(block: Column) -> Column:
     """Map of the header lines, names in lower case; the last of a name counts."""
     lines = F.filter(F.split(block, "\r?\n"), lambda x: F.instr(x, ":") > 1)
     pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("k"), F.trim(x.substr(F.instr(x, ":") + 1, F.length(x))).alias("v")))
-    # One entry per name: those that no later line repeats.
-    names = F.transform(pairs, lambda p: p.k)
-    last = F.filter(pairs, lambda p, i: ~F.array_contains(F.slice(names, i + 2, F.size(names)), p.k))
-    return F.map_from_entries(last)
+
+    def last_of_each(ps: Column) -> Column:
+        names = F.transform(ps, lambda p: p.k)
+        return F.filter(ps, lambda p, i: ~F.array_contains(F.slice(names, i + 2, F.size(ps)), p.k))
+
+    # The pairs are bound once (an array of one array), so the lambdas don't split the block again for each line.
+    return F.map_from_entries(F.get(F.transform(F.array(pairs), last_of_each), F.lit(0)))
 
 
 def resolve_revisits(records: DataFrame, hot_rows: int | None = None) -> DataFrame:
