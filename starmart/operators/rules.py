@@ -234,8 +234,8 @@ def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float], n
     """Frequent itemsets per scope: count >= ceil(support * baskets of the scope), written once.
 
     Each scope (there are a few dozen: one row each reaches the driver) is mined by its own FP-growth
-    at its own threshold, over the items that reach it alone, so a small scope's low count does not
-    set the threshold of the overall one.  ``min_support`` may give each scope its own support."""
+    at its own threshold, so a small scope's low count does not set the threshold of the overall one
+    (the fit drops items below its threshold first).  ``min_support`` may give each scope its own support."""
     from pyspark.ml.fpm import FPGrowth
 
     from ..session import materialize
@@ -247,13 +247,9 @@ def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float], n
         support = min_support[row[SCOPE]] if isinstance(min_support, dict) else min_support
         need = max(1, math.ceil(support * row["n"]))
         mine = items.filter(F.col(SCOPE) == F.lit(row[SCOPE]))
-        often = mine.groupBy(ITEM).agg(F.count(F.lit(1)).alias("_sm_n")).filter(F.col("_sm_n") >= need).select(ITEM)
-        tx = mine.join(often, ITEM, "left_semi").groupBy(BASKET).agg(F.collect_list(ITEM).alias("items"))
-        # The fit sees only baskets that still have an item; half a count below keeps the threshold exact.
-        seen = tx.count()
-        if not seen:
-            continue
-        fp = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / seen), minConfidence=1.0)
+        tx = mine.groupBy(BASKET).agg(F.collect_list(ITEM).alias("items"))
+        # Half a count below keeps the threshold exact.
+        fp = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / row["n"]), minConfidence=1.0)
         if num_partitions:
             fp = fp.setNumPartitions(num_partitions)
         sets = fp.fit(tx.select("items")).freqItemsets.select(
