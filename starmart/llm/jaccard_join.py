@@ -42,7 +42,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,7 +59,7 @@ FIRST_NODES = 4
 #: Sets from this size on have signatures of two hashes.
 LONG_SET = 512
 #: Rounds of comparisons with one head per signature, at most; what they leave is compared in full.
-ROUNDS = 6
+ROUNDS = 3
 #: Rows of an exchange partition, on average.
 PART_ROWS = 2_000_000
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -244,35 +244,43 @@ def _verified(pairs: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame
     return materialize(sets, "jaccard_pairs").filter(_reaches(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b").distinct()
 
 
-def _split_signatures(shared: DataFrame, roots: DataFrame) -> DataFrame:
-    """``key``, ``grp``, ``comp`` of the signatures whose groups are in several components, written."""
-    labelled = shared.join(roots, shared["grp"] == roots["node"], "left").select("key", "grp", F.coalesce("root", "grp").alias("comp"))
-    spread = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    return materialize(labelled.join(spread, "key"), "jaccard_split_signatures")
+def _split_signatures(shared: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """The rows of the signatures whose groups are in several components, with their component, whether
+    all groups of the signature are single nodes, and a head group that the turn draws; written."""
+    known = small(roots.select(F.col("node").alias("grp"), "root"))
+    labelled = shared.join(known, "grp", "left").select("key", "grp", "single", F.coalesce("root", "grp").alias("comp"))
+    w = Window.partitionBy("key")
+    lot = F.struct(F.xxhash64("grp", F.lit(turn)).alias("lot"), "grp", "comp")
+    labelled = labelled.select("*", F.min("comp").over(w).alias("lo"), F.max("comp").over(w).alias("hi"),
+                               F.min("single").over(w).alias("all_single"), F.min(lot).over(w).alias("head"))
+    labelled = labelled.filter("lo < hi").select("key", "grp", "single", "comp", "all_single", F.col("head.grp").alias("head"), F.col("head.comp").alias("head_comp"))
+    return materialize(labelled, "jaccard_split_signatures")
 
 
 def _star_rounds(shared: DataFrame, links: DataFrame, info: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compares each group with one head per signature, another one in each round, as long as that
-    joins components.  A large group of near copies, of which any two need not be links, becomes one
-    component in a few rounds of linear size.  Returns the signatures still split, and the roots."""
+    """Compares the groups of each signature with one head group, another one in each round, as long as
+    that joins components.  A large group of near copies, of which any two need not be links, becomes
+    one component in a few rounds of linear size.  A head that has been compared with all others of
+    its signature is done there, so a signature of two nodes (most are) is done after one round.
+    Returns what is left, and the roots."""
     roots = connected_components(links, "a", "b")
     for turn in range(ROUNDS):
-        shared = _split_signatures(shared, roots)
-        lots = shared.groupBy("key").agg(F.min(F.struct(F.xxhash64("grp", F.lit(turn)).alias("lot"), "grp", "comp")).alias("head"))
-        pairs = shared.join(lots, "key").filter(F.col("comp") != F.col("head.comp"))
-        found = _verified(pairs.select(F.col("grp").alias("a"), F.col("head.grp").alias("b")).distinct(), info, tokens)
+        split = _split_signatures(shared, roots, turn)
+        pairs = split.filter(F.col("comp") != F.col("head_comp")).select(F.col("grp").alias("a"), F.col("head").alias("b")).distinct()
+        found = _verified(pairs, info, tokens)
+        shared = split.filter(~(F.col("all_single") & (F.col("grp") == F.col("head")))).select("key", "grp", "single")
         if found.isEmpty():
             break
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
-    return shared.select("key", "grp"), roots
+    return shared, roots
 
 
 def _open_groups(shared: DataFrame, members: DataFrame, roots: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame:
     """Links between nodes of different components, through the token-group matrix.
 
     A group of one node is its own union: its bound is the overlap itself, so it is compared at once."""
-    labelled = _split_signatures(shared, roots)
-    x, y = labelled.alias("x"), labelled.alias("y")
+    labelled = _split_signatures(shared, roots, ROUNDS)
+    x, y = (labelled.select("key", "grp", "comp").alias(c) for c in "xy")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") < F.col("y.grp")) & (F.col("x.comp") != F.col("y.comp")))
     pairs = pairs.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
     alone = members.groupBy("grp").agg(F.min("node").alias("only"), F.count(F.lit(1)).alias("n"))
@@ -300,6 +308,8 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     touched = shared.select("grp").distinct()
     members = materialize(each.join(touched, "grp").select("grp", "node").distinct(), "jaccard_members")
+    several = materialize(members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grp", F.lit(False).alias("single")), "jaccard_several")
+    shared = shared.join(small(several), "grp", "left").select("key", "grp", F.coalesce("single", F.lit(True)).alias("single"))
     tokens = _token_sets(docs, each.filter(F.col("node").isNotNull()).select("node", "doc_id"), members.select("node").distinct())
     inside = each.filter("node != grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
     info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.b0", "doc.b1", "doc.b2", "doc.b3")
