@@ -1,11 +1,17 @@
 """Line dedup by pairwise alignment: blocks of lines that an earlier document has go from later ones.
 
 1. Documents become arrays of line hashes (lines between ``\\n``, compared without outer blanks).
-2. Partners come from *anchor* lines: at least :data:`ANCHOR_WORDS` words, once in the document.  A
-   line that few documents have (:data:`RARE_DOCS`) pairs each with every earlier one; a line that
-   more have pairs each with the first document that has it, so a line of any frequency has a
-   partner and the pairs stay linear in the lines.  Pairs that only such frequent lines make, with
-   fewer than :data:`BLOCK_WORDS` words together, are too little to delete and are not aligned.
+2. Partners come from *windows*: neighbouring lines that just reach :data:`BLOCK_WORDS` words, from
+   each line on and up to each line, whatever the lines' lengths, and counted within the document, so
+   that the second copy of a window is another key than the first.  Every line of a common block of
+   enough words is in a window that lies in the block, so documents without an equal window have no
+   block to delete.  A window that few documents have (:data:`RARE_DOCS`) pairs each with every
+   earlier one; one that more have pairs each with its first holder.  Where the alignment with the
+   first holder leaves out such a window (the documents have their passages in another order), the
+   next holders follow, one in each of :data:`ROUNDS` rounds, then all that are left at once.  So the
+   pairs are linear in the lines but for frequent windows that no alignment of the rounds takes, and
+   the result is that of aligning each document with every earlier one (but for one case: a second
+   copy of a frequent window meets earlier documents that have two, not each that has one).
 3. Each pair is aligned by patience diff: the longest rising run of lines that are unique on both
    sides, widened line by line, then again in the gaps.
 4. An aligned block (neighbouring lines on both sides) of at least :data:`BLOCK_WORDS` words is
@@ -36,9 +42,13 @@ from pyspark.sql import types as T
 
 from ..session import materialize
 
-ANCHOR_WORDS = 5
 RARE_DOCS = 6
 BLOCK_WORDS = 30
+#: Rounds in which a frequent window that is still there is aligned with one more holder; what they leave is aligned with all.
+ROUNDS = 3
+#: An odd number and its inverse modulo 2^64.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -114,50 +124,126 @@ def line_table(docs: DataFrame) -> DataFrame:
     return given.mapInArrow(run, schema)
 
 
-def _pairs(lines: DataFrame) -> DataFrame:
-    """``later``, ``earlier``: documents to align."""
-    flat = lines.select("doc", F.explode(F.arrays_zip("hashes", "words")).alias("x")).select("doc", "x.hashes", "x.words")
-    once = flat.filter(F.col("words") >= ANCHOR_WORDS).groupBy("doc", "hashes").agg(F.first("words").alias("words"), F.count(F.lit(1)).alias("n"))
-    once = once.filter("n = 1").select(F.col("hashes").alias("line"), "words", "doc")
-    holders = once.groupBy("line").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
-    shared = materialize(once.join(holders, "line"), "dedup_shared_lines")
+def _windows(hashes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Key, start and end of the windows that just reach the words of a block, from each line on and up to each line.
+    Which windows there are depends on their own lines only, so equal blocks of two documents have equal windows."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    n = len(words)
+    if total[-1] < BLOCK_WORDS:
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+    ends = np.searchsorted(total, total[:-1] + BLOCK_WORDS, "left")
+    starts = np.searchsorted(total, total[1:] - BLOCK_WORDS, "right") - 1
+    onward, upward = np.flatnonzero(ends <= n), np.flatnonzero(starts >= 0)
+    spans = np.unique(np.concatenate([onward * (n + 1) + ends[onward], starts[upward] * (n + 1) + upward + 1]))
+    start, end = spans // (n + 1), spans % (n + 1)
+    # Sums of hashes times powers of an odd number; times the inverse power of the start they depend on the lines alone.
+    up, down = (np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, x, np.uint64)]), dtype=np.uint64) for x in (_BASE, _INVERSE))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes.view(np.uint64) * up[:n], dtype=np.uint64)])
+    key = (sums[end] - sums[start]) * down[start]
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    turn = np.empty(len(key), np.uint64)
+    turn[order] = np.arange(len(key)) - np.flatnonzero(new)[np.cumsum(new) - 1]
+    key = (key ^ (key >> np.uint64(31))) * _BASE + turn * _INVERSE
+    return key.view(np.int64), start, end
 
-    rare = shared.filter(F.col("holders") <= RARE_DOCS).groupBy("line").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
-    rare = rare.select(F.posexplode("docs").alias("at", "later"), "docs").filter("at > 0")
-    rare = rare.select("later", F.explode(F.slice("docs", F.lit(1), F.col("at"))).alias("earlier"), F.lit(BLOCK_WORDS).alias("words"))
+
+def window_table(lines: DataFrame) -> DataFrame:
+    """``doc``, ``key``: the windows of each document."""
+    schema = T.StructType([lines.schema["doc"], T.StructField("key", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            for at in range(0, rb.num_rows, 2000):
+                part = rb.slice(at, 2000)
+                each = [_windows(h.values.to_numpy(), w.values.to_numpy())[0] for h, w in zip(part.column("hashes"), part.column("words"))]
+                of = np.repeat(np.arange(len(each)), [len(k) for k in each])
+                yield pa.RecordBatch.from_arrays([part.column("doc").take(pa.array(of)), pa.array(np.concatenate(each))], ["doc", "key"])
+
+    return lines.select("doc", "hashes", "words").mapInArrow(run, schema)
+
+
+def _shared_windows(lines: DataFrame) -> DataFrame:
+    """``key``, ``doc``, ``first``, ``holders``: the windows that several documents have."""
+    windows = window_table(lines)
+    holders = windows.groupBy("key").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("holders")).filter("holders > 1")
+    return materialize(windows.join(holders, "key"), "dedup_shared_windows")
+
+
+def _pairs(shared: DataFrame) -> DataFrame:
+    """``later``, ``earlier``: documents to align first."""
+    rare = shared.filter(F.col("holders") <= RARE_DOCS).groupBy("key").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    rare = rare.select("docs").distinct().select(F.posexplode("docs").alias("at", "later"), "docs").filter("at > 0")
+    rare = rare.select("later", F.explode(F.slice("docs", F.lit(1), F.col("at"))).alias("earlier"))
     often = shared.filter((F.col("holders") > RARE_DOCS) & (F.col("doc") != F.col("first")))
-    often = often.select(F.col("doc").alias("later"), F.col("first").alias("earlier"), "words")
-    pairs = rare.union(often).groupBy("later", "earlier").agg(F.sum("words").alias("words"))
-    return pairs.filter(F.col("words") >= BLOCK_WORDS).select("later", "earlier")
+    return rare.union(often.select(F.col("doc").alias("later"), F.col("first").alias("earlier"))).distinct()
 
 
-def common_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc`` (id and text hash of the later document), ``start``, ``length``: line ranges to delete, with ``earlier``."""
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = materialize(line_table(docs), "dedup_lines").dropDuplicates(["doc"])
-    pairs = materialize(_pairs(lines), "dedup_pairs")
-    wide = pairs.join(lines.select(F.col("doc").alias("earlier"), F.col("hashes").alias("a")), "earlier")
-    wide = wide.join(lines.select(F.col("doc").alias("later"), F.col("hashes").alias("b"), "words"), "later")
+def _aligned(pairs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``doc``, ``earlier``, ``start``, ``length`` of the blocks to delete (``key`` is null), and of the windows
+    (with ``key``) that both documents have and no such block covers; written."""
+    wide = pairs.join(lines.select(F.col("doc").alias("earlier"), F.col("hashes").alias("a"), F.col("words").alias("wa")), "earlier")
+    wide = wide.join(lines.select(F.col("doc").alias("later"), F.col("hashes").alias("b"), F.col("words").alias("wb")), "later")
     doc_type = lines.schema["doc"].dataType
-    schema = T.StructType([T.StructField("doc", doc_type), T.StructField("earlier", doc_type), T.StructField("start", T.IntegerType()), T.StructField("length", T.IntegerType())])
+    schema = T.StructType([T.StructField("doc", doc_type), T.StructField("earlier", doc_type), T.StructField("start", T.IntegerType()),
+                           T.StructField("length", T.IntegerType()), T.StructField("key", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            rows, starts, lengths = [], [], []
-            cols = [rb.column(c) for c in ("a", "b", "words")]
+            out = []
+            cols = [rb.column(c) for c in ("a", "wa", "b", "wb")]
             for r in range(rb.num_rows):
-                a, b, words = (c[r].values.to_numpy() for c in cols)
-                total = np.concatenate([[0], np.cumsum(words)])
-                for _, start, length in aligned_blocks(a.tolist(), b.tolist()):
-                    if total[start + length] - total[start] >= BLOCK_WORDS:
-                        rows.append(r)
-                        starts.append(start)
-                        lengths.append(length)
-            yield pa.RecordBatch.from_arrays(
-                [rb.column("later").take(pa.array(rows, pa.int64())), rb.column("earlier").take(pa.array(rows, pa.int64())),
-                 pa.array(starts, pa.int32()), pa.array(lengths, pa.int32())], ["doc", "earlier", "start", "length"])
-
-    return wide.select("later", "earlier", "a", "b", "words").mapInArrow(run, schema)
+                a, wa, b, wb = (c[r].values.to_numpy() for c in cols)
+                total = np.concatenate([[0], np.cumsum(wb)])
+                blocks = [(s, n) for _, s, n in aligned_blocks(a.tolist(), b.tolist()) if total[s + n] - total[s] >= BLOCK_WORDS]
+                out += [(r, s, n, None) for s, n in blocks]
+                if sum(n for _, n in blocks) == len(b):
+                    continue
+                key, start, end = _windows(b, wb)
+                both = np.isin(key, _windows(a, wa)[0])
+                block_of = np.full(len(b), -1)
+                for k, (s, n) in enumerate(blocks):
+                    block_of[s : s + n] = k
+                both &= (block_of[start] < 0) | (block_of[start] != block_of[end - 1])
+                out += [(r, int(start[k]), int(end[k] - start[k]), int(key[k])) for k in np.flatnonzero(both)]
+            rows, starts, lengths, keys = zip(*out) if out else ([], [], [], [])
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([rb.column("later").take(at), rb.column("earlier").take(at), pa.array(starts, pa.int32()),
+                                              pa.array(lengths, pa.int32()), pa.array(keys, pa.int64())], ["doc", "earlier", "start", "length", "key"])
+
+    return materialize(wide.select("later", "earlier", "a", "wa", "b", "wb").mapInArrow(run, schema), "dedup_aligned")
+
+
+def _uncovered(left: DataFrame, blocks: DataFrame) -> DataFrame:
+    b = blocks.select(F.col("doc").alias("in_doc"), F.col("start").alias("s"), (F.col("start") + F.col("length")).alias("e")).distinct()
+    return left.join(b, (F.col("doc") == F.col("in_doc")) & (F.col("s") <= F.col("start")) & (F.col("e") >= F.col("start") + F.col("length")), "left_anti")
+
+
+def common_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc`` (id and text hash of the later document), ``start``, ``length``: line ranges to delete, with ``earlier``."""
+    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    lines = materialize(line_table(docs).dropDuplicates(["doc"]), "dedup_lines")
+    shared = _shared_windows(lines)
+    found = _aligned(_pairs(shared), lines)
+    blocks = found.filter(F.col("key").isNull()).drop("key")
+    often = shared.filter(F.col("holders") > RARE_DOCS)
+    tried = often.select("key", F.col("first").alias("tried")).distinct()
+    left = found.filter(F.col("key").isNotNull()).select("doc", "start", "length", "key").distinct().join(tried, "key")
+    for turn in range(ROUNDS + 1):
+        left = materialize(_uncovered(left, blocks if turn == 0 else now), "dedup_left_windows")
+        if left.isEmpty():
+            break
+        asked = left.groupBy("key").agg(F.min("tried").alias("tried"), F.max("doc").alias("last"))
+        others = often.select("key", "doc").join(asked, "key").filter((F.col("doc") > F.col("tried")) & (F.col("doc") < F.col("last")))
+        others = others.select("key", F.col("doc").alias("earlier"))
+        if turn < ROUNDS:
+            others = others.groupBy("key").agg(F.min("earlier").alias("earlier"))
+        left = left.join(others, "key").filter(F.col("earlier") < F.col("doc"))
+        now = _aligned(left.select(F.col("doc").alias("later"), "earlier").distinct(), lines).filter(F.col("key").isNull()).drop("key")
+        blocks = blocks.union(now)
+        left = left.select("key", "doc", "start", "length", F.col("earlier").alias("tried"))
+    return blocks
 
 
 def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -189,3 +189,46 @@ def test_every_first_line_stays(spark):
     out = {r["doc_id"]: r["text"] for r in line_dedup.delete_blocks(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     assert {x for _, t in docs for x in t.split("\n")} == {x for t in out.values() for x in t.split("\n") if x}
     assert sum(zlib.crc32(out[i].encode()) != zlib.crc32(t.encode()) for i, t in docs) > 0
+
+
+def deduped(spark, docs):
+    """Ids to what is left of each document's lines."""
+    rows = [(i, "\n".join(x)) for i, x in docs.items()]
+    out = line_dedup.delete_blocks(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    return {r["doc_id"]: r["text"].split("\n") if r["text"] else [] for r in out.collect()}
+
+
+def all_pairs(docs):
+    """Each document aligned with every earlier one."""
+    left = {}
+    for d, x in docs.items():
+        gone = set()
+        for e in (e for e in docs if e < d):
+            for _, s, n in line_dedup.aligned_blocks(docs[e], x):
+                if sum(len(y.split()) for y in x[s : s + n]) >= line_dedup.BLOCK_WORDS:
+                    gone.update(range(s, s + n))
+        left[d] = [y for k, y in enumerate(x) if k not in gone]
+    return left
+
+
+def test_frequent_lines_whose_first_holder_lacks_the_passage(spark):
+    rng = random.Random(31)
+    passage, own = [sentence(rng, 10) for _ in range(6)], lambda: sentence(rng, 12)
+    later = {10 + k: [own(), *passage, own()] for k in range(9)}
+    scattered = {0: [y for x in passage for y in (x, own())]}
+    single = {k: [own(), passage[k], own()] for k in range(6)}
+    for first in (scattered, single):
+        docs = first | later
+        got = deduped(spark, docs)
+        assert got == first | {10: later[10]} | {i: [x[0], x[-1]] for i, x in later.items() if i > 10} == all_pairs(docs)
+
+
+def test_frequent_passages_in_other_orders(spark):
+    rng = random.Random(32)
+    parts, own = [[sentence(rng, 20) for _ in range(2)] for _ in range(5)], lambda: sentence(rng, 12)
+    docs = {}
+    for i in range(30):
+        docs[i] = [own()]
+        for k in rng.sample(range(5), 5):
+            docs[i] += [*parts[k], own()]
+    assert deduped(spark, docs) == all_pairs(docs)
