@@ -13,7 +13,8 @@
    the result is that of aligning each document with every earlier one (but for one case: a second
    copy of a frequent window meets earlier documents that have two, not each that has one).
 3. Each pair is aligned by patience diff: the longest rising run of lines that are unique on both
-   sides, widened line by line, then again in the gaps.
+   sides, widened line by line, then again in the gaps.  In a gap without such lines the common lines
+   of the fewest occurrences take their place, the first with the first, the second with the second.
 4. An aligned block (neighbouring lines on both sides) of at least :data:`BLOCK_WORDS` words is
    deleted from the later document.  Blocks are taken from the documents as they were; since every
    deleted line is in an earlier document, the first document with a line keeps it.
@@ -79,11 +80,16 @@ def aligned_blocks(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int, i
             match[i_end] = j_end
         if i == i_end or j == j_end:
             continue
-        once_a, once_b = Counter(a[i:i_end]), Counter(b[j:j_end])
-        place = {b[y]: y for y in range(j, j_end) if once_b[b[y]] == 1}
-        anchors = _rising([(x, place[a[x]]) for x in range(i, i_end) if once_a[a[x]] == 1 and a[x] in place])
-        if not anchors:
+        in_a, in_b = Counter(a[i:i_end]), Counter(b[j:j_end])
+        often = {h: max(n, in_b[h]) for h, n in in_a.items() if h in in_b}
+        if not often:
             continue
+        few = min(often.values())  # 1 if there are lines that are unique on both sides
+        turns: dict[int, list[int]] = {h: [] for h, n in often.items() if n == few}
+        for y in range(j_end - 1, j - 1, -1):
+            if b[y] in turns:
+                turns[b[y]].append(y)
+        anchors = _rising([(x, turns[a[x]].pop()) for x in range(i, i_end) if turns.get(a[x])])
         last = (i, j)
         for x, y in anchors:
             gaps.append((last[0], x, last[1], y))

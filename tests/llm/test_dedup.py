@@ -232,3 +232,25 @@ def test_frequent_passages_in_other_orders(spark):
         for k in rng.sample(range(5), 5):
             docs[i] += [*parts[k], own()]
     assert deduped(spark, docs) == all_pairs(docs)
+
+
+def test_passages_whose_lines_all_repeat(spark):
+    rng = random.Random(33)
+    f = line_dedup.aligned_blocks
+    assert f([8, 1, 2, 1, 2, 9], [5, 6, 1, 2, 1, 2, 7]) == [(1, 2, 4)]
+    assert f([8, 1, 2, 1, 2, 9], [1, 2, 7]) == [(1, 0, 2)]
+    passage, own = [sentence(rng, 10) for _ in range(6)], lambda: sentence(rng, 12)
+    docs = {k: passage * 2 for k in range(10)} | {20 + k: [own(), *passage, *passage, own()] for k in range(10)}
+    got = deduped(spark, docs)
+    assert got == {k: passage * 2 if k == 0 else [] for k in range(10)} | {i: [x[0], x[-1]] for i, x in docs.items() if i >= 20}
+    assert deduped(spark, {1: passage[:2] * 2, 2: passage[:2] * 2}) == {1: passage[:2] * 2, 2: []}
+
+
+def test_more_copies_than_the_first_holder_has(spark):
+    rng = random.Random(34)
+    passage, own = [sentence(rng, 10) for _ in range(6)], lambda: sentence(rng, 12)
+    once = {k: [own(), *passage, own()] for k in range(9)}
+    twice = {20 + k: [own(), *passage, own(), *passage, own()] for k in range(9)}
+    got = deduped(spark, once | twice)
+    assert got[0] == once[0] and all(got[k] == [once[k][0], once[k][-1]] for k in range(1, 9))
+    assert len(got[20]) == 9 and all(got[k] == [twice[k][0], twice[k][7], twice[k][-1]] for k in range(21, 29))
