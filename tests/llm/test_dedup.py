@@ -254,3 +254,17 @@ def test_more_copies_than_the_first_holder_has(spark):
     got = deduped(spark, once | twice)
     assert got[0] == once[0] and all(got[k] == [once[k][0], once[k][-1]] for k in range(1, 9))
     assert len(got[20]) == 9 and all(got[k] == [twice[k][0], twice[k][7], twice[k][-1]] for k in range(21, 29))
+
+
+def test_passages_of_short_lines(spark):
+    rng = random.Random(35)
+    own = lambda: sentence(rng, 12)
+    verse = [sentence(rng, 4) for _ in range(20)]
+    mixed = [sentence(rng, 7) if k % 6 == 0 else sentence(rng, 4) for k in range(9)]
+    han = ["".join(chr(0x4E00 + rng.randrange(5000)) for _ in range(40)) + "\u3002" for _ in range(3)]
+    for passage in (verse, mixed, han):
+        for n in (2, 6, 7, 10):
+            docs = {k: [own(), *passage, own()] for k in range(n)}
+            assert deduped(spark, docs) == {k: x if k == 0 else [x[0], x[-1]] for k, x in docs.items()}
+    docs = {k: [own(), *verse[:7], own(), han[0], own()] for k in range(10)}  # 28 and 20 words: too little
+    assert deduped(spark, docs) == docs
