@@ -18,9 +18,9 @@ shingles that the document has.
 
 A common shingle is missed only if the document has a smaller hash in its bin, with a probability of
 0.21 at most and each shingle by itself.  An item is a candidate unless all its common shingles are
-missed: 0.21 ** 9 (8e-7) for an item of 15 words that is there to four fifths, less for longer ones
-and whole ones.  Items of five to eight words (one to four shingles) are missed in 21 % to 0.2 % of
-the cases; ``rounds`` adds independent hash functions for benchmarks with such items.
+missed: 0.21 ** 9 (8e-7) at most.  Items for which fewer than nine common shingles are enough
+(:data:`SURE`; up to ten shingles at four fifths) are left out of the search and found exactly: each of
+their hashes is compared with all hashes of the documents.  ``rounds`` adds independent hash functions.
 
 A shingle that very many documents have costs one row per document and item that has it, so the work
 is linear in the documents.  The item side is broadcast only if it has few rows (counted first,
@@ -43,6 +43,8 @@ from .tables import small, word_array
 SHINGLE = 5
 #: Share of an item's shingles that a document must have, in hundredths.
 CONTAINED = 80
+#: Items that fewer common shingles make a hit are found exactly.
+SURE = 9
 #: Item rows (one per shingle) up to which they are broadcast: 32 bytes each, so some 32 MB.
 BROADCAST_ROWS = 1_000_000
 
@@ -112,13 +114,21 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     i = i.select(F.xxhash64("item_id", "t").alias("item_key"), "item_id", word_array(F.col("t")).alias("w"))
     i = i.select("item_key", "item_id", shingle_hashes(F.col("w")).alias("hashes"), shingle_texts(F.col("w")).alias("item_shingles"))
     i = materialize(i, "benchmark_items")
-    needles = materialize(item_rows(i, "item_key", rounds), "benchmark_hashes")
+    # No hash, no hit: items without words are in neither.
+    is_short = contained * F.size("hashes") <= 100 * (SURE - 1)
+    needles = materialize(item_rows(i.filter(~is_short), "item_key", rounds), "benchmark_hashes")
     if needles.count() <= BROADCAST_ROWS:
         needles = F.broadcast(needles)
+    whole = materialize(i.filter(is_short).select("item_key", F.explode("hashes").alias("hash")), "benchmark_short_hashes")
+    n_whole = whole.count()
 
     sets = d.select("text_key", word_array(_lower(F.col("t"))).alias("w")).select("text_key", shingle_hashes(F.col("w")).alias("hashes"))
-    found = signatures(sets, "text_key", rounds).join(needles, "hash").filter(F.col("klass") >= F.col("from_class"))
-    found = materialize(found.select("text_key", "item_key").distinct(), "benchmark_candidates")
+    found = signatures(sets, "text_key", rounds).join(needles, "hash").filter(F.col("klass") >= F.col("from_class")).select("text_key", "item_key")
+    if n_whole:
+        every = sets.select("text_key", F.explode_outer("hashes").alias("hash"))
+        every = every.join(F.broadcast(whole) if n_whole <= BROADCAST_ROWS else whole, "hash")
+        found = found.unionAll(every.select("text_key", "item_key"))
+    found = materialize(found.distinct(), "benchmark_candidates")
 
     # Exact check: each candidate document's shingles once, then against each of its items.
     wanted = found.groupBy("text_key").agg(F.collect_set("item_key").alias("item_keys"))

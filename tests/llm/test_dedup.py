@@ -268,3 +268,15 @@ def test_passages_of_short_lines(spark):
             assert deduped(spark, docs) == {k: x if k == 0 else [x[0], x[-1]] for k, x in docs.items()}
     docs = {k: [own(), *verse[:7], own(), han[0], own()] for k in range(10)}  # 28 and 20 words: too little
     assert deduped(spark, docs) == docs
+
+
+def test_short_items_are_found_exactly(spark, monkeypatch):
+    rng = random.Random(36)
+    items = {k: words(rng, 5 + k % 10) for k in range(120)}
+    docs = [(k, " ".join([*words(rng, 300), *w, *words(rng, 300)])) for k, w in items.items()]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()] + [(900, ""), (901, None)], "item_id long, text string")
+    for rows in (decontaminate.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
+        got = {(r["doc_id"], r["item_id"], r["n_shared"]) for r in decontaminate.find_items(d, b).collect()}
+        assert got == {(k, k, len(w) - 4) for k, w in items.items()}
