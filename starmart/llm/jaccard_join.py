@@ -147,7 +147,7 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dic
 
 def _keyed_rows(docs: DataFrame) -> DataFrame:
     """Two kinds of rows: (signature, group, null) and (any key, group, document)."""
-    names = ["doc_id", "n", "node", "b0", "b1", "b2", "b3"]
+    names = ["doc_id", "text_key", "n", "node", "b0", "b1", "b2", "b3"]
     doc_type = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(c, T.LongType()) for c in names[1:]]])
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("doc", doc_type)])
 
@@ -155,7 +155,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
         for rb in batches:
             sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist())
             doc = pa.StructArray.from_arrays(
-                [rb.column("doc_id"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
+                [rb.column("doc_id"), rb.column("text_key"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
             kind = doc.type
             spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(groups, pa.int64()), doc], ["key", "grp", "doc"])
@@ -166,7 +166,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
                 of = np.repeat(np.array([g for g, _ in some], np.int64), [len(s) for _, s in some])
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.nulls(len(keys), kind)], ["key", "grp", "doc"])
 
-    return docs.select("doc_id", F.col("text").alias("txt")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("txt")).mapInArrow(run, schema)
 
 
 def _shared(rows: DataFrame) -> DataFrame:
@@ -296,14 +296,14 @@ def _open_groups(shared: DataFrame, members: DataFrame, roots: DataFrame, info:
     return _verified(single.union(opened).distinct(), info, tokens)
 
 
-def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) per row."""
+def _labelled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key (a hash of the text), n, node, root (null without shingles) and component_id per row."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # About one signature for 10 bytes of text; equal signatures meet in partitions of a bounded size.
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // (10 * PART_ROWS))
     rows = materialize(_shared(_keyed_rows(docs).repartition(parts, "key")), "jaccard_rows")
-    each = rows.filter(F.col("doc").isNotNull()).select("doc.doc_id", "doc.n", "doc.node", "grp")
+    each = rows.filter(F.col("doc").isNotNull()).select("doc.doc_id", "doc.text_key", "doc.n", "doc.node", "grp")
     shared = rows.filter(F.col("doc").isNull()).select("key", "grp")
 
     touched = shared.select("grp").distinct()
@@ -321,13 +321,28 @@ def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     least = each.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     least = materialize(least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "jaccard_nodes")
     best = least.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = least.join(best, "root").select("node", "component_id")
-    out = each.join(of_node, "node", "left")
+    of_node = least.join(best, "root").select("node", "root", "component_id")
+    return each.join(of_node, "node", "left").select("doc_id", "text_key", "n", "node", "root", "component_id")
+
+
+def components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) per row."""
+    out = _labelled(df, id_col, text_col)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents, all columns, that have the smallest id of their component, or no id."""
-    found = components(df, id_col, text_col).filter(F.col("component_id") < F.col("doc_id"))
-    gone = materialize(found.select(F.col("doc_id").alias("gone_doc_id")).distinct(), "jaccard_gone")
-    return df.join(small(gone), F.col(id_col) == F.col("gone_doc_id"), "left_anti")
+    """The documents, all columns, that are the first of their component, by id and then by a hash of the
+    text, so an id that several texts have stands for each text by itself; of rows with the same id and
+    text one stays.  Rows without id and rows without shingles all stay."""
+    found = _labelled(df, id_col, text_col).filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
+    found = found.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n_rows"))
+    found = materialize(found.withColumn("at", F.struct("doc_id", "text_key")), "jaccard_documents")
+    several = found.groupBy("root").agg(F.min("at").alias("first"), F.sum("n_rows").alias("n")).filter("n > 1").select("root", "first")
+    marked = found.join(several, "root").select(F.col("doc_id").alias("marked_doc_id"), F.col("text_key").alias("marked_text_key"),
+                                                (F.col("at") != F.col("first")).alias("marked_gone"), "n_rows")
+    marked = small(materialize(marked.filter("marked_gone or n_rows > 1").drop("n_rows"), "jaccard_marked"))
+    same = (F.col(id_col) == F.col("marked_doc_id")) & (F.xxhash64(F.col(text_col)) == F.col("marked_text_key"))
+    rest = df.join(marked, same, "left_anti")
+    repeated = df.join(marked.filter(~F.col("marked_gone")), same, "left_semi").withColumn("marked_text_key", F.xxhash64(F.col(text_col)))
+    return rest.unionByName(repeated.dropDuplicates([id_col, "marked_text_key"]).drop("marked_text_key"))

@@ -280,3 +280,14 @@ def test_short_items_are_found_exactly(spark, monkeypatch):
         monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", rows)
         got = {(r["doc_id"], r["item_id"], r["n_shared"]) for r in decontaminate.find_items(d, b).collect()}
         assert got == {(k, k, len(w) - 4) for k, w in items.items()}
+
+
+def test_keep_first_on_repeated_ids(spark):
+    rng = random.Random(37)
+    x, y, z = (" ".join(words(rng, 30)) for _ in "xyz")
+    rows = [(1, x, "a"), (5, x, "b"), (5, y, "c"), (6, z, "d"), (6, z, "d"), (7, z.upper(), "e"), (8, "", "f"), (8, "", "f"), (9, y.upper(), "g"), (9, y, "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = jaccard_join.keep_first(df)
+    assert kept.columns == df.columns and sorted(r["source"] for r in kept.collect()) == ["a", "c", "d", "f", "f"]
+    twice = spark.createDataFrame([(3, x, "i"), (3, x.upper(), "j")], df.schema)
+    assert jaccard_join.keep_first(twice).count() == 1
