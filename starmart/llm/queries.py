@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter, warc
+from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, spelling, toxicity, url_filter, warc
 from .tables import fold, read_table
 
 SHARDS = 24
@@ -295,6 +295,73 @@ SELECT c.page_id, c.host, c.path, c.canonical_url, f.rule, h.glob_rule, coalesce
 FROM canon c LEFT JOIN fits f ON f.page_id = c.page_id LEFT JOIN hits h ON h.page_id = c.page_id AND h.nr = 1
 """
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"), every=97, min_length=5, min_count=3, factor=2)
+
+
+#: crc32 by a table of 256 entries over the UTF-8 bytes; near words meet on what is left without one letter.
+OP11_SQL = """
+WITH RECURSIVE bits AS (
+  SELECT b, 0 AS k, b AS c FROM range(256) t(b)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  GROUP BY ALL
+), bytes AS (
+  SELECT run, n, flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+         lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END)) AS bs FROM runs
+), hashed AS (
+  SELECT run, n, xor(list_reduce(bs, lambda s, b: xor(crc.t[(xor(s, b) & 255) + 1], s // 256), 4294967295), 4294967295) AS h FROM bytes, crc
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word, n FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), one_way AS (
+  SELECT a.word AS a, b.word AS b FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT cut.word, words.word FROM cut JOIN words ON words.word = cut.rest
+), near AS (SELECT a, b FROM one_way UNION SELECT b, a FROM one_way),
+best AS (
+  SELECT near.a AS word, count(*) AS n_near, min(struct_pack(less := -words.n, other := near.b)) AS x FROM near JOIN words ON words.word = near.b GROUP BY near.a
+), forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN -x.less >= 2 * words.n THEN x.other END AS form, CASE WHEN -x.less >= 2 * words.n THEN -x.less END AS form_n
+  FROM words LEFT JOIN best ON best.word = words.word
+), chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL
+  SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.at WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, chain.at AS root FROM forms f JOIN chain ON chain.word = f.word JOIN forms e ON e.word = chain.at AND e.form IS NULL
+"""
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(read_table(spark, sf_dir, "embeddings"), dim=64, k=8, rounds=10, scale=1024, seed="3"))
+
+
+def _op13_sql(k: int = 8, rounds: int = 10) -> str:
+    """Each round a CTE of assignments and one of centroids; floor division of sums that may be negative."""
+    ctes = ["""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+            f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, q) - 1 AS k, q FROM (SELECT q, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v) ORDER BY h, q LIMIT {k})"]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} AS MATERIALIZED (SELECT vec_id, q, min(struct_pack(d := d, k := k)) AS best FROM (
+  SELECT n, vec_id, v.q, c.k, CAST(list_sum(list_transform(range(1, 65), lambda i: (v.q[i] - c.q[i]) * (v.q[i] - c.q[i]))) AS BIGINT) AS d
+  FROM (SELECT *, row_number() OVER () AS n FROM v) v, c{t} c) GROUP BY n, vec_id, q)""")
+        if t < rounds:
+            ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT c.k, coalesce(m.q, c.q) AS q FROM c{t} c LEFT JOIN (
+  SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM (
+    SELECT best.k AS k, i, sum(q[i]) AS s, count(*) AS n FROM (SELECT best, q, unnest(range(1, 65)) AS i FROM a{t}) GROUP BY ALL) GROUP BY k) m ON m.k = c.k)""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, CAST(best.k AS INTEGER) AS cluster, best.d AS distance, CAST(sum(best.d) OVER (PARTITION BY best.k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c ON c.k = best.k"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_sharding": op2_sharding,
@@ -306,6 +373,8 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
+    "op11_spelling": op11_spelling,
+    "op13_centroids": op13_centroids,
 }
 ORACLE = {
     "op5_decontamination": OP5_SQL,
@@ -313,4 +382,6 @@ ORACLE = {
     "op7_jaccard_join": OP7_SQL,
     "op9_quality_rules": _op9_sql(),
     "op10_url_filter": OP10_SQL,
+    "op11_spelling": OP11_SQL,
+    "op13_centroids": _op13_sql(),
 }
