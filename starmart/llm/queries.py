@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, spelling, toxicity, url_filter, warc
+from . import bpe, centroids, decontaminate, jaccard_join, line_dedup, quality_classifier, quality_rules, sharding, spelling, suffix_dedup, toxicity, url_filter, warc
 from .tables import fold, read_table
 
 SHARDS = 24
@@ -339,6 +339,12 @@ SELECT f.word, f.n, f.n_near, f.form, f.form_n, chain.at AS root FROM forms f JO
 """
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    figures = [F.col("n_bytes"), F.aggregate("spans", F.lit(0).cast("bigint"), lambda s, x: s + x["to"] - x["from"]).alias("n_removed"),
+               F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")]
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), length=200, result=figures)
+
+
 def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster(read_table(spark, sf_dir, "embeddings"), dim=64, k=8, rounds=10, scale=1024, seed="3"))
 
@@ -374,6 +380,7 @@ QUERIES = {
     "op9_quality_rules": op9_quality_rules,
     "op10_url_filter": op10_url_filter,
     "op11_spelling": op11_spelling,
+    "op12_suffix_dedup": op12_suffix_dedup,
     "op13_centroids": op13_centroids,
 }
 ORACLE = {

@@ -77,8 +77,13 @@ def noisy_words(df: DataFrame, id_col: str, text_col: str, every: int, min_lengt
 
 def bigram_counts(words: DataFrame) -> dict[str, int]:
     """Number of words with each bigram; the alphabet has 90 letters, so at most 8,100 rows come to the driver."""
-    grams = F.transform(F.sequence(F.lit(1), F.length("word") - 1), lambda i: F.substr("word", i, F.lit(2)))
-    each = words.select(F.explode(F.array_distinct(grams)).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rb in batches:
+            total = Counter(g for w in rb.column(0).to_pylist() for g in set(map(str.__add__, w, w[1:])))
+            yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["gram", "n"])
+
+    each = words.select("word").mapInArrow(run, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     return {r["gram"]: r["n"] for r in each.collect()}
 
 

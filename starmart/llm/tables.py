@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
+
 #: Word separators used everywhere here: blank, tab, newline, vertical tab, form feed, carriage return.
 SEPARATORS = "\\x20\\x09-\\x0D"
 
@@ -29,3 +33,12 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """``df`` (a written table of ids or hashes) marked for broadcast if it has at most ``rows`` rows;
     a larger one is left to a shuffle join."""
     return F.broadcast(df) if df.count() <= rows else df
+
+
+def written_in_buckets(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder, in buckets by ``key``: joins on it move their other side only."""
+    spark, name = df.sparkSession, f"{name}_{uuid.uuid4().hex[:12]}"
+    path = session.scratch_path(spark, f"tables/{name}")
+    session._WRITTEN.append((spark.sparkContext.applicationId, path))
+    df.write.bucketBy(buckets, key).sortBy(key).option("compression", "zstd").option("path", path).saveAsTable(name)
+    return spark.table(name)
