@@ -6,6 +6,10 @@ non-blanks, with at most one leading blank, or a run of blanks), and what stands
 look further, so the ids of the parts, one after the other, are those of the whole.  Where a long
 text has no such place it is encoded in one go.
 
+A long run of blanks has no safe place, and the library's regex needs stack for each of its blanks.
+Such runs are taken out before: the pattern makes one match of the run, without its last blank if
+more text follows (that one belongs to the next match), and the library's merges encode it as it is.
+
 Edge cases: a null text is encoded as the empty text (no ids); ids decode to raw bytes, so a cut
 inside a character is kept as it is; repeated rows are encoded alike; an empty table stays empty;
 columns that are not named in ``keep`` are ignored.
@@ -29,6 +33,10 @@ PART_CHARS = 50_000
 #: Bytes of an output batch (a single larger text makes a batch of its own).
 BATCH_BYTES = 8_000_000
 _SAFE = re.compile(r"(?<=[^\W_])(?=[ \n])")
+#: Runs of at least this many blanks are encoded as one match without the regex.
+LONG_RUN = 1_000
+#: What the pattern's ``\s`` stands for, in runs.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % LONG_RUN)
 
 
 @lru_cache(maxsize=4)
@@ -53,12 +61,22 @@ def parts(text: str, limit: int = PART_CHARS) -> Iterator[str]:
     yield text[at:]
 
 
-def encode_text(enc, text: str, limit: int = PART_CHARS) -> list[int]:
+def _encode_parts(enc, text: str, limit: int) -> list[int]:
     if len(text) <= limit:
         return enc.encode_ordinary(text)
     return [i for part in parts(text, limit) for i in enc.encode_ordinary(part)]
 
 
+def encode_text(enc, text: str, limit: int = PART_CHARS) -> list[int]:
+    ids, at = [], 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += _encode_parts(enc, text[at : run.start()], limit)
+        ids += enc._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + _encode_parts(enc, text[at:], limit)
+
+
 def _grouped(values: Iterator, size) -> Iterator[list]:
     """Runs of values of about BATCH_BYTES, with their first position."""
     run, held = [], 0
