@@ -177,35 +177,26 @@ def judge_urls(
 
     ``rule`` is the longest host rule that fits, ``glob_rule`` the glob rule with most literal bytes that
     matches (ties: block before allow, then the earlier one).  The verdict is the rule's, else the
-    glob's, else ``default``.  Both kinds of rules run in the same automaton."""
-    globs, owner, rank = [], [], []
-    for i, r in enumerate(host_rules):
-        for g in r.globs():
-            globs.append(g)
-            owner.append(i)
-            rank.append((len(r.name.encode()), 0, -i))
-    for i, g in enumerate(glob_rules):
-        globs.append(g.glob)
-        owner.append(i)
-        rank.append((sum(k == "byte" and len(a) == 1 for k, a in _elements(g.glob)), int(g.verdict == "block"), -i))
-    n_host = 2 * len(host_rules)
-    automaton = GlobAutomaton(globs)
-
-    def best(hit: np.ndarray, cols: range) -> list[int | None]:
-        order = sorted(cols, key=lambda j: rank[j], reverse=True)
-        won = np.full(len(hit), -1)
-        for j in reversed(order):
-            won[hit[:, j]] = owner[j]
-        return [None if x < 0 else int(x) for x in won]
+    glob's, else ``default``.  Host rules read host and path, glob rules the canonical URL, each kind in one
+    automaton; so a query never completes the host or the path of a rule."""
+    of_host = [(g, i, (len(r.name.encode()), 0, -i)) for i, r in enumerate(host_rules) for g in r.globs()]
+    of_url = [(g.glob, i, (sum(k == "byte" and len(a) == 1 for k, a in _elements(g.glob)), int(g.verdict == "block"), -i)) for i, g in enumerate(glob_rules)]
+    hosts, urls = GlobAutomaton([g for g, _, _ in of_host]), GlobAutomaton([g for g, _, _ in of_url])
+
+    def best(automaton: GlobAutomaton, rules: list[tuple], texts: list[bytes]) -> pa.Array:
+        won = np.full(len(texts), -1)
+        if rules:
+            hit = automaton.matches(texts)
+            for j in sorted(range(len(rules)), key=lambda j: rules[j][2]):
+                won[hit[:, j]] = rules[j][1]
+        return pa.array(won, pa.int32(), mask=won < 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            texts = [(x or "").encode() for x in rb.column(rb.num_columns - 1).to_pylist()]
-            hit = automaton.matches(texts)
-            yield pa.RecordBatch.from_arrays(
-                [*rb.columns, pa.array(best(hit, range(n_host)), pa.int32()), pa.array(best(hit, range(n_host, len(globs))), pa.int32())],
-                schema=pa.schema([*rb.schema, pa.field("rule_no", pa.int32()), pa.field("glob_no", pa.int32())]),
-            )
+            host, path, url = (rb.column(rb.num_columns - k).to_pylist() for k in (3, 2, 1))
+            rule = best(hosts, of_host, [(h + p).encode() for h, p in zip(host, path, strict=True)])
+            glob = best(urls, of_url, [x.encode() for x in url])
+            yield pa.RecordBatch.from_arrays([*rb.columns, rule, glob], schema=pa.schema([*rb.schema, pa.field("rule_no", pa.int32()), pa.field("glob_no", pa.int32())]))
 
     host, path, query = url_parts(F.col(url_col))
     keys = [F.col(c).alias(f"k{i}") for i, c in enumerate(keep)]
