@@ -201,3 +201,30 @@ def pit_join(
         rows = rows.filter(ok)
     attrs = [F.when(ok, F.col(f"_sm_cur.{a}")).alias(a) for a in attributes]
     return rows.select("_sm_fact.*", *attrs)
+
+
+def interval_difference(old: DataFrame, new: DataFrame, key: str, value: str, valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """Where two versions of a history differ: (key, ``valid_from``, ``valid_to``, ``old_value``, ``new_value``)
+    for the stretches of time in which they give a key different values; NULL where one has none.
+
+    All bounds of both histories become events, at most one for each key and time, and one ordered pass
+    carries both sides' current values (skew-safe forward fills); no join of versions with versions.
+    Intervals are half-open and don't overlap within a key and a side; stretches that follow each other
+    come out as one row for each pair of bounds.  NULL keys are left out."""
+
+    def bounds(df: DataFrame, side: str) -> DataFrame:
+        start = df.select(F.col(key).alias("_sm_k"), F.col(valid_from).alias("_sm_t"), F.col(value).alias("_sm_v"), F.lit(True).alias("_sm_on"))
+        end = df.select(F.col(key).alias("_sm_k"), F.col(valid_to).alias("_sm_t"), F.lit(None).cast(df.schema[value].dataType).alias("_sm_v"), F.lit(False).alias("_sm_on"))
+        return start.unionByName(end).withColumn("_sm_side", F.lit(side))
+
+    events = bounds(old, "old").unionByName(bounds(new, "new")).filter(F.col("_sm_k").isNotNull())
+    # A start at the time of an end wins.
+    state = {s: F.max_by(F.struct(F.when(F.col("_sm_on"), F.col("_sm_v")).alias("v")), F.when(F.col("_sm_side") == s, F.col("_sm_on"))).alias(f"_sm_{s}") for s in ("old", "new")}
+    at = events.groupBy("_sm_k", "_sm_t").agg(*state.values())
+    hot = hot_keys(at, ["_sm_k"])
+    at = with_forward_fill(at, ["_sm_k"], ["_sm_t"], "_sm_old", "_sm_old_now", hot=hot)
+    at = with_forward_fill(at, ["_sm_k"], ["_sm_t"], "_sm_new", "_sm_new_now", hot=hot)
+    at = with_neighbors(at, ["_sm_k"], ["_sm_t"], ["_sm_t"], next="_sm_next", hot=hot)
+    before, after = F.col("_sm_old_now.v"), F.col("_sm_new_now.v")
+    differ = at.filter(F.col("_sm_next").isNotNull() & ~before.eqNullSafe(after))
+    return differ.select(F.col("_sm_k").alias(key), F.col("_sm_t").alias(valid_from), F.col("_sm_next._sm_t").alias(valid_to), before.alias("old_value"), after.alias("new_value"))

@@ -141,6 +141,17 @@ def upsert_partitions(
     moved = target.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
     touched = [r[0] for r in batch.select(partition_col).union(moved).distinct().collect()]
     state = upsert(target.filter(F.col(partition_col).isin(touched)), batch, keys, on_duplicate, order)
+    return swap_partitions(spark, path, state, partition_col, touched)
+
+
+def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touched: Sequence) -> DataFrame:
+    """Puts ``state`` in the place of the ``touched`` partitions of a Parquet table and returns the table.
+
+    The state is written aside first (it may read the table), then moved in by dynamic partition
+    overwrite; a touched partition without rows is deleted.  These are two steps: in between a reader can
+    see a row that moved to another partition twice."""
+    from ..session import materialize
+
     state = materialize(state, "upsert_state")
     filled = {r[0] for r in state.select(partition_col).distinct().collect()}
     writer = state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.history import dedupe_changes, latest_per_key, scd2_from_raw, scd2_merge
+from ..operators.scd2_store import Scd2Store
 from ..operators.temporal import pit_join, temporal_join
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources import catalog
 from ..sources.io import cursor_increment
 
@@ -19,6 +20,7 @@ STATUS_HASH = ["user_id", "band"]
 # Fixed parameters of the registered history queries.
 CURSOR_HWM = "2024-01-20 00:00:00"
 MERGE_SPLIT = "2024-01-15 00:00:00"
+STORE_SPLITS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
 def _ts(s: str):
@@ -50,6 +52,20 @@ def events_scd2_merged(spark: SparkSession, root: str) -> DataFrame:
     return scd2_merge(current, after, KEY, TS, EVENT_HASH, TIEBREAK)
 
 
+def events_scd2_stored(spark: SparkSession, root: str) -> DataFrame:
+    """The stored SCD-2 table after a first load, two merges and the second one once more."""
+    import uuid
+
+    ev = catalog.events(spark, root)
+    store = Scd2Store(spark, scratch_path(spark, f"scd2-{uuid.uuid4().hex[:12]}"), KEY, TS, EVENT_HASH, TIEBREAK)
+    cuts = [None, *STORE_SPLITS, None]
+    for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        part = ev if lo is None else ev.filter(F.col(TS) >= _ts(lo))
+        store.merge(part if hi is None else part.filter(F.col(TS) < _ts(hi)), f"batch-{i}")
+    store.merge(ev.filter(F.col(TS) >= _ts(STORE_SPLITS[-1])), "the last one again")
+    return store.read()
+
+
 def activity_scd2(spark: SparkSession, root: str) -> DataFrame:
     """Snapshot table of the activity history (written once, like a warehouse snapshot)."""
     h = catalog.activity_history(spark, root)

@@ -1,7 +1,8 @@
 """Star-schema build: raw tables -> staging -> snapshots -> dims -> fact (O-10 .. O-21, O-38 .. O-41).
 
-Every function returns a lazy DataFrame; Catalyst sees the whole plan from the Parquet scans to the
-fact, prunes columns and pushes filters into the scans.
+Functions take and return DataFrames.  ``snapshots``, ``build_mart`` and what is built on them write the
+tables that the reference keeps (snapshots, dimensions, the stored fact) while the query is built; the
+rest is lazy.
 """
 
 from __future__ import annotations
@@ -15,8 +16,8 @@ from ..functions.keys import date_key, surrogate_key
 from ..operators.history import OPEN_END, open_end, scd2_from_raw
 from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
-from ..operators.temporal import pit_join, temporal_join
-from ..operators.upsert import arrived_orders, lookback_window, upsert, upsert_partitions, write_clustered
+from ..operators.temporal import interval_difference, pit_join, temporal_join
+from ..operators.upsert import arrived_orders, lookback_window, swap_partitions, upsert, upsert_partitions, write_clustered
 from ..session import materialize
 from ..sources.catalog import source
 
@@ -81,11 +82,12 @@ class Snapshots:
     model: DataFrame
 
 
-def snapshots(spark: SparkSession, root: str) -> Snapshots:
-    snaps = {
-        name: materialize(snapshot(source(spark, root, schema, name), key), f"snapshot_{name}")
-        for name, (schema, key) in SNAPSHOT_SPECS.items()
-    }
+def snapshots(spark: SparkSession, root: str, product: DataFrame | None = None) -> Snapshots:
+    """``product``: its raw history, if not that of the catalog."""
+    raw = {name: source(spark, root, schema, name) for name, (schema, _) in SNAPSHOT_SPECS.items()}
+    if product is not None:
+        raw["Product"] = product
+    snaps = {name: materialize(snapshot(raw[name], key), f"snapshot_{name}") for name, (_, key) in SNAPSHOT_SPECS.items()}
     return Snapshots(snaps["Product"], snaps["ProductSubcategory"], snaps["ProductCategory"], snaps["ProductModel"])
 
 
@@ -193,6 +195,30 @@ def load_fact(spark: SparkSession, path: str, new_records: DataFrame, dim_prod:
     return upsert_partitions(spark, path, batch, FACT_KEYS, FACT_PARTITION)
 
 
+def rekey_fact(spark: SparkSession, path: str, sales: DataFrame, old_dim: DataFrame, new_dim: DataFrame, dim_terr: DataFrame,
+               load_ts: Column | None = None) -> DataFrame:
+    """Gives the rows of the stored fact the keys of a product dimension that has changed for the past.
+
+    A late product version changes which version was valid in some stretch of time.  The interval
+    difference of the two dimensions names these stretches, with the old and the new key; sales inside
+    one lose the row with the old key and get one with the new key (or none, where no version is valid).
+    Only the months of such sales are read and rewritten; ``sales`` is read from the first changed time on."""
+    changed = materialize(interval_difference(old_dim, new_dim, "ProductID", "ProductKey", "ValidFrom", "ValidTo"), "changed_product_keys")
+    inside = (F.col("ProductID") == F.col("_sm_pid")) & (F.col("OrderDate") >= F.col("_sm_from")) & (F.col("OrderDate") < F.col("_sm_to"))
+    stretches = changed.select(F.col("ProductID").alias("_sm_pid"), F.col("ValidFrom").alias("_sm_from"), F.col("ValidTo").alias("_sm_to"), F.col("old_value").alias("_sm_old"))
+    since = sales.filter(F.col("OrderDate") >= changed.agg(F.min("ValidFrom")).scalar())
+    affected = materialize(since.join(stretches, inside).drop("_sm_pid", "_sm_from", "_sm_to"), "affected_sales")
+    stale = affected.filter(F.col("_sm_old").isNotNull()).select(F.col("_sm_old").alias("ProductKey"), "SalesOrderID").distinct()
+    month = F.floor(F.col("OrderDateKey") / 100).cast("int").alias(FACT_PARTITION)
+    batch = fact_sales(affected.drop("_sm_old"), new_dim, dim_terr, load_ts).select("*", month)
+    touched = [r[0] for r in affected.select(date_key("OrderDate").alias("OrderDateKey")).select(month).distinct().collect()]
+    target = spark.read.parquet(path)
+    if not touched:
+        return target
+    kept = target.filter(F.col(FACT_PARTITION).isin(touched)).join(stale, FACT_KEYS, "left_anti")
+    return swap_partitions(spark, path, kept.unionByName(batch.select(*target.columns)), FACT_PARTITION, touched)
+
+
 __all__ = [
     "OPEN_END",
     "build_mart",
@@ -203,6 +229,7 @@ __all__ = [
     "fact_sales_full",
     "int_sales_join",
     "product_history",
+    "rekey_fact",
     "snapshots",
     "stg_order_detail",
     "stg_order_header",

@@ -153,6 +153,11 @@ def q_scd2_merge(spark, d):
     return H.events_scd2_merged(spark, d)
 
 
+@register("scd2_stored_merge", O.with_ctes(["events_scd2"], "SELECT * FROM events_scd2"))
+def q_scd2_stored_merge(spark, d):
+    return H.events_scd2_stored(spark, d)
+
+
 @register("temporal_join_overlap", O.with_ctes(["activity_status_drop"], "SELECT * FROM activity_status_drop"))
 def q_temporal_join_overlap(spark, d):
     return H.activity_status(spark, d, "drop")
@@ -350,6 +355,24 @@ def q_fact_stored_incremental(spark, d):
     return mart.load_fact(spark, path, m.sales, m.dim_product, m.dim_territory, cut, load_ts()).drop(mart.FACT_PARTITION)
 
 
+# The dimension that the stored fact was built with lacks every fifth product's versions after the first and
+# some products altogether; after the late versions the fact has to equal a full build.
+@register("fact_rekeyed_late_versions", O.with_ctes(["fact_full"], "SELECT * FROM fact_full"))
+def q_fact_rekeyed_late_versions(spark, d):
+    import uuid
+
+    from ..session import materialize, scratch_path
+
+    m = mart.build_mart(spark, d)
+    raw = catalog.source(spark, d, "raw_Production", "Product")
+    first = F.lit(catalog.PRODUCT_VERSION_DATES[0]).cast("timestamp_ntz")
+    early = raw.filter(~((F.col("ProductID") % 5 == 0) & (F.col("ModifiedDate") > first)) & (F.col("ProductID") % 97 != 0))
+    old_dim = materialize(mart.dim_product(mart.product_history(mart.snapshots(spark, d, product=early))), "dim_product")
+    path = scratch_path(spark, f"fact-{uuid.uuid4().hex[:12]}")
+    mart.load_fact(spark, path, m.sales, old_dim, m.dim_territory, load_ts=load_ts())
+    return mart.rekey_fact(spark, path, m.sales, old_dim, m.dim_product, m.dim_territory, load_ts()).drop(mart.FACT_PARTITION)
+
+
 # --- market baskets and association rules (O-9, O-14, O-16, O-24 .. O-27, O-31, O-36, O-46) ---
 
 from ..functions.rules import rule_hash, rule_id  # noqa: E402
