@@ -103,7 +103,23 @@ def item_counts(items: DataFrame) -> DataFrame:
 def item_support(items: DataFrame) -> DataFrame:
     """(scope, item, item_count, n_baskets, support)."""
     n = items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n_baskets"))
-    return item_counts(items).join(n, SCOPE).withColumn("support", F.col("item_count") / F.col("n_baskets"))
+    return with_scope_figures(item_counts(items), n).withColumn("support", F.col("item_count") / F.col("n_baskets"))
+
+
+#: Scopes whose figures become literals of a plan; a territory table has a few dozen.
+MAX_SCOPES = 10_000
+
+
+def with_scope_figures(df: DataFrame, figures: DataFrame) -> DataFrame:
+    """``df`` with the columns of ``figures`` (one row per scope); rows of other scopes go.
+
+    Half of all rows are in the overall scope, so they are never exchanged by scope: the figures, at
+    most :data:`MAX_SCOPES` rows, are read once and joined as a local table that each task has.  More
+    scopes than that are spread widely enough for an ordinary join."""
+    rows = figures.limit(MAX_SCOPES + 1).collect()
+    if len(rows) > MAX_SCOPES:
+        return df.join(figures, SCOPE)
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, figures.schema)), SCOPE)
 
 
 LN2 = 0.6931471805599453

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import rule_hash, rule_id
-from .baskets import BASKET, ITEM, SCOPE, adaptive_min_support, item_counts, output_scope, scope_stats
+from ..session import materialize
+from .baskets import BASKET, ITEM, MAX_SCOPES, SCOPE, adaptive_min_support, item_counts, output_scope, scope_stats, with_scope_figures
 
 # Fixed miner settings (defaults of the published job).
 MIN_CONFIDENCE = 0.65
@@ -32,6 +33,12 @@ ENOUGH_FRACTION = 0.8
 CELL_ITEMS = 256
 
 
+def local_figures(figures: DataFrame) -> DataFrame:
+    """Figures per scope, computed once, as a local table (written, if there are too many scopes for that)."""
+    rows = figures.limit(MAX_SCOPES + 1).collect()
+    return materialize(figures, "scope_figures") if len(rows) > MAX_SCOPES else figures.sparkSession.createDataFrame(rows, figures.schema)
+
+
 def level_supports(m0: Column, floor: float = SUPPORT_FLOOR, tries: int = MAX_TRIES, decay: float = DECAY) -> list[Column]:
     """Support of level k = m0 * decay * ... * decay (k times, multiplied step by step)."""
     out, m = [], m0
@@ -57,15 +64,14 @@ def scope_levels(items: DataFrame, floor: float = SUPPORT_FLOOR, tries: int = MA
     return st.withColumn("levels", levels)
 
 
-def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
-    """Co-occurrence counts (scope, a, b, pair_count) with a < b.
+def pair_rows(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
+    """(scope, basket, a, b) with a < b: the pairs of each basket.
 
     A basket with k items is cut into C = ceil(k / cell_items) hash chunks of its items; cell
     (lo, hi), lo <= hi, pairs chunk lo with chunk hi.  Each item row is replicated into the C cells
     of its chunk and the pairs come from an equi-join on (scope, basket, lo, hi): a basket's pairs
     are produced by C(C+1)/2 independent join keys of at most 2 * cell_items rows, spread over
-    tasks, instead of by one task holding the whole basket.  Ordinary baskets have one cell.  The
-    join output is counted with a partial (map-side) aggregate."""
+    tasks, instead of by one task holding the whole basket.  Ordinary baskets have one cell."""
     sizes = items.groupBy(SCOPE, BASKET).agg(F.count(F.lit(1)).alias("_sm_k"))
     x = items.join(sizes, [SCOPE, BASKET])
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("_sm_k") / F.lit(cell_items))).cast("int")
@@ -77,9 +83,12 @@ def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
     left = x.filter(F.col("_sm_c") == F.col("_sm_lo")).select(*cell, F.col(ITEM).alias("_sm_a"))
     right = x.filter(F.col("_sm_c") == F.col("_sm_hi")).select(*cell, F.col(ITEM).alias("_sm_b"))
     pairs = left.join(right, cell).filter((F.col("_sm_lo") != F.col("_sm_hi")) | (F.col("_sm_a") < F.col("_sm_b")))
-    return pairs.groupBy(
-        SCOPE, F.least("_sm_a", "_sm_b").alias("a"), F.greatest("_sm_a", "_sm_b").alias("b")
-    ).agg(F.count(F.lit(1)).alias("pair_count"))
+    return pairs.select(SCOPE, BASKET, F.least("_sm_a", "_sm_b").alias("a"), F.greatest("_sm_a", "_sm_b").alias("b"))
+
+
+def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
+    """Co-occurrence counts (scope, a, b, pair_count) with a < b, combined before the exchange."""
+    return pair_rows(items, cell_items).groupBy(SCOPE, "a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
 
 
 def _rules_from_pairs(pairs: DataFrame, counts: DataFrame, n_baskets: DataFrame, min_confidence: float) -> DataFrame:
@@ -87,7 +96,7 @@ def _rules_from_pairs(pairs: DataFrame, counts: DataFrame, n_baskets: DataFrame,
     confidence = support(AC) / support(A), lift = confidence / support(C))."""
     ca = counts.select(SCOPE, F.col(ITEM).alias("a"), F.col("item_count").alias("count_a"))
     cb = counts.select(SCOPE, F.col(ITEM).alias("b"), F.col("item_count").alias("count_b"))
-    p = pairs.join(ca, [SCOPE, "a"]).join(cb, [SCOPE, "b"]).join(n_baskets, SCOPE)
+    p = with_scope_figures(pairs.join(ca, [SCOPE, "a"]).join(cb, [SCOPE, "b"]), n_baskets)
     both = p.select(
         SCOPE, "pair_count", "n_baskets",
         F.explode(F.array(
@@ -121,9 +130,10 @@ def pair_rules(items: DataFrame, min_support: float, min_confidence: float = MIN
     counts = item_counts(items)
     n = items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n_baskets"))
     need = F.ceil(F.lit(min_support) * F.col("n_baskets")).cast("bigint")
-    frequent = counts.join(n, SCOPE).filter(F.col("item_count") >= need).select(SCOPE, ITEM)
+    n = local_figures(n)
+    frequent = with_scope_figures(counts, n).filter(F.col("item_count") >= need).select(SCOPE, ITEM)
     pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items)
-    pairs = pairs.join(n, SCOPE).filter(F.col("pair_count") >= need).drop("n_baskets")
+    pairs = with_scope_figures(pairs, n).filter(F.col("pair_count") >= need).drop("n_baskets")
     return _rules_from_pairs(pairs, counts, n, min_confidence).drop("pair_count", "n_baskets")
 
 
@@ -139,16 +149,16 @@ def adaptive_rules(
     """Top ``max_rules`` single-item rules per scope at the support level the original retry loop
     would settle on: the first level whose top-k holds more than int(0.8 * max_rules) rules, else
     the last level tried.  Ties in (support, lift) are broken by the items, so the cut is total."""
-    levels = scope_levels(items, floor, tries, decay)
+    levels = local_figures(scope_levels(items, floor, tries, decay))
     lv = levels.select(SCOPE, "n_baskets", F.explode("levels").alias("_sm_l")).filter(F.col("_sm_l.valid"))
     lv = lv.select(SCOPE, "n_baskets", F.col("_sm_l.level").alias("level"), F.col("_sm_l.min_count").alias("min_count"))
     lowest = lv.groupBy(SCOPE).agg(F.min("min_count").alias("_sm_need"))
 
     counts = item_counts(items)
     n = levels.select(SCOPE, "n_baskets")
-    frequent = counts.join(lowest, SCOPE).filter(F.col("item_count") >= F.col("_sm_need")).select(SCOPE, ITEM)
+    frequent = with_scope_figures(counts, lowest).filter(F.col("item_count") >= F.col("_sm_need")).select(SCOPE, ITEM)
     pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items)
-    pairs = pairs.join(lowest, SCOPE).filter(F.col("pair_count") >= F.col("_sm_need")).drop("_sm_need")
+    pairs = with_scope_figures(pairs, lowest).filter(F.col("pair_count") >= F.col("_sm_need")).drop("_sm_need")
     rules = _rules_from_pairs(pairs, counts, n, min_confidence)
 
     return _top_at_level(rules, levels, max_rules)
@@ -160,11 +170,12 @@ def _top_at_level(rules: DataFrame, levels: DataFrame, max_rules: int) -> DataFr
     lv = lv.select(SCOPE, "n_baskets", F.col("_sm_l.level").alias("level"), F.col("_sm_l.min_count").alias("min_count"))
     # First level at which each rule qualifies (thresholds fall with the level).
     thresholds = levels.select(SCOPE, F.filter("levels", lambda l: l["valid"]).alias("_sm_lv"))
-    rules = rules.join(thresholds, SCOPE).withColumn(
+    rules = with_scope_figures(rules, thresholds).withColumn(
         "level",
         F.aggregate(F.filter("_sm_lv", lambda l: F.col("pair_count") >= l["min_count"]),
                     F.lit(None).cast("int"), lambda acc, l: F.coalesce(acc, l["level"])),
     ).filter(F.col("level").isNotNull()).drop("_sm_lv")
+    rules = materialize(rules, "scope_rules")  # read for the counts by level and for the top
 
     enough = int(ENOUGH_FRACTION * max_rules)
     per_level = rules.groupBy(SCOPE, "level").agg(F.count(F.lit(1)).alias("_sm_n"))
@@ -175,7 +186,7 @@ def _top_at_level(rules: DataFrame, levels: DataFrame, max_rules: int) -> DataFr
     chosen = grid.groupBy(SCOPE).agg(
         F.coalesce(F.min(F.when(found, F.col("level"))), F.max("level")).alias("chosen_level"),
     )
-    picked = rules.join(chosen, SCOPE).filter(F.col("level") <= F.col("chosen_level"))
+    picked = with_scope_figures(rules, chosen).filter(F.col("level") <= F.col("chosen_level"))
     rank = Window.partitionBy(SCOPE).orderBy(
         F.col("support").desc(), F.col("lift").desc(), F.col("antecedent"), F.col("consequent"))
     top = picked.withColumn("_sm_rank", F.row_number().over(rank)).filter(F.col("_sm_rank") <= max_rules)
@@ -219,8 +230,6 @@ def mine_rules(
     baskets -> adaptive rules -> decoration).  Empty input gives an empty frame with the schema."""
     from .baskets import scope_filter, scoped_items
 
-    from ..session import materialize
-
     scoped = scope_filter(lines, date_key_col, territory or "TerritoryID", None, date_filter, window)
     items = materialize(scoped_items(scoped, basket, item, territory), "mining_items")
     max_rules = MAX_RULES_WINDOW if window is not None else MAX_RULES
@@ -228,37 +237,55 @@ def mine_rules(
 
 
 # ---------------------------------------------------------------------------------------------
-# Itemsets of any size: Spark ML FP-growth (parallel FP-growth over the cluster).
+# Itemsets of any size, by bitmaps of baskets.
 
-def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float], num_partitions: int | None = None) -> DataFrame:
-    """Frequent itemsets per scope: count >= ceil(support * baskets of the scope), written once.
+def basket_words(items: DataFrame) -> DataFrame:
+    """(scope, item, word, bits): the baskets of each item as bitmaps of 64 baskets; written.
+
+    Baskets are numbered as they lie in their partition, sorted by scope; the numbers are written, so a
+    task that runs again doesn't change them."""
+    tx = items.groupBy(SCOPE, BASKET).agg(F.collect_set(ITEM).alias("items")).sortWithinPartitions(SCOPE)
+    tx = materialize(tx.select(SCOPE, F.monotonically_increasing_id().alias("no"), "items"), "numbered_baskets")
+    each = tx.select(SCOPE, F.explode("items").alias(ITEM), F.shiftright("no", 6).alias("word"), F.expr("shiftleft(1L, CAST(no & 63 AS INT))").alias("bit"))
+    return materialize(each.groupBy(SCOPE, ITEM, "word").agg(F.bit_or("bit").alias("bits")), "basket_words")
 
-    Each scope (there are a few dozen: one row each reaches the driver) is mined by its own FP-growth
-    at its own threshold, so a small scope's low count does not set the threshold of the overall one
-    (the fit drops items below its threshold first).  ``min_support`` may give each scope its own support."""
-    from pyspark.ml.fpm import FPGrowth
 
-    from ..session import materialize
+def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float]) -> DataFrame:
+    """Frequent itemsets per scope: count >= ceil(support * baskets of the scope), written once.
 
+    Vertical mining of all scopes at once: an itemset has, per 64 baskets, one long with a bit for each
+    basket that holds all its items.  A level joins the sets of the level before with the frequent items
+    behind their last one on (scope, word), ANDs the bits and adds up their counts, which combine before
+    the exchange; infrequent sets go before the next level.  No set or item is kept in one row, so hot
+    items are as many rows as they have words.  Per scope (a few dozen) only its number of baskets comes
+    to the driver; the levels are as many as the largest itemset has items.  ``min_support`` may give
+    each scope its own support."""
     spark = items.sparkSession
-    items = materialize(items.select(SCOPE, BASKET, F.col(ITEM).cast("string").alias(ITEM)), "itemset_items")
-    out = None
-    for row in items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n")).orderBy(SCOPE).collect():
-        support = min_support[row[SCOPE]] if isinstance(min_support, dict) else min_support
-        need = max(1, math.ceil(support * row["n"]))
-        mine = items.filter(F.col(SCOPE) == F.lit(row[SCOPE]))
-        tx = mine.groupBy(BASKET).agg(F.collect_list(ITEM).alias("items"))
-        # Half a count below keeps the threshold exact.
-        fp = FPGrowth(itemsCol="items", minSupport=min(1.0, (need - 0.5) / row["n"]), minConfidence=1.0)
-        if num_partitions:
-            fp = fp.setNumPartitions(num_partitions)
-        sets = fp.fit(tx.select("items")).freqItemsets.select(
-            F.lit(row[SCOPE]).cast("bigint").alias(SCOPE), F.sort_array("items").alias("items"), F.col("freq").cast("bigint").alias("freq"),
-            F.size("items").alias("size"), F.lit(row["n"]).cast("bigint").alias("n_baskets"))
-        out = sets if out is None else out.unionByName(sets)
-    if out is None:
+    items = items.select(SCOPE, BASKET, F.col(ITEM).cast("string").alias(ITEM))
+    words = basket_words(items)
+    n = {r[SCOPE]: r["n"] for r in items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n")).collect()}
+    if not n:
         return spark.createDataFrame([], "scope bigint, items array<string>, freq bigint, size int, n_baskets bigint")
-    return materialize(out, "itemsets")
+    support = min_support if isinstance(min_support, dict) else dict.fromkeys(n, min_support)
+    figures = spark.createDataFrame([(k, v, max(1, math.ceil(support[k] * v))) for k, v in n.items()], "scope long, n_baskets long, _sm_need long")
+
+    def frequent(rows: DataFrame) -> DataFrame:
+        counts = rows.groupBy(SCOPE, "items").agg(F.sum(F.bit_count("bits")).alias("freq"))
+        found = with_scope_figures(counts, figures).filter(F.col("freq") >= F.col("_sm_need"))
+        return materialize(found.select(SCOPE, "items", "freq", F.size("items").alias("size"), "n_baskets"), "itemsets")
+
+    rows = words.select(SCOPE, F.array(ITEM).alias("items"), "word", "bits")
+    out = found = frequent(rows)
+    single = materialize(words.join(found.select(SCOPE, F.col("items")[0].alias(ITEM)), [SCOPE, ITEM], "left_semi"), "frequent_words")
+    added = single.select(SCOPE, "word", F.col(ITEM).alias("_sm_next"), F.col("bits").alias("_sm_bits"))
+    while not found.isEmpty():
+        rows = rows.join(found.select(SCOPE, "items"), [SCOPE, "items"], "left_semi")
+        both = F.col("bits").bitwiseAND(F.col("_sm_bits"))
+        longer = rows.join(added, [SCOPE, "word"]).filter((F.col("_sm_next") > F.element_at("items", -1)) & (both != 0))
+        rows = longer.select(SCOPE, F.concat("items", F.array("_sm_next")).alias("items"), "word", both.alias("bits"))
+        found = frequent(rows)
+        out = out.unionByName(found)
+    return out
 
 
 def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -270,8 +297,6 @@ def multi_item_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE
     is at least as frequent and its confidence no higher.  Antecedent counts come from the itemset
     table itself (every subset of a frequent itemset is in it).  The loop has as many levels as the
     largest itemset has items, whatever their number."""
-    from ..session import materialize
-
     lookup = itemsets.select(SCOPE, F.col("items").alias("_sm_k"), F.col("freq").alias("_sm_f"))
     level = itemsets.filter(F.col("size") >= 2).select(SCOPE, F.col("items").alias("_sm_all"), "freq", "n_baskets", F.col("items").alias("antecedents"))
     enough = (F.col("freq") / F.col("n_baskets")) / (F.col("ante_freq") / F.col("n_baskets")) >= F.lit(min_confidence)
@@ -310,7 +335,7 @@ def adaptive_multi_item_rules(
     """Top ``max_rules`` rules of any size per scope, at the support level that :func:`adaptive_rules`
     describes: itemsets are mined once at each scope's lowest level, and a rule's count says from
     which level on it qualifies."""
-    levels = scope_levels(items, floor, tries, decay)
+    levels = local_figures(scope_levels(items, floor, tries, decay))
     lowest = levels.select(SCOPE, F.array_min(F.transform(F.filter("levels", lambda x: x["valid"]), lambda x: x["level_support"])).alias("s"))
     sets = frequent_itemsets(items, {r[SCOPE]: r["s"] for r in lowest.collect()})
     rules = multi_item_rules(sets, min_confidence)

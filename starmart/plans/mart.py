@@ -141,13 +141,18 @@ class Mart:
     dim_product: DataFrame
 
 
+def dimensions(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """The product and the territory dimension, written."""
+    dim_terr = materialize(dim_territory(stg_territory(spark, root)), "dim_territory")
+    return materialize(dim_product(product_history(snapshots(spark, root))), "dim_product"), dim_terr
+
+
 def build_mart(spark: SparkSession, root: str) -> Mart:
     detail = stg_order_detail(spark, root)
     header = stg_order_header(spark, root)
     terr = stg_territory(spark, root)
     sales = int_sales_join(detail, header)
-    dim_terr = materialize(dim_territory(terr), "dim_territory")
-    dim_prod = materialize(dim_product(product_history(snapshots(spark, root))), "dim_product")
+    dim_prod, dim_terr = dimensions(spark, root)
     return Mart(detail, header, terr, sales, dim_terr, dim_prod)
 
 

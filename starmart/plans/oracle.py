@@ -394,6 +394,26 @@ SELECT CASE WHEN al.scope = -1 THEN NULL ELSE al.scope END AS territory_id, al.i
 FROM al JOIN nb ON al.scope = nb.scope WHERE al.freq >= {need}"""
 
 
+def as_of_sql(item: str, basket: str, dates: list[int], window: int) -> str:
+    """Item and pair supports per scope, with the lines filtered for each date by itself."""
+    body = O_with_ctes(["mining_lines"])
+    values = ", ".join(f"({d})" for d in dates)
+    return f"""{body},
+dates AS (SELECT as_of, CAST(strftime(strptime(CAST(as_of AS VARCHAR), '%Y%m%d') - INTERVAL {window} DAY, '%Y%m%d') AS BIGINT) AS lo FROM (VALUES {values}) v(as_of)),
+items AS (SELECT DISTINCT as_of, scope, basket, item FROM (
+  SELECT d.as_of, CAST(TerritoryID AS BIGINT) AS scope, {basket} AS basket, {item} AS item FROM mining_lines l JOIN dates d ON l.OrderDateKey < d.as_of AND l.OrderDateKey > d.lo
+  UNION ALL
+  SELECT d.as_of, CAST(NULL AS BIGINT), {basket}, {item} FROM mining_lines l JOIN dates d ON l.OrderDateKey < d.as_of AND l.OrderDateKey > d.lo)
+  WHERE item IS NOT NULL AND basket IS NOT NULL),
+nb AS (SELECT as_of, scope, count(DISTINCT basket) AS n_baskets FROM items GROUP BY as_of, scope),
+c AS (SELECT as_of, scope, item AS a, CAST(NULL AS VARCHAR) AS b, count(*) AS n FROM items GROUP BY as_of, scope, item
+      UNION ALL
+      SELECT x.as_of, x.scope, x.item, y.item, count(*) FROM items x JOIN items y
+      ON x.as_of = y.as_of AND x.scope IS NOT DISTINCT FROM y.scope AND x.basket = y.basket AND x.item < y.item GROUP BY x.as_of, x.scope, x.item, y.item)
+SELECT c.scope AS territory_id, CAST(c.as_of AS BIGINT) AS as_of, a, b, n, n_baskets, CAST(n AS DOUBLE) / n_baskets AS support
+FROM c JOIN nb ON nb.as_of = c.as_of AND nb.scope IS NOT DISTINCT FROM c.scope"""
+
+
 def multi_rules_sql(item: str, basket: str, min_support: float, min_conf: float = 0.65) -> str:
     """Rules with any number of items per side, by brute force over item bitmasks: every subset of
     a scope's items is a mask, its support is the number of baskets whose mask contains it, and

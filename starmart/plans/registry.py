@@ -402,9 +402,8 @@ def q_baskets(spark, d):
 @register("basket_scope_window", O.with_ctes(["mining_lines"], _BASKET_SQL.format(
     where=f"WHERE ProductID IS NOT NULL AND TerritoryID = {SCOPE_TERRITORY} AND OrderDateKey < {SCOPE_DATE} AND OrderDateKey > 19990101")))
 def q_basket_scope_window(spark, d):
-    lines = B.scope_filter(MI.mining_lines(spark, d, load_ts()), "OrderDateKey", "TerritoryID",
-                           SCOPE_TERRITORY, SCOPE_DATE, SCOPE_WINDOW)
-    return _basket_strings(lines)
+    lines = MI.mining_lines(spark, d, where=MI.sales_in_window(SCOPE_TERRITORY, SCOPE_DATE, SCOPE_WINDOW))
+    return _basket_strings(B.scope_filter(lines, "OrderDateKey", "TerritoryID", SCOPE_TERRITORY, SCOPE_DATE, SCOPE_WINDOW))
 
 
 @register("mining_scopes", O.with_ctes(["dim_territory"], """
@@ -511,7 +510,7 @@ def q_frequent_itemsets(spark, d):
                        (F.col("freq") / F.col("n_baskets")).alias("support"))
 
 
-# Rules with several items per side from FP-growth itemsets; the oracle enumerates item bitmasks.
+# Rules with several items per side from the itemsets; the oracle enumerates item bitmasks.
 @register("multi_item_rules", O.multi_rules_sql("ProductType", "SalesOrderID", MULTI_RULES_MIN_SUPPORT))
 def q_multi_item_rules(spark, d):
     items = B.scoped_items(MI.mining_lines(spark, d, load_ts()), "SalesOrderID", "ProductType", "TerritoryID")
@@ -521,6 +520,19 @@ def q_multi_item_rules(spark, d):
                         F.array_join("consequents", ", ").alias("consequents"), *_RULE_COLS.split(", "))
 
 
+AS_OF_DATES = [20000101 + 100 * k for k in range(12)]   # the first of each month of a year
+AS_OF_WINDOW = 365
+
+
+# Order baskets of brands in the year before each date; the SQL filters the lines once for each date.
+@register("supports_as_of", O.as_of_sql("ProductBrand", "SalesOrderID", AS_OF_DATES, AS_OF_WINDOW))
+def q_supports_as_of(spark, d):
+    from ..operators.as_of import as_of_supports
+
+    s = as_of_supports(MI.mining_lines(spark, d), "SalesOrderID", "ProductBrand", AS_OF_DATES, AS_OF_WINDOW)
+    return s.select(B.output_scope(), "as_of", "a", "b", "n", "n_baskets", "support")
+
+
 # --- streaming ingest (O-43) -------------------------------------------------------------------
 
 from ..session import scratch_path  # noqa: E402
