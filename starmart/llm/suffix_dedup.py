@@ -267,7 +267,7 @@ def _placed_contexts(texts: DataFrame, length: int, hot: tuple[np.ndarray, np.nd
             at = np.minimum(np.searchsorted(hot[0], anchor[first]), len(hot[0]) - 1)
             salt = np.where(hot[0][at] == anchor[first], ctx[first].view(np.uint32) % hot[1][at] + 1, 0).astype(np.int32)
         pick = np.concatenate([first, settled])
-        rows, k = whole.take(pa.array(row[pick])), len(first)
+        rows, k = whole.select(["key", "check"]).take(pa.array(row[pick])), len(first)
         spread = _M1 * row[settled].astype(np.uint64)
         mask = np.arange(len(pick)) >= k
         return pa.RecordBatch.from_arrays([
