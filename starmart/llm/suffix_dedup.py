@@ -19,9 +19,14 @@ or another text; strings are judged on the input, overlaps count, matches never
    ``length``: places without a value then are between windows that are equal in ``length`` bytes.
 4. Cutting.  Spans are united per text and cut out.
 
-Anchors with more contexts than fit a block (:data:`BLOCK_BYTES`), near copies by the million, are
-dealt out over several blocks; windows that such a block has once are matched with those of its other
-blocks by a hash of their bytes, each block sending every different window once.
+Hot anchors.  Anchors with more different contexts than :data:`HOT_CONTEXTS` (near copies by the
+million, what stands around a frequent passage) get finer ones: by the place of the anchor in the window
+windows fall into :data:`CLASSES` classes, all windows of a class hold the same bytes around the anchor,
+and the hash of these is the finer anchor.  Equal windows have equal finer anchors, and a context whose
+finer anchor nobody else has ends there.  Where even these are hot, each window is a context by itself,
+which meets equal ones only.  An anchor that the batches did not show to be hot is compared block after
+block in its task; windows that such a block has once are matched with those of its other blocks by a
+hash of their bytes.
 
 Edge cases: a null text is the empty text; texts shorter than ``length`` keep everything and match
 nothing; long runs of one byte are one context in pieces; very long texts are read in overlapping
@@ -52,10 +57,12 @@ SEGMENT = 1 << 20
 PIECE = 1024
 #: Bytes of contexts with one suffix array.
 BLOCK_BYTES = 1 << 21
-#: An anchor found this often in one batch is counted, and with this many contexts it is dealt out.
+#: An anchor with this many different contexts in one batch is counted, and with this many in all it is hot.
 HOT_IN_BATCH, HOT_CONTEXTS = 4, 4000
-#: Anchors that are dealt out, at most (the most frequent ones); others are compared block after block.
+#: Hot anchors, at most (the most frequent ones); others are compared block after block.
 HOT_ANCHORS = 100_000
+#: Finer anchors of a hot one.
+CLASSES = 4
 #: Bytes of text of an exchange partition.
 PART_BYTES = 64 << 20
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -81,8 +88,8 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[:n], x[width - done : width - done + n])
 
 
-def contexts_of(raw: bytes, length: int, segment: int = SEGMENT) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Arrays (anchor, first window, last window, whether the anchor occurs twice in the context) of a text."""
+def contexts_of(raw: bytes, length: int, segment: int = SEGMENT) -> Iterator[tuple[np.ndarray, ...]]:
+    """Arrays (anchor, first window, last window, whether the anchor occurs twice in the context, its first place) of a text."""
     width = length - GRAM + 1
     for start in range(0, max(0, len(raw) - length + 1), segment):
         data = np.frombuffer(raw, np.uint8, min(len(raw) - start, segment + length - 1), start)
@@ -104,8 +111,30 @@ def contexts_of(raw: bytes, length: int, segment: int = SEGMENT) -> Iterator[tup
         scale = len(data) + 1
         places = np.sort(of * scale + chosen)
         base = np.searchsorted(values, anchor) * scale
-        count = np.searchsorted(places, base + end - 1 + width) - np.searchsorted(places, base + at)
-        yield anchor.view(np.int64), at + start, end - 1 + start, count > 1
+        place = np.searchsorted(places, base + at)
+        count = np.searchsorted(places, base + end - 1 + width) - place
+        yield anchor.view(np.int64), at + start, end - 1 + start, count > 1, places[place] - base + start
+
+
+def finer_contexts(raw: bytes, length: int, anchor: int, lo: int, hi: int, twice: bool, first: int) -> Iterator[tuple[int, int, int]]:
+    """(finer anchor, first window, last window): the context's windows by the first place of the anchor in them and its class."""
+    step = -(-(length - GRAM + 1) // CLASSES)
+    places = [first]
+    if twice:
+        hashes = _gram_hashes(np.frombuffer(raw, np.uint8, hi - lo + length, lo))
+        places = (np.flatnonzero(hashes.view(np.int64) == anchor) + lo).tolist()
+    for p in places:
+        last = min(hi, p)
+        for c in range((p - last) // step, (p - lo) // step + 1):
+            core = raw[p - c * step : p - (c + 1) * step + 1 + length]
+            yield _signed(xxhash.xxh64_intdigest(core, c)), max(lo, p - (c + 1) * step + 1), min(last, p - c * step)
+        lo = last + 1
+        if lo > hi:
+            break
+
+
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
@@ -217,42 +246,71 @@ def _batches_of_bytes(rb: pa.RecordBatch, column: str, limit: int) -> Iterator[p
         at = stop
 
 
-def _hot_anchors(texts: DataFrame, length: int, in_batch: int, contexts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The anchors with many contexts, sorted, and over how many blocks each is dealt out; counted where a batch has them a few times."""
+def _batch_contexts(rb: pa.RecordBatch, length: int) -> tuple[np.ndarray, ...] | None:
+    """anchor, row, lo, hi, twice, first of the contexts of all texts."""
+    cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+    for row, raw in enumerate(rb.column("raw")):
+        for anchor, lo, hi, twice, first in contexts_of(raw.as_py(), length):
+            for c, x in zip(cols, (anchor, np.full(len(lo), row), lo, hi, twice, first), strict=True):
+                c.append(x)
+    return tuple(np.concatenate(c) for c in cols) if cols[0] else None
+
+
+def _hot_anchors(texts: DataFrame, length: int, in_batch: int, contexts: int) -> np.ndarray:
+    """The anchors, and of these the finer ones, with many different contexts, sorted; counted where a batch has a few of them."""
+
+    def frequent(anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        value, count = np.unique(anchors, return_counts=True)
+        return value[count >= in_batch], count[count >= in_batch]
+
+    def of_batch(rb: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray] | None:
+        found = _batch_contexts(rb, length)
+        if found is None:
+            return None
+        pick = np.flatnonzero(np.isin(found[0], frequent(found[0])[0]))
+        seen: dict[tuple[int, bytes], None] = {}
+        each, finer, held, at = [], [], b"", -1
+        for anchor, row, lo, hi, twice, first in zip(*(x[pick].tolist() for x in found), strict=True):
+            if row != at:
+                held, at = rb.column("raw")[row].as_py(), row
+            key = (anchor, xxhash.xxh3_64_digest(held[lo : hi + length]))
+            if key not in seen:
+                seen[key] = None
+                each.append(anchor)
+                finer += [f for f, _, _ in finer_contexts(held, length, anchor, lo, hi, twice, first)]
+        (a, n), (b, m) = frequent(np.array(each, np.int64)), frequent(np.array(finer, np.int64))
+        return np.concatenate([a, b]), np.concatenate([n, m])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            found = []
-            for rb in _batches_of_bytes(whole, "raw", 16 << 20):
-                found += [c[0] for raw in rb.column("raw") for c in contexts_of(raw.as_py(), length)]
-            value, count = np.unique(np.concatenate([np.empty(0, np.int64), *found]), return_counts=True)
-            many = count >= in_batch
-            yield pa.RecordBatch.from_arrays([pa.array(value[many]), pa.array(count[many])], ["anchor", "n"])
+            for rb in _batches_of_bytes(whole, "raw", 32 << 20):
+                found = of_batch(rb)
+                if found is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], ["anchor", "n"])
 
     counts = texts.select("raw").mapInArrow(run, "anchor long, n long").groupBy("anchor").agg(F.sum("n").alias("n"))
     rows = counts.filter(F.col("n") >= contexts).orderBy(F.desc("n"), "anchor").limit(HOT_ANCHORS).collect()
-    rows.sort(key=lambda r: r["anchor"])
-    return np.array([r["anchor"] for r in rows], np.int64), np.array([2 * r["n"] // contexts for r in rows], np.int64)
+    return np.sort(np.array([r["anchor"] for r in rows], np.int64))
 
 
-def _placed_contexts(texts: DataFrame, length: int, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """Rows of contexts (anchor, salt, ctx, n, twice, key, check, lo, hi), and of settled spans (anchor null)."""
-    schema = "anchor long, salt int, ctx int, n int, twice boolean, key long, check int, lo long, hi long"
+def _placed_contexts(texts: DataFrame, length: int, hot: np.ndarray) -> DataFrame:
+    """Rows of contexts (anchor, ctx, n, twice, key, check, lo, hi), and of settled spans (anchor null, ctx a random number)."""
+    schema = "anchor long, ctx int, n int, twice boolean, key long, check int, lo long, hi long"
     names = [x.split()[0] for x in schema.split(", ")]
-
-    def of_batch(whole: pa.RecordBatch) -> pa.RecordBatch:
-        cols: list[list[np.ndarray]] = [[] for _ in range(6)]  # anchor, ctx, twice, row, lo, hi
-        raws = whole.column("raw")
-        for row in range(whole.num_rows):
-            raw = raws[row].as_py()
-            for anchor, lo, hi, twice in contexts_of(raw, length):
-                view = memoryview(raw)
-                ctx = np.fromiter((xxhash.xxh32_intdigest(view[i : j + length]) for i, j in zip(lo.tolist(), hi.tolist(), strict=True)), np.uint32, len(lo))
-                for c, x in zip(cols, (anchor, ctx.view(np.int32), twice, np.full(len(lo), row), lo, hi), strict=True):
-                    c.append(x)
-        if not cols[0]:
-            return pa.RecordBatch.from_pylist([], pa.schema([]))
-        anchor, ctx, twice, row, lo, hi = (np.concatenate(c) for c in cols)
+    is_hot = set(hot.tolist())
+
+    def of_batch(whole: pa.RecordBatch) -> pa.RecordBatch | None:
+        found = _batch_contexts(whole, length)
+        if found is None:
+            return None
+        anchor, row, lo, hi, twice, place = found
+        raws, held, at = whole.column("raw"), b"", -1
+        ctx = np.empty(len(row), np.uint32)
+        for i, (r, a, b) in enumerate(zip(row.tolist(), lo.tolist(), hi.tolist(), strict=True)):
+            if r != at:
+                held, at = memoryview(raws[r].as_py()), r
+            ctx[i] = xxhash.xxh32_intdigest(held[a : b + length])
+        ctx = ctx.view(np.int32)
         copies = whole.column("copies").to_numpy(zero_copy_only=False)[row]
         order = np.lexsort((ctx, anchor))
         new = np.ones(len(order), bool)
@@ -261,25 +319,35 @@ def _placed_contexts(texts: DataFrame, length: int, hot: tuple[np.ndarray, np.nd
         group[order] = np.cumsum(new) - 1
         n = np.minimum(np.bincount(group, weights=np.minimum(copies, 2)), 2).astype(np.int32)
         settled = np.flatnonzero((n[group] > 1) & (copies == 1))  # spans; texts with copies go as a whole
-        first = order[new]
-        salt = np.zeros(len(first), np.int32)
-        if len(hot[0]):
-            at = np.minimum(np.searchsorted(hot[0], anchor[first]), len(hot[0]) - 1)
-            salt = np.where(hot[0][at] == anchor[first], ctx[first].view(np.uint32) % hot[1][at] + 1, 0).astype(np.int32)
-        pick = np.concatenate([first, settled])
-        rows, k = whole.select(["key", "check"]).take(pa.array(row[pick])), len(first)
-        spread = _M1 * row[settled].astype(np.uint64)
-        mask = np.arange(len(pick)) >= k
+        once = order[new]
+        finer = []
+        if len(hot):
+            dealt = np.isin(anchor[once], hot)
+            for i in np.sort(once[dealt]).tolist():
+                if row[i] != at:
+                    held, at = raws[int(row[i])].as_py(), row[i]
+                for f, a, b in finer_contexts(bytes(held), length, int(anchor[i]), int(lo[i]), int(hi[i]), bool(twice[i]), int(place[i])):
+                    for x, y in [(w, w) for w in range(a, b + 1)] if f in is_hot else [(a, b)]:
+                        part = held[x : y + length]
+                        finer.append((_signed(xxhash.xxh64_intdigest(part, 99)) if f in is_hot else f, xxhash.xxh32_intdigest(part), n[group[i]], row[i], x, y))
+            once = once[~dealt]
+        f_anchor, f_ctx, f_n, f_row, f_lo, f_hi = (np.array(x, np.int64) for x in (zip(*finer, strict=True) if finer else [[]] * 6))
+        k = len(once) + len(finer)
+        rows = whole.select(["key", "check"]).take(pa.array(np.concatenate([row[once], f_row, row[settled]])))
+        mask = np.arange(rows.num_rows) >= k
+        spread = (_M1 * (row[settled] + np.arange(len(settled))).astype(np.uint64) >> np.uint64(40)).astype(np.int32)
         return pa.RecordBatch.from_arrays([
-            pa.array(anchor[pick], mask=mask), pa.array(np.concatenate([salt, (spread >> np.uint64(40)).astype(np.int32)])), pa.array(ctx[pick], mask=mask),
-            pa.array(np.concatenate([n[group[first]], np.zeros(len(settled), np.int32)])), pa.array(twice[pick]), rows.column("key"), rows.column("check"),
-            pa.array(lo[pick]), pa.array(hi[pick])], names)
+            pa.array(np.concatenate([anchor[once], f_anchor, anchor[settled]]), mask=mask),
+            pa.array(np.concatenate([ctx[once], f_ctx.astype(np.uint32).view(np.int32), spread])),
+            pa.array(np.concatenate([n[group[once]], f_n, np.zeros(len(settled))]).astype(np.int32)),
+            pa.array(np.concatenate([twice[once], np.zeros(rows.num_rows - len(once), bool)])), rows.column("key"), rows.column("check"),
+            pa.array(np.concatenate([lo[once], f_lo, lo[settled]])), pa.array(np.concatenate([hi[once], f_hi, hi[settled]]))], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rb in _batches_of_bytes(whole, "raw", 32 << 20):
                 out = of_batch(rb)
-                if out.num_rows:
+                if out is not None:
                     yield out
 
     return texts.select("key", "check", "copies", "raw").mapInArrow(run, schema)
@@ -287,18 +355,18 @@ def _placed_contexts(texts: DataFrame, length: int, hot: tuple[np.ndarray, np.nd
 
 def _judged(rows: DataFrame, parts: int) -> DataFrame:
     """Of each context: ``compare`` with its bytes, or settled as a span; those of an anchor of their own go."""
-    schema = "anchor long, salt int, key long, check int, lo long, hi long"
+    schema = "anchor long, key long, check int, lo long, hi long"
     names = [x.split()[0] for x in schema.split(", ")]
 
     def of_rows(x: dict[str, np.ndarray]) -> pa.RecordBatch:
-        """Whole anchors, sorted by (anchor, salt, ctx)."""
+        """Whole anchors, sorted by (anchor, ctx)."""
         group_new = np.ones(len(x["anchor"]), bool)
-        group_new[1:] = (x["anchor"][1:] != x["anchor"][:-1]) | (x["salt"][1:] != x["salt"][:-1])
+        group_new[1:] = x["anchor"][1:] != x["anchor"][:-1]
         ctx_new = group_new.copy()
         ctx_new[1:] |= x["ctx"][1:] != x["ctx"][:-1]
         group, ctx = np.cumsum(group_new) - 1, np.cumsum(ctx_new) - 1
         n = np.bincount(ctx, weights=x["n"])[ctx]
-        several = (np.bincount(group, weights=ctx_new)[group] > 1) | (np.bincount(group, weights=x["twice"])[group] > 0) | (x["salt"] > 0)
+        several = (np.bincount(group, weights=ctx_new)[group] > 1) | (np.bincount(group, weights=x["twice"])[group] > 0)
         span, compare = (n > 1) & (x["n"] == 1), several & ctx_new
         pick = np.concatenate([np.flatnonzero(span), np.flatnonzero(compare)])
         mask = np.arange(len(pick)) < span.sum()
@@ -311,28 +379,29 @@ def _judged(rows: DataFrame, parts: int) -> DataFrame:
             if spans.num_rows:
                 yield spans.select(names)
             rb = rb.filter(pc.is_valid(rb.column("anchor")))
-            x = {c: rb.column(c).to_numpy(zero_copy_only=False) for c in ["anchor", "salt", "ctx", "n", "twice", "key", "check", "lo", "hi"]}
+            x = {c: rb.column(c).to_numpy(zero_copy_only=False) for c in ["anchor", "ctx", "n", "twice", "key", "check", "lo", "hi"]}
             if held is not None:
                 x = {c: np.concatenate([held[c], v]) for c, v in x.items()}
             if not len(x["anchor"]):
                 continue
-            # the last anchor may go on in the next batch; an anchor's rows are bounded, frequent ones being combined or dealt out
-            same = (x["anchor"] == x["anchor"][-1]) & (x["salt"] == x["salt"][-1])
-            cut = int(np.argmax(same))
+            # the last anchor may go on in the next batch; its rows are few, frequent contexts being combined and hot anchors finer
+            cut = int(np.argmax(x["anchor"] == x["anchor"][-1]))
             if cut:
                 yield of_rows({c: v[:cut] for c, v in x.items()})
             held = {c: v[cut:] for c, v in x.items()}
         if held is not None:
             yield of_rows(held)
 
-    return rows.repartition(parts, "anchor", "salt").sortWithinPartitions("anchor", "salt", "ctx").mapInArrow(run, schema)
+    # Settled spans have no anchor; their random number spreads them.
+    place = F.coalesce("anchor", F.col("ctx").cast("bigint"))
+    return rows.repartition(parts, place).sortWithinPartitions("anchor", "ctx").mapInArrow(run, schema)
 
 
 def _context_bytes(texts: DataFrame, wanted: DataFrame, length: int, parts: int) -> DataFrame:
     """The wanted contexts with their bytes; the bucketed texts stay where they are."""
-    each = wanted.repartition(parts, "key").groupBy("key").agg(F.collect_list(F.struct("check", "anchor", "salt", "lo", "hi")).alias("at"))
+    each = wanted.repartition(parts, "key").groupBy("key").agg(F.collect_list(F.struct("check", "anchor", "lo", "hi")).alias("at"))
     met = texts.join(each, "key").withColumn("at", F.filter("at", lambda x: x["check"] == F.col("check")))
-    schema = "anchor long, salt int, key long, check int, lo long, bytes binary"
+    schema = "anchor long, key long, check int, lo long, bytes binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -348,8 +417,8 @@ def _context_bytes(texts: DataFrame, wanted: DataFrame, length: int, parts: int)
                         held = {r: raws[r].as_py()}
                     out.append(held[r][i : j + length])
                 of = pa.array(row)
-                yield pa.RecordBatch.from_arrays([flat.field("anchor"), flat.field("salt"), rb.column("key").take(of), rb.column("check").take(of), flat.field("lo"), pa.array(out, pa.binary())],
-                                                 ["anchor", "salt", "key", "check", "lo", "bytes"])
+                yield pa.RecordBatch.from_arrays([flat.field("anchor"), rb.column("key").take(of), rb.column("check").take(of), flat.field("lo"), pa.array(out, pa.binary())],
+                                                 ["anchor", "key", "check", "lo", "bytes"])
 
     return met.select("key", "check", "at", "raw").mapInArrow(run, schema)
 
@@ -376,22 +445,19 @@ def _compared(contexts: DataFrame, length: int, parts: int, block_bytes: int) ->
         return pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], kinds[k]) for k in range(6)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Whole groups fill a block; a group that fills one by itself, and a dealt out one, sends its windows.
-        block, size, group, group_at, split = [], 0, None, 0, False
+        # Whole anchors fill a block; one that fills several sends its windows.
+        block, size, anchor, anchor_at, split = [], 0, None, 0, False
         for rb in batches:
             for r in rb.to_pylist():
-                if (r["anchor"], r["salt"]) != group:
+                if r["anchor"] != anchor:
                     if split or size >= block_bytes:
                         yield of_block(block, split)
                         block, size, split = [], 0, False
-                    if r["salt"] > 0 and block:
-                        yield of_block(block, split)
-                        block, size = [], 0
-                    group, group_at, split = (r["anchor"], r["salt"]), len(block), r["salt"] > 0
+                    anchor, anchor_at = r["anchor"], len(block)
                 elif size >= block_bytes:
-                    if group_at:  # groups before this one are done
-                        yield of_block(block[:group_at], False)
-                        block, group_at = block[group_at:], 0
+                    if anchor_at:  # the anchors before this one are done
+                        yield of_block(block[:anchor_at], False)
+                        block, anchor_at = block[anchor_at:], 0
                         size = sum(len(x["bytes"]) for x in block)
                     if size >= block_bytes:
                         split = True
@@ -402,7 +468,7 @@ def _compared(contexts: DataFrame, length: int, parts: int, block_bytes: int) ->
         if block:
             yield of_block(block, split)
 
-    return contexts.repartition(parts, "anchor", "salt").sortWithinPartitions("anchor", "salt").mapInArrow(run, schema)
+    return contexts.repartition(parts, "anchor").sortWithinPartitions("anchor").mapInArrow(run, schema)
 
 
 def repeated_spans(df: DataFrame, text_col: str = "text", length: int = 200, in_batch: int = HOT_IN_BATCH, hot_contexts: int = HOT_CONTEXTS,

@@ -65,18 +65,25 @@ def test_contexts_hold_every_window_under_its_smallest_hash():
     rng = random.Random(4)
     raw = ("".join(rng.choice("abc ") for _ in range(4000)) + "a" * 3000 + "abc" * 700).encode()
     least = suffix_dedup._sliding(suffix_dedup._gram_hashes(np.frombuffer(raw, np.uint8)), 200 - suffix_dedup.GRAM + 1, np.minimum)
+    finer_of = {}
     for segment in (1 << 20, 777):
         places = []
-        for anchor, lo, hi, twice in suffix_dedup.contexts_of(raw, 200, segment):
-            for a, i, j, two in zip(anchor.tolist(), lo.tolist(), hi.tolist(), twice.tolist(), strict=True):
+        for columns in suffix_dedup.contexts_of(raw, 200, segment):
+            for a, i, j, two, first in zip(*(c.tolist() for c in columns), strict=True):
                 assert set(least[i : j + 1].view(np.int64).tolist()) == {a}
                 places += range(i, j + 1)
                 inside = [raw[k : k + 200] for k in range(i, j + 1)]
                 assert two or len(set(inside)) == len(inside)
+                finer = list(suffix_dedup.finer_contexts(raw, 200, a, i, j, two, first))
+                assert sorted(k for _, x, y in finer for k in range(x, y + 1)) == list(range(i, j + 1))
+                for f, x, y in finer:  # equal windows have equal finer anchors, and a finer context has none twice
+                    assert len({raw[k : k + 200] for k in range(x, y + 1)}) == y - x + 1
+                    for k in range(x, y + 1):
+                        assert finer_of.setdefault(raw[k : k + 200], f) == f
         assert places == list(range(len(raw) - 199))
 
 
-@pytest.mark.parametrize("limits", [{}, {"in_batch": 1, "hot_contexts": 4, "block_bytes": 3000}])
+@pytest.mark.parametrize("limits", [{}, {"in_batch": 1, "hot_contexts": 4}, {"block_bytes": 3000}])
 def test_repeated_strings_are_cut(spark, limits):
     texts = _texts(random.Random(7), 150) + SPECIAL
     df = spark.createDataFrame([(i % 140 if i % 9 else None, t, "k", 1) for i, t in enumerate(texts)], "doc_id long, text string, key string, copies int").repartition(7)
