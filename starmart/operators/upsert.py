@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.keys import date_from_key
 from .history import latest_per_key
+from .membership import add_to_summary, candidate_partitions, has_summary
 
 
 def lookback_window(
@@ -128,23 +129,29 @@ def upsert_partitions(
     """Upsert into a partitioned Parquet table in place, rewriting touched partitions only.
 
     Touched are the partitions of the batch and those that hold rows with the batch's keys, so a row
-    that moves to another partition leaves its old one.  Their new state is written aside first and
+    that moves to another partition leaves its old one; where the table has a key summary
+    (:mod:`membership`) only partitions that it names are searched for them.  Their new state is written aside first and
     then swapped in by dynamic partition overwrite; a partition that ends up empty is deleted.  All
     other partitions keep their files.  The partition values of one batch (months) are few and are
     the only thing that reaches the driver."""
     from ..session import materialize
 
     batch = materialize(batch, "upsert_batch")
-    target = spark.read.parquet(path)
-    if not target.columns:
-        raise ValueError(f"no table at {path}")
+    if has_summary(spark, path):
+        target = spark.read.schema(batch.schema).parquet(path)
+        target = target.filter(F.col(partition_col).isin(candidate_partitions(spark, path, batch, keys, partition_col)))
+    else:
+        target = spark.read.parquet(path)
+        if not target.columns:
+            raise ValueError(f"no table at {path}")
     moved = target.join(batch.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
     touched = [r[0] for r in batch.select(partition_col).union(moved).distinct().collect()]
-    state = upsert(target.filter(F.col(partition_col).isin(touched)), batch, keys, on_duplicate, order)
-    return swap_partitions(spark, path, state, partition_col, touched)
+    state = spark.read.schema(batch.schema).parquet(path).filter(F.col(partition_col).isin(touched))
+    state = upsert(state, batch.select(*state.columns), keys, on_duplicate, order)
+    return swap_partitions(spark, path, state, partition_col, touched, keys)
 
 
-def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touched: Sequence) -> DataFrame:
+def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touched: Sequence, keys: Sequence[str]) -> DataFrame:
     """Puts ``state`` in the place of the ``touched`` partitions of a Parquet table and returns the table.
 
     The state is written aside first (it may read the table), then moved in by dynamic partition
@@ -153,6 +160,8 @@ def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touc
     from ..session import materialize
 
     state = materialize(state, "upsert_state")
+    if has_summary(spark, path):
+        add_to_summary(state, path, keys, partition_col, touched)
     filled = {r[0] for r in state.select(partition_col).distinct().collect()}
     writer = state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
     writer.parquet(path)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.keys import date_key, surrogate_key
 from ..operators.history import OPEN_END, open_end, scd2_from_raw
 from ..operators.keys import assign_keys, with_unknown_member
+from ..operators.membership import write_summary
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import interval_difference, pit_join, temporal_join
 from ..operators.upsert import arrived_orders, lookback_window, swap_partitions, upsert, upsert_partitions, write_clustered
@@ -190,12 +191,14 @@ FACT_PARTITION = "OrderMonth"
 def load_fact(spark: SparkSession, path: str, new_records: DataFrame, dim_prod: DataFrame, dim_terr: DataFrame,
               arrived_since: Column | None = None, load_ts: Column | None = None) -> DataFrame:
     """One run of the stored fact table, partitioned by order month: a first load without
-    ``arrived_since``, else the orders that arrived since, of which only the months are rewritten."""
+    ``arrived_since``, else the orders that arrived since, of which only the months are rewritten (a
+    summary of each month's keys says which months may hold rows that they replace)."""
     rows = new_records if arrived_since is None else arrived_orders(new_records, "ModifiedDate", arrived_since)
     month = F.floor(F.col("OrderDateKey") / 100).cast("int").alias(FACT_PARTITION)
     batch = fact_sales(rows, dim_prod, dim_terr, load_ts).select("*", month)
     if arrived_since is None:
         write_clustered(batch, path, ["ProductKey", "SalesOrderID"], [FACT_PARTITION])
+        write_summary(spark.read.parquet(path), path, FACT_KEYS, FACT_PARTITION)
         return spark.read.parquet(path)
     return upsert_partitions(spark, path, batch, FACT_KEYS, FACT_PARTITION)
 
@@ -221,7 +224,7 @@ def rekey_fact(spark: SparkSession, path: str, sales: DataFrame, old_dim: DataFr
     if not touched:
         return target
     kept = target.filter(F.col(FACT_PARTITION).isin(touched)).join(stale, FACT_KEYS, "left_anti")
-    return swap_partitions(spark, path, kept.unionByName(batch.select(*target.columns)), FACT_PARTITION, touched)
+    return swap_partitions(spark, path, kept.unionByName(batch.select(*target.columns)), FACT_PARTITION, touched, FACT_KEYS)
 
 
 __all__ = [

@@ -145,3 +145,41 @@ def test_rekeyed_fact_leaves_other_months(spark, tmp_path):
     got = mart.rekey_fact(spark, path, sales, new_dim, last, terr, load)
     _same(got.drop(mart.FACT_PARTITION), mart.fact_sales(sales, last, terr, load))
     assert {m for m in after if months()[m] != after[m]} == {"OrderMonth=202405"}
+
+
+def test_upsert_reads_only_months_that_may_hold_its_keys(spark, tmp_path):
+    from starmart.operators import membership
+    from starmart.operators.upsert import upsert_partitions
+
+    path, rng = str(tmp_path / "t"), random.Random(5)
+    rows = [(k, rng.choice(["a", None]), 202401 + k % 8, k * 10) for k in range(800)] + [(None, "a", 202403, 1)]
+    table = spark.createDataFrame(rows, "id long, part string, OrderMonth int, v long")
+    table.repartition("OrderMonth").write.partitionBy("OrderMonth").parquet(path)
+    membership.write_summary(table, path, ["id", "part"], "OrderMonth")
+    for r in rows[::37] + rows[-1:]:  # no key is missed
+        one = spark.createDataFrame([r], table.schema)
+        assert r[2] in membership.candidate_partitions(spark, path, one, ["id", "part"], "OrderMonth")
+
+    # a key that moves from January to May, and one that is new in May; no other month may be read
+    moving = next(r for r in rows if r[2] == 202401 and r[1])  # a key with a NULL replaces nothing
+    batch = spark.createDataFrame([(moving[0], moving[1], 202405, -1), (5000, "a", 202405, -2)], table.schema)
+    assert set(membership.candidate_partitions(spark, path, batch, ["id", "part"], "OrderMonth")) == {202401}
+    saved = {}
+    for f in glob.glob(f"{path}/OrderMonth=*/*.parquet"):
+        if "202401" not in f and "202405" not in f:
+            with open(f, "rb") as g:
+                saved[f] = g.read()
+            with open(f, "wb") as g:
+                g.write(b"not a table")
+    upsert_partitions(spark, path, batch, ["id", "part"], "OrderMonth")
+    for f, content in saved.items():
+        with open(f, "wb") as g:
+            g.write(content)
+        crc = f"{os.path.dirname(f)}/.{os.path.basename(f)}.crc"
+        assert os.path.exists(f) and (not os.path.exists(crc) or os.path.getsize(crc))
+    want = [r for r in rows if r != moving] + [(moving[0], moving[1], 202405, -1), (5000, "a", 202405, -2)]
+    _same(spark.read.parquet(path).select("id", "part", "OrderMonth", "v"), spark.createDataFrame(want, table.schema))
+    # the summary has followed: the new key is found where it is
+    assert 202405 in membership.candidate_partitions(spark, path, batch, ["id", "part"], "OrderMonth")
+    upsert_partitions(spark, path, batch, ["id", "part"], "OrderMonth")
+    _same(spark.read.parquet(path).select("id", "part", "OrderMonth", "v"), spark.createDataFrame(want, table.schema))
