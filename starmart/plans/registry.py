@@ -536,7 +536,7 @@ def q_supports_as_of(spark, d):
 # --- streaming ingest (O-43) -------------------------------------------------------------------
 
 from ..session import scratch_path  # noqa: E402
-from ..streaming.ingest import ingest_latest_per_key  # noqa: E402
+from ..streaming.ingest import buckets_for, ingest_latest_per_key  # noqa: E402
 
 STREAM_FILES = 4
 
@@ -560,4 +560,4 @@ def q_ingest_stream_latest(spark, d):
     arrivals = ev.withColumn("_arrival", bucket.cast("int"))
     arrivals.write.partitionBy("_arrival").parquet(f"{run}/landing")
     return ingest_latest_per_key(spark, f"{run}/landing/*/*.parquet", ev.schema, "user_id", "ts", "event_id",
-                                 f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=1)
+                                 f"{run}/state", f"{run}/checkpoint", max_files_per_trigger=1, buckets=buckets_for(spark, f"{run}/landing"))

@@ -21,31 +21,47 @@ from ..operators.history import latest_per_key
 
 EPOCH, BUCKET = "_epoch", "_bucket"
 BUCKETS = 64
+#: Bytes of state that a bucket should hold: small enough to rewrite, large enough for files of a good size.
+BUCKET_BYTES = 128 << 20
 
 
-def _versions(state: DataFrame) -> DataFrame:
-    return state.select(BUCKET, EPOCH).distinct()
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def read_state(spark: SparkSession, state_root: str) -> DataFrame:
-    """Newest version of each bucket (bucket and version come from the partition folders)."""
-    st = spark.read.parquet(state_root)
-    newest = st.groupBy(BUCKET).agg(F.max(EPOCH).alias(EPOCH))
-    return st.join(F.broadcast(newest), [BUCKET, EPOCH], "left_semi").drop(BUCKET, EPOCH)
+def buckets_for(spark: SparkSession, path: str) -> int:
+    """Buckets for a state of about the size of the files under ``path``."""
+    fs, folder = _hadoop(spark, path)
+    return max(1, -(-fs.getContentSummary(folder).getLength() // BUCKET_BYTES)) if fs.exists(folder) else 1
+
 
+def _versions(spark: SparkSession, root: str) -> dict[int, list[int]]:
+    """The versions of each bucket, oldest first, by listing the folders; no state row is read."""
+    fs, pattern = _hadoop(spark, f"{root}/{BUCKET}=*/{EPOCH}=*")
+    found: dict[int, list[int]] = {}
+    for status in fs.globStatus(pattern) or []:
+        folder = status.getPath()
+        bucket, epoch = (int(x.getName().split("=")[1]) for x in (folder.getParent(), folder))
+        found.setdefault(bucket, []).append(epoch)
+    return {b: sorted(e) for b, e in found.items()}
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
+def _read(spark: SparkSession, root: str, versions: dict[int, int]) -> DataFrame:
+    folders = [f"{root}/{BUCKET}={b}/{EPOCH}={e}" for b, e in sorted(versions.items())]
+    return spark.read.option("basePath", root).parquet(*folders)
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+def read_state(spark: SparkSession, state_root: str) -> DataFrame:
+    """Newest version of each bucket."""
+    root = state_root.rstrip("/")
+    return _read(spark, root, {b: e[-1] for b, e in _versions(spark, root).items()}).drop(BUCKET, EPOCH)
 
 
 def merge_batch(batch: DataFrame, epoch_id: int, key: str, cursor: str, tiebreak: str | None, state_root: str, buckets: int = BUCKETS) -> None:
-    """Merge one micro-batch into the touched buckets of the state and drop versions that no replay needs."""
+    """Merge one micro-batch into the touched buckets of the state and drop versions that no replay needs.
+
+    A state keeps the number of buckets that it began with."""
     from ..session import materialize
 
     spark, root = batch.sparkSession, state_root.rstrip("/")
@@ -54,21 +70,17 @@ def merge_batch(batch: DataFrame, epoch_id: int, key: str, cursor: str, tiebreak
     touched = [r[0] for r in combined.select(BUCKET).distinct().collect()]
     if not touched:
         return
-    old: list = []
-    if _exists(spark, root):
-        earlier = spark.read.parquet(root).filter(F.col(BUCKET).isin(touched) & (F.col(EPOCH) < epoch_id))
-        old = sorted((r[BUCKET], r[EPOCH]) for r in _versions(earlier).collect())
-        newest = dict(old)
-        if newest:
-            pick = F.concat_ws("/", F.col(BUCKET), F.col(EPOCH)).isin([f"{b}/{e}" for b, e in newest.items()])
-            combined = combined.unionByName(earlier.filter(pick).drop(EPOCH))
+    earlier = {b: [e for e in epochs if e < epoch_id] for b, epochs in _versions(spark, root).items() if b in touched}
+    newest = {b: epochs[-1] for b, epochs in earlier.items() if epochs}
+    if newest:
+        combined = combined.unionByName(_read(spark, root, newest).drop(EPOCH))
     merged = latest_per_key(combined, [BUCKET, key], cursor, tiebreak).withColumn(EPOCH, F.lit(epoch_id))
     writer = merged.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, EPOCH)
     writer.parquet(root)
-    last = dict(old)
-    for b, e in old:
-        if e != last[b]:
-            _delete(spark, f"{root}/{BUCKET}={b}/{EPOCH}={e}")
+    for b, epochs in earlier.items():
+        for e in epochs[:-1]:
+            fs, folder = _hadoop(spark, f"{root}/{BUCKET}={b}/{EPOCH}={e}")
+            fs.delete(folder, True)
 
 
 def ingest_latest_per_key(
@@ -81,6 +93,7 @@ def ingest_latest_per_key(
     state_root: str,
     checkpoint: str,
     max_files_per_trigger: int | None = None,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Run the ingest stream to completion and return the resulting state table."""
     stream = spark.readStream.schema(schema)
@@ -89,7 +102,7 @@ def ingest_latest_per_key(
     source = stream.parquet(source_path)
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        merge_batch(batch, epoch_id, key, cursor, tiebreak, state_root)
+        merge_batch(batch, epoch_id, key, cursor, tiebreak, state_root, buckets)
 
     query = (
         source.writeStream.foreachBatch(merge)
