@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.keys import date_from_key
 from .history import latest_per_key
@@ -18,6 +20,7 @@ def lookback_window(
     at: str,
     target_key: str = "OrderDateKey",
     days: int = 7,
+    newest: int | None = None,
 ) -> DataFrame:
     """Rows of ``new_rows`` whose ``at`` date is at most ``days`` before the newest date in the target.
 
@@ -25,15 +28,36 @@ def lookback_window(
     or missing target means a full load; rows without a date are never in a window.  The bound is an
     uncorrelated scalar subquery (the largest key, parsed once), and the predicate compares the raw
     timestamp column, so it rejects NULLs, turns an outer join below it into an inner one and
-    reaches the Parquet scan.
+    reaches the Parquet scan.  ``newest``: the target's largest key where it is known already
+    (:func:`stored_high_water_mark`); the bound is a literal then, and the target isn't read.
     """
-    if target is None:
+    if target is None and newest is None:
         return new_rows
-    newest = date_from_key(target.agg(F.max(target_key)).scalar())
-    bound = F.coalesce(F.date_sub(newest, days).cast("timestamp_ntz"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
+    mark = target.agg(F.max(target_key)).scalar() if newest is None else F.lit(newest)
+    bound = F.coalesce(F.date_sub(date_from_key(mark), days).cast("timestamp_ntz"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz"))
     return new_rows.filter(F.col(at) >= bound)
 
 
+def stored_high_water_mark(spark, path: str, partition_col: str, column: str) -> int | None:
+    """The largest value of a column that grows with the partitions (a date key in monthly partitions): the
+    newest partition by the folders' names, then one aggregate over that partition alone.  Partitions without
+    a value are passed over; None for an empty table."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}=*")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    names = [f.getPath().getName().split("=", 1)[1] for f in found]
+    for value in sorted((int(n) for n in names if n.isdigit()), reverse=True):
+        folder = f"{path.rstrip('/')}/{partition_col}={value}"
+        try:
+            mark = spark.read.parquet(folder).agg(F.max(column)).first()[0]
+        except AnalysisException as e:  # a folder without files
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            continue
+        if mark is not None:
+            return mark
+    return None
+
+
 def arrived_orders(new_rows: DataFrame, arrival: str, since: Column, order_key: str = "SalesOrderID") -> DataFrame:
     """All rows of the orders that have a row which arrived at or after ``since``.
 
@@ -96,6 +120,45 @@ def write_clustered(df: DataFrame, path: str, cluster_by: Sequence[str], partiti
     w.parquet(path)
 
 
+def _rank_number(df: DataFrame, column: str) -> Column:
+    """A double that orders rows as the column does (strings by their first six bytes)."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        head = F.rpad(F.substring(F.hex(F.encode(column, "UTF-8")), 1, 12), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if isinstance(df.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """A number whose neighbours are near each other in every one of the columns: each column's rank, as
+    ``bits`` bits of its quantiles, with the bits of all columns taken in turn.  NULLs come first.
+
+    The quantiles of all columns are one aggregate, 2 ** ``bits`` - 1 numbers for each on the driver."""
+    n = 1 << bits
+    shares = [i / n for i in range(1, n)]
+    row = df.agg(*[F.percentile_approx(_rank_number(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+
+    def cell_of(x: Column, quantiles: list[float]) -> Column:
+        return F.size(F.filter(F.lit(quantiles).cast("array<double>"), lambda q: q <= x)).cast("bigint")
+
+    z = F.lit(0).cast("bigint")
+    for i, c in enumerate(columns):
+        cell = cell_of(_rank_number(df, c), row[i] or [])
+        for b in range(bits):
+            z = z + F.shiftright(cell, b).bitwiseAND(F.lit(1)) * F.lit(1 << (b * len(columns) + i)).cast("bigint")
+    return z
+
+
+def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6, mode: str = "overwrite") -> None:
+    """Write in the interleaved order of several keys, so that the Parquet statistics of files and row groups
+    leave out most of them for a predicate on any one of the keys.  (Under :func:`write_clustered` only the
+    first key's ranges are narrow.)"""
+    z = "_sm_z"
+    out = df.withColumn(z, interleaved(df, columns, bits)).repartitionByRange(files, z).sortWithinPartitions(z)
+    out.drop(z).write.mode(mode).parquet(path)
+
+
 def upsert_to_path(
     spark,
     target_path: str,

@@ -18,7 +18,7 @@ from ..operators.keys import assign_keys, with_unknown_member
 from ..operators.membership import write_summary
 from ..operators.staging import stage_order_detail, stage_order_header, stage_territory
 from ..operators.temporal import interval_difference, pit_join, temporal_join
-from ..operators.upsert import arrived_orders, lookback_window, swap_partitions, upsert, upsert_partitions, write_clustered
+from ..operators.upsert import arrived_orders, lookback_window, stored_high_water_mark, swap_partitions, upsert, upsert_partitions, write_clustered
 from ..session import materialize
 from ..sources.catalog import source
 
@@ -203,6 +203,16 @@ def load_fact(spark: SparkSession, path: str, new_records: DataFrame, dim_prod:
     return upsert_partitions(spark, path, batch, FACT_KEYS, FACT_PARTITION)
 
 
+def load_fact_lookback(spark: SparkSession, path: str, new_records: DataFrame, dim_prod: DataFrame, dim_terr: DataFrame,
+                       days: int = 7, load_ts: Column | None = None) -> DataFrame:
+    """One run of the stored fact by order date: the rows of the look-back window before its newest date, which
+    comes from the newest month alone; only the months of the window are rewritten."""
+    newest = stored_high_water_mark(spark, path, FACT_PARTITION, "OrderDateKey")
+    rows = lookback_window(new_records, None, "OrderDate", days=days, newest=newest)
+    month = F.floor(F.col("OrderDateKey") / 100).cast("int").alias(FACT_PARTITION)
+    return upsert_partitions(spark, path, fact_sales(rows, dim_prod, dim_terr, load_ts).select("*", month), FACT_KEYS, FACT_PARTITION)
+
+
 def rekey_fact(spark: SparkSession, path: str, sales: DataFrame, old_dim: DataFrame, new_dim: DataFrame, dim_terr: DataFrame,
                load_ts: Column | None = None) -> DataFrame:
     """Gives the rows of the stored fact the keys of a product dimension that has changed for the past.

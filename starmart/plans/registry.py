@@ -355,6 +355,38 @@ def q_fact_stored_incremental(spark, d):
     return mart.load_fact(spark, path, m.sales, m.dim_product, m.dim_territory, cut, load_ts()).drop(mart.FACT_PARTITION)
 
 
+@register("fact_stored_lookback", _incremental_sql(f"OrderDate < TIMESTAMP '{INCREMENTAL_TARGET_BEFORE}'", "SELECT * FROM merged"))
+def q_fact_stored_lookback(spark, d):
+    """The look-back run over the stored fact, with the newest date from its layout."""
+    import uuid
+
+    from ..session import scratch_path
+
+    m = mart.build_mart(spark, d)
+    path = scratch_path(spark, f"fact-{uuid.uuid4().hex[:12]}")
+    loaded = m.sales.filter(F.col("OrderDate") < F.lit(INCREMENTAL_TARGET_BEFORE).cast("timestamp_ntz"))
+    mart.load_fact(spark, path, loaded, m.dim_product, m.dim_territory, load_ts=load_ts())
+    return mart.load_fact_lookback(spark, path, m.sales, m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts()).drop(mart.FACT_PARTITION)
+
+
+LAYOUT_DAY = 20000615
+
+
+# One day's rows from the fact in the interleaved order of product, order and date.
+@register("fact_layout_lookup", O.with_ctes(["fact_full"], f"SELECT * FROM fact_full WHERE OrderDateKey = {LAYOUT_DAY}"))
+def q_fact_layout_lookup(spark, d):
+    import uuid
+
+    from ..operators.upsert import write_interleaved
+    from ..session import materialize, scratch_path
+
+    m = mart.build_mart(spark, d)
+    fact = materialize(mart.fact_sales(m.sales, m.dim_product, m.dim_territory, load_ts()), "fact")
+    path = scratch_path(spark, f"fact-{uuid.uuid4().hex[:12]}")
+    write_interleaved(fact, path, ["ProductKey", "SalesOrderID", "OrderDateKey"], files=16)
+    return spark.read.parquet(path).filter(F.col("OrderDateKey") == LAYOUT_DAY)
+
+
 # The dimension that the stored fact was built with lacks every fifth product's versions after the first and
 # some products altogether; after the late versions the fact has to equal a full build.
 @register("fact_rekeyed_late_versions", O.with_ctes(["fact_full"], "SELECT * FROM fact_full"))
