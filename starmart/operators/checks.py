@@ -7,7 +7,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .sequence import with_neighbor
@@ -89,6 +89,24 @@ class CheckSpec:
     args: dict = field(default_factory=dict)
 
 
+#: Checks that look at one row by itself.
+LOCAL_KINDS = ("not_null", "accepted_range")
+
+
+def fails(spec: CheckSpec) -> Column:
+    """Whether a row fails a row-local check."""
+    c = F.col(spec.column)
+    if spec.kind == "not_null":
+        return c.isNull()
+    lo, hi, inc = spec.args.get("min_value"), spec.args.get("max_value"), spec.args.get("inclusive", True)
+    ok = F.lit(True)
+    if lo is not None:
+        ok = ok & ((c >= F.lit(lo)) if inc else (c > F.lit(lo)))
+    if hi is not None:
+        ok = ok & ((c <= F.lit(hi)) if inc else (c < F.lit(hi)))
+    return F.coalesce(~ok, F.lit(False))
+
+
 def evaluate(spec: CheckSpec, tables: dict[str, DataFrame]) -> DataFrame:
     df = tables[spec.table]
     if spec.kind == "not_null":
@@ -132,7 +150,7 @@ def run_suite(specs: Sequence[CheckSpec], tables: dict[str, DataFrame]) -> DataF
     parts: list[DataFrame] = []
     local: dict[str, list[CheckSpec]] = {}
     for s in specs:
-        if s.kind in ("not_null", "accepted_range"):
+        if s.kind in LOCAL_KINDS:
             local.setdefault(s.table, []).append(s)
         else:
             parts.append(_failures(s, tables).select(
@@ -142,18 +160,7 @@ def run_suite(specs: Sequence[CheckSpec], tables: dict[str, DataFrame]) -> DataF
         df = tables[table]
         aggs = []
         for i, s in enumerate(group):
-            c = F.col(s.column)
-            if s.kind == "not_null":
-                bad = c.isNull()
-            else:
-                lo, hi, inc = s.args.get("min_value"), s.args.get("max_value"), s.args.get("inclusive", True)
-                ok = F.lit(True)
-                if lo is not None:
-                    ok = ok & ((c >= F.lit(lo)) if inc else (c > F.lit(lo)))
-                if hi is not None:
-                    ok = ok & ((c <= F.lit(hi)) if inc else (c < F.lit(hi)))
-                bad = F.coalesce(~ok, F.lit(False))
-            aggs.append(F.count_if(bad).alias(f"_sm_c{i}"))
+            aggs.append(F.count_if(fails(s)).alias(f"_sm_c{i}"))
         row = df.agg(*aggs)
         stacked = F.explode(F.array(*[
             F.struct(F.lit(s.name).alias("check_name"), F.lit(s.table).alias("table_name"), F.lit(s.kind).alias("kind"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.calendar import date_dim
-from ..operators.checks import CheckSpec, scd_time_range
+from ..operators.checks import LOCAL_KINDS, CheckSpec, scd_time_range
 from ..operators.history import latest_per_key
 from ..session import materialize
 from ..sources.catalog import source
@@ -57,6 +57,11 @@ SUITE = [
 ]
 
 
+#: The fact's row-local checks, with one that finds rows.
+FACT_LEDGER_SUITE = [*[s for s in SUITE if s.table == "fact" and s.kind in LOCAL_KINDS],
+                     CheckSpec("fact_order_qty_max", "fact", "accepted_range", "OrderQty", ("value",), {"max_value": 45})]
+
+
 def suite_tables(spark: SparkSession, root: str, load_ts=None) -> dict[str, DataFrame]:
     """The tables that the suite checks; history and fact are written once, since several checks read them."""
     snaps = mart.snapshots(spark, root)

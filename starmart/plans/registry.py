@@ -369,6 +369,23 @@ def q_fact_stored_lookback(spark, d):
     return mart.load_fact_lookback(spark, path, m.sales, m.dim_product, m.dim_territory, LOOKBACK_DAYS, load_ts()).drop(mart.FACT_PARTITION)
 
 
+# Checked after each of two loads; the second run reads the months that the second load wrote.
+@register("check_fact_ledger", O.with_ctes(["fact_full"], "\nUNION ALL\n".join(
+    O.check_sql(s.name, "fact_full", s.kind, s.column, s.args, label=s.table) for s in Q.FACT_LEDGER_SUITE)))
+def q_check_fact_ledger(spark, d):
+    import uuid
+
+    from ..operators.check_ledger import run_changed
+    from ..session import scratch_path
+
+    m = mart.build_mart(spark, d)
+    path, cut = scratch_path(spark, f"fact-{uuid.uuid4().hex[:12]}"), F.lit(REPLAY_LOADED_BEFORE).cast("timestamp_ntz")
+    mart.load_fact(spark, path, m.sales.filter(F.col("ModifiedDate") < cut), m.dim_product, m.dim_territory, load_ts=load_ts())
+    run_changed(spark, path, mart.FACT_PARTITION, Q.FACT_LEDGER_SUITE, f"{path}-ledger")
+    mart.load_fact(spark, path, m.sales, m.dim_product, m.dim_territory, cut, load_ts())
+    return run_changed(spark, path, mart.FACT_PARTITION, Q.FACT_LEDGER_SUITE, f"{path}-ledger")
+
+
 LAYOUT_DAY = 20000615
 
 
