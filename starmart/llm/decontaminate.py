@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .tables import small, word_array
+from .tables import free_name, small, word_array
 
 SHINGLE = 5
 #: Share of an item's shingles that a document must have, in hundredths.
@@ -144,6 +144,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents, all columns, that contain no item; those with a null text stay."""
-    hits = find_items(docs, items, id_col, text_col, **how).select(F.col("text_key").alias("contaminated_text_key")).distinct()
+    key = free_name(docs, "contaminated_text_key")
+    hits = find_items(docs, items, id_col, text_col, **how).select(F.col("text_key").alias(key)).distinct()
     hits = small(materialize(hits, "benchmark_hits"))
-    return docs.join(hits, F.xxhash64(F.col(text_col)) == F.col("contaminated_text_key"), "left_anti")
+    return docs.join(hits, F.xxhash64(F.col(text_col)) == F.col(key), "left_anti")

@@ -264,9 +264,9 @@ def common_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return blocks
 
 
-def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``df`` with the text without its deleted lines, and a last column
-    ``deleted_lines`` (how many; 0 if none)."""
+def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", result: str = "deleted_lines") -> DataFrame:
+    """All columns of ``df`` with the text without its deleted lines, and a last column ``result`` (how many;
+    0 if none), which must not be the name of another column."""
     blocks = common_blocks(df, id_col, text_col).select("doc", "start", "length").distinct()
     gone = blocks.groupBy("doc").agg(F.collect_list(F.struct("start", "length")).alias("ranges"))
     gone = materialize(gone.select(F.col("doc.doc_id").alias("gone_id"), F.col("doc.text_key").alias("gone_key"), "ranges"), "dedup_ranges")
@@ -288,4 +288,4 @@ def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     wide = wide.select("row", cut(F.when(F.col("ranges").isNotNull(), row_text), "ranges").alias("cut"))
     new_text = F.when(F.col("cut").isNotNull(), F.col("cut.text")).otherwise(row_text)
     return wide.select(*[new_text.alias(c) if c == text_col else F.col("row").getField(c).alias(c) for c in names],
-                       F.coalesce(F.col("cut.n"), F.lit(0)).alias("deleted_lines"))
+                       F.coalesce(F.col("cut.n"), F.lit(0)).alias(result))

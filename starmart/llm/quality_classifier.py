@@ -147,8 +147,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     unlabelled = ids.orderBy(F.xxhash64("doc_id", F.lit("unlabelled")), "doc_id").limit(max_unlabelled).select("doc_id", F.lit(False).alias("positive"))
     chosen = materialize(positives.union(unlabelled), "pu_sample")
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("txt")).join(small(chosen), "doc_id")
-    # Rows of a repeated id count once; a number in hash order deals them to the two halves.
-    rows = _features(texts.dropDuplicates(["doc_id", "positive"]), ["doc_id", "positive"]).orderBy(order, "positive").toPandas()
+    # Rows of a repeated id count once, with the smallest of their texts; a number in hash order deals them to the two halves.
+    rows = _features(texts.groupBy("doc_id", "positive").agg(F.min("txt").alias("txt")), ["doc_id", "positive"]).orderBy(order, "positive").toPandas()
     if not len(rows) or not rows["positive"].any() or rows["positive"].all():
         return QualityModel(np.zeros((NUMBERS, len(QUANTILES))), None, 0.5)
     raw, positive = np.stack(rows["features"].to_numpy()), rows["positive"].to_numpy(bool)
@@ -158,8 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     return QualityModel(cuts, fit_linear(x, _pu_gradient(positive, prior), l2=3e-4), prior)
 
 
-def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns and ``score`` (probability that the text is good) of every row."""
+def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: Sequence[str] = ("doc_id",), result: str = "score") -> DataFrame:
+    """``keep`` columns and ``result`` (probability that the text is good) of every row."""
     given = docs.select(*[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)], F.col(text_col).alias("txt"))
     names = [f"k{i}" for i in range(len(keep))]
     schema = T.StructType([*[given.schema[c] for c in names], T.StructField("score", T.DoubleType())])
@@ -171,4 +171,4 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text", keep: Se
                 x = np.stack([text_features(t) for t in part.column("txt").to_pylist()])
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(model.score(x))], [*names, "score"])
 
-    return given.mapInArrow(run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "score")
+    return given.mapInArrow(run, schema).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("score").alias(result))

@@ -29,6 +29,14 @@ def word_array(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), f"[{SEPARATORS}]+"), lambda w: w != "")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it as long as ``df`` has a column of that name in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
     """``df`` (a written table of ids or hashes) marked for broadcast if it has at most ``rows`` rows;
     a larger one is left to a shuffle join."""
