@@ -56,7 +56,7 @@ SEGMENT = 1 << 20
 #: Windows of a context, at most (reached in runs of one byte or a short period only).
 PIECE = 1024
 #: Bytes of contexts with one suffix array.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 #: An anchor with this many different contexts in one batch is counted, and with this many in all it is hot.
 HOT_IN_BATCH, HOT_CONTEXTS = 4, 4000
 #: Hot anchors, at most (the most frequent ones); others are compared block after block.
@@ -138,16 +138,24 @@ def _signed(x: int) -> int:
 
 
 def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray:
-    """Places of ``data`` (0 ends a text, bytes are 1 to 256) sorted by their first ``depth`` values; texts end differently, in their order."""
-    n = len(data)
-    text = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+    """Places of ``data`` (0 ends a text, bytes are 1 to 256) sorted by their first ``depth`` values; texts end differently, in their order.
+
+    Sorts by as many bytes as fit a key, then by the ranks of two or three neighbouring pieces at a time."""
+    n, k = len(data), len(starts)
+    text = np.repeat(np.arange(k), np.diff(np.append(starts, n)))
     end = np.append(starts[1:], n)[text] - 1
     place = np.arange(n)
-    key = np.zeros(n, np.int64)
-    for k in range(7):
-        inside = place + k <= end
-        key = key * 512 + np.where(inside, data[np.minimum(place + k, n - 1)], 0)
-    done = 7
+    number = np.zeros(257, np.int64)
+    number[1:] = np.cumsum(np.bincount(data, minlength=257)[1:] > 0)  # only bytes that occur
+    bits = int(number[-1]).bit_length()
+    small, done = number[data], 63 // bits
+    key = small.copy()
+    for i in range(1, done):
+        follow = np.zeros(n, np.int64)
+        follow[: n - i] = small[i:]
+        follow[place + i > end] = 0
+        key = (key << bits) | follow
+    wide = (n + k).bit_length()
     while True:
         order = np.argsort(key, kind="stable")
         ordered = key[order]
@@ -155,9 +163,11 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray
         rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
         if done >= depth or rank[order[-1]] == n - 1:
             return order
-        follow = np.where(place + done > end, text, len(starts) + rank[np.minimum(place + done, n - 1)])
-        key = rank * (len(starts) + n) + follow
-        done *= 2
+        key, pieces = rank, min(3, 63 // wide)
+        for i in range(1, pieces):
+            at = place + i * done
+            key = (key << wide) | np.where(at > end, text, k + rank[np.minimum(at, n - 1)])
+        done *= pieces
 
 
 def _children(lo: np.ndarray, hi: np.ndarray, lf: np.ndarray, before: np.ndarray, after: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
