@@ -9,7 +9,10 @@ Each stage reads what its predecessor kept, whole, and its decision takes effect
 4. benchmark decontamination: documents that contain a benchmark item go;
 5. byte-level BPE: each document's ids, with their number and the digests of ids and decoded bytes.
 
-Null and empty texts: the classifier scores them like any text; later stages leave them alone.
+Null and empty texts: the classifier scores them like any text; later stages leave them alone.  Repeated
+rows are judged alike and become one row in stage 3; of rows with one id and different texts each text
+stands for itself.  Very long texts are read whole.  Other columns pass through to stage 4, whatever
+their names (``score``, ``deleted_lines``, ...).
 """
 
 from __future__ import annotations
@@ -20,20 +23,22 @@ from pyspark.sql import functions as F
 
 from starmart.llm import bpe, decontaminate, jaccard_join, line_dedup, quality_classifier
 from starmart.llm.queries import CONFIDENT, bpe_digests, quality_model
-from starmart.llm.tables import read_table
+from starmart.llm.tables import free_name, read_table
 from starmart.session import materialize
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    scored = quality_classifier.score(docs, quality_model(spark, docs, sf_dir), keep=docs.columns)
-    return scored.filter(F.col("score") >= CONFIDENT).select(*docs.columns)
+    score = free_name(docs, "score")
+    scored = quality_classifier.score(docs, quality_model(spark, docs, sf_dir), keep=docs.columns, result=score)
+    return scored.filter(F.col(score) >= CONFIDENT).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.delete_blocks(docs)
+    deleted = free_name(docs, "deleted_lines")
+    cut = line_dedup.delete_blocks(docs, result=deleted)
     words_left = F.length(F.translate("text", " \t\n\x0b\x0c\r", "")) > 0
-    cut = cut.filter((F.col("deleted_lines") == 0) | words_left)
-    size = F.when(F.col("deleted_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    cut = cut.filter((F.col(deleted) == 0) | words_left)
+    size = F.when(F.col(deleted) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return cut.withColumn("n_chars", size).select(*docs.columns)
 
 
