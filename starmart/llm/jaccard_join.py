@@ -4,29 +4,31 @@ A document's set has the distinct 5-word shingles of its text (A-Z lower-cased,
 ``[^\\x20\\x09-\\x0D]+``) as 64-bit hashes; a text of one to four words is one shingle.  Equal sets
 are one *node*.
 
+Order.  Shingles that several nodes of a batch have are counted, the most frequent
+:data:`FREQUENT_TOKENS` of them come last in the order of all shingles, by count; the others come
+first, by hash.  Of two sets of the threshold each one's first n - ceil(0.8 n) + 1 shingles, its
+*prefix*, share one, whatever the order is; with rare shingles first, passages that many documents
+share stay out of the prefixes.
+
 Groups.  Where documents are read, each batch puts similar ones into groups: nodes with the same
-smallest hash that are within the threshold of the group's first node (checked exactly).  Members
-of a group are linked through its first node, so a group is a unit; a group of copies or near copies
-costs one group per batch, not one row per document.
-
-Candidates, without loss.  Sort the joint hashes of two sets of the threshold; of N hashes at most
-D = N / 5 are in one set only, so the first r (D + 1) hold r neighbours that are in both sets, and
-are neighbours there too, if r (D + 1) <= N.  Hence the sets share a *signature*: the hash of r
-neighbouring hashes within the first r (n // 4 + 1) of a set of size n.  r is 4 below
-:data:`LONG_SET` shingles (3 and 2 for the smallest sets), where common lines make up much of a set
-and only long runs tell documents apart, and 2 from there on; the smaller set of a pair decides, so
-a larger one has the signatures for each size that its partner may have.  Passages that many
-documents share give few equal signatures, since the documents' other hashes fall in between.  A
-group has the signatures of all its members, once.  One exchange brings equal signatures together;
-those of one group only, by far most, end there.
-
-Links.  1. Each group with a shared signature is compared with a head group of the signature (first
-node against first node), in a few rounds with other heads each, for groups that are still in
-different components.  2. What is still in different components and shares a signature
-goes through the token-group matrix: rows (group, token) hold the union of each group's tokens; a
-query node's overlap with the union bounds its overlap with any member, and only groups whose bound
-reaches the threshold are opened and their members compared.  Together these are all links between
-different components, so the components are exact; links inside a component are not enumerated.
+smallest hash that are within the threshold of the group's first node (checked exactly).  A group has
+the prefix shingles of all its members, once.  One exchange, sorted by shingle, brings those of several
+groups together; shingles of one group only, by far most, end there.
+
+Links.  Groups that are linked make a component.  In each round every shingle that groups of several
+components have names a *head*, the component with most groups on it (from the third round on more and
+more heads), and the other groups ask the heads: the nodes of a head form groups of similar documents,
+:data:`BLOCK_NODES` at most, each with the union of its shingles and a matrix of shingles by members.
+A query's overlap with the union bounds its overlap with any member; only groups whose bound reaches
+the threshold are opened, and one link of a query into a group is enough, as the group is linked within.
+Sizes, and parity bits of small groups, leave out most questions before sets are moved.  Heads that all
+have asked are done for that shingle.  When no shingle has two components left, all pairs of nodes that
+share a prefix shingle are in one component or have been compared, so the components are exact; links
+inside a component are not enumerated.  A family of near copies, of which any two need not be links,
+becomes one component in the first rounds; after that only what isn't linked asks it, as a whole.
+
+Skew.  A round is linear in the rows of the shingles that are still open, times the heads.  Questions
+to one group are dealt out over several tasks, each with a copy of the group.
 
 Edge cases: null, empty and blank texts have no shingles and are linked with nothing (their
 component is their own id); a null id is no smallest id, a document without id that is linked with
@@ -42,13 +44,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
 from .components import connected_components
-from .tables import small
+from .tables import free_name, small
 
 SHINGLE = 5
 #: Jaccard similarity in hundredths, from which documents are linked.
@@ -56,12 +58,18 @@ THRESHOLD = 80
 #: First nodes of a batch's groups with the same smallest hash that a document is compared with; it
 #: opens a group of its own beyond that, which costs time later, no link.
 FIRST_NODES = 4
-#: Sets from this size on have signatures of two hashes.
-LONG_SET = 512
-#: Rounds of comparisons with one head per signature, at most; what they leave is compared in full.
-ROUNDS = 3
-#: Rows of an exchange partition, on average.
-PART_ROWS = 2_000_000
+#: Shingles that come last in the order, at most, and from which count on.
+FREQUENT_TOKENS, FREQUENT_COUNT = 500_000, 8
+#: Nodes of a group that a component is asked through, and shingles from which on a node is a group by itself.
+BLOCK_NODES, BLOCK_TOKENS = 256, 200_000
+#: Members of a group up to which their parity bits are looked at before sets are moved.
+FEW = 16
+#: Questions to a group that one task answers, about.
+TASK_QUERIES = 1_000
+#: Rounds with one head per shingle; then as many as the second number says, and four times as many in each further round.
+SINGLE_HEAD_ROUNDS, HEADS = 2, 64
+#: Bytes of text of an exchange partition; a document has a prefix row for about 30 of them.
+PART_BYTES = 16 << 20
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -85,21 +93,17 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(x.view(np.int64))
 
 
-def run_length(n: int) -> int:
-    """How many neighbouring hashes make a signature if the smaller set has ``n``; sets of three are similar only if equal."""
-    return 0 if n < 4 else 2 if n < 6 else 3 if n < 16 else 4 if n < LONG_SET else 2
-
-
-def signatures(tokens: np.ndarray) -> np.ndarray:
-    n, out = len(tokens), [np.empty(0, np.int64)]
-    smallest = -(-THRESHOLD * n // 100)
-    for r in {run_length(s) for s in (smallest, n, 4, 6, 16, LONG_SET) if smallest <= s <= n} - {0}:
-        first = tokens[: r * (n // 4 + 1)].view(np.uint64)
-        x = np.full(max(0, len(first) - r + 1), r, np.uint64)
-        for k in range(r):
-            x = _mix(x, first[k : k + len(x)])
-        out.append(x.view(np.int64))
-    return np.concatenate(out)
+def prefix_tokens(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first n - ceil(0.8 n) + 1 shingles: those not among the ``frequent`` ones (sorted) by hash, then these by ``rank``."""
+    n = len(tokens)
+    k = n + THRESHOLD * n // -100 + 1
+    if not len(frequent):
+        return tokens[:k]
+    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
+    found = frequent[at] == tokens
+    if not found[:k].any():
+        return tokens[:k]
+    return tokens[np.argsort(np.where(found, rank[at] + 1, 0), kind="stable")[:k]]
 
 
 def parity_bits(tokens: np.ndarray) -> list[int]:
@@ -115,8 +119,44 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= THRESHOLD * (len(a) + len(b) - common)
 
 
-def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
-    """Per text size, node, parity bits and group (None without shingles); per group its members' signatures."""
+def _node(tokens: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes())).view(np.int64))
+
+
+def _slices(rb: pa.RecordBatch, limit: int = 12 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``limit`` bytes of text."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(rb.column("txt")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < rb.num_rows:
+        stop = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + limit, side="right")))
+        yield rb.slice(at, stop - at)
+        at = stop
+
+
+def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and their ranks by count; counted where several nodes of a batch have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for rb in _slices(whole):
+                nodes: dict[int, np.ndarray] = {}
+                for text in rb.column("txt"):
+                    tokens = shingle_set(text.as_py())
+                    nodes.setdefault(_node(tokens), tokens)
+                value, count = np.unique(np.concatenate([np.empty(0, np.int64), *nodes.values()]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(value[count > 1]), pa.array(count[count > 1])], ["token", "n"])
+
+    counts = docs.select(F.col("text").alias("txt")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") >= FREQUENT_COUNT).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).toArrow()
+    token, n = (found.column(c).to_numpy().astype(np.int64) for c in ("token", "n"))
+    rank = np.empty(len(token), np.int32)
+    rank[np.lexsort((token, n))] = np.arange(len(token), dtype=np.int32)
+    order = np.argsort(token)
+    return token[order], rank[order]
+
+
+def _grouped_batch(texts: list[str | None], frequent: np.ndarray, rank: np.ndarray) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
+    """Per text size, node, parity bits and group (None without shingles); per group its members' prefixes."""
     sizes, nodes, bits, groups, own = [], [], [], [], {}
     first: dict[int, list[tuple[int, np.ndarray]]] = {}  # by smallest hash
     seen: dict[int, int] = {}
@@ -128,7 +168,7 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dic
             bits.append([None] * 4)
             groups.append(None)
             continue
-        node = int(np.uint64(xxhash.xxh64_intdigest(tokens.tobytes())).view(np.int64))
+        node = _node(tokens)
         group = seen.get(node)
         if group is None:
             heads = first.setdefault(int(tokens[0]), [])
@@ -138,7 +178,7 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dic
                 if len(heads) < FIRST_NODES:
                     heads.append((node, tokens))
             seen[node] = group
-            own.setdefault(group, []).append(signatures(tokens))
+            own.setdefault(group, []).append(prefix_tokens(tokens, frequent, rank))
         nodes.append(node)
         bits.append(parity_bits(tokens))
         groups.append(group)
@@ -146,177 +186,199 @@ def _grouped_batch(texts: list[str | None]) -> tuple[list, list, list, list, dic
 
 
 def _keyed_rows(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: (signature, group, null) and (any key, group, document)."""
+    """Two kinds of rows: (prefix shingle, group, null) and (any key, group, document)."""
     names = ["doc_id", "text_key", "n", "node", "b0", "b1", "b2", "b3"]
     doc_type = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(c, T.LongType()) for c in names[1:]]])
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("doc", doc_type)])
+    last = docs.sparkSession.sparkContext.broadcast(_frequent_tokens(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rb in batches:
-            sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist())
-            doc = pa.StructArray.from_arrays(
-                [rb.column("doc_id"), rb.column("text_key"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
-            kind = doc.type
-            spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(groups, pa.int64()), doc], ["key", "grp", "doc"])
-            each = [(g, np.unique(np.concatenate(s)) if len(s) > 1 else s[0]) for g, s in own.items()]
-            for at in range(0, len(each), 1000):
-                some = each[at : at + 1000]
-                keys = np.concatenate([s for _, s in some])
-                of = np.repeat(np.array([g for g, _ in some], np.int64), [len(s) for _, s in some])
-                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.nulls(len(keys), kind)], ["key", "grp", "doc"])
+        for whole in batches:
+            for rb in _slices(whole):
+                sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist(), *last.value)
+                doc = pa.StructArray.from_arrays(
+                    [rb.column("doc_id"), rb.column("text_key"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
+                spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(groups, pa.int64()), doc], ["key", "grp", "doc"])
+                each = [(g, np.unique(np.concatenate(s)) if len(s) > 1 else s[0]) for g, s in own.items()]
+                for at in range(0, len(each), 1000):
+                    some = each[at : at + 1000]
+                    keys = np.concatenate([s for _, s in some])
+                    of = np.repeat(np.array([g for g, _ in some], np.int64), [len(s) for _, s in some])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(of), pa.nulls(len(keys), doc.type)], ["key", "grp", "doc"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").alias("txt")).mapInArrow(run, schema)
 
 
-def _shared(rows: DataFrame) -> DataFrame:
-    """Document rows as they are; of the signatures those of two groups or more, each group once."""
+def _shared(rows: DataFrame, parts: int) -> DataFrame:
+    """Document rows as they are; of the shingles those of two groups or more, each group once.  Streams over sorted rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, of, kind = [], [], None
+        last, sent = None, False  # the last (shingle, group), and whether it has gone out
         for rb in batches:
-            doc = rb.column("doc")
-            kind, is_sig = doc.type, doc.is_null()
-            docs = rb.filter(pc.invert(is_sig))
+            is_row = rb.column("doc").is_null()
+            docs = rb.filter(pc.invert(is_row))
             if docs.num_rows:
                 yield docs
-            sig = rb.filter(is_sig)
-            keys.append(sig.column("key").to_numpy(zero_copy_only=False))
-            of.append(sig.column("grp").to_numpy(zero_copy_only=False))
-        if not keys:
-            return
-        key, grp = np.concatenate(keys), np.concatenate(of)
-        del keys, of
-        order = np.lexsort((grp, key))
-        key, grp = key[order], grp[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (grp[1:] != grp[:-1])
-        key, grp = key[new], grp[new]
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, int)
-        count = np.diff(np.append(start, len(key)))
-        many = np.repeat(count > 1, count)
-        key, grp = key[many], grp[many]
-        for at in range(0, len(key), 200_000):
-            cut = slice(at, at + 200_000)
-            yield pa.RecordBatch.from_arrays([pa.array(key[cut]), pa.array(grp[cut]), pa.nulls(len(key[cut]), kind)], ["key", "grp", "doc"])
-
-    return rows.mapInArrow(run, rows.schema)
-
-
-def _token_sets(docs: DataFrame, members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node``, ``tokens`` of the wanted nodes, from one document of each (a repeated id gives repeated
-    rows); only ids are broadcast, if few."""
-    wanted = members.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
-    wanted = materialize(wanted.select("doc_id").filter(F.col("doc_id").isNotNull()).distinct(), "jaccard_wanted")
+            rb = rb.filter(is_row)
+            if not rb.num_rows:
+                continue
+            key, grp = (rb.column(c).to_numpy(zero_copy_only=False) for c in ("key", "grp"))
+            if last is not None:
+                key, grp = np.append(last[0], key), np.append(last[1], grp)
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (grp[1:] != grp[:-1])
+            key, grp = key[new], grp[new]
+            with_next = np.append(key[1:] == key[:-1], False)
+            out = with_next | np.append(False, with_next[:-1])
+            ended = bool(out[-1]) or (len(key) == 1 and last is not None and sent)
+            if last is not None and sent:
+                out[0] = False
+            last, sent = (key[-1], grp[-1]), ended
+            if out.any():
+                yield pa.RecordBatch.from_arrays([pa.array(key[out]), pa.array(grp[out]), pa.nulls(int(out.sum()), rb.column("doc").type)], ["key", "grp", "doc"])
+
+    return rows.repartition(parts, "key").sortWithinPartitions("key", "grp").mapInArrow(run, rows.schema)
+
+
+def _token_sets(docs: DataFrame, places: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node``, ``tokens`` of the wanted nodes, each from one document; only ids are broadcast, if few.
+
+    ``places``: node, id, text_key and how many rows have that id and text; of several rows one is taken."""
+    wanted = materialize(places.join(nodes, "node", "left_semi"), "jaccard_wanted")
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rb in batches:
-            for at in range(0, rb.num_rows, 500):
-                sets = [s for t in rb.column(0).slice(at, 500).to_pylist() if len(s := shingle_set(t))]
+            for part in _slices(rb, 4 << 20):
+                sets = [s for t in part.column(0).to_pylist() if len(s := shingle_set(t))]
                 ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                ids = [np.uint64(xxhash.xxh64_intdigest(s.tobytes())).view(np.int64) for s in sets]
                 tokens = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), tokens], ["node", "tokens"])
-
-    texts = docs.join(small(wanted), "doc_id", "left_semi").union(docs.filter(F.col("doc_id").isNull())).select(F.col("text").alias("txt"))
-    return materialize(texts.mapInArrow(run, schema), "jaccard_tokens")
-
-
-def _reaches(common: Column, a: Column, b: Column) -> Column:
-    return 100 * common >= THRESHOLD * (a + b - common)
-
-
-def _verified(pairs: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the threshold, written.  Sizes and parity bits leave out,
-    without loss, most of those that don't before the sets themselves are moved."""
-    left, right = (info.select([F.col(c).alias(c + side) for c in ("node", "n", "b0", "b1", "b2", "b3")]) for side in "ab")
-    sized = pairs.join(left, F.col("a") == F.col("nodea")).join(right, F.col("b") == F.col("nodeb"))
-    differ = sum((F.bit_count(F.col(f"b{k}a").bitwiseXOR(F.col(f"b{k}b"))) for k in range(1, 4)), F.bit_count(F.col("b0a").bitwiseXOR(F.col("b0b"))))
-    total = F.col("na") + F.col("nb")
-    likely = (100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")) & ((100 + THRESHOLD) * differ <= (100 - THRESHOLD) * total)
-    sized = materialize(sized.filter(likely).select("a", "b", "na", "nb").distinct(), "jaccard_likely")
-    compared = sized.select(F.col("a").alias("node")).union(sized.select(F.col("b").alias("node"))).distinct()
-    tokens = tokens.join(small(materialize(compared, "jaccard_compared")), "node", "left_semi")
-    sets = sized.join(tokens.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a")
-    sets = sets.join(tokens.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    sets = sets.select("a", "b", "na", "nb", F.size(F.array_intersect("ta", "tb")).alias("common"))
-    return materialize(sets, "jaccard_pairs").filter(_reaches(F.col("common"), F.col("na"), F.col("nb"))).select("a", "b").distinct()
-
-
-def _split_signatures(shared: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
-    """The rows of the signatures whose groups are in several components, with their component, whether
-    all groups of the signature are single nodes, and a head group that the turn draws; written."""
-    known = small(roots.select(F.col("node").alias("grp"), "root"))
-    labelled = shared.join(known, "grp", "left").select("key", "grp", "single", F.coalesce("root", "grp").alias("comp"))
-    w = Window.partitionBy("key")
-    lot = F.struct(F.xxhash64("grp", F.lit(turn)).alias("lot"), "grp", "comp")
-    labelled = labelled.select("*", F.min("comp").over(w).alias("lo"), F.max("comp").over(w).alias("hi"),
-                               F.min("single").over(w).alias("all_single"), F.min(lot).over(w).alias("head"))
-    labelled = labelled.filter("lo < hi").select("key", "grp", "single", "comp", "all_single", F.col("head.grp").alias("head"), F.col("head.comp").alias("head_comp"))
-    return materialize(labelled, "jaccard_split_signatures")
-
-
-def _star_rounds(shared: DataFrame, links: DataFrame, info: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Compares the groups of each signature with one head group, another one in each round, as long as
-    that joins components.  A large group of near copies, of which any two need not be links, becomes
-    one component in a few rounds of linear size.  A head that has been compared with all others of
-    its signature is done there, so a signature of two nodes (most are) is done after one round.
-    Returns what is left, and the roots."""
-    roots = connected_components(links, "a", "b")
-    for turn in range(ROUNDS):
-        split = _split_signatures(shared, roots, turn)
-        pairs = split.filter(F.col("comp") != F.col("head_comp")).select(F.col("grp").alias("a"), F.col("head").alias("b")).distinct()
-        found = _verified(pairs, info, tokens)
-        shared = split.filter(~(F.col("all_single") & (F.col("grp") == F.col("head")))).select("key", "grp", "single")
-        if found.isEmpty():
-            break
-        roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
-    return shared, roots
-
-
-def _open_groups(shared: DataFrame, members: DataFrame, roots: DataFrame, info: DataFrame, tokens: DataFrame) -> DataFrame:
-    """Links between nodes of different components, through the token-group matrix.
-
-    A group of one node is its own union: its bound is the overlap itself, so it is compared at once."""
-    labelled = _split_signatures(shared, roots, ROUNDS)
-    x, y = (labelled.select("key", "grp", "comp").alias(c) for c in "xy")
-    pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") < F.col("y.grp")) & (F.col("x.comp") != F.col("y.comp")))
-    pairs = pairs.select(F.col("x.grp").alias("g"), F.col("y.grp").alias("h")).distinct()
-    alone = members.groupBy("grp").agg(F.min("node").alias("only"), F.count(F.lit(1)).alias("n"))
-    queries = pairs.join(members.select(F.col("grp").alias("g"), F.col("node").alias("a")), "g")
-    queries = materialize(queries.join(alone.withColumnRenamed("grp", "h"), "h").select("a", F.col("h").alias("grp"), "only", "n").distinct(), "jaccard_queries")
-
-    several = queries.filter("n > 1").select("a", "grp")
-    matrix = members.join(several.select("grp").distinct(), "grp").join(tokens, "node").select("grp", F.explode("tokens").alias("token")).distinct()
-    asked = several.join(tokens.withColumnRenamed("node", "a"), "a").select("a", "grp", F.size("tokens").alias("na"), F.explode("tokens").alias("token"))
-    bound = asked.join(matrix, ["grp", "token"]).groupBy("a", "grp", "na").agg(F.count_distinct("token").alias("bound"))
-    opened = bound.filter(100 * F.col("bound") >= THRESHOLD * F.col("na")).select("a", "grp").join(members, "grp").select("a", F.col("node").alias("b"))
-    single = queries.filter("n = 1").select("a", F.col("only").alias("b"))
-    return _verified(single.union(opened).distinct(), info, tokens)
+                yield pa.RecordBatch.from_arrays([pa.array([_node(s) for s in sets], pa.int64()), tokens], ["node", "tokens"])
+
+    def sets_of(rows: DataFrame) -> DataFrame:
+        ids = small(rows.select("id", "text_key"))
+        met = docs.join(ids, docs["doc_id"].eqNullSafe(ids["id"]) & (F.xxhash64(docs["text"]) == ids["text_key"]), "left_semi")
+        return met.select(F.col("text").alias("txt")).mapInArrow(run, schema)
+
+    once, several = wanted.filter("copies = 1"), wanted.filter("copies > 1")
+    return sets_of(once) if several.isEmpty() else sets_of(once).union(sets_of(several).dropDuplicates(["node"]))
+
+
+def _likely(pairs: DataFrame, blocks: DataFrame, info: DataFrame) -> DataFrame:
+    """The questions (a, blk) that sizes and, for groups of :data:`FEW` or less, the members' parity bits don't rule out; written."""
+    bits = [f"b{k}" for k in range(4)]
+    few = F.when(F.count(F.lit(1)) <= FEW, F.collect_list(F.struct("n", *bits))).alias("few")
+    sizes = blocks.join(info, "node").groupBy("blk").agg(F.min("n").alias("least"), F.max("n").alias("most"), few)
+    asked = pairs.join(info.select(F.col("node").alias("a"), "n", *bits), "a").join(sizes, "blk")
+    fits = (100 * F.col("n") >= THRESHOLD * F.col("least")) & (100 * F.col("most") >= THRESHOLD * F.col("n"))
+
+    def alike(member: Column) -> Column:
+        differ = sum((F.bit_count(F.col(b).bitwiseXOR(member[b])) for b in bits[1:]), F.bit_count(F.col("b0").bitwiseXOR(member["b0"])))
+        return (100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (F.col("n") + member["n"])
+
+    return materialize(asked.filter(fits & (F.col("few").isNull() | F.exists("few", alike))).select("a", "blk"), "jaccard_likely")
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (blk, part, asks): a group's members, then the questions to it; a link (a, b) at most for each."""
+    group, members, matrix = None, [], None
+    for rb in batches:
+        links = []
+        for blk, part, asks, node, tokens in zip(*(rb.column(c).to_pylist() for c in ("blk", "part", "asks", "node")), rb.column("tokens"), strict=True):
+            if (blk, part) != group:
+                group, members, matrix = (blk, part), [], None
+            own = tokens.values.to_numpy()
+            if not asks:
+                members.append((node, own))
+                continue
+            if matrix is None:
+                token = np.concatenate([t for _, t in members])
+                order = np.argsort(token, kind="stable")
+                matrix = token[order], np.repeat(np.arange(len(members)), [len(t) for _, t in members])[order], np.array([len(t) for _, t in members])
+            token, member, size = matrix
+            lo, hi = np.searchsorted(token, own, "left"), np.searchsorted(token, own, "right")
+            if 100 * np.count_nonzero(hi > lo) < THRESHOLD * len(own):  # the union's bound
+                continue
+            found = hi - lo
+            at = np.repeat(lo - np.cumsum(found) + found, found) + np.arange(found.sum())
+            common = np.bincount(member[at], minlength=len(size))
+            linked = np.flatnonzero(100 * common >= THRESHOLD * (size + len(own) - common))
+            if len(linked):
+                links.append((node, members[linked[0]][0]))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
+def _asked(pairs: DataFrame, blocks: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+    """Links (a, b) of nodes ``a`` with a member of a group each asks (``blk``), one for each question at most; written.
+
+    Only the sets of nodes in questions that the filters leave are made, from their documents."""
+    likely = _likely(pairs, blocks, info)
+    asked = blocks.join(likely.select("blk").distinct(), "blk", "left_semi")
+    tokens = _token_sets(docs, places, likely.select(F.col("a").alias("node")).union(asked.select("node")).distinct())
+    tasks = likely.groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("tasks"))
+    asks = likely.join(tasks, "blk").select("blk", F.pmod(F.xxhash64("a"), F.col("tasks")).cast("int").alias("part"), F.lit(True).alias("asks"), F.col("a").alias("node"))
+    holds = blocks.join(tasks, "blk").select("blk", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part"), F.lit(False).alias("asks"), "node")
+    rows = asks.union(holds).join(tokens, "node").select("blk", "part", "asks", "node", "tokens")
+    rows = rows.repartition(parts, "blk", "part").sortWithinPartitions("blk", "part", "asks")
+    return materialize(rows.mapInArrow(_answers, "a long, b long"), "jaccard_links")
+
+
+def _link_groups(shared: DataFrame, members: DataFrame, links: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+    """``node``, ``root`` of all components; rounds of questions to head components until no shingle has two."""
+    roots, turn = connected_components(links, "a", "b"), 0
+    while True:
+        known = materialize(members.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp")).distinct(), "jaccard_comps")
+        labelled = shared.join(known.withColumnRenamed("node", "grp"), "grp")
+        per = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
+        best = F.max_by("comp", F.struct("k", F.xxhash64("comp", F.lit(turn)))).alias("best")
+        open_keys = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), best).filter("comps > 1")
+        more = 0 if turn < SINGLE_HEAD_ROUNDS else HEADS * 4 ** (turn - SINGLE_HEAD_ROUNDS) - 1
+        is_head = (F.col("comp") == F.col("best")) | (F.pmod(F.xxhash64("comp", F.lit(turn)), F.col("comps")) < more)
+        live = materialize(labelled.join(open_keys, "key").select("key", "grp", "comp", "best", is_head.alias("is_head")), "jaccard_open")
+        if live.isEmpty():
+            return roots
+        if more:
+            heads = live.filter("is_head").select("key", F.col("comp").alias("head")).distinct()
+            asks = live.join(heads, "key").filter((F.col("comp") != F.col("head")) & (~F.col("is_head") | (F.col("comp") < F.col("head"))))
+        else:
+            asks = live.filter(~F.col("is_head")).withColumnRenamed("best", "head")
+        asks = asks.select("grp", "head").distinct()
+        members_of = members.select("grp", F.col("node").alias("a"))
+        asks = materialize(asks.join(members_of, "grp").select("a", "head").distinct(), "jaccard_asks")
+        # The nodes of the heads in groups; long sets by themselves.
+        of_head = known.join(asks.select(F.col("head").alias("comp")).distinct(), "comp").join(info.select("node", "n"), "node")
+        size = of_head.groupBy("comp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n") / (BLOCK_NODES * 1000))).alias("blks"))
+        place = F.when(F.col("n") >= BLOCK_TOKENS, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.col("blks")))
+        blocks = materialize(of_head.join(size, "comp").select("comp", "node", F.xxhash64("comp", place).alias("blk")), "jaccard_blocks")
+        pairs = asks.withColumnRenamed("head", "comp").join(blocks.select("comp", "blk").distinct(), "comp").select("a", "blk")
+        found = _asked(pairs, blocks.select("blk", "node"), info, docs, places, parts)
+        if not found.isEmpty():
+            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
+        shared = live.filter(~F.col("is_head")).select("key", "grp")
+        turn += 1
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text_key (a hash of the text), n, node, root (null without shingles) and component_id per row."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # About one signature for 10 bytes of text; equal signatures meet in partitions of a bounded size.
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // (10 * PART_ROWS))
-    rows = materialize(_shared(_keyed_rows(docs).repartition(parts, "key")), "jaccard_rows")
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // PART_BYTES)
+    rows = materialize(_shared(_keyed_rows(docs), parts), "jaccard_rows")
     each = rows.filter(F.col("doc").isNotNull()).select("doc.doc_id", "doc.text_key", "doc.n", "doc.node", "grp")
     shared = rows.filter(F.col("doc").isNull()).select("key", "grp")
 
     touched = shared.select("grp").distinct()
     members = materialize(each.join(touched, "grp").select("grp", "node").distinct(), "jaccard_members")
-    several = materialize(members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("grp", F.lit(False).alias("single")), "jaccard_several")
-    shared = shared.join(small(several), "grp", "left").select("key", "grp", F.coalesce("single", F.lit(True)).alias("single"))
-    tokens = _token_sets(docs, each.filter(F.col("node").isNotNull()).select("node", "doc_id"), members.select("node").distinct())
+    # One document of each node, and how many rows have its id and text.
+    rows_of = each.join(members.select("node").distinct(), "node", "left_semi").groupBy("node", F.col("doc_id").alias("id"), "text_key").agg(F.count(F.lit(1)).alias("copies"))
+    places = rows_of.groupBy("node").agg(F.min(F.struct("id", "text_key", "copies")).alias("x")).select("node", "x.*")
+    places = materialize(places, "jaccard_places")
     inside = each.filter("node != grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
     info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.b0", "doc.b1", "doc.b2", "doc.b3")
     info = materialize(info.join(members.select("node").distinct(), "node", "left_semi").distinct(), "jaccard_info")
-    shared, roots = _star_rounds(shared, inside, info, tokens)
-    more = _open_groups(shared, members, roots, info, tokens)
-    roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more), "a", "b")
+    roots = _link_groups(shared, members, inside, info, docs, places, parts)
 
     least = each.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
     least = materialize(least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "jaccard_nodes")
@@ -339,10 +401,10 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = found.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n_rows"))
     found = materialize(found.withColumn("at", F.struct("doc_id", "text_key")), "jaccard_documents")
     several = found.groupBy("root").agg(F.min("at").alias("first"), F.sum("n_rows").alias("n")).filter("n > 1").select("root", "first")
-    marked = found.join(several, "root").select(F.col("doc_id").alias("marked_doc_id"), F.col("text_key").alias("marked_text_key"),
-                                                (F.col("at") != F.col("first")).alias("marked_gone"), "n_rows")
-    marked = small(materialize(marked.filter("marked_gone or n_rows > 1").drop("n_rows"), "jaccard_marked"))
-    same = (F.col(id_col) == F.col("marked_doc_id")) & (F.xxhash64(F.col(text_col)) == F.col("marked_text_key"))
+    m_id, m_text, m_gone = (free_name(df, c) for c in ("marked_doc_id", "marked_text_key", "marked_gone"))
+    marked = found.join(several, "root").select(F.col("doc_id").alias(m_id), F.col("text_key").alias(m_text), (F.col("at") != F.col("first")).alias(m_gone), "n_rows")
+    marked = small(materialize(marked.filter(F.col(m_gone) | (F.col("n_rows") > 1)).drop("n_rows"), "jaccard_marked"))
+    same = (F.col(id_col) == F.col(m_id)) & (F.xxhash64(F.col(text_col)) == F.col(m_text))
     rest = df.join(marked, same, "left_anti")
-    repeated = df.join(marked.filter(~F.col("marked_gone")), same, "left_semi").withColumn("marked_text_key", F.xxhash64(F.col(text_col)))
-    return rest.unionByName(repeated.dropDuplicates([id_col, "marked_text_key"]).drop("marked_text_key"))
+    repeated = df.join(marked.filter(~F.col(m_gone)), same, "left_semi").withColumn(m_text, F.xxhash64(F.col(text_col)))
+    return rest.unionByName(repeated.dropDuplicates([id_col, m_text]).drop(m_text))

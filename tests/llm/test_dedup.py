@@ -4,7 +4,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, jaccard_join, line_dedup
+from starmart.llm import components, decontaminate, jaccard_join, line_dedup
 from starmart.llm.components import connected_components
 
 
@@ -69,7 +69,7 @@ def test_jaccard_groups_are_opened(spark, monkeypatch):
     assert got == brute_components(docs)
 
 
-def test_signatures_lose_no_link():
+def test_prefixes_lose_no_link():
     rng, shared, similar = random.Random(11), 0, 0
     for _ in range(1500):
         n = rng.choice([4, 5, 6, 7, 8, 10, 12, 15, 16, 19, 20, 24, 25, 30, 64, 520])
@@ -78,12 +78,59 @@ def test_signatures_lose_no_link():
         if a != b and 100 * len(a & b) >= 80 * len(a | b):
             x, y = (jaccard_join.np.array(sorted(s), jaccard_join.np.int64) for s in (a, b))
             similar += 1
-            shared += bool(set(jaccard_join.signatures(x).tolist()) & set(jaccard_join.signatures(y).tolist()))
+            some = jaccard_join.np.array(sorted(rng.sample(sorted(a | b), len(a) // 2) + [5, 1 << 61]), jaccard_join.np.int64)  # any order will do
+            order = some, jaccard_join.np.array(rng.sample(range(len(some)), len(some)))
+            shared += all(set(jaccard_join.prefix_tokens(x, *o).tolist()) & set(jaccard_join.prefix_tokens(y, *o).tolist()) for o in (order, (some[:0], some[:0])))
+            assert len(jaccard_join.prefix_tokens(x, *order)) == len(x) - -(-80 * len(x) // 100) + 1
             differ = sum(bin((p ^ q) & (2**64 - 1)).count("1") for p, q in zip(jaccard_join.parity_bits(x), jaccard_join.parity_bits(y), strict=True))
             assert differ <= len(a ^ b)
     assert shared == similar > 300
 
 
+def test_shared_shingles_stream(spark):
+    """Runs of a shingle that go over batches of a few rows."""
+    rng = random.Random(12)
+    pairs = [(rng.randrange(40), rng.randrange(12)) for _ in range(150)] + [(99, g) for g in range(30)] + [(100, 5)] * 20
+    doc = "doc struct<doc_id: long, text_key: long, n: long, node: long, b0: long, b1: long, b2: long, b3: long>"
+    rows = spark.createDataFrame([(k, g, None) for k, g in pairs] + [(7, 1, (1, 2, 3, 4, 5, 6, 7, 8))], f"key long, grp long, {doc}")
+    holders = {}
+    for k, g in pairs:
+        holders.setdefault(k, set()).add(g)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 2, 7, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            got = jaccard_join._shared(rows, 3).collect()
+            assert sorted((r["key"], r["grp"]) for r in got if r["doc"] is None) == sorted((k, g) for k, gs in holders.items() if len(gs) > 1 for g in gs)
+            assert sum(r["doc"] is not None for r in got) == 1
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_jaccard_long_documents_and_a_loose_family(spark, monkeypatch):
+    """Documents of 20,000 words; and a family whose members are at 0.8 of each other about as often as not, asked in small groups."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 8)
+    monkeypatch.setattr(jaccard_join, "TASK_QUERIES", 5)
+    monkeypatch.setattr(jaccard_join, "FREQUENT_COUNT", 2)
+    rng = random.Random(13)
+    base, long = words(rng, 150), words(rng, 20_000)
+    docs = []
+    for _ in range(260):
+        w = list(base)
+        for k in rng.sample(range(150), rng.choice([1, 2, 3, 4, 5, 6])):
+            w[k] = f"z{rng.randrange(10**6)}"
+        docs.append(" ".join(w))
+    for share in (0, 100, 300, 900, 4000):
+        w = list(long)
+        for k in rng.sample(range(20_000), share):
+            w[k] = "y"
+        docs.append(" ".join(w))
+    docs = list(enumerate(docs))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.components(df).collect()}
+    assert got == brute_components(docs) and len({c for _, c in got.values()}) > 3
+
+
 def test_jaccard_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (2, "A B c d e f"), (9, None), (9, None)], "doc_id long, text string")
     got = sorted(jaccard_join.components(df).collect(), key=str)
@@ -93,7 +140,9 @@ def test_jaccard_edges(spark):
     assert jaccard_join.components(df.limit(0)).count() == 0
 
 
-def test_components_of_chain_star_and_ring(spark):
+@pytest.mark.parametrize("one_task", [0, 500_000])
+def test_components_of_chain_star_and_ring(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components, "ONE_TASK_LINKS", one_task)
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(200, 201), (201, 202), (202, 200), (300, 300)]
     df = spark.createDataFrame([*links, *links[:5]], "x long, y long")
     got = {r["node"]: r["root"] for r in connected_components(df, "x", "y").collect()}
