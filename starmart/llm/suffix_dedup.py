@@ -152,7 +152,7 @@ def suffix_order(data: np.ndarray, starts: np.ndarray, depth: int) -> np.ndarray
     key = small.copy()
     for i in range(1, done):
         follow = np.zeros(n, np.int64)
-        follow[: n - i] = small[i:]
+        follow[: max(n - i, 0)] = small[i:]
         follow[place + i > end] = 0
         key = (key << bits) | follow
     wide = (n + k).bit_length()
