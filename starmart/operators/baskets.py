@@ -68,7 +68,9 @@ def basket_arrays(df: DataFrame, basket: str, item: str) -> DataFrame:
 
 def scoped_items(df: DataFrame, basket: str, item: str, territory: str | None = "TerritoryID", overall: bool = True) -> DataFrame:
     """Distinct (scope, basket, item) triples.  Each row belongs to its territory's scope and, with
-    ``overall``, to the all-territories scope ``ALL_SCOPE``."""
+    ``overall``, to the all-territories scope ``ALL_SCOPE``.
+
+    Lines are exchanged by basket, once, before they are repeated for their scopes."""
     if territory is None:
         scopes = F.array(F.lit(ALL_SCOPE).cast("bigint"))
     elif overall:
@@ -77,6 +79,8 @@ def scoped_items(df: DataFrame, basket: str, item: str, territory: str | None =
         scopes = F.array(F.col(territory).cast("bigint"))
     return (
         df.filter(F.col(item).isNotNull() & F.col(basket).isNotNull())
+        .select(*dict.fromkeys([c for c in (territory, basket, item) if c is not None]))
+        .repartition(F.col(basket))
         .select(F.explode(scopes).alias(SCOPE), F.col(basket).alias(BASKET), F.col(item).alias(ITEM))
         .filter(F.col(SCOPE).isNotNull())
         .distinct()

@@ -12,12 +12,17 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import rule_hash, rule_id
 from ..session import materialize
 from .baskets import BASKET, ITEM, MAX_SCOPES, SCOPE, adaptive_min_support, item_counts, output_scope, scope_stats, with_scope_figures
+from .sequence import dense_ids
 
 # Fixed miner settings (defaults of the published job).
 MIN_CONFIDENCE = 0.65
@@ -86,9 +91,97 @@ def pair_rows(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
     return pairs.select(SCOPE, BASKET, F.least("_sm_a", "_sm_b").alias("a"), F.greatest("_sm_a", "_sm_b").alias("b"))
 
 
-def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS) -> DataFrame:
-    """Co-occurrence counts (scope, a, b, pair_count) with a < b, combined before the exchange."""
-    return pair_rows(items, cell_items).groupBy(SCOPE, "a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
+#: Pairs that a task holds before it counts them.
+HELD_PAIRS = 4_000_000
+
+
+def _baskets_begin(rows: pa.Table) -> np.ndarray:
+    """For each row but the first, whether its (scope, basket) differs from that of the row before."""
+    n = rows.num_rows
+    differ = [pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy() for c in (rows[SCOPE], rows[BASKET])]
+    return np.logical_or(*differ)
+
+
+def _counted(first: np.ndarray, second: np.ndarray) -> pa.RecordBatch:
+    keys, n = np.unique((first << 32) | second, return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(keys >> 32), pa.array(keys & 0xFFFFFFFF), pa.array(n.astype(np.int64))], ["a", "b", "n"])
+
+
+def _pairs_of_whole_baskets(basket: np.ndarray, code: np.ndarray):
+    """Counts of the pairs a < b of each basket; rows lie by basket and code, so a row's partners follow it."""
+    item, no = np.unique(code, return_inverse=True)
+    square = len(item) ** 2 <= HELD_PAIRS
+    counts = np.zeros(len(item) ** 2 if square else 0, np.int64)
+    held, at, step = [], np.arange(len(code)), 0
+    while True:
+        step += 1
+        at = at[at + step < len(code)]
+        at = at[basket[at + step] == basket[at]]
+        if not len(at):
+            break
+        held.append((at, at + step))
+        if sum(len(x) for x, _ in held) >= HELD_PAIRS:
+            yield from _flush(held, no, code, len(item), counts, square)
+    yield from _flush(held, no, code, len(item), counts, square)
+    if square and counts.any():
+        keys = np.flatnonzero(counts)
+        a, b = item[keys // len(item)], item[keys % len(item)]
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(counts[keys])], ["a", "b", "n"])
+
+
+def _flush(held: list, no: np.ndarray, code: np.ndarray, n: int, counts: np.ndarray, square: bool):
+    if not held:
+        return
+    first, second = (np.concatenate(x) for x in zip(*held, strict=True))
+    held.clear()
+    other = code[first] != code[second]
+    first, second = first[other], second[other]
+    if square:
+        counts += np.bincount(no[first] * n + no[second], minlength=n * n)
+    elif len(first):
+        yield _counted(code[first], code[second])
+
+
+def _count_pairs(batches):
+    """(a, b, n) of rows (scope, basket, code) that lie by all three; the last basket of a batch waits for the next."""
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        if rows.num_rows < 2:
+            rest = rows
+            continue
+        basket = np.concatenate([[0], np.cumsum(_baskets_begin(rows))])
+        whole = int(np.searchsorted(basket, basket[-1]))
+        yield from _pairs_of_whole_baskets(basket[:whole], rows["code"].to_numpy()[:whole])
+        rest = rows.slice(whole)
+    if rest is not None:
+        yield from _pairs_of_whole_baskets(np.zeros(rest.num_rows, np.int64), rest["code"].to_numpy())
+
+
+def item_pairs(items: DataFrame, cell_items: int = CELL_ITEMS, known: DataFrame | None = None) -> DataFrame:
+    """Co-occurrence counts (scope, a, b, pair_count) with a < b.
+
+    Items become numbers, one exchange brings the items of a basket together, and each task counts the pairs of
+    its baskets before they are exchanged.  Where a scope has more than ``cell_items`` items, baskets of more
+    than that are paired by :func:`pair_rows`.  ``known``: the (scope, item) of ``items``, if at hand."""
+    items = items.select(SCOPE, BASKET, ITEM).dropna()
+    codes = materialize(dense_ids(items if known is None else known, [SCOPE, ITEM], "code"), "item_codes")
+    widest = codes.groupBy(SCOPE).count().agg(F.max("count")).first()[0] or 0
+    ordinary, large = items, None
+    if widest > cell_items:
+        large = items.groupBy(SCOPE, BASKET).count().filter(F.col("count") > cell_items).select(SCOPE, BASKET)
+        large = materialize(large, "large_baskets")
+        ordinary = items.join(large, [SCOPE, BASKET], "left_anti")
+    rows = ordinary.join(codes, [SCOPE, ITEM]).select(SCOPE, BASKET, "code").repartition(SCOPE, BASKET).sortWithinPartitions(SCOPE, BASKET, "code")
+    counted = rows.mapInArrow(_count_pairs, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("pair_count"))
+    first = codes.select(SCOPE, F.col(ITEM).alias("_sm_a"), F.col("code").alias("a"))
+    second = codes.select(F.col(ITEM).alias("_sm_b"), F.col("code").alias("b"))
+    pairs = counted.join(first, "a").join(second, "b").select(SCOPE, F.col("_sm_a").alias("a"), F.col("_sm_b").alias("b"), "pair_count")
+    if large is None:
+        return pairs
+    wide = pair_rows(items.join(large, [SCOPE, BASKET], "left_semi"), cell_items).groupBy(SCOPE, "a", "b").agg(F.count(F.lit(1)).alias("pair_count"))
+    return pairs.unionByName(wide).groupBy(SCOPE, "a", "b").agg(F.sum("pair_count").alias("pair_count"))
 
 
 def _rules_from_pairs(pairs: DataFrame, counts: DataFrame, n_baskets: DataFrame, min_confidence: float) -> DataFrame:
@@ -127,12 +220,12 @@ def _rules_from_pairs(pairs: DataFrame, counts: DataFrame, n_baskets: DataFrame,
 def pair_rules(items: DataFrame, min_support: float, min_confidence: float = MIN_CONFIDENCE, cell_items: int = CELL_ITEMS) -> DataFrame:
     """All single-item rules per scope with support >= ``min_support`` (itemset count >=
     ceil(min_support * baskets)) and confidence >= ``min_confidence``."""
-    counts = item_counts(items)
+    counts = materialize(item_counts(items), "item_counts")
     n = items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n_baskets"))
     need = F.ceil(F.lit(min_support) * F.col("n_baskets")).cast("bigint")
     n = local_figures(n)
     frequent = with_scope_figures(counts, n).filter(F.col("item_count") >= need).select(SCOPE, ITEM)
-    pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items)
+    pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items, frequent)
     pairs = with_scope_figures(pairs, n).filter(F.col("pair_count") >= need).drop("n_baskets")
     return _rules_from_pairs(pairs, counts, n, min_confidence).drop("pair_count", "n_baskets")
 
@@ -154,10 +247,10 @@ def adaptive_rules(
     lv = lv.select(SCOPE, "n_baskets", F.col("_sm_l.level").alias("level"), F.col("_sm_l.min_count").alias("min_count"))
     lowest = lv.groupBy(SCOPE).agg(F.min("min_count").alias("_sm_need"))
 
-    counts = item_counts(items)
+    counts = materialize(item_counts(items), "item_counts")
     n = levels.select(SCOPE, "n_baskets")
     frequent = with_scope_figures(counts, lowest).filter(F.col("item_count") >= F.col("_sm_need")).select(SCOPE, ITEM)
-    pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items)
+    pairs = item_pairs(items.join(frequent, [SCOPE, ITEM], "left_semi"), cell_items, frequent)
     pairs = with_scope_figures(pairs, lowest).filter(F.col("pair_count") >= F.col("_sm_need")).drop("_sm_need")
     rules = _rules_from_pairs(pairs, counts, n, min_confidence)
 
@@ -239,14 +332,25 @@ def mine_rules(
 # ---------------------------------------------------------------------------------------------
 # Itemsets of any size, by bitmaps of baskets.
 
+def _number_baskets(batches):
+    """Rows (scope, item, first), a basket's rows after each other -> (scope, item, no), numbers that no other task gives."""
+    no = TaskContext.get().partitionId() << 36
+    for batch in batches:
+        numbers = no + np.cumsum(batch["first"].to_numpy(zero_copy_only=False))
+        no = int(numbers[-1]) if len(numbers) else no
+        yield pa.RecordBatch.from_arrays([batch[SCOPE], batch[ITEM], pa.array(numbers)], [SCOPE, ITEM, "no"])
+
+
 def basket_words(items: DataFrame) -> DataFrame:
     """(scope, item, word, bits): the baskets of each item as bitmaps of 64 baskets; written.
 
-    Baskets are numbered as they lie in their partition, sorted by scope; the numbers are written, so a
-    task that runs again doesn't change them."""
-    tx = items.groupBy(SCOPE, BASKET).agg(F.collect_set(ITEM).alias("items")).sortWithinPartitions(SCOPE)
-    tx = materialize(tx.select(SCOPE, F.monotonically_increasing_id().alias("no"), "items"), "numbered_baskets")
-    each = tx.select(SCOPE, F.explode("items").alias(ITEM), F.shiftright("no", 6).alias("word"), F.expr("shiftleft(1L, CAST(no & 63 AS INT))").alias("bit"))
+    A window brings a basket's items together (without an exchange, where they are so already); baskets are
+    numbered as they lie in their partition, sorted by scope and basket, so a task that runs again gives the
+    same numbers."""
+    first = F.row_number().over(Window.partitionBy(SCOPE, BASKET).orderBy(ITEM)) == 1
+    rows = items.select(SCOPE, BASKET, ITEM).dropna().withColumn("first", first).select(SCOPE, ITEM, "first")
+    each = rows.mapInArrow(_number_baskets, f"{SCOPE} {items.schema[SCOPE].dataType.simpleString()}, {ITEM} {items.schema[ITEM].dataType.simpleString()}, no long")
+    each = each.select(SCOPE, ITEM, F.shiftright("no", 6).alias("word"), F.expr("shiftleft(1L, CAST(no & 63 AS INT))").alias("bit"))
     return materialize(each.groupBy(SCOPE, ITEM, "word").agg(F.bit_or("bit").alias("bits")), "basket_words")
 
 
@@ -263,7 +367,9 @@ def frequent_itemsets(items: DataFrame, min_support: float | dict[int, float]) -
     spark = items.sparkSession
     items = items.select(SCOPE, BASKET, F.col(ITEM).cast("string").alias(ITEM))
     words = basket_words(items)
-    n = {r[SCOPE]: r["n"] for r in items.groupBy(SCOPE).agg(F.countDistinct(BASKET).alias("n")).collect()}
+    # Every basket has an item, so the bits that are set in any of a word's rows are its baskets.
+    per_word = words.groupBy(SCOPE, "word").agg(F.bit_or("bits").alias("bits"))
+    n = {r[SCOPE]: r["n"] for r in per_word.groupBy(SCOPE).agg(F.sum(F.bit_count("bits")).alias("n")).collect()}
     if not n:
         return spark.createDataFrame([], "scope bigint, items array<string>, freq bigint, size int, n_baskets bigint")
     support = min_support if isinstance(min_support, dict) else dict.fromkeys(n, min_support)

@@ -19,6 +19,11 @@ from . import mart
 
 
 def mining_lines(spark: SparkSession, root: str, load_ts=None, where: Column | None = None) -> DataFrame:
+    """:func:`sold_lines`, written, for those who read them several times."""
+    return materialize(sold_lines(spark, root, where), "mining_lines")
+
+
+def sold_lines(spark: SparkSession, root: str, where: Column | None = None) -> DataFrame:
     """``where``: a filter over the sales (OrderDate, TerritoryID, ...), which reaches the scans before any join with a dimension.
 
     The product version's names are attached while the fact rows are built, and the customer comes with the
@@ -30,11 +35,8 @@ def mining_lines(spark: SparkSession, root: str, load_ts=None, where: Column | N
     sold = pit_join(sales.select("SalesOrderID", "CustomerID", "ProductID", "OrderDate", "TerritoryID"), dim_prod, "ProductID", "OrderDate",
                     ["Name", "Subcategory", "Category"], valid_from="ValidFrom", valid_to="ValidTo")
     sold = sold.join(dim_terr.select("TerritoryID"), "TerritoryID")
-    return materialize(
-        sold.select("SalesOrderID", "CustomerID", "ProductID", F.col("Name").alias("ProductName"), F.col("Subcategory").alias("ProductBrand"),
-                    F.col("Category").alias("ProductType"), "TerritoryID", date_key("OrderDate").alias("OrderDateKey")),
-        "mining_lines",
-    )
+    return sold.select("SalesOrderID", "CustomerID", "ProductID", F.col("Name").alias("ProductName"), F.col("Subcategory").alias("ProductBrand"),
+                       F.col("Category").alias("ProductType"), "TerritoryID", date_key("OrderDate").alias("OrderDateKey"))
 
 
 def sales_in_window(territory_id: int | None = None, date_filter: int | None = None, window: int | None = None) -> Column:
@@ -51,4 +53,4 @@ def sales_in_window(territory_id: int | None = None, date_filter: int | None = N
 
 def customer_items(spark: SparkSession, root: str, item: str = "ProductName") -> DataFrame:
     """(scope, basket = customer, item) for every territory and the overall scope."""
-    return materialize(scoped_items(mining_lines(spark, root), "CustomerID", item, "TerritoryID"), "mining_items")
+    return materialize(scoped_items(sold_lines(spark, root), "CustomerID", item, "TerritoryID"), "mining_items")

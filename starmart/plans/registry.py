@@ -529,7 +529,7 @@ def _published(df: DataFrame) -> DataFrame:
 
 
 def _brand_rules(spark, d) -> DataFrame:
-    lines = MI.mining_lines(spark, d, load_ts())
+    lines = MI.sold_lines(spark, d)
     return RU.mine_rules(lines, "CustomerID", "ProductBrand", "TerritoryID", "OrderDateKey", RULES_DATE_FILTER)
 
 
@@ -552,7 +552,7 @@ MULTI_RULES_MIN_SUPPORT = 0.05   # of the orders of a scope: both this and the c
 
 @register("frequent_itemsets", O.itemsets_sql("ProductName", "SalesOrderID", ITEMSET_MIN_SUPPORT))
 def q_frequent_itemsets(spark, d):
-    lines = MI.mining_lines(spark, d, load_ts())
+    lines = MI.sold_lines(spark, d)
     items = B.scoped_items(lines, "SalesOrderID", "ProductName", "TerritoryID")
     sets = RU.frequent_itemsets(items, ITEMSET_MIN_SUPPORT)
     return sets.select(B.output_scope(), F.array_join("items", ", ").alias("items"), "freq", "size",
@@ -562,7 +562,7 @@ def q_frequent_itemsets(spark, d):
 # Rules with several items per side from the itemsets; the oracle enumerates item bitmasks.
 @register("multi_item_rules", O.multi_rules_sql("ProductType", "SalesOrderID", MULTI_RULES_MIN_SUPPORT))
 def q_multi_item_rules(spark, d):
-    items = B.scoped_items(MI.mining_lines(spark, d, load_ts()), "SalesOrderID", "ProductType", "TerritoryID")
+    items = B.scoped_items(MI.sold_lines(spark, d), "SalesOrderID", "ProductType", "TerritoryID")
     sets = RU.frequent_itemsets(items, MULTI_RULES_MIN_SUPPORT)
     rules = RU.multi_item_rules(sets)
     return rules.select(B.output_scope(), F.array_join("antecedents", ", ").alias("antecedents"),
