@@ -193,8 +193,8 @@ def upsert_partitions(
 
     Touched are the partitions of the batch and those that hold rows with the batch's keys, so a row
     that moves to another partition leaves its old one; where the table has a key summary
-    (:mod:`membership`) only partitions that it names are searched for them.  Their new state is written aside first and
-    then swapped in by dynamic partition overwrite; a partition that ends up empty is deleted.  All
+    (:mod:`membership`) only partitions that it names are searched for them.  Their new state takes their place by
+    dynamic partition overwrite, written once; a partition that ends up empty is deleted.  All
     other partitions keep their files.  The partition values of one batch (months) are few and are
     the only thing that reaches the driver."""
     from ..session import materialize
@@ -211,24 +211,33 @@ def upsert_partitions(
     touched = [r[0] for r in batch.select(partition_col).union(moved).distinct().collect()]
     state = spark.read.schema(batch.schema).parquet(path).filter(F.col(partition_col).isin(touched))
     state = upsert(state, batch.select(*state.columns), keys, on_duplicate, order)
-    return swap_partitions(spark, path, state, partition_col, touched, keys)
+    return swap_partitions(spark, path, state, partition_col, touched, keys, batch)
 
 
-def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touched: Sequence, keys: Sequence[str]) -> DataFrame:
-    """Puts ``state`` in the place of the ``touched`` partitions of a Parquet table and returns the table.
+def _files_by_partition(spark, path: str, partition_col: str) -> dict[str, set[str]]:
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}=*/[!_.]*")
+    found: dict[str, set[str]] = {}
+    for f in pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []:
+        found.setdefault(f.getPath().getParent().getName(), set()).add(f.getPath().getName())
+    return found
 
-    The state is written aside first (it may read the table), then moved in by dynamic partition
-    overwrite; a touched partition without rows is deleted.  These are two steps: in between a reader can
-    see a row that moved to another partition twice."""
-    from ..session import materialize
 
-    state = materialize(state, "upsert_state")
+def swap_partitions(spark, path: str, state: DataFrame, partition_col: str, touched: Sequence, keys: Sequence[str], added: DataFrame) -> DataFrame:
+    """Puts ``state`` in the place of the ``touched`` partitions of a Parquet table and returns the table.
+
+    The state, which may read the table, is written once: Spark keeps the new files apart until all are there,
+    then moves them in for the old ones.  A touched partition without rows keeps its old files there and is
+    deleted.  These are two steps: in between a reader can see a row that moved to another partition twice.
+    ``added``: the rows of ``state`` that are not in the table, whose keys its summary gets."""
     if has_summary(spark, path):
-        add_to_summary(state, path, keys, partition_col, touched)
-    filled = {r[0] for r in state.select(partition_col).distinct().collect()}
+        add_to_summary(added, path, keys, partition_col, touched)
+    before = _files_by_partition(spark, path, partition_col)
     writer = state.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
     writer.parquet(path)
-    for value in set(touched) - filled:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{partition_col}={value}")
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    after = _files_by_partition(spark, path, partition_col)
+    for value in set(touched):
+        name = f"{partition_col}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        if name in before and before[name] & after.get(name, set()):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{name}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return spark.read.parquet(path)

@@ -182,6 +182,7 @@ def fact_incremental(
     batch = fact_sales(window, dim_prod, dim_terr, load_ts)
     if target is None:
         return batch
+    batch = materialize(batch, "upsert_batch")  # read for its keys and for its rows
     return upsert(target, batch, FACT_KEYS, on_duplicate="replace")
 
 
@@ -228,13 +229,13 @@ def rekey_fact(spark: SparkSession, path: str, sales: DataFrame, old_dim: DataFr
     affected = materialize(since.join(stretches, inside).drop("_sm_pid", "_sm_from", "_sm_to"), "affected_sales")
     stale = affected.filter(F.col("_sm_old").isNotNull()).select(F.col("_sm_old").alias("ProductKey"), "SalesOrderID").distinct()
     month = F.floor(F.col("OrderDateKey") / 100).cast("int").alias(FACT_PARTITION)
-    batch = fact_sales(affected.drop("_sm_old"), new_dim, dim_terr, load_ts).select("*", month)
+    batch = materialize(fact_sales(affected.drop("_sm_old"), new_dim, dim_terr, load_ts).select("*", month), "rekeyed_rows")
     touched = [r[0] for r in affected.select(date_key("OrderDate").alias("OrderDateKey")).select(month).distinct().collect()]
     target = spark.read.parquet(path)
     if not touched:
         return target
     kept = target.filter(F.col(FACT_PARTITION).isin(touched)).join(stale, FACT_KEYS, "left_anti")
-    return swap_partitions(spark, path, kept.unionByName(batch.select(*target.columns)), FACT_PARTITION, touched, FACT_KEYS)
+    return swap_partitions(spark, path, kept.unionByName(batch.select(*target.columns)), FACT_PARTITION, touched, FACT_KEYS, batch)
 
 
 __all__ = [
