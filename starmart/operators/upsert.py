@@ -130,33 +130,46 @@ def _rank_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """A number whose neighbours are near each other in every one of the columns: each column's rank, as
-    ``bits`` bits of its quantiles, with the bits of all columns taken in turn.  NULLs come first.
-
-    The quantiles of all columns are one aggregate, 2 ** ``bits`` - 1 numbers for each on the driver."""
+def _quantiles(df: DataFrame, columns: Sequence[str], bits: int) -> list[list[float]]:
     n = 1 << bits
     shares = [i / n for i in range(1, n)]
     row = df.agg(*[F.percentile_approx(_rank_number(df, c), shares, 10_000).alias(f"q{i}") for i, c in enumerate(columns)]).first()
+    return [row[i] or [] for i in range(len(columns))]
+
+
+def _interleaved(ranks: Sequence[Column], quantiles: Sequence[list[float]], bits: int) -> Column:
+    """The sum over the columns of a search tree that has, for each cell, its bits at their places."""
 
-    def cell_of(x: Column, quantiles: list[float]) -> Column:
-        return F.size(F.filter(F.lit(quantiles).cast("array<double>"), lambda q: q <= x)).cast("bigint")
+    def search(x: Column, cuts: list[float], places: list[int]) -> Column:
+        if not cuts:
+            return F.lit(places[0]).cast("bigint")
+        half = len(cuts) // 2
+        above = search(x, cuts[half + 1 :], places[half + 1 :])
+        return F.when(F.lit(float(cuts[half])) <= x, above).otherwise(search(x, cuts[:half], places[: half + 1]))
 
     z = F.lit(0).cast("bigint")
-    for i, c in enumerate(columns):
-        cell = cell_of(_rank_number(df, c), row[i] or [])
-        for b in range(bits):
-            z = z + F.shiftright(cell, b).bitwiseAND(F.lit(1)) * F.lit(1 << (b * len(columns) + i)).cast("bigint")
+    for i, (x, cuts) in enumerate(zip(ranks, quantiles, strict=True)):
+        places = [sum((cell >> b & 1) << (b * len(ranks) + i) for b in range(bits)) for cell in range(len(cuts) + 1)]
+        z = z + search(x, cuts, places)
     return z
 
 
+def interleaved(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """A number whose neighbours are near each other in every one of the columns: each column's rank, as
+    ``bits`` bits of its quantiles, with the bits of all columns taken in turn.  NULLs come first.
+
+    The quantiles of all columns are one aggregate, 2 ** ``bits`` - 1 numbers for each on the driver."""
+    return _interleaved([_rank_number(df, c) for c in columns], _quantiles(df, columns, bits), bits)
+
+
 def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], files: int, bits: int = 6, mode: str = "overwrite") -> None:
     """Write in the interleaved order of several keys, so that the Parquet statistics of files and row groups
     leave out most of them for a predicate on any one of the keys.  (Under :func:`write_clustered` only the
     first key's ranges are narrow.)"""
-    z = "_sm_z"
-    out = df.withColumn(z, interleaved(df, columns, bits)).repartitionByRange(files, z).sortWithinPartitions(z)
-    out.drop(z).write.mode(mode).parquet(path)
+    z, ranks = "_sm_z", [f"_sm_x{i}" for i in range(len(columns))]
+    out = df.withColumns({x: _rank_number(df, c) for x, c in zip(ranks, columns, strict=True)})
+    out = out.withColumn(z, _interleaved([F.col(x) for x in ranks], _quantiles(df, columns, bits), bits)).drop(*ranks)
+    out.repartitionByRange(files, z).sortWithinPartitions(z).drop(z).write.mode(mode).parquet(path)
 
 
 def upsert_to_path(
