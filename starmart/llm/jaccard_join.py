@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a token-group matrix: all links of 5-word shingle sets at 0.8 or more.
+"""N-gram Jaccard join by prefixes and parity sketches: all links of 5-word shingle sets at 0.8 or more.
 
 A document's set has the distinct 5-word shingles of its text (A-Z lower-cased, words
 ``[^\\x20\\x09-\\x0D]+``) as 64-bit hashes; a text of one to four words is one shingle.  Equal sets
@@ -15,20 +15,24 @@ smallest hash that are within the threshold of the group's first node (checked e
 the prefix shingles of all its members, once.  One exchange, sorted by shingle, brings those of several
 groups together; shingles of one group only, by far most, end there.
 
-Links.  Groups that are linked make a component.  In each round every shingle that groups of several
-components have names a *head*, the component with most groups on it (from the third round on more and
-more heads), and the other groups ask the heads: the nodes of a head form groups of similar documents,
-:data:`BLOCK_NODES` at most, each with the union of its shingles and a matrix of shingles by members.
-A query's overlap with the union bounds its overlap with any member; only groups whose bound reaches
-the threshold are opened, and one link of a query into a group is enough, as the group is linked within.
-Sizes, and parity bits of small groups, leave out most questions before sets are moved.  Heads that all
-have asked are done for that shingle.  When no shingle has two components left, all pairs of nodes that
-share a prefix shingle are in one component or have been compared, so the components are exact; links
-inside a component are not enumerated.  A family of near copies, of which any two need not be links,
-becomes one component in the first rounds; after that only what isn't linked asks it, as a whole.
-
-Skew.  A round is linear in the rows of the shingles that are still open, times the heads.  Questions
-to one group are dealt out over several tasks, each with a copy of the group.
+Links.  Groups that are linked make a component.  In the first rounds every shingle that groups of several
+components have names a *head*, the component with most groups on it, and the nodes of the others ask the
+head's; a head that all have asked is done for that shingle.  Then one last round lets all that is left on a
+shingle ask each other: the groups lie in blocks of :data:`BLOCK_NODES` nodes by the most shared of their
+shingles, so a loose family (near copies of which any two need not be links) is a few blocks, and a node asks
+a block once, whichever of their shingles they share.  After it all pairs of nodes that share a prefix
+shingle are in one component or have been compared, so the components are exact; links inside a component
+are not enumerated.
+
+Questions.  A set's *sketch* has the parity of its hashes on each of at least twice as many bits as it has
+shingles, a power of two; of two sketches the wider one is folded to the other's width.  Where they differ on
+more bits than two linked sets can differ in shingles, there is no link.  For one node's question to a block
+the sketches (some 3 bits a shingle) are moved and compared, a block at a time; the sets themselves are
+moved and compared exactly for one likely member of each component in the block, and for all of its likely
+members where that one is no link.
+
+Skew.  A round is linear in the rows of the shingles that are still open, times the blocks of a shingle in the
+last one.  Questions to one block are dealt out over several tasks, each with a copy of the block.
 
 Edge cases: null, empty and blank texts have no shingles and are linked with nothing (their
 component is their own id); a null id is no smallest id, a document without id that is linked with
@@ -44,7 +48,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,14 +64,12 @@ THRESHOLD = 80
 FIRST_NODES = 4
 #: Shingles that come last in the order, at most, and from which count on.
 FREQUENT_TOKENS, FREQUENT_COUNT = 500_000, 8
-#: Nodes of a group that a component is asked through, and shingles from which on a node is a group by itself.
-BLOCK_NODES, BLOCK_TOKENS = 256, 200_000
-#: Members of a group up to which their parity bits are looked at before sets are moved.
-FEW = 16
-#: Questions to a group that one task answers, about.
+#: Nodes of a block that is asked as a whole, about.
+BLOCK_NODES = 2048
+#: Questions to a block that one task answers, about.
 TASK_QUERIES = 1_000
-#: Rounds with one head per shingle; then as many as the second number says, and four times as many in each further round.
-SINGLE_HEAD_ROUNDS, HEADS = 2, 64
+#: Rounds with one head per shingle, before all that is left asks each other.
+SINGLE_HEAD_ROUNDS = 2
 #: Bytes of text of an exchange partition; a document has a prefix row for about 30 of them.
 PART_BYTES = 16 << 20
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
@@ -106,12 +108,23 @@ def prefix_tokens(tokens: np.ndarray, frequent: np.ndarray, rank: np.ndarray) ->
     return tokens[np.argsort(np.where(found, rank[at] + 1, 0), kind="stable")[:k]]
 
 
-def parity_bits(tokens: np.ndarray) -> list[int]:
-    """256 bits in four longs: whether an odd number of hashes falls on each.  Where two sets differ in d hashes, at most d bits do."""
-    odd = (np.bincount(tokens.view(np.uint64) & np.uint64(255), minlength=256) & 1).astype(np.uint8)
+def parity_bits(tokens: np.ndarray, bits: int = 256) -> list[int]:
+    """``bits`` (a power of two) bits in longs: whether an odd number of hashes falls on each.  Where two sets differ in d hashes, at most d bits do."""
+    odd = (np.bincount(tokens.view(np.uint64) & np.uint64(bits - 1), minlength=bits) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64).tolist()
 
 
+def sketch(tokens: np.ndarray) -> bytes:
+    """Parity bits, two to four for each hash.  To be read as unsigned, as numpy counts the bits of an absolute value."""
+    return np.array(parity_bits(tokens, max(64, 1 << (2 * len(tokens) - 1).bit_length())), np.int64).tobytes()
+
+
+def folded(sketches: np.ndarray) -> np.ndarray:
+    """Sketches (the last axis) on half as many bits."""
+    half = sketches.shape[-1] // 2
+    return sketches[..., :half] ^ sketches[..., half:]
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     if 100 * min(len(a), len(b)) < THRESHOLD * max(len(a), len(b)):
         return False
@@ -156,7 +169,7 @@ def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _grouped_batch(texts: list[str | None], frequent: np.ndarray, rank: np.ndarray) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
-    """Per text size, node, parity bits and group (None without shingles); per group its members' prefixes."""
+    """Per text size, node, sketch and group (None without shingles); per group its members' prefixes."""
     sizes, nodes, bits, groups, own = [], [], [], [], {}
     first: dict[int, list[tuple[int, np.ndarray]]] = {}  # by smallest hash
     seen: dict[int, int] = {}
@@ -165,7 +178,7 @@ def _grouped_batch(texts: list[str | None], frequent: np.ndarray, rank: np.ndarr
         sizes.append(len(tokens))
         if not len(tokens):
             nodes.append(None)
-            bits.append([None] * 4)
+            bits.append(None)
             groups.append(None)
             continue
         node = _node(tokens)
@@ -180,15 +193,16 @@ def _grouped_batch(texts: list[str | None], frequent: np.ndarray, rank: np.ndarr
             seen[node] = group
             own.setdefault(group, []).append(prefix_tokens(tokens, frequent, rank))
         nodes.append(node)
-        bits.append(parity_bits(tokens))
+        bits.append(sketch(tokens))
         groups.append(group)
     return sizes, nodes, bits, groups, own
 
 
 def _keyed_rows(docs: DataFrame) -> DataFrame:
     """Two kinds of rows: (prefix shingle, group, null) and (any key, group, document)."""
-    names = ["doc_id", "text_key", "n", "node", "b0", "b1", "b2", "b3"]
-    doc_type = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *[T.StructField(c, T.LongType()) for c in names[1:]]])
+    names = ["doc_id", "text_key", "n", "node", "bits"]
+    types = [docs.schema["doc_id"].dataType, T.LongType(), T.LongType(), T.LongType(), T.BinaryType()]
+    doc_type = T.StructType([T.StructField(c, t) for c, t in zip(names, types, strict=True)])
     schema = T.StructType([T.StructField("key", T.LongType()), T.StructField("grp", T.LongType()), T.StructField("doc", doc_type)])
     last = docs.sparkSession.sparkContext.broadcast(_frequent_tokens(docs))
 
@@ -197,7 +211,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
             for rb in _slices(whole):
                 sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist(), *last.value)
                 doc = pa.StructArray.from_arrays(
-                    [rb.column("doc_id"), rb.column("text_key"), *[pa.array(x, pa.int64()) for x in (sizes, nodes, *([b[k] for b in bits] for k in range(4)))]], names)
+                    [rb.column("doc_id"), rb.column("text_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())], names)
                 spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(spread), pa.array(groups, pa.int64()), doc], ["key", "grp", "doc"])
                 each = [(g, np.unique(np.concatenate(s)) if len(s) > 1 else s[0]) for g, s in own.items()]
@@ -265,99 +279,151 @@ def _token_sets(docs: DataFrame, places: DataFrame, nodes: DataFrame) -> DataFra
     return sets_of(once) if several.isEmpty() else sets_of(once).union(sets_of(several).dropDuplicates(["node"]))
 
 
-def _likely(pairs: DataFrame, blocks: DataFrame, info: DataFrame) -> DataFrame:
-    """The questions (a, blk) that sizes and, for groups of :data:`FEW` or less, the members' parity bits don't rule out; written."""
-    bits = [f"b{k}" for k in range(4)]
-    few = F.when(F.count(F.lit(1)) <= FEW, F.collect_list(F.struct("n", *bits))).alias("few")
-    sizes = blocks.join(info, "node").groupBy("blk").agg(F.min("n").alias("least"), F.max("n").alias("most"), few)
-    asked = pairs.join(info.select(F.col("node").alias("a"), "n", *bits), "a").join(sizes, "blk")
-    fits = (100 * F.col("n") >= THRESHOLD * F.col("least")) & (100 * F.col("most") >= THRESHOLD * F.col("n"))
+def _alike(every: bool, later: bool):
+    """Rows sorted by (blk, part, asks): a block's members, then the questions to it.  Of each other component with members
+    that the sketches don't rule out one of these (a clearly similar one, or else the nearest) and whether there are several,
+    or ``every`` such member; of components with greater numbers only, if ``later``."""
 
-    def alike(member: Column) -> Column:
-        differ = sum((F.bit_count(F.col(b).bitwiseXOR(member[b])) for b in bits[1:]), F.bit_count(F.col("b0").bitwiseXOR(member["b0"])))
-        return (100 + THRESHOLD) * differ <= (100 - THRESHOLD) * (F.col("n") + member["n"])
+    def widths(members: list) -> dict[int, tuple]:
+        by: dict[int, list] = {}
+        for m in members:
+            by.setdefault(len(m[3]) // 8, []).append(m)
+        return {w: (*(np.array([m[k] for m in ms], np.int64) for k in range(3)), np.frombuffer(b"".join(m[3] for m in ms), np.uint64).reshape(len(ms), w)) for w, ms in by.items()}
 
-    return materialize(asked.filter(fits & (F.col("few").isNull() | F.exists("few", alike))).select("a", "blk"), "jaccard_likely")
+    def likely(node: int, comp: int, n: int, own: np.ndarray, tables: dict) -> Iterator[tuple]:
+        for width in (len(own) // 2, len(own), 2 * len(own)):
+            if width not in tables:
+                continue
+            nodes, comps, sizes, sketches = tables[width]
+            if width > len(own):
+                if (width, "folded") not in tables:
+                    tables[width, "folded"] = folded(sketches)
+                sketches = tables[width, "folded"]
+            differ = np.bitwise_count(sketches ^ (folded(own) if width < len(own) else own)).sum(axis=1, dtype=np.int64) * (100 + THRESHOLD)
+            most = (100 - THRESHOLD) * (sizes + n)
+            fits = (differ <= most) & (100 * np.minimum(sizes, n) >= THRESHOLD * np.maximum(sizes, n)) & (comps > comp if later else comps != comp)
+            for at in np.flatnonzero(fits):
+                yield int(comps[at]), int(differ[at]) if 5 * differ[at] > 4 * most[at] else 0, int(nodes[at])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, members, tables = None, [], None
+        for rb in batches:
+            out = []
+            for blk, part, asks, node, comp, n, bits in zip(*(rb.column(c).to_pylist() for c in ("blk", "part", "asks", "node", "comp", "n", "bits")), strict=True):
+                if (blk, part) != block:
+                    block, members, tables = (blk, part), [], None
+                if not asks:
+                    members.append((node, comp, n, bits))
+                    continue
+                if tables is None:
+                    tables = widths(members)
+                found = sorted(likely(node, comp, n, np.frombuffer(bits, np.uint64), tables))
+                for k, (other, _, b) in enumerate(found):
+                    if every or not k or found[k - 1][0] != other:
+                        out.append((node, b, blk, other, not every and k + 1 < len(found) and found[k + 1][0] == other))
+            if out:
+                a, b, blk, other, several = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (a, b, blk, other)), pa.array(several)], ["a", "b", "blk", "other", "several"])
+
+    return run
+
+
+def _dealt(asks: DataFrame, holds: DataFrame) -> DataFrame:
+    """Questions (blk, node, ...) and members of blocks (the same columns) with ``part``, the number of one of a block's tasks, and ``asks``."""
+    tasks = asks.groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("tasks"))
+    part = F.pmod(F.xxhash64("node"), F.col("tasks")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))
+    asks = asks.join(tasks, "blk").select(*asks.columns, part.alias("part"), F.lit(True).alias("asks"))
+    return asks.unionByName(holds.join(tasks, "blk").select(*holds.columns, each.alias("part"), F.lit(False).alias("asks")))
+
+
+def _likely(asks: DataFrame, blocks: DataFrame, info: DataFrame, parts: int, every: bool, later: bool) -> DataFrame:
+    """Pairs (a, b) of questions (blk, node, comp) and members of ``blocks`` (the same columns) as :func:`_alike` finds them; written."""
+    rows = _dealt(asks, blocks).join(info, "node").repartition(parts, "blk", "part").sortWithinPartitions("blk", "part", "asks")
+    found = rows.select("blk", "part", "asks", "node", "comp", "n", "bits").mapInArrow(_alike(every, later), "a long, b long, blk long, other long, several boolean")
+    return materialize(found, "jaccard_likely")
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (blk, part, asks): a group's members, then the questions to it; a link (a, b) at most for each."""
-    group, members, matrix = None, [], None
+    """Rows sorted by (blk, part, asks): a node's set, then those compared with it; the links (a, b)."""
+    held = None
     for rb in batches:
         links = []
-        for blk, part, asks, node, tokens in zip(*(rb.column(c).to_pylist() for c in ("blk", "part", "asks", "node")), rb.column("tokens"), strict=True):
-            if (blk, part) != group:
-                group, members, matrix = (blk, part), [], None
+        for b, asks, node, tokens in zip(*(rb.column(c).to_pylist() for c in ("blk", "asks", "node")), rb.column("tokens"), strict=True):
             own = tokens.values.to_numpy()
             if not asks:
-                members.append((node, own))
-                continue
-            if matrix is None:
-                token = np.concatenate([t for _, t in members])
-                order = np.argsort(token, kind="stable")
-                matrix = token[order], np.repeat(np.arange(len(members)), [len(t) for _, t in members])[order], np.array([len(t) for _, t in members])
-            token, member, size = matrix
-            lo, hi = np.searchsorted(token, own, "left"), np.searchsorted(token, own, "right")
-            if 100 * np.count_nonzero(hi > lo) < THRESHOLD * len(own):  # the union's bound
-                continue
-            found = hi - lo
-            at = np.repeat(lo - np.cumsum(found) + found, found) + np.arange(found.sum())
-            common = np.bincount(member[at], minlength=len(size))
-            linked = np.flatnonzero(100 * common >= THRESHOLD * (size + len(own) - common))
-            if len(linked):
-                links.append((node, members[linked[0]][0]))
+                held = own
+            elif similar(held, own):
+                links.append((node, b))
         if links:
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _asked(pairs: DataFrame, blocks: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
-    """Links (a, b) of nodes ``a`` with a member of a group each asks (``blk``), one for each question at most; written.
-
-    Only the sets of nodes in questions that the filters leave are made, from their documents."""
-    likely = _likely(pairs, blocks, info)
-    asked = blocks.join(likely.select("blk").distinct(), "blk", "left_semi")
-    tokens = _token_sets(docs, places, likely.select(F.col("a").alias("node")).union(asked.select("node")).distinct())
-    tasks = likely.groupBy("blk").agg(F.ceil(F.count(F.lit(1)) / TASK_QUERIES).cast("int").alias("tasks"))
-    asks = likely.join(tasks, "blk").select("blk", F.pmod(F.xxhash64("a"), F.col("tasks")).cast("int").alias("part"), F.lit(True).alias("asks"), F.col("a").alias("node"))
-    holds = blocks.join(tasks, "blk").select("blk", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("part"), F.lit(False).alias("asks"), "node")
-    rows = asks.union(holds).join(tokens, "node").select("blk", "part", "asks", "node", "tokens")
+def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+    """The pairs (a, b) that are links; written.  Only their nodes' sets are made, from their documents."""
+    tokens = _token_sets(docs, places, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    rows = _dealt(pairs.select(F.col("b").alias("blk"), F.col("a").alias("node")).distinct(), pairs.select(F.col("b").alias("blk"), F.col("b").alias("node")).distinct())
+    rows = rows.join(tokens, "node").select("blk", "part", "asks", "node", "tokens")
     rows = rows.repartition(parts, "blk", "part").sortWithinPartitions("blk", "part", "asks")
     return materialize(rows.mapInArrow(_answers, "a long, b long"), "jaccard_links")
 
 
+def _asked(asks: DataFrame, blocks: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int, later: bool) -> DataFrame:
+    """Links (a, b) of nodes ``a`` with members of the blocks each asks: one for each component in a block that it is linked with, at least.
+
+    asks: blk, node, comp; blocks: blk, node, comp; questions that sizes rule out are left out first."""
+    sizes = blocks.join(info.select("node", "n"), "node").groupBy("blk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    fits = (100 * F.col("n") >= THRESHOLD * F.col("least")) & (100 * F.col("most") >= THRESHOLD * F.col("n"))
+    asks = materialize(asks.join(sizes, "blk").join(info.select("node", "n"), "node").filter(fits).select("blk", "node", "comp"), "jaccard_asks")
+    first = _likely(asks, blocks, info, parts, False, later)
+    links = _verified(first, docs, places, parts)
+    # Where the one compared is no link, others of its component may be.
+    left = materialize(first.filter("several").join(links, ["a", "b"], "left_anti").select("a", "blk", "other"), "jaccard_left")
+    if left.isEmpty():
+        return links
+    again = asks.join(left.select(F.col("a").alias("node"), "blk").distinct(), ["node", "blk"], "left_semi").select("blk", "node", "comp")
+    rest = _likely(again, blocks.join(left.select("blk", F.col("other").alias("comp")).distinct(), ["blk", "comp"], "left_semi").select("blk", "node", "comp"), info, parts, True, later)
+    rest = rest.join(left, ["a", "blk", "other"], "left_semi").join(first, ["a", "b"], "left_anti").select("a", "b")
+    return links.union(_verified(rest, docs, places, parts))
+
+
+def _in_blocks(holds: DataFrame, unit: str) -> DataFrame:
+    """``holds`` (bucket, node, n, ...) with ``blk``: each bucket's nodes in blocks of about :data:`BLOCK_NODES`, those of one ``unit`` in one."""
+    size = holds.groupBy("bucket").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n") / (BLOCK_NODES * 1000))).alias("blks"))
+    return holds.join(size, "bucket").withColumn("blk", F.xxhash64("bucket", F.pmod(F.xxhash64(unit), F.col("blks"))))
+
+
 def _link_groups(shared: DataFrame, members: DataFrame, links: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
-    """``node``, ``root`` of all components; rounds of questions to head components until no shingle has two."""
-    roots, turn = connected_components(links, "a", "b"), 0
-    while True:
-        known = materialize(members.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("comp")).distinct(), "jaccard_comps")
-        labelled = shared.join(known.withColumnRenamed("node", "grp"), "grp")
+    """``node``, ``root`` of all components; rounds of questions to head components, then of all that is left to each other."""
+    roots = connected_components(links, "a", "b")
+    for turn in range(SINGLE_HEAD_ROUNDS + 1):
+        known = members.select("node", "n").distinct().join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("comp"))
+        known = materialize(known, "jaccard_comps")
+        labelled = shared.join(known.select(F.col("node").alias("grp"), "comp"), "grp")
         per = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
-        best = F.max_by("comp", F.struct("k", F.xxhash64("comp", F.lit(turn)))).alias("best")
-        open_keys = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), best).filter("comps > 1")
-        more = 0 if turn < SINGLE_HEAD_ROUNDS else HEADS * 4 ** (turn - SINGLE_HEAD_ROUNDS) - 1
-        is_head = (F.col("comp") == F.col("best")) | (F.pmod(F.xxhash64("comp", F.lit(turn)), F.col("comps")) < more)
-        live = materialize(labelled.join(open_keys, "key").select("key", "grp", "comp", "best", is_head.alias("is_head")), "jaccard_open")
+        head = F.max_by("comp", F.struct("k", F.xxhash64("comp", F.lit(turn)))).alias("head")
+        open_keys = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), head).filter("comps > 1")
+        live = materialize(labelled.join(open_keys, "key").select("key", "grp", "comp", "comps", "head"), "jaccard_open")
         if live.isEmpty():
             return roots
-        if more:
-            heads = live.filter("is_head").select("key", F.col("comp").alias("head")).distinct()
-            asks = live.join(heads, "key").filter((F.col("comp") != F.col("head")) & (~F.col("is_head") | (F.col("comp") < F.col("head"))))
+        last = turn == SINGLE_HEAD_ROUNDS
+        if last:
+            bucket = live.groupBy("grp").agg(F.max_by("key", F.struct("comps", F.xxhash64("key"))).alias("bucket"), F.first("comp").alias("comp"))
+            held = materialize(_in_blocks(bucket.join(members, "grp"), "grp").select("blk", "grp", "node", "comp"), "jaccard_blocks")
+            on_key = live.select("key", "grp").join(held.select("grp", "blk").distinct(), "grp").join(bucket.select("grp", F.col("comp").alias("of")), "grp")
+            on_key = on_key.groupBy("key", "blk").agg(F.max("of").alias("greatest"))
+            asks = live.select("key", "grp", "comp").join(on_key, "key").filter(F.col("greatest") > F.col("comp")).select("grp", "comp", "blk").distinct()
+            asks = asks.join(members.select("grp", "node"), "grp")
         else:
-            asks = live.filter(~F.col("is_head")).withColumnRenamed("best", "head")
-        asks = asks.select("grp", "head").distinct()
-        members_of = members.select("grp", F.col("node").alias("a"))
-        asks = materialize(asks.join(members_of, "grp").select("a", "head").distinct(), "jaccard_asks")
-        # The nodes of the heads in groups; long sets by themselves.
-        of_head = known.join(asks.select(F.col("head").alias("comp")).distinct(), "comp").join(info.select("node", "n"), "node")
-        size = of_head.groupBy("comp").agg(F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n") / (BLOCK_NODES * 1000))).alias("blks"))
-        place = F.when(F.col("n") >= BLOCK_TOKENS, F.col("node")).otherwise(F.pmod(F.xxhash64("node"), F.col("blks")))
-        blocks = materialize(of_head.join(size, "comp").select("comp", "node", F.xxhash64("comp", place).alias("blk")), "jaccard_blocks")
-        pairs = asks.withColumnRenamed("head", "comp").join(blocks.select("comp", "blk").distinct(), "comp").select("a", "blk")
-        found = _asked(pairs, blocks.select("blk", "node"), info, docs, places, parts)
-        if not found.isEmpty():
-            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
-        shared = live.filter(~F.col("is_head")).select("key", "grp")
-        turn += 1
+            asks = live.filter("comp != head").select("grp", "comp", "head").distinct()
+            asks = asks.join(members.select("grp", "node"), "grp").select("head", "node", "comp").distinct()
+            held = known.join(asks.select(F.col("head").alias("comp")).distinct(), "comp", "left_semi").withColumn("bucket", F.col("comp"))
+            held = materialize(_in_blocks(held, "node").select("blk", "node", "comp"), "jaccard_blocks")
+            asks = asks.join(held.select(F.col("comp").alias("head"), "blk").distinct(), "head")
+        found = _asked(asks.select("blk", "node", "comp").distinct(), held.select("blk", "node", "comp").distinct(), info, docs, places, parts, last)
+        roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
+        shared = live.filter("comp != head").select("key", "grp")
+    return roots
 
 
 def _labelled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -370,13 +436,13 @@ def _labelled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     shared = rows.filter(F.col("doc").isNull()).select("key", "grp")
 
     touched = shared.select("grp").distinct()
-    members = materialize(each.join(touched, "grp").select("grp", "node").distinct(), "jaccard_members")
+    members = materialize(each.join(touched, "grp").select("grp", "node", "n").distinct(), "jaccard_members")
     # One document of each node, and how many rows have its id and text.
     rows_of = each.join(members.select("node").distinct(), "node", "left_semi").groupBy("node", F.col("doc_id").alias("id"), "text_key").agg(F.count(F.lit(1)).alias("copies"))
     places = rows_of.groupBy("node").agg(F.min(F.struct("id", "text_key", "copies")).alias("x")).select("node", "x.*")
     places = materialize(places, "jaccard_places")
     inside = each.filter("node != grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
-    info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.b0", "doc.b1", "doc.b2", "doc.b3")
+    info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.bits")
     info = materialize(info.join(members.select("node").distinct(), "node", "left_semi").distinct(), "jaccard_info")
     roots = _link_groups(shared, members, inside, info, docs, places, parts)
 

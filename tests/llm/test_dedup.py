@@ -131,6 +131,43 @@ def test_jaccard_long_documents_and_a_loose_family(spark, monkeypatch):
     assert got == brute_components(docs) and len({c for _, c in got.values()}) > 3
 
 
+def test_jaccard_loose_family_is_asked_in_blocks(spark, monkeypatch):
+    """A family without links whose members all share shingles: questions grow with its members, not with their square."""
+    rng, written, write = random.Random(17), [], jaccard_join.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "jaccard_asks":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    base, docs = words(rng, 150), []
+    for _ in range(120):
+        w = list(base)
+        for k in rng.sample(range(150), rng.randint(4, 5)):
+            w[k] = f"z{rng.randrange(10**6)}"
+        docs.append(" ".join(w))
+    docs = list(enumerate(docs))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.components(df).collect()}
+    assert got == brute_components(docs) and len({c for _, c in got.values()}) > 110
+    assert 0 < sum(written) < 20 * len(docs), written
+
+
+def test_sketches_bound_the_difference():
+    np, rng = jaccard_join.np, random.Random(18)
+    for n, m in ((1, 1), (4, 5), (31, 33), (60, 70), (400, 410), (500, 520), (3000, 2700)):
+        a = {rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)}
+        b = set(rng.sample(sorted(a), min(n, m) * 9 // 10)) | {rng.randrange(-(1 << 63), 1 << 63) for _ in range(m // 10)}
+        x, y = (np.frombuffer(jaccard_join.sketch(np.array(sorted(s), np.int64)), np.uint64) for s in (a, b))
+        assert 2 * n <= 64 * len(x) <= max(64, 4 * n)
+        while len(x) != len(y):
+            x, y = (jaccard_join.folded(x), y) if len(x) > len(y) else (x, jaccard_join.folded(y))
+        differ = int(np.bitwise_count(x ^ y).sum())
+        assert differ <= len(a ^ b) and differ % 2 == len(a ^ b) % 2 and (n < 30 or differ > len(a ^ b) * 0.7)
+
+
 def test_jaccard_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (2, "A B c d e f"), (9, None), (9, None)], "doc_id long, text string")
     got = sorted(jaccard_join.components(df).collect(), key=str)
