@@ -42,7 +42,7 @@ result; only id and text are read, whatever other columns there are.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -146,18 +146,27 @@ def _slices(rb: pa.RecordBatch, limit: int = 12 << 20) -> Iterator[pa.RecordBatc
         at = stop
 
 
+def _repeated(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several nodes have, sorted, and how many; all shingles are held once at a time."""
+    nodes: dict[int, np.ndarray] = {}
+    for text in texts:
+        tokens = shingle_set(text.as_py())
+        nodes.setdefault(_node(tokens), tokens)
+    every = np.concatenate([np.empty(0, np.int64), *nodes.values()])
+    nodes.clear()
+    every.sort()
+    value, count = np.unique(every[1:][every[1:] == every[:-1]], return_counts=True)
+    return value, count + 1
+
+
 def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent shingles, sorted, and their ranks by count; counted where several nodes of a batch have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rb in _slices(whole):
-                nodes: dict[int, np.ndarray] = {}
-                for text in rb.column("txt"):
-                    tokens = shingle_set(text.as_py())
-                    nodes.setdefault(_node(tokens), tokens)
-                value, count = np.unique(np.concatenate([np.empty(0, np.int64), *nodes.values()]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(value[count > 1]), pa.array(count[count > 1])], ["token", "n"])
+                value, count = _repeated(rb.column("txt"))
+                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(count)], ["token", "n"])
 
     counts = docs.select(F.col("text").alias("txt")).mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     found = counts.filter(F.col("n") >= FREQUENT_COUNT).orderBy(F.desc("n"), "token").limit(FREQUENT_TOKENS).toArrow()
@@ -168,7 +177,7 @@ def _frequent_tokens(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return token[order], rank[order]
 
 
-def _grouped_batch(texts: list[str | None], frequent: np.ndarray, rank: np.ndarray) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
+def _grouped_batch(texts: Iterable[str | None], frequent: np.ndarray, rank: np.ndarray) -> tuple[list, list, list, list, dict[int, list[np.ndarray]]]:
     """Per text size, node, sketch and group (None without shingles); per group its members' prefixes."""
     sizes, nodes, bits, groups, own = [], [], [], [], {}
     first: dict[int, list[tuple[int, np.ndarray]]] = {}  # by smallest hash
@@ -209,7 +218,7 @@ def _keyed_rows(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for rb in _slices(whole):
-                sizes, nodes, bits, groups, own = _grouped_batch(rb.column("txt").to_pylist(), *last.value)
+                sizes, nodes, bits, groups, own = _grouped_batch((t.as_py() for t in rb.column("txt")), *last.value)
                 doc = pa.StructArray.from_arrays(
                     [rb.column("doc_id"), rb.column("text_key"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(bits, pa.binary())], names)
                 spread = _mix(np.array([x or 0 for x in nodes], np.int64).view(np.uint64), np.arange(len(nodes), dtype=np.uint64)).view(np.int64)

@@ -168,6 +168,19 @@ def test_sketches_bound_the_difference():
         assert differ <= len(a ^ b) and differ % 2 == len(a ^ b) % 2 and (n < 30 or differ > len(a ^ b) * 0.7)
 
 
+def test_repeated_shingles_equal_counts():
+    np, rng = jaccard_join.np, random.Random(19)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 9))) for _ in range(60)] + [None, ""]
+    sets = {tuple(jaccard_join.shingle_set(t).tolist()) for t in texts}
+    holders = {}
+    for s in sets:
+        for token in s:
+            holders[token] = holders.get(token, 0) + 1
+    value, count = jaccard_join._repeated(jaccard_join.pa.array(texts))
+    assert dict(zip(value.tolist(), count.tolist(), strict=True)) == {t: n for t, n in holders.items() if n > 1} and (np.diff(value) > 0).all()
+    assert [len(x) for x in jaccard_join._repeated(jaccard_join.pa.array([None, "a"]))] == [0, 0]
+
+
 def test_jaccard_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (4, "a b c d e f"), (2, "A B c d e f"), (9, None), (9, None)], "doc_id long, text string")
     got = sorted(jaccard_join.components(df).collect(), key=str)
