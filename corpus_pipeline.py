@@ -52,7 +52,9 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    both = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern, keep=("doc_id", "ids"))
+    # Written between, so that a task has one Python worker with the ranks, not two at a time.
+    ids = materialize(bpe.encode(docs, ranks, pattern), "pipeline_ids")
+    both = bpe.decode(ids, ranks, pattern, keep=("doc_id", "ids"))
     return both.select("doc_id", *bpe_digests(), "ids")
 
 

@@ -271,7 +271,6 @@ def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = blocks.groupBy("doc").agg(F.collect_list(F.struct("start", "length")).alias("ranges"))
     gone = materialize(gone.select(F.col("doc.doc_id").alias("gone_id"), F.col("doc.text_key").alias("gone_key"), "ranges"), "dedup_ranges")
 
-    @F.udf(T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]), useArrow=True)
     def cut(text: str | None, ranges) -> tuple | None:
         if ranges is None:
             return None
@@ -280,6 +279,8 @@ def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             drop.update(range(r["start"], r["start"] + r["length"]))
         return "\n".join(x for i, x in enumerate(lines) if i not in drop), len(drop)
 
+    # Marked as nondeterministic so that a filter on its results stays behind it: pushed down, it would cut every text twice, in two Python workers a task.
+    cut = F.udf(cut, T.StructType([T.StructField("text", T.StringType()), T.StructField("n", T.LongType())]), useArrow=True).asNondeterministic()
     names = df.columns
     wide = df.select(F.struct(*[F.col(c) for c in names]).alias("row"))
     row_id, row_text = F.col("row").getField(id_col), F.col("row").getField(text_col)

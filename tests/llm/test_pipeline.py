@@ -1,4 +1,5 @@
 import random
+import re
 
 import public_tokenizers
 import pytest
@@ -93,3 +94,11 @@ def test_stages_on_repeated_rows_long_texts_and_clashing_columns(spark, corpus):
     enc = bpe.codec(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     ids = {r["doc_id"]: r["ids"] for r in docs.collect()}
     assert ids[6] == enc.encode_ordinary(long) and kept["byte_bpe"] == kept["decontamination"]
+
+
+def test_a_task_has_one_python_worker_at_most(spark, corpus):
+    path = corpus[0]
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        plan = stage(spark, docs, path)._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall(r"EvalPython|MapIn(?:Arrow|Pandas)", plan)) <= 1, name
