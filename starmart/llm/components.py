@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import few_files, materialize
 
 #: Links that one task joins up (16 bytes each, some 200 as Python numbers).
 ONE_TASK_LINKS = 500_000
@@ -60,7 +60,8 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
 
     Links of a node to itself say nothing; repeated links count once; null ends are left out."""
     edges = links.filter(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct()
-    edges, last = materialize(edges, "links"), None
+    rows = links.count()
+    edges, last = materialize(few_files(edges, rows), "links"), None
     if dict(edges.dtypes) == {"a": "bigint", "b": "bigint"} and edges.count() <= ONE_TASK_LINKS:
         return materialize(edges.coalesce(1).mapInArrow(_joined_up, "node long, root long"), "links")
     while True:
@@ -68,4 +69,4 @@ def connected_components(links: DataFrame, a: str, b: str) -> DataFrame:
         if state == last or not state[0]:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         last = state
-        edges = materialize(_small_star(_large_star(edges).distinct()).filter(F.col("a") != F.col("b")).distinct(), "links")
+        edges = materialize(few_files(_small_star(_large_star(edges).distinct()).filter(F.col("a") != F.col("b")).distinct(), rows), "links")

@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import few_files, materialize
 from .tables import free_name, small, word_array
 
 SHINGLE = 5
@@ -113,7 +113,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     i = items.select(F.col(item_id_col).alias("item_id"), _lower(F.col(item_text_col)).alias("t")).distinct()
     i = i.select(F.xxhash64("item_id", "t").alias("item_key"), "item_id", word_array(F.col("t")).alias("w"))
     i = i.select("item_key", "item_id", shingle_hashes(F.col("w")).alias("hashes"), shingle_texts(F.col("w")).alias("item_shingles"))
-    i = materialize(i, "benchmark_items")
+    i = materialize(few_files(i, items.count()), "benchmark_items")
     # No hash, no hit: items without words are in neither.
     is_short = contained * F.size("hashes") <= 100 * (SURE - 1)
     needles = materialize(item_rows(i.filter(~is_short), "item_key", rounds), "benchmark_hashes")
@@ -145,6 +145,6 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 def remove_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The documents, all columns, that contain no item; those with a null text stay."""
     key = free_name(docs, "contaminated_text_key")
-    hits = find_items(docs, items, id_col, text_col, **how).select(F.col("text_key").alias(key)).distinct()
-    hits = small(materialize(hits, "benchmark_hits"))
+    hits = find_items(docs, items, id_col, text_col, **how).select(F.col("text_key").alias(key))
+    hits = small(materialize(few_files(hits.distinct(), hits.count()), "benchmark_hits"))
     return docs.join(hits, F.xxhash64(F.col(text_col)) == F.col(key), "left_anti")

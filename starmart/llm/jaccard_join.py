@@ -52,7 +52,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import FILE_ROWS, few_files, materialize
 from .components import connected_components
 from .tables import free_name, small
 
@@ -72,6 +72,8 @@ TASK_QUERIES = 1_000
 SINGLE_HEAD_ROUNDS = 2
 #: Bytes of text of an exchange partition; a document has a prefix row for about 30 of them.
 PART_BYTES = 16 << 20
+#: Bytes of text for each row that an exchange's last tasks are counted by, so that one has some 2 MB of text at least.
+ROW_BYTES = 100
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -347,10 +349,11 @@ def _dealt(asks: DataFrame, holds: DataFrame) -> DataFrame:
 
 
 def _likely(asks: DataFrame, blocks: DataFrame, info: DataFrame, parts: int, every: bool, later: bool) -> DataFrame:
-    """Pairs (a, b) of questions (blk, node, comp) and members of ``blocks`` (the same columns) as :func:`_alike` finds them; written."""
+    """Pairs (a, b) of questions (blk, node, comp; a written table) and members of ``blocks`` (the same columns) as :func:`_alike` finds them; written."""
+    tasks = asks.count() / TASK_QUERIES
     rows = _dealt(asks, blocks).join(info, "node").repartition(parts, "blk", "part").sortWithinPartitions("blk", "part", "asks")
     found = rows.select("blk", "part", "asks", "node", "comp", "n", "bits").mapInArrow(_alike(every, later), "a long, b long, blk long, other long, several boolean")
-    return materialize(found, "jaccard_likely")
+    return materialize(few_files(found, int(tasks * FILE_ROWS)), "jaccard_likely")
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -369,30 +372,33 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
-    """The pairs (a, b) that are links; written.  Only their nodes' sets are made, from their documents."""
+    """The pairs (a, b; a written table) that are links; written.  Only their nodes' sets are made, from their documents."""
+    tasks = pairs.count() / TASK_QUERIES
     tokens = _token_sets(docs, places, pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     rows = _dealt(pairs.select(F.col("b").alias("blk"), F.col("a").alias("node")).distinct(), pairs.select(F.col("b").alias("blk"), F.col("b").alias("node")).distinct())
     rows = rows.join(tokens, "node").select("blk", "part", "asks", "node", "tokens")
     rows = rows.repartition(parts, "blk", "part").sortWithinPartitions("blk", "part", "asks")
-    return materialize(rows.mapInArrow(_answers, "a long, b long"), "jaccard_links")
+    return materialize(few_files(rows.mapInArrow(_answers, "a long, b long"), int(tasks * FILE_ROWS)), "jaccard_links")
 
 
-def _asked(asks: DataFrame, blocks: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int, later: bool) -> DataFrame:
+def _asked(asks: DataFrame, blocks: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int, later: bool, n_asks: int) -> DataFrame:
     """Links (a, b) of nodes ``a`` with members of the blocks each asks: one for each component in a block that it is linked with, at least.
 
-    asks: blk, node, comp; blocks: blk, node, comp; questions that sizes rule out are left out first."""
+    asks: blk, node, comp, about ``n_asks``; blocks: blk, node, comp; questions that sizes rule out are left out first."""
     sizes = blocks.join(info.select("node", "n"), "node").groupBy("blk").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     fits = (100 * F.col("n") >= THRESHOLD * F.col("least")) & (100 * F.col("most") >= THRESHOLD * F.col("n"))
-    asks = materialize(asks.join(sizes, "blk").join(info.select("node", "n"), "node").filter(fits).select("blk", "node", "comp"), "jaccard_asks")
+    asks = materialize(few_files(asks.join(sizes, "blk").join(info.select("node", "n"), "node").filter(fits).select("blk", "node", "comp"), n_asks), "jaccard_asks")
     first = _likely(asks, blocks, info, parts, False, later)
     links = _verified(first, docs, places, parts)
     # Where the one compared is no link, others of its component may be.
-    left = materialize(first.filter("several").join(links, ["a", "b"], "left_anti").select("a", "blk", "other"), "jaccard_left")
+    left = materialize(few_files(first.filter("several").join(links, ["a", "b"], "left_anti").select("a", "blk", "other"), first.count()), "jaccard_left")
     if left.isEmpty():
         return links
     again = asks.join(left.select(F.col("a").alias("node"), "blk").distinct(), ["node", "blk"], "left_semi").select("blk", "node", "comp")
-    rest = _likely(again, blocks.join(left.select("blk", F.col("other").alias("comp")).distinct(), ["blk", "comp"], "left_semi").select("blk", "node", "comp"), info, parts, True, later)
-    rest = rest.join(left, ["a", "blk", "other"], "left_semi").join(first, ["a", "b"], "left_anti").select("a", "b")
+    again = materialize(few_files(again, asks.count()), "jaccard_again")
+    found = _likely(again, blocks.join(left.select("blk", F.col("other").alias("comp")).distinct(), ["blk", "comp"], "left_semi").select("blk", "node", "comp"), info, parts, True, later)
+    rest = found.join(left, ["a", "blk", "other"], "left_semi").join(first, ["a", "b"], "left_anti").select("a", "b")
+    rest = materialize(few_files(rest, found.count()), "jaccard_rest")
     return links.union(_verified(rest, docs, places, parts))
 
 
@@ -402,23 +408,25 @@ def _in_blocks(holds: DataFrame, unit: str) -> DataFrame:
     return holds.join(size, "bucket").withColumn("blk", F.xxhash64("bucket", F.pmod(F.xxhash64(unit), F.col("blks"))))
 
 
-def _link_groups(shared: DataFrame, members: DataFrame, links: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int) -> DataFrame:
-    """``node``, ``root`` of all components; rounds of questions to head components, then of all that is left to each other."""
+def _link_groups(shared: DataFrame, members: DataFrame, links: DataFrame, info: DataFrame, docs: DataFrame, places: DataFrame, parts: int, n_rows: int) -> DataFrame:
+    """``node``, ``root`` of all components; rounds of questions to head components, then of all that is left to each other.
+
+    ``n_rows``: of shared shingles and documents together."""
     roots = connected_components(links, "a", "b")
     for turn in range(SINGLE_HEAD_ROUNDS + 1):
         known = members.select("node", "n").distinct().join(roots, "node", "left").select("node", "n", F.coalesce("root", "node").alias("comp"))
-        known = materialize(known, "jaccard_comps")
+        known = materialize(few_files(known, n_rows), "jaccard_comps")
         labelled = shared.join(known.select(F.col("node").alias("grp"), "comp"), "grp")
         per = labelled.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"))
         head = F.max_by("comp", F.struct("k", F.xxhash64("comp", F.lit(turn)))).alias("head")
         open_keys = per.groupBy("key").agg(F.count(F.lit(1)).alias("comps"), head).filter("comps > 1")
-        live = materialize(labelled.join(open_keys, "key").select("key", "grp", "comp", "comps", "head"), "jaccard_open")
+        live = materialize(few_files(labelled.join(open_keys, "key").select("key", "grp", "comp", "comps", "head"), n_rows), "jaccard_open")
         if live.isEmpty():
             return roots
         last = turn == SINGLE_HEAD_ROUNDS
         if last:
             bucket = live.groupBy("grp").agg(F.max_by("key", F.struct("comps", F.xxhash64("key"))).alias("bucket"), F.first("comp").alias("comp"))
-            held = materialize(_in_blocks(bucket.join(members, "grp"), "grp").select("blk", "grp", "node", "comp"), "jaccard_blocks")
+            held = materialize(few_files(_in_blocks(bucket.join(members, "grp"), "grp").select("blk", "grp", "node", "comp"), n_rows), "jaccard_blocks")
             on_key = live.select("key", "grp").join(held.select("grp", "blk").distinct(), "grp").join(bucket.select("grp", F.col("comp").alias("of")), "grp")
             on_key = on_key.groupBy("key", "blk").agg(F.max("of").alias("greatest"))
             asks = live.select("key", "grp", "comp").join(on_key, "key").filter(F.col("greatest") > F.col("comp")).select("grp", "comp", "blk").distinct()
@@ -427,9 +435,10 @@ def _link_groups(shared: DataFrame, members: DataFrame, links: DataFrame, info:
             asks = live.filter("comp != head").select("grp", "comp", "head").distinct()
             asks = asks.join(members.select("grp", "node"), "grp").select("head", "node", "comp").distinct()
             held = known.join(asks.select(F.col("head").alias("comp")).distinct(), "comp", "left_semi").withColumn("bucket", F.col("comp"))
-            held = materialize(_in_blocks(held, "node").select("blk", "node", "comp"), "jaccard_blocks")
+            held = materialize(few_files(_in_blocks(held, "node").select("blk", "node", "comp"), n_rows), "jaccard_blocks")
             asks = asks.join(held.select(F.col("comp").alias("head"), "blk").distinct(), "head")
-        found = _asked(asks.select("blk", "node", "comp").distinct(), held.select("blk", "node", "comp").distinct(), info, docs, places, parts, last)
+        n_asks = n_rows * (1 + held.count() // BLOCK_NODES)
+        found = _asked(asks.select("blk", "node", "comp").distinct(), held.select("blk", "node", "comp").distinct(), info, docs, places, parts, last, n_asks)
         roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(found), "a", "b")
         shared = live.filter("comp != head").select("key", "grp")
     return roots
@@ -440,23 +449,24 @@ def _labelled(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     text_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), text_bytes // PART_BYTES)
-    rows = materialize(_shared(_keyed_rows(docs), parts), "jaccard_rows")
+    rows = materialize(few_files(_shared(_keyed_rows(docs), parts), text_bytes // ROW_BYTES), "jaccard_rows")
+    n_rows = rows.count()
     each = rows.filter(F.col("doc").isNotNull()).select("doc.doc_id", "doc.text_key", "doc.n", "doc.node", "grp")
     shared = rows.filter(F.col("doc").isNull()).select("key", "grp")
 
     touched = shared.select("grp").distinct()
-    members = materialize(each.join(touched, "grp").select("grp", "node", "n").distinct(), "jaccard_members")
+    members = materialize(few_files(each.join(touched, "grp").select("grp", "node", "n").distinct(), n_rows), "jaccard_members")
     # One document of each node, and how many rows have its id and text.
     rows_of = each.join(members.select("node").distinct(), "node", "left_semi").groupBy("node", F.col("doc_id").alias("id"), "text_key").agg(F.count(F.lit(1)).alias("copies"))
     places = rows_of.groupBy("node").agg(F.min(F.struct("id", "text_key", "copies")).alias("x")).select("node", "x.*")
-    places = materialize(places, "jaccard_places")
+    places = materialize(few_files(places, n_rows), "jaccard_places")
     inside = each.filter("node != grp").select(F.col("node").alias("a"), F.col("grp").alias("b"))
     info = rows.filter(F.col("doc.node").isNotNull()).select("doc.node", "doc.n", "doc.bits")
-    info = materialize(info.join(members.select("node").distinct(), "node", "left_semi").distinct(), "jaccard_info")
-    roots = _link_groups(shared, members, inside, info, docs, places, parts)
+    info = materialize(few_files(info.join(members.select("node").distinct(), "node", "left_semi").distinct(), n_rows), "jaccard_info")
+    roots = _link_groups(shared, members, inside, info, docs, places, parts, n_rows)
 
     least = each.filter(F.col("node").isNotNull()).groupBy("node").agg(F.min("doc_id").alias("least"))
-    least = materialize(least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "jaccard_nodes")
+    least = materialize(few_files(least.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), n_rows), "jaccard_nodes")
     best = least.groupBy("root").agg(F.min("least").alias("component_id"))
     of_node = least.join(best, "root").select("node", "root", "component_id")
     return each.join(of_node, "node", "left").select("doc_id", "text_key", "n", "node", "root", "component_id")
@@ -474,11 +484,11 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     text one stays.  Rows without id and rows without shingles all stay."""
     found = _labelled(df, id_col, text_col).filter(F.col("node").isNotNull() & F.col("doc_id").isNotNull())
     found = found.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n_rows"))
-    found = materialize(found.withColumn("at", F.struct("doc_id", "text_key")), "jaccard_documents")
+    found = materialize(few_files(found.withColumn("at", F.struct("doc_id", "text_key")), df.count()), "jaccard_documents")
     several = found.groupBy("root").agg(F.min("at").alias("first"), F.sum("n_rows").alias("n")).filter("n > 1").select("root", "first")
     m_id, m_text, m_gone = (free_name(df, c) for c in ("marked_doc_id", "marked_text_key", "marked_gone"))
     marked = found.join(several, "root").select(F.col("doc_id").alias(m_id), F.col("text_key").alias(m_text), (F.col("at") != F.col("first")).alias(m_gone), "n_rows")
-    marked = small(materialize(marked.filter(F.col(m_gone) | (F.col("n_rows") > 1)).drop("n_rows"), "jaccard_marked"))
+    marked = small(materialize(few_files(marked.filter(F.col(m_gone) | (F.col("n_rows") > 1)).drop("n_rows"), found.count()), "jaccard_marked"))
     same = (F.col(id_col) == F.col(m_id)) & (F.xxhash64(F.col(text_col)) == F.col(m_text))
     rest = df.join(marked, same, "left_anti")
     repeated = df.join(marked.filter(~F.col(m_gone)), same, "left_semi").withColumn(m_text, F.xxhash64(F.col(text_col)))

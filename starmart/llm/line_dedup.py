@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import few_files, materialize
 
 RARE_DOCS = 6
 BLOCK_WORDS = 30
@@ -241,7 +241,7 @@ def _uncovered(left: DataFrame, blocks: DataFrame) -> DataFrame:
 def common_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc`` (id and text hash of the later document), ``start``, ``length``: line ranges to delete, with ``earlier``."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    lines = materialize(line_table(docs).dropDuplicates(["doc"]), "dedup_lines")
+    lines = materialize(few_files(line_table(docs).dropDuplicates(["doc"]), docs.count()), "dedup_lines")
     shared = _shared_windows(lines)
     found = _aligned(_pairs(shared), lines)
     blocks = found.filter(F.col("key").isNull()).drop("key")
@@ -269,7 +269,8 @@ def delete_blocks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     0 if none), which must not be the name of another column."""
     blocks = common_blocks(df, id_col, text_col).select("doc", "start", "length").distinct()
     gone = blocks.groupBy("doc").agg(F.collect_list(F.struct("start", "length")).alias("ranges"))
-    gone = materialize(gone.select(F.col("doc.doc_id").alias("gone_id"), F.col("doc.text_key").alias("gone_key"), "ranges"), "dedup_ranges")
+    gone = gone.select(F.col("doc.doc_id").alias("gone_id"), F.col("doc.text_key").alias("gone_key"), "ranges")
+    gone = materialize(few_files(gone, df.count()), "dedup_ranges")
 
     def cut(text: str | None, ranges) -> tuple | None:
         if ranges is None:

@@ -64,6 +64,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: list[tuple[str, str]] = []
 
 
+#: Rows of a file, about, where it is known how many rows a table to be written gets at most.
+FILE_ROWS = 20_000
+
+
+def few_files(df, rows: int):
+    """``df`` in a partition for each :data:`FILE_ROWS` rows, but one for each core at least; more than it has it does not get.
+
+    For tables to be written of which it is known about how many rows come at most: a small one is then
+    written by a task for each core, not by one for each shuffle partition (on a local store every file
+    makes the executor start two processes that set modes).  Only where the last stage reads about as few rows."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // FILE_ROWS)))
+
+
 def materialize(df, name: str):
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 

@@ -4,6 +4,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from starmart import session
 from starmart.llm import components, decontaminate, jaccard_join, line_dedup
 from starmart.llm.components import connected_components
 
@@ -390,3 +391,38 @@ def test_keep_first_on_repeated_ids(spark):
     assert kept.columns == df.columns and sorted(r["source"] for r in kept.collect()) == ["a", "c", "d", "f", "f"]
     twice = spark.createDataFrame([(3, x, "i"), (3, x.upper(), "j")], df.schema)
     assert jaccard_join.keep_first(twice).count() == 1
+
+
+def test_small_tables_of_the_join_have_few_files(spark, monkeypatch):
+    docs = near_copies(5)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    written, real = [], session.materialize
+
+    def noted(df, name):
+        written.append((name, real(df, name)))
+        return written[-1][1]
+
+    monkeypatch.setattr(jaccard_join, "materialize", noted)
+    monkeypatch.setattr(components, "materialize", noted)
+    monkeypatch.setattr(jaccard_join, "BLOCK_NODES", 40)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.components(df).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_components(docs)
+    files = {name: len(table.inputFiles()) for name, table in written if name != "jaccard_wanted"}
+    assert {"jaccard_rows", "jaccard_open", "jaccard_likely", "jaccard_links", "links"} <= set(files)
+    assert all(n <= spark.sparkContext.defaultParallelism for n in files.values()), files
+
+
+def test_a_written_table_keeps_all_rows_in_files_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(session, "FILE_ROWS", 10)
+    df = spark.range(1000).repartition(90)
+    for rows, most in ((1000, 90), (400, 40), (0, spark.sparkContext.defaultParallelism)):
+        table = session.materialize(session.few_files(df, rows), "few_files")
+        assert len(table.inputFiles()) <= most and table.count() == 1000 and table.distinct().count() == 1000
